@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Distinct words kept per Python worker, about 100 MB at most.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 500_000
 #: Words longer than this are encoded but not kept.
 CACHE_WORD_CHARS = 64
 #: Texts are handled in groups of about so many characters.
@@ -47,6 +47,72 @@ def words_are_independent(path: str) -> bool:
     return rest and added and not spec.get("truncation") and not spec.get("padding")
 
 
+class _Words(dict):
+    """Ids of words, computed when first asked for.
+
+    The library's normaliser and pre-tokenizer cost more than its merges. For
+    words of ASCII and Latin-1 letters both are plain: composed already, lower
+    case letter by letter, split by the file's own pattern. Their parts go
+    straight to the library's model; every other word goes through the whole
+    tokenizer.
+    """
+
+    def __init__(self, tokenizer, spec: dict):
+        import regex
+
+        super().__init__({"": b""})
+        self._tokenizer, self._model = tokenizer, tokenizer.model
+        norm = spec.get("normalizer") or {}
+        self._lower = any(n["type"] == "Lowercase" for n in norm.get("normalizers", [norm]) if n)
+        pre = spec["pre_tokenizer"]
+        self._parts = regex.compile(pre.get("pretokenizers", [pre])[0]["pattern"]["Regex"]).findall
+        self._bytes = any(p["type"] == "ByteLevel" for p in pre.get("pretokenizers", [pre]))
+        self._latin = regex.compile("[\\x21-\\x7e\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+").fullmatch
+        self._alphabet = {b: chr(c) for b, c in _byte_letters().items()}
+        added = [regex.escape(t["content"]) for t in spec.get("added_tokens", ())]
+        self._holds_added = regex.compile("|".join(added)).search if added else lambda word: None
+        self._known: dict[str, bytes] = {}
+
+    def __missing__(self, word: str) -> bytes:
+        plain = word.isascii() and word.isprintable() or self._latin(word)
+        if plain and self._bytes and not self._holds_added(word):
+            text = word.lower() if self._lower else word
+            ids = self._known.get(text)
+            if ids is None:
+                ids = self._merge(text) if text.isalpha() else b"".join(map(self._part, self._parts(text)))
+        else:
+            ids = array("I", self._tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
+        if len(word) <= CACHE_WORD_CHARS:
+            self[word] = ids
+        return ids
+
+    def _part(self, part: str) -> bytes:
+        ids = self._known.get(part)
+        return self._merge(part) if ids is None else ids
+
+    def _merge(self, part: str) -> bytes:
+        text = part if part.isascii() else "".join(map(self._alphabet.__getitem__, part.encode()))
+        ids = array("I", [t.id for t in self._model.tokenize(text)]).tobytes()
+        if len(part) <= CACHE_WORD_CHARS:
+            self._known[part] = ids
+        return ids
+
+    def trim(self) -> None:
+        """Start anew when full; common words are back at once."""
+        if len(self) > CACHE_WORDS:
+            self.clear()
+            self[""] = b""
+        if len(self._known) > CACHE_WORDS:
+            self._known.clear()
+
+
+def _byte_letters() -> dict[int, int]:
+    """The byte-level alphabet: printable bytes stand for themselves, the others for code points from 256 on."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in plain]
+    return {b: b for b in plain} | {b: 256 + n for n, b in enumerate(rest)}
+
+
 class TextEncoder:
     """Encodes texts to little-endian unsigned 32-bit ids, each with ``end_id`` appended."""
 
@@ -55,32 +121,21 @@ class TextEncoder:
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(tokenizer_path)
-        self._by_word = words_are_independent(tokenizer_path)
         self._end = b"" if end_id is None else array("I", [end_id]).tobytes()
-        self._cache: dict[str, bytes] = {"": b""}
-
-    def _raw(self, texts: list[str]) -> list[bytes]:
-        found = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [array("I", e.ids).tobytes() for e in found]
+        self._words = None
+        if words_are_independent(tokenizer_path):
+            with open(tokenizer_path, encoding="utf-8") as src:
+                self._words = _Words(self._tokenizer, json.load(src))
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Null counts as an empty text."""
-        end = self._end
-        if not self._by_word:
-            return [ids + end for ids in self._raw([t or "" for t in texts])]
-        if len(self._cache) > CACHE_WORDS:
-            self._cache = {"": b""}
-        cache = self._cache
-        split = [t.replace("\n", " ").split(" ") if t else [] for t in texts]
-        new = [w for w in set().union(*split) if w not in cache]
-        fresh = dict(zip(new, self._raw(new), strict=True))
-        get = cache.get
-        look = {**fresh} if fresh else cache
-        if fresh:
-            out = [b"".join([get(w) if (w in cache) else look[w] for w in words]) + end for words in split]
-            cache.update((w, b) for w, b in fresh.items() if len(w) <= CACHE_WORD_CHARS)
-            return out
-        return [b"".join(map(cache.__getitem__, words)) + end for words in split]
+        end, words = self._end, self._words
+        if words is None:
+            found = self._tokenizer.encode_batch_fast([t or "" for t in texts], add_special_tokens=False)
+            return [array("I", e.ids).tobytes() + end for e in found]
+        words.trim()
+        ids_of = words.__getitem__
+        return [b"".join(map(ids_of, t.replace("\n", " ").split(" "))) + end if t else end for t in texts]
 
 
 def grouped(ids: pa.Array, texts: pa.Array, chars: int = GROUP_CHARS) -> Iterator[tuple[list, list[str | None]]]:
