@@ -9,8 +9,11 @@ item, an offset at which the item's walk starts; the walk of a document starts
 at every word. A candidate places the item's whole window in the document and
 is verified by Myers' bit-parallel edit distance.
 
-Sampled positions are compared in turn and a window's walk goes on only while
-some item still agrees, so most windows cost one table lookup per repetition.
+Of three random offsets an item takes the one whose word is rarest among the
+items. Sampled positions are compared in turn and a window's walk goes on only while
+some item still agrees, so most windows cost one table lookup per repetition. Before
+the edit distance is computed, a candidate must hold enough of the item's words
+in any order, without which it cannot be near.
 The number of repetitions comes from the target recall, measured on items with
 the largest allowed number of random word edits.
 """
@@ -36,6 +39,8 @@ STEPS, SAMPLES, MAX_REPETITIONS = 10, 4, 64
 TRIALS = 400
 #: Words of documents handled at once.
 GROUP_WORDS = 1 << 19
+#: Words are told apart modulo this in an item's bag; clashes only let more candidates through.
+BAG = 1021
 #: Stands between documents and equals no item's word.
 BETWEEN = -1
 
@@ -89,8 +94,15 @@ class ItemIndex:
     repetitions: list[Repetition]
     recall: float = 0.0
 
-    @property
+    def bags(self) -> np.ndarray:
+        """[item, word % BAG]: whether the item holds such a word."""
+        out = np.zeros((len(self.items), BAG), bool)
+        for n, item in enumerate(self.items):
+            out[n, np.array(item) % BAG] = True
+        return out
+
     def masks(self) -> list[dict[int, int]]:
+        """For each item the places of its words, as bits."""
         out = []
         for item in self.items:
             mask: dict[int, int] = {}
@@ -105,15 +117,17 @@ def _mix(key, word):
     return (key * 1_000_003 + word + 1) & ((1 << 40) - 1)
 
 
-def _repetition(rng: np.random.Generator, items: list[list[int]], vocabulary: int) -> Repetition:
+def _repetition(rng: np.random.Generator, items: list[list[int]], vocabulary: int, counts: np.ndarray) -> Repetition:
     moves = rng.integers(0, 2, size=(STEPS, vocabulary + 1), dtype=np.int8)
-    sampled = np.concatenate([[0], np.sort(rng.choice(np.arange(1, STEPS), SAMPLES - 1, replace=False))])
-    where = rng.random(len(items))
+    # The word itself, then one step in two or three, then the rest of the walk.
+    sampled = np.concatenate([[0, rng.integers(2, 4)], np.sort(rng.choice(np.arange(4, STEPS), SAMPLES - 2, replace=False))])
+    where = rng.random((len(items), 3))
     first = np.zeros(vocabulary + 1, bool)
     reached: list[list[int]] = [[] for _ in sampled]
     ended: list[list[tuple[int, int, int]]] = [[] for _ in sampled]
     for n, item in enumerate(items):
-        start = cursor = int(where[n] * (max(0, len(item) - STEPS) + 1))
+        offsets = (where[n] * (max(0, len(item) - STEPS) + 1)).astype(int).tolist()
+        start = cursor = min(offsets, key=lambda o: counts[item[o]])
         key, last = 0, -1
         for t in range(STEPS):
             if cursor >= len(item):
@@ -199,6 +213,7 @@ def build_index(rows: list[tuple[int | None, str | None]], similarity: float, re
     index = ItemIndex(ids, items, vocabulary, [allowed_edits(len(i), similarity) for i in items], [])
     if not items:
         return index
+    counts = np.bincount([w for i in items for w in i], minlength=len(vocabulary) + 1)
     rng = np.random.default_rng(seed)
     trial_items = rng.integers(0, len(items), TRIALS)
     stretch: list[int] = []
@@ -211,7 +226,7 @@ def build_index(rows: list[tuple[int | None, str | None]], similarity: float, re
     begins, ends = np.array([s[0] for s in spans]), np.array([s[1] for s in spans])
     found = np.zeros(TRIALS, bool)
     while len(index.repetitions) < MAX_REPETITIONS and found.mean() < recall:
-        rep = _repetition(rng, items, len(vocabulary))
+        rep = _repetition(rng, items, len(vocabulary), counts)
         index.repetitions.append(rep)
         who, where = candidates(flat, rep)
         slack = max(index.edits) + 1
@@ -222,7 +237,22 @@ def build_index(rows: list[tuple[int | None, str | None]], similarity: float, re
     return index
 
 
-def search(index: ItemIndex, docs: list[list[str]]) -> list[list[tuple[int | None, int, int, int]]]:
+def holds_enough(index: ItemIndex, bags: np.ndarray, words: np.ndarray, pairs: np.ndarray, chunk: int = 1 << 14) -> np.ndarray:
+    """Whether the window of each (item, place) holds as many words of the item as ``words - edits``."""
+    lengths, edits = np.array([len(i) for i in index.items]), np.array(index.edits)
+    keep = np.zeros(len(pairs), bool)
+    for lo in range(0, len(pairs), chunk):
+        who, at = pairs[lo : lo + chunk].T
+        slack, size = edits[who] + 1, lengths[who]
+        places = (at - slack)[:, None] + np.arange(int((size + 2 * slack).max()))
+        inside = (places < (at + size + slack)[:, None]) & (places >= 0) & (places < len(words))
+        held = words[np.where(inside, places, 0)]
+        found = bags[who[:, None], held % BAG] & (held > 0) & inside
+        keep[lo : lo + chunk] = found.sum(axis=1) >= size - edits[who]
+    return keep
+
+
+def search(index: ItemIndex, bags: np.ndarray, masks: list[dict[int, int]], docs: list[list[str]]) -> list[list[tuple[int | None, int, int, int]]]:
     """Per document: (item id, item's words, edits, first word) of each item found, at its least distance."""
     out: list[list[tuple]] = [[] for _ in docs]
     if not index.items:
@@ -245,8 +275,8 @@ def search(index: ItemIndex, docs: list[list[str]]) -> list[list[tuple[int | Non
     if not pairs:
         return out
     best: dict[tuple[int, int], tuple[int, int]] = {}
-    masks = index.masks
-    for n, at in np.unique(np.concatenate(pairs), axis=0).tolist():
+    distinct = np.unique(np.concatenate(pairs), axis=0)
+    for n, at in distinct[holds_enough(index, bags, words, distinct)].tolist():
         item, edits = index.items[n], index.edits[n]
         slack = edits + 1
         # The window may begin before its document where words were deleted from it.
@@ -274,6 +304,7 @@ def leaks_column(spark, index: ItemIndex, text: Column) -> Column:
     @F.arrow_udf(LEAKS)
     def of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         index = cloudpickle.loads(shared.value)
+        bags, masks = index.bags(), index.masks()
         for texts in batches:
             found: list[list[tuple]] = []
             held: list[list[str]] = []
@@ -282,9 +313,9 @@ def leaks_column(spark, index: ItemIndex, text: Column) -> Column:
                 held.append(words_of(t.as_py()))
                 size += len(held[-1])
                 if size >= GROUP_WORDS:
-                    found += search(index, held)
+                    found += search(index, bags, masks, held)
                     held, size = [], 0
-            found += search(index, held)
+            found += search(index, bags, masks, held)
             names = ("item_id", "item_words", "edits", "first_word")
             yield pa.array([[dict(zip(names, leak, strict=True)) for leak in leaks] for leaks in found], _LEAK_TYPE)
 
