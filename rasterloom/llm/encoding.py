@@ -1,16 +1,19 @@
-"""Whole-text token ids with a bounded word cache.
+"""Whole-text token ids with a bounded cache of words and parts.
 
 A tokenizer whose normaliser and pre-tokenizer drop white space and never look
 across it gives the same ids for a text as for its space-separated words, one
 after the other. For such files (checked in ``words_are_independent``) each
-distinct word is encoded once while it stays in the cache; any other tokenizer
-encodes whole texts.
+distinct word, or part of one, is encoded once while it stays in the cache; any
+other tokenizer encodes whole texts.
 """
 
 from __future__ import annotations
 
 import json
 import os
+import re
+import sys
+import types
 import zlib
 from array import array
 from collections.abc import Iterable, Iterator
@@ -18,10 +21,10 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 
-#: Distinct words kept per Python worker, about 100 MB at most.
-CACHE_WORDS = 500_000
-#: Words longer than this are encoded but not kept.
-CACHE_WORD_CHARS = 64
+#: Distinct parts (and distinct words of other scripts) kept per Python worker, about 100 MB at most.
+CACHE_PARTS = 500_000
+#: Longer ones are encoded but not kept.
+CACHE_PART_CHARS = 64
 #: Texts are handled in groups of about so many characters.
 GROUP_CHARS = 1 << 19
 
@@ -42,68 +45,80 @@ def words_are_independent(path: str) -> bool:
     pattern = split.get("pattern", {}).get("Regex", " ")
     if not drops or any(c.isspace() for c in pattern) or "\\s" in pattern.replace("^\\s", ""):
         return False
+    if re.search(r"\\(?![sdpNL{}])", pattern) or re.search(r"\\p\{(?!L\}|N\})", pattern):
+        return False
     rest = all(p["type"] == "ByteLevel" and not p.get("add_prefix_space") and not p.get("use_regex") for p in pres[1:])
     added = all(not any(c.isspace() for c in t["content"]) for t in spec.get("added_tokens", ()))
     return rest and added and not spec.get("truncation") and not spec.get("padding")
 
 
-class _Words(dict):
-    """Ids of words, computed when first asked for.
+class _Parts(dict):
+    """Ids of a pre-tokenizer's parts, from the library's model when first asked for."""
 
-    The library's normaliser and pre-tokenizer cost more than its merges. For
-    words of ASCII and Latin-1 letters both are plain: composed already, lower
-    case letter by letter, split by the file's own pattern. Their parts go
-    straight to the library's model; every other word goes through the whole
-    tokenizer.
-    """
+    def __init__(self, model, byte_level: bool):
+        super().__init__()
+        self._tokenize = model.tokenize
+        self._letters = {b: chr(c) for b, c in _byte_letters().items()} if byte_level else None
+
+    def __missing__(self, part: str) -> bytes:
+        text = part if part.isascii() or self._letters is None else "".join([self._letters[b] for b in part.encode()])
+        ids = array("I", [t.id for t in self._tokenize(text)]).tobytes()
+        if len(part) <= CACHE_PART_CHARS:
+            self[part] = ids
+        return ids
 
-    def __init__(self, tokenizer, spec: dict):
-        import regex
 
+class _Words(dict):
+    """Ids of words, from the whole tokenizer when first asked for."""
+
+    def __init__(self, tokenizer):
         super().__init__({"": b""})
-        self._tokenizer, self._model = tokenizer, tokenizer.model
-        norm = spec.get("normalizer") or {}
-        self._lower = any(n["type"] == "Lowercase" for n in norm.get("normalizers", [norm]) if n)
-        pre = spec["pre_tokenizer"]
-        self._parts = regex.compile(pre.get("pretokenizers", [pre])[0]["pattern"]["Regex"]).findall
-        self._bytes = any(p["type"] == "ByteLevel" for p in pre.get("pretokenizers", [pre]))
-        self._latin = regex.compile("[\\x21-\\x7e\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+").fullmatch
-        self._alphabet = {b: chr(c) for b, c in _byte_letters().items()}
-        added = [regex.escape(t["content"]) for t in spec.get("added_tokens", ())]
-        self._holds_added = regex.compile("|".join(added)).search if added else lambda word: None
-        self._known: dict[str, bytes] = {}
+        self._tokenizer = tokenizer
 
     def __missing__(self, word: str) -> bytes:
-        plain = word.isascii() and word.isprintable() or self._latin(word)
-        if plain and self._bytes and not self._holds_added(word):
-            text = word.lower() if self._lower else word
-            ids = self._known.get(text)
-            if ids is None:
-                ids = self._merge(text) if text.isalpha() else b"".join(map(self._part, self._parts(text)))
-        else:
-            ids = array("I", self._tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
-        if len(word) <= CACHE_WORD_CHARS:
+        ids = array("I", self._tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
+        if len(word) <= CACHE_PART_CHARS:
             self[word] = ids
         return ids
 
-    def _part(self, part: str) -> bytes:
-        ids = self._known.get(part)
-        return self._merge(part) if ids is None else ids
 
-    def _merge(self, part: str) -> bytes:
-        text = part if part.isascii() else "".join(map(self._alphabet.__getitem__, part.encode()))
-        ids = array("I", [t.id for t in self._model.tokenize(text)]).tobytes()
-        if len(part) <= CACHE_WORD_CHARS:
-            self._known[part] = ids
-        return ids
+class _Splitter:
+    """Texts of a tokenizer whose words are independent.
 
-    def trim(self) -> None:
-        """Start anew when full; common words are back at once."""
-        if len(self) > CACHE_WORDS:
-            self.clear()
-            self[""] = b""
-        if len(self._known) > CACHE_WORDS:
-            self._known.clear()
+    The library's normaliser and pre-tokenizer cost more than its merges. For
+    texts of ASCII and Latin-1 letters both are plain: composed already, lower
+    case letter by letter, split by the file's own pattern. Their parts go to
+    the library's model, each distinct one once while it is kept. Of any other
+    text each distinct word goes through the whole tokenizer once.
+    """
+
+    #: Inside the plain texts, what the pattern's classes stand for.
+    LETTERS, DIGITS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff", "0-9"
+
+    def __init__(self, tokenizer, spec: dict):
+        norm = spec.get("normalizer") or {}
+        self._lower = any(n["type"] == "Lowercase" for n in norm.get("normalizers", [norm]) if n)
+        pre = spec["pre_tokenizer"]
+        pres = pre.get("pretokenizers", [pre])
+        pattern = pres[0]["pattern"]["Regex"].replace(r"\p{L}", self.LETTERS).replace(r"\p{N}", self.DIGITS)
+        self._split = self._split_bare = re.compile(pattern).findall
+        choices = pattern.split("|")
+        if "(" not in pattern:  # no groups: choices that begin with an apostrophe need one in the text
+            self._split_bare = re.compile("|".join(c for c in choices if not c.startswith("'"))).findall
+        self._plain = re.compile(rf"[\x09-\x0d\x20-\x7e{self.LETTERS}]*+").fullmatch
+        added = [re.escape(t["content"]) for t in spec.get("added_tokens", ())]
+        self._added = re.compile("|".join(added)).search if added else None
+        self.parts = _Parts(tokenizer.model, any(p["type"] == "ByteLevel" for p in pres))
+        self.words = _Words(tokenizer)
+
+    def ids(self, text: str) -> bytes:
+        for cache in (self.parts, self.words):  # start anew; what is common is back at once
+            if len(cache) > CACHE_PARTS:
+                cache.clear()
+        if self._plain(text) and not (self._added and self._added(text)):
+            text = text.lower() if self._lower else text
+            return b"".join(map(self.parts.__getitem__, (self._split if "'" in text else self._split_bare)(text)))
+        return b"".join(map(self.words.__getitem__, text.replace("\n", " ").split(" ")))
 
 
 def _byte_letters() -> dict[int, int]:
@@ -122,20 +137,32 @@ class TextEncoder:
 
         self._tokenizer = Tokenizer.from_file(tokenizer_path)
         self._end = b"" if end_id is None else array("I", [end_id]).tobytes()
-        self._words = None
+        self._splitter = None
         if words_are_independent(tokenizer_path):
             with open(tokenizer_path, encoding="utf-8") as src:
-                self._words = _Words(self._tokenizer, json.load(src))
+                self._splitter = _Splitter(self._tokenizer, json.load(src))
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Null counts as an empty text."""
-        end, words = self._end, self._words
-        if words is None:
+        end = self._end
+        if self._splitter is None:
             found = self._tokenizer.encode_batch_fast([t or "" for t in texts], add_special_tokens=False)
             return [array("I", e.ids).tobytes() + end for e in found]
-        words.trim()
-        ids_of = words.__getitem__
-        return [b"".join(map(ids_of, t.replace("\n", " ").split(" "))) + end if t else end for t in texts]
+        ids = self._splitter.ids
+        return [ids(t) + end if t else end for t in texts]
+
+
+def worker_encoder(tokenizer_path: str, end_id: int | None) -> TextEncoder:
+    """The encoder of this Python worker, kept with its cache for the worker's later tasks.
+
+    Functions reach workers by value, so a module's globals end with a task; an
+    entry in ``sys.modules`` does not.
+    """
+    kept = sys.modules.setdefault("_rasterloom_worker", types.ModuleType("_rasterloom_worker")).__dict__
+    key = f"encoder:{tokenizer_path}:{end_id}"
+    if key not in kept:
+        kept[key] = TextEncoder(tokenizer_path, end_id)
+    return kept[key]
 
 
 def grouped(ids: pa.Array, texts: pa.Array, chars: int = GROUP_CHARS) -> Iterator[tuple[list, list[str | None]]]:

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rasterloom.llm.encoding import TextEncoder, encode_batches
+from rasterloom.llm.encoding import encode_batches, worker_encoder
 
 SCHEMA = T.StructType(
     [
@@ -68,7 +68,7 @@ def pack(docs: DataFrame, tokenizer_path: str, max_length: int = 2048, end_id: i
         raise ValueError("max_length must be a power of two")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = TextEncoder(tokenizer_path, end_id)
+        encoder = worker_encoder(tokenizer_path, end_id)
         number = TaskContext.get().partitionId() << 33
         for doc_ids, encoded in encode_batches(batches, encoder):
             rows: list[tuple] = []

@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rasterloom.llm.encoding import TextEncoder, crc_of, encode_batches
+from rasterloom.llm.encoding import crc_of, encode_batches, worker_encoder
 from rasterloom.session import shared_path, written
 from rasterloom.sources import storage
 
@@ -126,7 +126,7 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, end_id: int | None =
     path = path or shared_path(spark, "token-files")
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = TextEncoder(tokenizer_path, end_id)
+        encoder = worker_encoder(tokenizer_path, end_id)
         names = ["doc_id", "tie", "ids"]
         row = TaskContext.get().partitionId() << 33
         for doc_ids, encoded in encode_batches(batches, encoder):
@@ -143,11 +143,11 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, end_id: int | None =
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)
         for batch in batches:
-            for planes in batch.column(0):
-                seen = np.bincount(_ids(planes.as_py()))
-                if len(seen) > len(total):
-                    total = np.concatenate([total, np.zeros(len(seen) - len(total), np.int64)])
-                total[: len(seen)] += seen
+            held = [_ids(planes.as_py()) for planes in batch.column(0)]
+            seen = np.bincount(np.concatenate(held)) if held else total[:0]
+            if len(seen) > len(total):
+                total = np.concatenate([total, np.zeros(len(seen) - len(total), np.int64)])
+            total[: len(seen)] += seen
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], names=["id", "n"])
 
