@@ -71,13 +71,13 @@ def search_block(queries: np.ndarray, query_ids: np.ndarray, rows: np.ndarray, r
         upper = plus @ np.maximum(rows, top).T + minus @ np.minimum(rows, bottom).T
         if own is not None:
             upper[own[open_]] = -np.inf
-        bar = best.least[open_]
+        bar, lower = best.least[open_], upper  # a list read to its end leaves nothing open
         if read < n:
             lower = plus @ np.where(rows >= top, rows, ordered[0]).T + minus @ np.where(rows <= bottom, rows, ordered[-1]).T
             if own is not None:
                 lower[own[open_]] = -np.inf
-            if n > best.k:
-                bar = np.maximum(bar, np.partition(lower, n - best.k, axis=1)[:, n - best.k])
+        if n > best.k:
+            bar = np.maximum(bar, np.partition(lower, n - best.k, axis=1)[:, n - best.k])
         reach = upper >= bar[:, None]
         counts = reach.sum(axis=1)
         done = np.flatnonzero((counts <= max(best.k, FEW * n)) | (read == n))
@@ -180,7 +180,8 @@ def top_k(candidates: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
     is no candidate. Scores that tie go to the smaller vec_id; candidates that
     repeat are ranked each on its own; a query id that repeats is searched once,
     with its smallest vector. A query only meets vectors of its own length. A
-    query without any candidate has no row; empty tables give none.
+    query without any candidate has no row; empty tables give none. A score outside
+    64 bits is an error.
 
     Queries go out in blocks of ``BLOCK_QUERIES``, each a pass over the
     candidates; a pass sends k rows per query and task to the final ranking.
