@@ -28,7 +28,7 @@ from pyspark.sql.window import Window
 from rasterloom.session import shared_path
 
 #: Queries sent to the executors at once; the rest follow in further passes.
-BLOCK_QUERIES = 4096
+BLOCK_QUERIES = 1024
 #: Candidates whose lists are sorted together.
 BLOCK_ROWS = 8192
 #: Share of each list read before the bounds are looked at; the last is the whole list.
