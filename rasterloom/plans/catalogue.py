@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from rasterloom.plans import damage_queries, geometry_queries, pixel_queries, semantic_queries, shard_queries, table_queries, text_queries, tiling_queries
+from rasterloom.plans import damage_queries, geometry_queries, pixel_queries, raster_queries, semantic_queries, shard_queries, table_queries, text_queries, tiling_queries
 
-_MODULES = (text_queries, table_queries, geometry_queries, tiling_queries, pixel_queries, semantic_queries, damage_queries, shard_queries)
+_MODULES = (text_queries, table_queries, geometry_queries, tiling_queries, pixel_queries, semantic_queries, damage_queries, shard_queries, raster_queries)
 
 
 def queries():

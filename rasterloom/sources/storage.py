@@ -57,3 +57,13 @@ def reopen(uri: str) -> Iterator[BinaryIO]:
         return
     with open(path, "rb") as src:
         yield src
+
+
+def exists(uri: str) -> bool:
+    path = _local(uri)
+    if path is None:
+        from pyarrow import fs
+
+        store, inner = fs.FileSystem.from_uri(uri)
+        return store.get_file_info(inner).type != fs.FileType.NotFound
+    return os.path.exists(path)
