@@ -113,9 +113,10 @@ class TokenFiles:
 def write_token_files(docs: DataFrame, tokenizer_path: str, end_id: int | None = 1, path: str | None = None) -> TokenFiles:
     """Encode every whole text and write files in ascending doc-id order.
 
-    1. Encode once; ids go to a table in the shared folder.
-    2. Count every id over all documents (map-side first; one row per id of
-       the vocabulary reaches the driver) and rank by count, then id.
+    1. Encode once; ids go to a table in the shared folder, and after a task's
+       documents a row for each id that it met, with its count.
+    2. Sum the counts over all documents (one row per id of the vocabulary
+       reaches the driver) and rank by count, then id.
     3. Deal the table out by doc-id range, sort, and write one file a task.
 
     Null texts count as empty, null doc ids come first, rows that repeat are
@@ -127,31 +128,24 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, end_id: int | None =
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = worker_encoder(tokenizer_path, end_id)
-        names = ["doc_id", "tie", "ids"]
-        row = TaskContext.get().partitionId() << 33
+        row, total = TaskContext.get().partitionId() << 33, np.zeros(0, np.int64)
         for doc_ids, encoded in encode_batches(batches, encoder):
-            ids = [np.frombuffer(e, dtype="<u4") for e in encoded]
+            flat = np.frombuffer(b"".join(encoded), dtype="<u4")
+            if len(flat):
+                seen = np.bincount(flat, minlength=len(total))
+                seen[: len(total)] += total
+                total = seen
             # Two planes of bytes where they suffice: half the volume, and they compress well.
-            planes = [_planes(x) for x in ids]
-            ties = pa.array(range(row, row + len(ids)), pa.int64())
-            row += len(ids)
-            yield pa.RecordBatch.from_arrays([pa.array(doc_ids, pa.int64()), ties, pa.array(planes, pa.binary())], names=names)
-
-    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    tokens = written(slim.mapInArrow(encode, "doc_id long, tie long, ids binary"), "token-ids")
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(0, np.int64)
-        for batch in batches:
-            held = [_ids(planes.as_py()) for planes in batch.column(0)]
-            seen = np.bincount(np.concatenate(held)) if held else total[:0]
-            if len(seen) > len(total):
-                total = np.concatenate([total, np.zeros(len(seen) - len(total), np.int64)])
-            total[: len(seen)] += seen
+            planes = [_planes(np.frombuffer(e, dtype="<u4")) for e in encoded]
+            yield _tokens(len(planes), doc_id=doc_ids, tie=range(row, row + len(planes)), ids=planes)
+            row += len(planes)
         used = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], names=["id", "n"])
+        yield _tokens(len(used), id=used, n=total[used])
 
-    counted = tokens.select("ids").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()
+    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    rows = written(slim.mapInArrow(encode, "doc_id long, tie long, ids binary, id long, n long"), "token-ids")
+    tokens = rows.where("id is null").select("doc_id", "tie", "ids")
+    counted = rows.where("id is not null").groupBy("id").agg(F.sum("n").alias("n")).collect()
     ranked = np.array([r.id for r in sorted(counted, key=lambda r: (-r.n, r.id))], dtype="<u4")
     ranks_path = f"{path}/ranks.bin"
     with storage.create(ranks_path) as out:
@@ -193,6 +187,15 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, end_id: int | None =
     return TokenFiles(ranks_path, parts)
 
 
+_TOKENS = pa.schema([("doc_id", pa.int64()), ("tie", pa.int64()), ("ids", pa.binary()), ("id", pa.int64()), ("n", pa.int64())])
+
+
+def _tokens(rows: int, **columns) -> pa.RecordBatch:
+    """A batch of the token table; columns not given are null."""
+    arrays = [pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(rows, f.type) for f in _TOKENS]
+    return pa.RecordBatch.from_arrays(arrays, schema=_TOKENS)
+
+
 def _planes(ids: np.ndarray) -> bytes:
     """1 and all low bytes, then all high bytes, if ids fit in 16 bits; else 0 and the ids."""
     if len(ids) == 0 or ids.max() > 0xFFFF:
