@@ -17,7 +17,7 @@ def write(table: DataFrame, kind: str, path: str | None = None, append: bool = F
         table = table.select(*((F.to_json(c) if c in nested else F.col(c)).alias(c) for c in table.columns))
     writer = table.write.format(kind).mode("append" if append or kind == "noop" else "overwrite")
     if kind == "csv":
-        writer = writer.option("header", True)
+        writer = writer.option("header", True).option("escape", "\"")  # quotes are doubled, as other readers expect
     writer.save(path) if path else writer.save()
 
 
