@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-import pandas as pd
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -60,33 +63,55 @@ def greedy_bundles(members: DataFrame, threshold: float = DEFAULT_COVERAGE) -> D
     are connected footprints at a site.
     """
     order = Window.partitionBy("group_id").orderBy(canonical_score().desc())
-    slim = members.select("group_id", "mosaic_id", *BOX, F.coalesce("event_date", F.lit("")).alias("event_date"), F.row_number().over(order).alias("nth"))
-
-    def cluster(group: pd.DataFrame) -> pd.DataFrame:
-        rows = group.sort_values("nth").reset_index(drop=True)
-        box = rows[list(BOX)].to_numpy(float)
-        dates = rows["event_date"].to_numpy(str)
-        sizes = (box[:, 2] - box[:, 0]).clip(0) * (box[:, 3] - box[:, 1]).clip(0)
-        free, out, number = rows.index.to_numpy(), [], 0
-        while len(free):
-            anchor, rest, number = free[0], free[1:], number + 1
-            w = (box[rest, 2].clip(max=box[anchor, 2]) - box[rest, 0].clip(min=box[anchor, 0])).clip(0)
-            h = (box[rest, 3].clip(max=box[anchor, 3]) - box[rest, 1].clip(min=box[anchor, 1])).clip(0)
-            least = sizes[rest].clip(max=sizes[anchor])
-            cover = (w * h / least.clip(1e-300)).clip(0, 1) * (least > 0)
-            same = (dates[rest] == "") | (dates[anchor] == "") | (dates[rest] == dates[anchor])
-            take = same & (cover >= threshold)
-            out.append((anchor, number, anchor, 1.0))
-            out += [(m, number, anchor, float(c)) for m, c in zip(rest[take], cover[take], strict=True)]
-            free = rest[~take]
-        ids = rows["mosaic_id"]
-        return pd.DataFrame(
-            [(rows["group_id"][0], ids[m], n, ids[a], c) for m, n, a, c in out],
-            columns=["group_id", "mosaic_id", "bundle_no", "canonical_mosaic_id", "similarity"],
-        )
+    keyed = members.withColumn("group_id", F.col("group_id").cast("string"))
+    # The window leaves each group's rows together and in order, so no further shuffle is needed.
+    slim = keyed.select("group_id", "mosaic_id", *BOX, F.coalesce("event_date", F.lit("")).alias("event_date"), F.row_number().over(order).alias("nth"))
+
+    def cluster(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _groups(batches):
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows, strict=True)], schema=_BUNDLES)
+
+    def _groups(batches: Iterator[pa.RecordBatch], size: int = 4096) -> Iterator[list[tuple]]:
+        held: list[dict] = []
+        out: list[tuple] = []
+        for row in (r for b in batches for r in b.to_pylist()):
+            if held and (row["nth"] == 1 or row["group_id"] != held[0]["group_id"]):
+                out += attach(held, threshold)
+                held = []
+                if len(out) >= size:
+                    yield out
+                    out = []
+            held.append(row)
+        out += attach(held, threshold)
+        if out:
+            yield out
 
     schema = "group_id string, mosaic_id string, bundle_no int, canonical_mosaic_id string, similarity double"
-    return slim.withColumn("group_id", F.col("group_id").cast("string")).groupBy("group_id").applyInPandas(cluster, schema)
+    return slim.mapInArrow(cluster, schema)
+
+
+_BUNDLES = pa.schema([("group_id", pa.string()), ("mosaic_id", pa.string()), ("bundle_no", pa.int32()), ("canonical_mosaic_id", pa.string()), ("similarity", pa.float64())])
+
+
+def attach(rows: list[dict], threshold: float) -> list[tuple[str, str, int, str, float]]:
+    """The bundles of one group, whose rows come in the order of the canonical score."""
+    box = np.array([[r[c] for c in BOX] for r in rows], float).reshape(-1, 4)
+    dates = np.array([r["event_date"] for r in rows], str)
+    sizes = (box[:, 2] - box[:, 0]).clip(0) * (box[:, 3] - box[:, 1]).clip(0)
+    free, out, number = np.arange(len(rows)), [], 0
+    while len(free):
+        anchor, rest, number = free[0], free[1:], number + 1
+        name = (rows[anchor]["group_id"], rows[anchor]["mosaic_id"])
+        out.append((name[0], name[1], number, name[1], 1.0))
+        w = (box[rest, 2].clip(max=box[anchor, 2]) - box[rest, 0].clip(min=box[anchor, 0])).clip(0)
+        h = (box[rest, 3].clip(max=box[anchor, 3]) - box[rest, 1].clip(min=box[anchor, 1])).clip(0)
+        least = sizes[rest].clip(max=sizes[anchor])
+        cover = (w * h / least.clip(1e-300)).clip(0, 1) * (least > 0)
+        same = (dates[rest] == "") | (dates[anchor] == "") | (dates[rest] == dates[anchor])
+        take = same & (cover >= threshold)
+        out += [(name[0], rows[m]["mosaic_id"], number, name[1], float(c)) for m, c in zip(rest[take], cover[take], strict=True)]
+        free = rest[~take]
+    return out
 
 
 def bundle_summary(members: DataFrame) -> DataFrame:
