@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rasterloom.session import written
+from rasterloom.session import discard, written
 
 
 def connected_components(edges: DataFrame, a: str, b: str) -> DataFrame:
@@ -26,7 +26,9 @@ def connected_components(edges: DataFrame, a: str, b: str) -> DataFrame:
         floor = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(floor, "u")
         hooked = small.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        cur = written(hooked.unionByName(floor.withColumnRenamed("m", "v")).distinct(), "edges")
+        after = written(hooked.unionByName(floor.withColumnRenamed("m", "v")).distinct(), "edges")
+        discard(cur)
+        cur = after
     roots = cur.select(F.col("v").alias("node"), F.col("v").alias("root"))
     return cur.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots).distinct()
 

@@ -112,3 +112,49 @@ def q_stitch(spark: SparkSession, sf_dir: str) -> DataFrame:
         return pa.array([float(np.nansum(np.frombuffer(b.as_py(), "<f8"))) for b in raw])
 
     return stitched.where("tiles = 4").select("mosaic_id", "height", "width", "tiles", F.round(total("pixels"), 6).alias("total"))
+
+
+@query("q_path_lookup", with_views("manifest") + ", wanted AS (SELECT concat('/drive/2025_', lpad(cast(1 + l_partkey % 12 as string), 2, '0')) AS head, l_partkey FROM lineitem WHERE l_linenumber = 1) SELECT DISTINCT m.path, m.mosaic_key FROM manifest m JOIN wanted ON m.mosaic_key = l_partkey AND starts_with(m.path, head)")
+def q_path_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requested paths to their catalogue records, by equality on the path."""
+    wanted = table(spark, sf_dir, "lineitem").where("l_linenumber = 1").select(F.col("l_partkey").alias("mosaic_key"))
+    records = view(spark, sf_dir, "manifest").select("path", "mosaic_key")
+    requested = records.join(wanted, "mosaic_key", "left_semi").select("path")
+    return records.join(requested.distinct(), "path")
+
+
+@query("q_loose_split", with_views("mosaics") + " SELECT mosaic_id, CASE WHEN mosaic_key IN (SELECT s_suppkey FROM supplier) THEN 'bundled' ELSE 'loose' END AS part FROM mosaics")
+def q_loose_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The complement sets of rasters with and without a bundle."""
+    rows = view(spark, sf_dir, "mosaics").select("mosaic_id", "mosaic_key")
+    bundled = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("mosaic_key"))
+    inside = rows.join(bundled, "mosaic_key", "left_semi").select("mosaic_id", F.lit("bundled").alias("part"))
+    return inside.unionByName(rows.join(bundled, "mosaic_key", "left_anti").select("mosaic_id", F.lit("loose").alias("part")))
+
+
+@query("q_directory_sizes", with_views("manifest") + r", d AS (SELECT regexp_extract(path, '^(.*)/[^/]*$', 1) AS directory, sum(byte_size)::bigint AS total_bytes, count(*) AS n_files FROM manifest GROUP BY 1) SELECT * FROM d ORDER BY total_bytes DESC, directory")
+def q_directory_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Directories, largest first."""
+    directory = F.regexp_extract("path", r"^(.*)/[^/]*$", 1).alias("directory")
+    sizes = view(spark, sf_dir, "manifest").groupBy(directory).agg(F.sum("byte_size").alias("total_bytes"), F.count("*").alias("n_files"))
+    return sizes.orderBy(F.desc("total_bytes"), "directory")
+
+
+@query("q_unary_label", with_views("mosaics") + " SELECT mosaic_id, 'tiles' AS bucket, event_date = '' OR event_date = '240110' AS date_fits FROM mosaics")
+def q_unary_label(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One bucket for every tile; and whether a raster's date goes with a given one."""
+    from rasterloom.operators import bundles
+
+    fits = bundles.compatible_dates(F.col("event_date"), F.lit("240110"))
+    return view(spark, sf_dir, "mosaics").select("mosaic_id", F.lit("tiles").alias("bucket"), fits.alias("date_fits"))
+
+
+@query("q_band_records", _P + " SELECT 'T' || lpad(tile::varchar, 6, '0') AS tile_id, band::integer AS band, 'float64' AS dtype, 4 AS block_width, 4 AS block_height, round(min(value), 9) AS minimum, round(max(value), 9) AS maximum FROM pixels GROUP BY 1, 2")
+def q_band_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Extended metadata: a record per band of every file, with its extremes."""
+    from rasterloom.sources import geotiff
+
+    grid = F.array(*(F.lit(v) for v in (0.0, 1.0, 0.0, 0.0, 0.0, -1.0)))
+    files = geotiff.write_tiles(_tiles(spark, sf_dir).select("tile_id", "bands", grid.alias("transform")), shared_path(spark, "tiffs"), 4, 4, 4326)
+    rows = geotiff.read_band_records(files)
+    return rows.select("tile_id", "band", "dtype", "block_width", "block_height", F.round("minimum", 9).alias("minimum"), F.round("maximum", 9).alias("maximum"))

@@ -56,7 +56,18 @@ def written(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
     that outlives any executor."""
     path = shared_path(df.sparkSession, name)
     df.write.option("compression", compression).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table._written_to = path
+    return table
+
+
+def discard(table: DataFrame) -> None:
+    """Delete the files of a ``written`` table that nothing reads any more."""
+    path = getattr(table, "_written_to", None)
+    if path:
+        context = table.sparkSession.sparkContext
+        where = context._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(context._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -172,3 +172,37 @@ def read_windows(windows: DataFrame, head_bytes: int = 1 << 16) -> DataFrame:
 
 
 _WINDOWS = pa.schema([("tile_id", pa.string()), ("x", pa.int32()), ("y", pa.int32()), ("shape", pa.list_(pa.int32())), ("values", pa.list_(pa.float64()))])
+
+
+def read_band_records(files: DataFrame, head_bytes: int = 1 << 16, rows_at_once: int = 256) -> DataFrame:
+    """A record per band of ``files`` (tile_id, path): type, block size, no-data value and extremes of the
+    other pixels. Pixels are read in strips of rows, so memory does not grow with the file."""
+
+    def extremes(src, raw: bytes, info: dict, band: int) -> tuple[float | None, float | None]:
+        low = high = None
+        for y in range(0, info["height"], rows_at_once):
+            part = read_window(src, raw, 0, y, info["width"], min(rows_at_once, info["height"] - y), [band]).astype(float)
+            values = part[np.isfinite(part) & (part != info["nodata"] if info["nodata"] is not None else True)]
+            if values.size:
+                low = float(values.min()) if low is None else min(low, float(values.min()))
+                high = float(values.max()) if high is None else max(high, float(values.max()))
+        return low, high
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for row in batch.to_pylist():
+                with storage.reopen(row["path"]) as src:
+                    raw = src.read(head_bytes)
+                    info, tags = header(raw), read_tags(raw)
+                    for band in range(1, info["count"] + 1):
+                        low, high = extremes(src, raw, info, band)
+                        rows.append({"tile_id": row["tile_id"], "band": band, "dtype": info["dtype"], "block_width": info["width"], "block_height": tags[ROWS_PER_STRIP][0], "nodata": info["nodata"], "minimum": low, "maximum": high})
+            yield pa.RecordBatch.from_pylist(rows, schema=_BAND_RECORDS)
+
+    return files.select("tile_id", "path").mapInArrow(read, "tile_id string, band int, dtype string, block_width int, block_height int, nodata double, minimum double, maximum double")
+
+
+_BAND_RECORDS = pa.schema(
+    [("tile_id", pa.string()), ("band", pa.int32()), ("dtype", pa.string()), ("block_width", pa.int32()), ("block_height", pa.int32()), ("nodata", pa.float64()), ("minimum", pa.float64()), ("maximum", pa.float64())]
+)
