@@ -23,7 +23,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rasterloom.operators.components import connected_components
-from rasterloom.session import written
+from rasterloom.session import shared_path, written
+from rasterloom.sources import storage
 
 #: Runs up to this long compare neighbours at every distance at once; longer ones are searched breadth-first.
 SHORT_RUN = 32
@@ -200,15 +201,85 @@ def components(docs: DataFrame, max_bits: int = 4, width: int = 4, seed: int = 4
 def deduplicate(docs: DataFrame, max_bits: int = 4, width: int = 4, seed: int = 42) -> DataFrame:
     """The rows of ``docs`` that stay: of each component the one with the smallest
     doc_id (nulls last, then the smallest fingerprint); of rows that repeat
-    both, one. All columns are kept as they are.
+    both, one. All columns are kept as they are. Texts are not shuffled.
     """
-    mark = "__rl_fp"
-    marked = written(docs.withColumn(mark, fingerprint_column(F.col("text").cast("string"), width, seed)), "fingerprinted")
-    fps = marked.select(F.col("doc_id").alias("doc_id"), F.col(mark).alias("fp"))
-    order = F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "fp")
+    fp, row = "__rl_fp", "__rl_row"
+    # The row numbers are those of the written table, so they stay what they are.
+    hashed = docs.withColumn(fp, fingerprint_column(F.col("text").cast("string"), width, seed))
+    marked = written(hashed.withColumn(row, F.monotonically_increasing_id()), "fingerprinted")
+    fps = marked.select("doc_id", F.col(fp).alias("fp"), F.col(row).alias("row"))
+    order = F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "fp", "row")
     first = fps.groupBy("fp").agg(F.min(order).alias("best"))
     with_root = first.join(_roots(fps, max_bits), "fp", "left")
     best = with_root.groupBy(F.coalesce("root", "fp").alias("root")).agg(F.min("best").alias("best"))
-    keep = best.select(F.col("best.doc_id").alias("__rl_doc"), F.col("best.fp").alias("__rl_root"))
-    same = (marked["doc_id"].eqNullSafe(keep["__rl_doc"])) & (marked[mark] == keep["__rl_root"])
-    return marked.join(keep, same, "left_semi").dropDuplicates(["doc_id", mark]).drop(mark)
+    return marked.where(_kept_rows(best.select("best.row"))(F.col(row))).drop(fp, row)
+
+
+#: A row number is its partition's number shifted by this, and its place there.
+_PLACE_BITS = 33
+
+
+def _kept_rows(rows: DataFrame):
+    """A predicate on row numbers: whether ``rows`` has the number.
+
+    The numbers kept of a partition are a bitmap in the shared folder, which the
+    tasks that read that partition's rows open. Only row numbers are shuffled,
+    never the rows, and no bitmap is larger than its partition has rows.
+    """
+    folder = shared_path(rows.sparkSession, "kept-rows")
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+        part = None
+        for batch in batches:
+            numbers = batch.column(0).to_numpy()
+            parts = numbers >> _PLACE_BITS
+            cuts = np.flatnonzero(np.concatenate([[True], parts[1:] != parts[:-1]])) if len(parts) else []
+            for lo, hi in zip(cuts, [*cuts[1:], len(parts)], strict=True):
+                if part is not None and parts[lo] != part:
+                    yield _write_bitmap(folder, part, held)
+                    held = []
+                part = int(parts[lo])
+                held.append(numbers[lo:hi] & ((1 << _PLACE_BITS) - 1))
+        if part is not None:
+            yield _write_bitmap(folder, part, held)
+
+    part = F.shiftright("row", _PLACE_BITS)
+    dealt = rows.repartition(part).sortWithinPartitions("row").mapInArrow(write, "part long, kept long")
+    dealt.agg(F.sum("kept")).collect()
+
+    @F.arrow_udf("boolean")
+    def kept(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        at, bitmap = None, np.zeros(0, bool)
+        for numbers in batches:
+            numbers = numbers.to_numpy()
+            out = np.zeros(len(numbers), bool)
+            parts = numbers >> _PLACE_BITS
+            for p in np.unique(parts):
+                if p != at:
+                    at, bitmap = p, _read_bitmap(folder, int(p))
+                here = np.flatnonzero(parts == p)
+                places = numbers[here] & ((1 << _PLACE_BITS) - 1)
+                inside = places < len(bitmap)
+                out[here[inside]] = bitmap[places[inside]]
+            yield pa.array(out)
+
+    return kept
+
+
+def _write_bitmap(folder: str, part: int, places: list[np.ndarray]) -> pa.RecordBatch:
+    places = np.concatenate(places)
+    bits = np.zeros(int(places.max()) + 1, bool)
+    bits[places] = True
+    with storage.create(f"{folder}/{part}.bits") as out:
+        out.write(np.packbits(bits).tobytes())
+    return pa.RecordBatch.from_arrays([pa.array([part]), pa.array([int(bits.sum())])], names=["part", "kept"])
+
+
+def _read_bitmap(folder: str, part: int) -> np.ndarray:
+    """No file: none of the partition's rows is kept."""
+    uri = f"{folder}/{part}.bits"
+    if not storage.exists(uri):
+        return np.zeros(0, bool)
+    with storage.reopen(uri) as src:
+        return np.unpackbits(np.frombuffer(src.read(), np.uint8)).astype(bool)
