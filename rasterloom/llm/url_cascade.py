@@ -7,7 +7,9 @@ any host of the corpus the first level that rejects it tells, without error,
 whether it is listed; judging a URL needs no join.
 
 A level's bits are set by an aggregation over its keys; only the finished bit
-words come to the driver, and their total size is checked.
+words come to the driver. Their size follows from the number of keys; where it
+would pass its bound, the keys and rows are judged in parts by a hash of the
+host, each part with a cascade of its own.
 """
 
 from __future__ import annotations
@@ -18,7 +20,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rasterloom.session import written
+from rasterloom.session import shared_path, written
 
 #: Largest filter that is sent to the executors, over all levels.
 MAX_BYTES = 64 << 20
@@ -97,7 +99,7 @@ def _level(keys: DataFrame, count: int, seed: int, room: int) -> Level:
     hashes = max(1, round(-math.log2(RATE)))
     n_words = max(1, math.ceil(count * hashes / math.log(2) / 64))
     if 8 * n_words > room:
-        raise ValueError(f"the cascade needs over {MAX_BYTES} bytes; split the list by a hash of its keys and judge each part")
+        raise ValueError("the cascade outgrows its bound; judge() splits larger lists")
     level = Level([0] * n_words, hashes, seed)
     places = keys.select(F.explode(F.array(*level._places(F.col("key")))).alias("place"))
     word = F.shiftright("place", 6).cast("int").alias("word")
@@ -107,17 +109,19 @@ def _level(keys: DataFrame, count: int, seed: int, room: int) -> Level:
     return level
 
 
-def build_cascade(universe: DataFrame, max_bytes: int = MAX_BYTES) -> Cascade:
-    """From ``key`` (any number of times) and ``listed`` (the same for equal keys).
+def distinct_keys(universe: DataFrame) -> DataFrame:
+    """Each ``key`` once with its ``listed``, as a written table; null keys are in no list."""
+    return written(universe.where(F.col("key").isNotNull()).groupBy("key").agg(F.max("listed").alias("listed")), "url-keys")
 
-    Null keys are in no list. Without listed keys the cascade has no level and
-    lists nothing.
+
+def build_cascade(keys: DataFrame, max_bytes: int = MAX_BYTES) -> Cascade:
+    """From ``key`` and ``listed``, each key once.
+
+    Without listed keys the cascade has no level and lists nothing.
     """
-    distinct = universe.where(F.col("key").isNotNull()).groupBy("key").agg(F.max("listed").alias("listed"))
-    distinct = written(distinct, "url-keys")
     cascade = Cascade()
-    members = distinct.where("listed").select("key")
-    others = distinct.where("not listed").select("key")
+    members = keys.where("listed").select("key")
+    others = keys.where("not listed").select("key")
     while True:
         count = members.count()
         if count == 0:
@@ -127,6 +131,14 @@ def build_cascade(universe: DataFrame, max_bytes: int = MAX_BYTES) -> Cascade:
         members, others = others.where(level.passes(F.col("key"))), members
 
 
+def parts_needed(listed: int, unlisted: int, max_bytes: int) -> int:
+    """In how many parts by hash the keys must be judged for each part's cascade to keep its bound, with a fifth to spare."""
+    bits = round(-math.log2(RATE)) / math.log(2)
+    # Each further level holds the false positives of the one before.
+    keys = (listed + unlisted * RATE) / (1 - RATE)
+    return max(1, math.ceil(keys * bits / 8 / (0.8 * max_bytes)))
+
+
 def rule_column(host: Column, path: Column, rules: list[Rule]) -> Column:
     """The longest rule that fits as struct<rule, verdict>, else null. A rule fits its host and all subdomains."""
     found = F.lit(None).cast("struct<rule:string,verdict:string>")
@@ -149,7 +161,22 @@ def judge(pages: DataFrame, listed: Column, rules: list[Rule], max_bytes: int =
     """
     url = F.col("url").cast("string")
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), host_of(url).alias("host"), path_of(url).alias("path"))
-    cascade = build_cascade(rows.select(F.col("host").alias("key"), listed.alias("listed")), max_bytes)
+    keys = distinct_keys(rows.select(F.col("host").alias("key"), listed.alias("listed")))
+    counts = {r.listed: r["count"] for r in keys.groupBy("listed").count().collect()}  # two rows
+    parts = parts_needed(counts.get(True, 0), counts.get(False, 0), max_bytes)
+    if parts == 1:
+        return _judged(rows, build_cascade(keys, max_bytes), rules)
+    path = shared_path(pages.sparkSession, "judged")
+    for part in range(parts):
+
+        def mine(name: str, part: int = part) -> Column:
+            return F.pmod(F.xxhash64(F.lit("part"), F.col(name)), F.lit(parts)) == part
+
+        _judged(rows.where(mine("host")), build_cascade(keys.where(mine("key")), max_bytes), rules).write.mode("append").parquet(path)
+    return pages.sparkSession.read.parquet(path)
+
+
+def _judged(rows: DataFrame, cascade: Cascade, rules: list[Rule]) -> DataFrame:
     rows = rows.withColumn("fit", rule_column(F.col("host"), F.col("path"), rules))
     by_list = F.when(cascade.contains(F.col("host")), "block").otherwise("allow")
     return rows.select("page_id", "host", "path", F.col("fit.rule").alias("rule"), F.coalesce("fit.verdict", by_list).alias("verdict"))

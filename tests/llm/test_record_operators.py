@@ -87,13 +87,21 @@ def test_urls_of_odd_rows(spark):
 def test_cascade_is_exact(spark, monkeypatch):
     monkeypatch.setattr(url_cascade, "RATE", 1 / 4)  # many false positives, so several levels
     keys = spark.range(5000).select(F.concat(F.lit("host"), "id").alias("key"), (F.col("id") % 7 < 2).alias("listed"))
-    cascade = url_cascade.build_cascade(keys.unionByName(keys.limit(9)))
+    cascade = url_cascade.build_cascade(url_cascade.distinct_keys(keys.unionByName(keys.limit(9))))
     assert len(cascade.levels) > 2
     assert keys.where(cascade.contains(F.col("key")) != F.col("listed")).count() == 0
     with pytest.raises(ValueError):
         url_cascade.build_cascade(keys, max_bytes=64)
 
 
+def test_long_lists_are_judged_in_parts(spark):
+    pages = spark.range(3000).select(F.col("id").alias("page_id"), F.concat(F.lit("http://h"), F.col("id") % 1500, F.lit(".net/p")).alias("url"))
+    listed = F.substring(F.md5(F.col("host").cast("binary")), 1, 1).isin("0", "1", "2", "3")
+    assert url_cascade.parts_needed(375, 1125, 400) > 1
+    rows = url_cascade.judge(pages, listed, registry.RULES, max_bytes=400).collect()
+    assert len(rows) == 3000 and all((r.verdict == "block") == (hashlib.md5(r.host.encode()).hexdigest()[0] in "0123") for r in rows)
+
+
 def brute_top(vectors, queries, k):
     out = []
     for q in sorted(queries):
