@@ -69,14 +69,16 @@ class _Parts(dict):
 
 
 class _Words(dict):
-    """Ids of words, from the whole tokenizer when first asked for."""
+    """Ids of words when first asked for: of plain ones by their parts, of others from the whole tokenizer."""
 
-    def __init__(self, tokenizer):
+    def __init__(self, tokenizer, plain_ids):
         super().__init__({"": b""})
-        self._tokenizer = tokenizer
+        self._tokenizer, self._plain_ids = tokenizer, plain_ids
 
     def __missing__(self, word: str) -> bytes:
-        ids = array("I", self._tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
+        ids = self._plain_ids(word)
+        if ids is None:
+            ids = array("I", self._tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
         if len(word) <= CACHE_PART_CHARS:
             self[word] = ids
         return ids
@@ -88,8 +90,8 @@ class _Splitter:
     The library's normaliser and pre-tokenizer cost more than its merges. For
     texts of ASCII and Latin-1 letters both are plain: composed already, lower
     case letter by letter, split by the file's own pattern. Their parts go to
-    the library's model, each distinct one once while it is kept. Of any other
-    text each distinct word goes through the whole tokenizer once.
+    the library's model, each distinct one once while it is kept. Any other text
+    goes word by word, its other words through the whole tokenizer.
     """
 
     #: Inside the plain texts, what the pattern's classes stand for.
@@ -109,16 +111,21 @@ class _Splitter:
         added = [re.escape(t["content"]) for t in spec.get("added_tokens", ())]
         self._added = re.compile("|".join(added)).search if added else None
         self.parts = _Parts(tokenizer.model, any(p["type"] == "ByteLevel" for p in pres))
-        self.words = _Words(tokenizer)
+        self.words = _Words(tokenizer, self.plain_ids)
 
     def ids(self, text: str) -> bytes:
         for cache in (self.parts, self.words):  # start anew; what is common is back at once
             if len(cache) > CACHE_PARTS:
                 cache.clear()
-        if self._plain(text) and not (self._added and self._added(text)):
-            text = text.lower() if self._lower else text
-            return b"".join(map(self.parts.__getitem__, (self._split if "'" in text else self._split_bare)(text)))
-        return b"".join(map(self.words.__getitem__, text.replace("\n", " ").split(" ")))
+        ids = self.plain_ids(text)
+        return b"".join(map(self.words.__getitem__, text.replace("\n", " ").split(" "))) if ids is None else ids
+
+    def plain_ids(self, text: str) -> bytes | None:
+        """None for a text or word that is not plain."""
+        if not self._plain(text) or self._added and self._added(text):
+            return None
+        text = text.lower() if self._lower else text
+        return b"".join(map(self.parts.__getitem__, (self._split if "'" in text else self._split_bare)(text)))
 
 
 def _byte_letters() -> dict[int, int]:
