@@ -31,6 +31,8 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rasterloom.llm.encoding import pieces
+
 WORD = re.compile(r"\w+")
 #: Items searched for in one pass over the documents; more go in several passes.
 BLOCK_ITEMS = 20_000
@@ -49,6 +51,13 @@ def words_of(text: str | None) -> list[str]:
     return WORD.findall(text.lower()) if text else []
 
 
+def word_ids(text: str | None, vocabulary: dict[str, int]) -> np.ndarray:
+    """The text's words as numbers of the vocabulary, 0 for others."""
+    get = vocabulary.get
+    found = [np.array([get(w, 0) for w in WORD.findall(p)], np.int64) for p in pieces((text or "").lower())]
+    return found[0] if len(found) == 1 else np.concatenate(found)
+
+
 def allowed_edits(words: int, similarity: float) -> int:
     return math.floor(words * (1 - similarity) + 1e-9)
 
@@ -252,21 +261,16 @@ def holds_enough(index: ItemIndex, bags: np.ndarray, words: np.ndarray, pairs: n
     return keep
 
 
-def search(index: ItemIndex, bags: np.ndarray, masks: list[dict[int, int]], docs: list[list[str]]) -> list[list[tuple[int | None, int, int, int]]]:
-    """Per document: (item id, item's words, edits, first word) of each item found, at its least distance."""
+def search(index: ItemIndex, bags: np.ndarray, masks: list[dict[int, int]], docs: list[np.ndarray]) -> list[list[tuple[int | None, int, int, int]]]:
+    """Per document (its word numbers): (item id, item's words, edits, first word) of each item found, at its least distance."""
     out: list[list[tuple]] = [[] for _ in docs]
     if not index.items:
         return out
-    get = index.vocabulary.get
-    flat: list[int] = []
-    begin, end = [], []
-    for words in docs:
-        begin.append(len(flat))
-        flat.extend([get(w, 0) for w in words])
-        end.append(len(flat))
-        flat.extend([BETWEEN] * STEPS)
-    words = np.array(flat, np.int64)
-    starts = np.array(begin)
+    gap = np.full(STEPS, BETWEEN, np.int64)
+    sizes = np.array([len(d) for d in docs], np.int64)
+    end = np.cumsum(sizes + STEPS) - STEPS
+    begin = end - sizes
+    words = np.concatenate([part for d in docs for part in (d, gap)]) if docs else gap[:0]
     pairs = []
     for rep in index.repetitions:
         who, where = candidates(words, rep)
@@ -280,15 +284,15 @@ def search(index: ItemIndex, bags: np.ndarray, masks: list[dict[int, int]], docs
         item, edits = index.items[n], index.edits[n]
         slack = edits + 1
         # The window may begin before its document where words were deleted from it.
-        doc = int(np.searchsorted(starts, at + slack, "right")) - 1
-        for d in {max(doc, 0), max(int(np.searchsorted(starts, at, "right")) - 1, 0)}:
-            lo, hi = max(begin[d], at - slack), min(end[d], at + len(item) + slack)
+        doc = int(np.searchsorted(begin, at + slack, "right")) - 1
+        for d in {max(doc, 0), max(int(np.searchsorted(begin, at, "right")) - 1, 0)}:
+            lo, hi = max(int(begin[d]), at - slack), min(int(end[d]), at + len(item) + slack)
             held = best.get((d, n))
             if hi <= lo or held is not None and held[0] == 0:
                 continue
-            distance, stop = window_distance(item, masks[n], flat[lo:hi])
+            distance, stop = window_distance(item, masks[n], words[lo:hi].tolist())
             if distance <= edits and (held is None or distance < held[0]):
-                best[d, n] = (distance, max(0, lo + stop - len(item) - begin[d]))
+                best[d, n] = (distance, max(0, lo + stop - len(item) - int(begin[d])))
     for (d, n), (distance, first) in sorted(best.items()):
         out[d].append((index.item_ids[n], len(index.items[n]), distance, first))
     return out
@@ -307,10 +311,10 @@ def leaks_column(spark, index: ItemIndex, text: Column) -> Column:
         bags, masks = index.bags(), index.masks()
         for texts in batches:
             found: list[list[tuple]] = []
-            held: list[list[str]] = []
+            held: list[np.ndarray] = []
             size = 0
             for t in texts:
-                held.append(words_of(t.as_py()))
+                held.append(word_ids(t.as_py(), index.vocabulary))
                 size += len(held[-1])
                 if size >= GROUP_WORDS:
                     found += search(index, bags, masks, held)

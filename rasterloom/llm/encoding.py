@@ -29,6 +29,23 @@ CACHE_PART_CHARS = 64
 GROUP_CHARS = 1 << 19
 
 
+#: Longer texts are worked on in pieces of about this many characters, cut at a space or newline.
+PIECE_CHARS = 1 << 20
+_CUT = re.compile(r"[ \n]")
+
+
+def pieces(text: str) -> Iterator[str]:
+    """The text in pieces of bounded length; only a longer run without a space or newline stays whole."""
+    at = 0
+    while len(text) - at > PIECE_CHARS:
+        cut = _CUT.search(text, at + PIECE_CHARS)
+        if cut is None:
+            break
+        yield text[at : cut.start()]
+        at = cut.start()
+    yield text[at:] if at else text
+
+
 def words_are_independent(path: str) -> bool:
     """True if ids of a text are the ids of its words between spaces and newlines."""
     with open(path, encoding="utf-8") as src:
@@ -156,7 +173,7 @@ class TextEncoder:
             found = self._tokenizer.encode_batch_fast([t or "" for t in texts], add_special_tokens=False)
             return [array("I", e.ids).tobytes() + end for e in found]
         ids = self._splitter.ids
-        return [ids(t) + end if t else end for t in texts]
+        return [b"".join(map(ids, pieces(t))) + end if t else end for t in texts]
 
 
 def worker_encoder(tokenizer_path: str, end_id: int | None) -> TextEncoder:

@@ -22,6 +22,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from rasterloom.llm.encoding import pieces
+
 UNKNOWN = "und"
 #: Bounds of the training sample: letters for each language, documents for each language and characters of each.
 SAMPLE_CHARS, SAMPLE_DOCS, SAMPLE_DOC_CHARS = 24_000, 64, 1_000
@@ -100,13 +102,19 @@ class LanguageModel:
 
 
 def to_codes(text: str, lookup: np.ndarray, other: int) -> np.ndarray:
-    points = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), dtype="<u4")
+    parts = [_piece_codes(p, lookup, other) for p in pieces(text.lower())]
+    codes = parts[0] if len(parts) == 1 else np.concatenate(parts)
+    if len(codes) > 1:  # white space, digits and marks between two letters count once
+        codes = codes[np.concatenate([[True], (codes[1:] != 0) | (codes[:-1] != 0)])]
+    return codes
+
+
+def _piece_codes(text: str, lookup: np.ndarray, other: int) -> np.ndarray:
+    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4")
     codes = lookup[np.minimum(points, 0xFFFF)]
     beyond = np.flatnonzero(points > 0xFFFF)
     if len(beyond):
         codes[beyond] = [other if chr(p).isalpha() else 0 for p in points[beyond]]
-    if len(codes) > 1:  # white space, digits and marks between two letters count once
-        codes = codes[np.concatenate([[True], (codes[1:] != 0) | (codes[:-1] != 0)])]
     return codes
 
 

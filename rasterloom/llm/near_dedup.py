@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rasterloom.llm.encoding import pieces
 from rasterloom.operators.components import connected_components
 from rasterloom.session import shared_path, written
 from rasterloom.sources import storage
@@ -55,24 +56,35 @@ def simhash(text: str | None, width: int = 4, seed: int = 42) -> int:
     """Unsigned fingerprint of a whole text; 0 if it has no word."""
     import xxhash
 
-    words = text.encode("utf-8", "surrogatepass").lower().split() if text else []
-    if not words:
-        return 0
     digest = xxhash.xxh64_intdigest
-    joined = b" ".join(words)
-    if len(words) <= width:
-        hashes = np.array([digest(joined, seed)], dtype=np.uint64)
-    else:
-        sizes = np.fromiter(map(len, words), np.int64, len(words))
+    ones, count = np.zeros(64, np.int64), 0
+    held: list[bytes] = []  # the last words, whose shingles are not complete yet
+    for piece in pieces(text or ""):
+        held += piece.encode("utf-8", "surrogatepass").lower().split()
+        if len(held) < width:
+            continue
+        joined = b" ".join(held)
+        sizes = np.fromiter(map(len, held), np.int64, len(held))
         ends = np.cumsum(sizes + 1) - 1
-        starts = (ends - sizes)[: len(words) - width + 1].tolist()
+        starts = (ends - sizes)[: len(held) - width + 1].tolist()
         spans = zip(starts, ends[width - 1 :].tolist(), strict=True)
         hashes = np.fromiter((digest(joined[s:e], seed) for s, e in spans), np.uint64, len(starts))
+        ones, count = ones + _set_bits(hashes), count + len(hashes)
+        held = held[len(held) - width + 1 :]
+    if count == 0:
+        if not held:
+            return 0
+        ones, count = _set_bits(np.array([digest(b" ".join(held), seed)], dtype=np.uint64)), 1
+    return int(np.packbits(ones * 2 > count, bitorder="little").view("<u8")[0])
+
+
+def _set_bits(hashes: np.ndarray) -> np.ndarray:
+    """How many of the hashes have each bit set."""
     ones = np.zeros(64, np.int64)
     for i in range(0, len(hashes), CHUNK):
         bits = np.unpackbits(hashes[i : i + CHUNK].view(np.uint8), bitorder="little")
         ones += bits.reshape(-1, 64).sum(axis=0, dtype=np.int64)
-    return int(np.packbits(ones * 2 > len(hashes), bitorder="little").view("<u8")[0])
+    return ones
 
 
 def _signed(value: int) -> int:

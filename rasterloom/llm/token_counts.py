@@ -18,6 +18,8 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rasterloom.llm.encoding import pieces
+
 WORD = re.compile(r"\w+|[^\w\s]")
 #: Distinct words whose counts are kept per Python worker.
 CACHE_WORDS = 500_000
@@ -144,10 +146,11 @@ def token_counts(docs: DataFrame, automaton: Automaton) -> DataFrame:
             for text in batch.column(1):
                 if len(counts) > CACHE_WORDS:
                     counts.clear()
-                words = WORD.findall(text.as_py() or "")
-                packed = list(map(counts.__getitem__, words))
-                unknown = sum(p & 1 for p in packed)
-                rows.append((len(words), (sum(packed) - unknown) >> 1, unknown))
+                words = total = unknown = 0
+                for piece in pieces(text.as_py() or ""):
+                    packed = list(map(counts.__getitem__, WORD.findall(piece)))
+                    words, total, unknown = words + len(packed), total + sum(packed), unknown + sum(p & 1 for p in packed)
+                rows.append((words, (total - unknown) >> 1, unknown))
             columns = zip(*rows, strict=True) if rows else ((), (), ())
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, pa.int64()) for c in columns)], names=names)
 

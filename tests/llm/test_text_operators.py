@@ -353,3 +353,22 @@ def test_language_of_odd_rows(spark, odd, empty):
     assert {(r.lang_pred, r.score) for r in nothing} == {("und", 0.0)}
     kept = language.keep_known(odd)
     assert kept.columns == odd.columns and kept.count() == 6
+
+
+@pytest.mark.parametrize("size", [1, 7, 50])
+def test_long_texts_in_pieces_are_the_same(monkeypatch, size):
+    from rasterloom.llm import near_dedup
+
+    text = "the quick  brown\nfox's <|endoftext|> jümps  over \n\n the lazy dog " * 5 + "x" * 90
+    items = [(1, "the quick brown fox s endoftext jümps over the lazy dog the")]
+    index = decontaminate.build_index(items, 0.8, 0.99, 5, 7)
+    lookup = np.array([2 if chr(c).isalpha() else 0 for c in range(1 << 16)], dtype=np.uint8)
+
+    def all_of():
+        words = decontaminate.word_ids(text, index.vocabulary)
+        return (OWN.encode([text])[0], near_dedup.simhash(text), language.to_codes(text, lookup, 2).tolist(), words.tolist(), decontaminate.search(index, index.bags(), index.masks(), [words]))
+
+    whole = all_of()
+    monkeypatch.setattr(encoding, "PIECE_CHARS", size)
+    assert "".join(encoding.pieces(text)) == text and len(list(encoding.pieces(text))) > 3
+    assert all_of() == whole and whole[4][0]
