@@ -97,7 +97,7 @@ def q_identical_members(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("shape", "dtype", "n", F.regexp_extract("first_member", r"^T(\d+)", 1).cast("long").alias("least"))
 
 
-@query("q_stitch", _P + " SELECT 'M' || tile // 4 AS mosaic_id, 8 AS height, 8 AS width, count(DISTINCT tile) AS tiles, round(sum(value), 6) AS total FROM pixels WHERE band = 1 GROUP BY tile // 4 HAVING count(DISTINCT tile) = 4")
+@query("q_stitch", _P + " SELECT 'M' || tile // 4 AS mosaic_id, (max(tile // 2 % 2) * 4 + 4)::integer AS height, (max(tile % 2) * 4 + 4)::integer AS width, count(DISTINCT tile) AS tiles, round(sum(value), 6) AS total FROM pixels WHERE band = 1 GROUP BY tile // 4")
 def q_stitch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Four tiles in a row make a raster of two by two."""
     band = F.transform(F.sort_array(F.collect_list(F.struct("py", "px", "value"))), lambda e: e["value"])
@@ -111,7 +111,7 @@ def q_stitch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
         return pa.array([float(np.nansum(np.frombuffer(b.as_py(), "<f8"))) for b in raw])
 
-    return stitched.where("tiles = 4").select("mosaic_id", "height", "width", "tiles", F.round(total("pixels"), 6).alias("total"))
+    return stitched.select("mosaic_id", "height", "width", "tiles", F.round(total("pixels"), 6).alias("total"))
 
 
 @query("q_path_lookup", with_views("manifest") + ", wanted AS (SELECT concat('/drive/2025_', lpad(cast(1 + l_partkey % 12 as string), 2, '0')) AS head, l_partkey FROM lineitem WHERE l_linenumber = 1) SELECT DISTINCT m.path, m.mosaic_key FROM manifest m JOIN wanted ON m.mosaic_key = l_partkey AND starts_with(m.path, head)")

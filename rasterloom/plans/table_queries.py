@@ -204,14 +204,15 @@ def q_identical_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.groupBy(F.sha2("text", 256).alias("sha256")).agg(F.count("*").alias("n"), F.min("doc_id").alias("first_doc")).where("n > 1")
 
 
+_ROUTE = "regexp_replace(regexp_replace(lower(trim(o_orderpriority)), '[^a-z0-9_.-]+', '_', 'g'), '^[._-]+|[._-]+$', '', 'g')"
+
+
 @query(
     "q_route_buckets",
-    """SELECT o_orderkey, lower(o_orderpriority) AS route, ((row_number() OVER (PARTITION BY lower(o_orderpriority) ORDER BY o_orderkey) - 1) // 100 + 1)::integer AS shard_index FROM orders
-    WHERE o_orderpriority NOT LIKE '%NOT%'""",
+    f"SELECT o_orderkey, {_ROUTE} AS route, ((row_number() OVER (PARTITION BY {_ROUTE} ORDER BY o_orderkey) - 1) // 100 + 1)::integer AS shard_index FROM orders",
 )
 def q_route_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = table(spark, sf_dir, "orders").where("o_orderpriority NOT LIKE '%NOT%'")
-    return labels.route(orders, "o_orderpriority", ["o_orderkey"], 100).select("o_orderkey", "route", "shard_index")
+    return labels.route(table(spark, sf_dir, "orders"), "o_orderpriority", ["o_orderkey"], 100).select("o_orderkey", "route", "shard_index")
 
 
 @query("q_split_route", "SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN 'F' ELSE 'notF' END AS route FROM orders")
