@@ -135,7 +135,9 @@ def _repetition(rng: np.random.Generator, items: list[list[int]], vocabulary: in
     reached: list[list[int]] = [[] for _ in sampled]
     ended: list[list[tuple[int, int, int]]] = [[] for _ in sampled]
     for n, item in enumerate(items):
-        offsets = (where[n] * (max(0, len(item) - STEPS) + 1)).astype(int).tolist()
+        # Near the item's end a walk is cut short; half of a short item is room enough, so its first words can be skipped.
+        room = min(STEPS, max(3, len(item) // 2))
+        offsets = (where[n] * (max(0, len(item) - room) + 1)).astype(int).tolist()
         start = cursor = min(offsets, key=lambda o: counts[item[o]])
         key, last = 0, -1
         for t in range(STEPS):

@@ -287,6 +287,28 @@ def test_decontamination_finds_edited_items(spark):
     assert got <= planted and exact <= got and len(got) >= 0.95 * len(planted)
 
 
+def found_share(index, copies):
+    """Of (item number, edited words): the share found among other words of the items."""
+    rng = np.random.default_rng(5)
+    around = rng.integers(1, len(index.vocabulary) + 1, (len(copies), 2, 20))
+    docs = [np.array([*a[0], *words, *a[1]], np.int64) for a, (_, words) in zip(around, copies, strict=True)]
+    found = decontaminate.search(index, index.bags(), index.masks(), docs)
+    return sum(index.item_ids[n] in {leak[0] for leak in leaks} for (n, _), leaks in zip(copies, found, strict=True)) / len(copies)
+
+
+def random_items(shortest, longest, n, seed):
+    rng = np.random.default_rng(seed)
+    return [(i, " ".join(f"w{w}" for w in rng.integers(0, 3000, rng.integers(shortest, longest + 1)))) for i in range(n)]
+
+
+@pytest.mark.parametrize("size", range(5, 12))
+def test_decontamination_finds_items_with_an_edited_first_word(size):
+    index = decontaminate.build_index(random_items(size, size, 100, size), 0.8, 0.99, 5, 7)
+    replaced = [(n, [0, *item[1:]]) for n, item in enumerate(index.items)]
+    deleted = [(n, item[1:]) for n, item in enumerate(index.items)]
+    assert found_share(index, replaced + deleted) >= 0.95
+
+
 def test_decontamination_query_equals_brute_force(spark):
     con = connect(SF)
     docs, items = (con.execute(f"SELECT * FROM {t}").fetchall() for t in ("documents", "benchmark"))
