@@ -14,8 +14,10 @@ items. Sampled positions are compared in turn and a window's walk goes on only w
 some item still agrees, so most windows cost one table lookup per repetition. Before
 the edit distance is computed, a candidate must hold enough of the item's words
 in any order, without which it cannot be near.
-The number of repetitions comes from the target recall, measured on items with
-the largest allowed number of random word edits.
+The number of repetitions comes from the target recall, measured for each length of
+item on copies with the largest allowed number of random word edits. Lengths that
+other such copies show short of the target, and items too long to be tried, are
+found exactly: of edits + 1 pieces of an item one is in any near copy unchanged.
 """
 
 from __future__ import annotations
@@ -37,8 +39,12 @@ WORD = re.compile(r"\w+")
 #: Items searched for in one pass over the documents; more go in several passes.
 BLOCK_ITEMS = 20_000
 STEPS, SAMPLES, MAX_REPETITIONS = 10, 4, 64
-#: Edited items on which the recall is measured.
+#: Edited items of each length class that stop the repetitions, and as many others that measure the recall.
 TRIALS = 400
+#: Longer items are not tried but found exactly.
+TRIED_WORDS = 256
+#: Repetitions end when the length classes short of the recall hold no more than this share of the items; those are found exactly.
+STRAGGLERS = 0.1
 #: Words of documents handled at once.
 GROUP_WORDS = 1 << 19
 #: Words are told apart modulo this in an item's bag; clashes only let more candidates through.
@@ -101,7 +107,8 @@ class ItemIndex:
     vocabulary: dict[str, int]
     edits: list[int]
     repetitions: list[Repetition]
-    recall: float = 0.0
+    recall: float = 1.0  # measured, of the worst length class among items that are not found exactly
+    exact_items: int = 0
 
     def bags(self) -> np.ndarray:
         """[item, word % BAG]: whether the item holds such a word."""
@@ -151,12 +158,45 @@ def _repetition(rng: np.random.Generator, items: list[list[int]], vocabulary: in
             cursor += int(moves[t, item[cursor]])
         first[item[start]] = True
         ended[last].append((key, n, start))
-    out = Repetition(moves, sampled, first)
-    for j in range(len(sampled)):
-        out.prefixes.append(np.unique(np.array(reached[j], np.int64)))
-        rows = sorted(ended[j])
-        out.complete.append(tuple(np.array([r[c] for r in rows], np.int64) for c in range(3)))
-    return out
+    return _tables(Repetition(moves, sampled, first), reached, ended)
+
+
+def _tables(rep: Repetition, reached: list[list[int]], ended: list[list[tuple[int, int, int]]]) -> Repetition:
+    for keys, rows in zip(reached, ended, strict=True):
+        rep.prefixes.append(np.unique(np.array(keys, np.int64)))
+        rows = sorted(rows)
+        rep.complete.append(tuple(np.array([r[c] for r in rows], np.int64) for c in range(3)))
+    return rep
+
+
+def _exact_repetition(items: list[list[int]], edits: list[int], chosen: np.ndarray, vocabulary: int) -> Repetition:
+    """Pieces of the chosen items as walks that move on at every step.
+
+    Of ``edits + 1`` pieces one has no edit; of a piece longer than STEPS the beginning is compared.
+    """
+    first = np.zeros(vocabulary + 1, bool)
+    reached: list[list[int]] = [[] for _ in range(STEPS)]
+    ended: list[list[tuple[int, int, int]]] = [[] for _ in range(STEPS)]
+    for n in np.flatnonzero(chosen).tolist():
+        item, parts = items[n], edits[n] + 1
+        for i in range(parts):
+            start, key = len(item) * i // parts, 0
+            piece = item[start : len(item) * (i + 1) // parts][:STEPS]
+            for j, w in enumerate(piece):
+                key = _mix(key, w)
+                reached[j].append(key)
+            first[piece[0]] = True
+            ended[len(piece) - 1].append((key, n, start))
+    return _tables(Repetition(np.ones((STEPS, vocabulary + 1), np.int8), np.arange(STEPS), first), reached, ended)
+
+
+def _without(rep: Repetition, items: list[list[int]], dropped: np.ndarray) -> Repetition:
+    """The repetition with no walks of the dropped items; keys on the way to them may stay."""
+    complete = [tuple(c[~dropped[who]] for c in (keys, who, start)) for keys, who, start in rep.complete]
+    first = np.zeros_like(rep.first)
+    for _, who, start in complete:
+        first[[items[n][at] for n, at in zip(who.tolist(), start.tolist(), strict=True)]] = True
+    return Repetition(rep.moves, rep.sampled, first, rep.prefixes, complete)
 
 
 def _among(keys: np.ndarray, ordered: np.ndarray) -> np.ndarray:
@@ -224,30 +264,73 @@ def build_index(rows: list[tuple[int | None, str | None]], similarity: float, re
     index = ItemIndex(ids, items, vocabulary, [allowed_edits(len(i), similarity) for i in items], [])
     if not items:
         return index
-    counts = np.bincount([w for i in items for w in i], minlength=len(vocabulary) + 1)
-    rng = np.random.default_rng(seed)
-    trial_items = rng.integers(0, len(items), TRIALS)
-    stretch: list[int] = []
-    spans = []
-    for n in trial_items:
-        edited = _edited(rng, items[n], index.edits[n])
-        spans.append((len(stretch), len(stretch) + len(edited)))
-        stretch += edited + [BETWEEN] * STEPS
-    flat = np.array(stretch or [BETWEEN], np.int64)
-    begins, ends = np.array([s[0] for s in spans]), np.array([s[1] for s in spans])
-    found = np.zeros(TRIALS, bool)
-    while len(index.repetitions) < MAX_REPETITIONS and found.mean() < recall:
-        rep = _repetition(rng, items, len(vocabulary), counts)
-        index.repetitions.append(rep)
-        who, where = candidates(flat, rep)
-        slack = max(index.edits) + 1
-        trial = np.searchsorted(begins, where + slack, "right") - 1
-        hit = (trial >= 0) & (trial_items[trial] == who) & (where <= ends[trial])
-        found[trial[hit]] = True
-    index.recall = float(found.mean())
+    exact = np.ones(len(items), bool)
+    if recall < 1:
+        exact = _add_walks(index, recall, np.random.default_rng(seed))
+    index.exact_items = int(exact.sum())
+    if index.exact_items:
+        walks = [] if exact.all() else [_without(rep, items, exact) for rep in index.repetitions]
+        index.repetitions = [*walks, _exact_repetition(items, index.edits, exact, len(vocabulary))]
     return index
 
 
+def length_class(words: int) -> int:
+    """The number of words up to 64, then steps of a fifth."""
+    return words if words <= 64 else 64 + math.ceil(4 * math.log2(words / 64))
+
+
+class _Trials:
+    """Edited copies of items, TRIALS of each class, and which of them some repetition has found."""
+
+    def __init__(self, rng: np.random.Generator, index: ItemIndex, members: list[np.ndarray]):
+        self.edits, self.lengths = np.array(index.edits), np.array([len(i) for i in index.items])
+        self.item = np.concatenate([rng.choice(m, TRIALS) for m in members])
+        words: list[int] = []
+        begin, end = [], []
+        for n in self.item.tolist():
+            begin.append(len(words))
+            words += _edited(rng, index.items[n], index.edits[n])
+            end.append(len(words))
+            words += [BETWEEN] * STEPS
+        self.words, self.begin, self.end = np.array(words, np.int64), np.array(begin), np.array(end)
+        self.found = np.zeros(len(self.item), bool)
+
+    def search(self, rep: Repetition) -> np.ndarray:
+        """The share found so far, by class; a copy is found if all of it is in the window that would be verified."""
+        who, where = candidates(self.words, rep)
+        slack = self.edits[who] + 1
+        trial = np.maximum(np.searchsorted(self.begin, where + slack, "right") - 1, 0)
+        whole = (where - slack <= self.begin[trial]) & (self.end[trial] <= where + self.lengths[who] + slack)
+        self.found[trial[whole & (self.item[trial] == who)]] = True
+        return self.found.reshape(-1, TRIALS).mean(axis=1)
+
+
+def _add_walks(index: ItemIndex, recall: float, rng: np.random.Generator) -> np.ndarray:
+    """Adds repetitions until the length classes but a few stragglers have the recall; true for the items that are left without it."""
+    exact = np.array([len(i) > TRIED_WORDS for i in index.items])
+    classes = np.array([length_class(len(i)) for i in index.items])
+    members = [np.flatnonzero(classes == c) for c in np.unique(classes[~exact])]
+    members = [m[~exact[m]] for m in members]
+    if not members:
+        return exact
+    counts = np.bincount([w for i in index.items for w in i], minlength=len(index.vocabulary) + 1)
+    sizes = np.array([len(m) for m in members])
+    stopping, measuring = _Trials(rng, index, members), _Trials(rng, index, members)
+    while len(index.repetitions) < MAX_REPETITIONS:
+        rep = _repetition(rng, index.items, len(index.vocabulary), counts)
+        index.repetitions.append(rep)
+        reached, measured = stopping.search(rep), measuring.search(rep)
+        # Half the misses that are allowed, or chance would leave many classes just short of the target.
+        short = 1 - reached > (1 - recall) / 2 + 1e-9
+        if sizes[short].sum() <= STRAGGLERS * sizes.sum():
+            break
+    for m, share in zip(members, measured, strict=True):
+        if share < recall:
+            exact[m] = True
+    index.recall = float(min((r for r in measured if r >= recall), default=1.0))
+    return exact
+
+
 def holds_enough(index: ItemIndex, bags: np.ndarray, words: np.ndarray, pairs: np.ndarray, chunk: int = 1 << 14) -> np.ndarray:
     """Whether the window of each (item, place) holds as many words of the item as ``words - edits``."""
     lengths, edits = np.array([len(i) for i in index.items]), np.array(index.edits)

@@ -309,6 +309,26 @@ def test_decontamination_finds_items_with_an_edited_first_word(size):
     assert found_share(index, replaced + deleted) >= 0.95
 
 
+def random_copies(index, each, seed):
+    rng = np.random.default_rng(seed)
+    return [(n, decontaminate._edited(rng, item, index.edits[n])) for n, item in enumerate(index.items) for _ in range(each)]
+
+
+def test_every_length_of_item_reaches_the_recall():
+    index = decontaminate.build_index(random_items(5, 40, 700, 3), 0.8, 0.99, 5, 7)
+    copies = random_copies(index, 10, 9)
+    for edits in sorted(set(index.edits)):
+        assert found_share(index, [c for c in copies if index.edits[c[0]] == edits]) >= 0.985
+    assert index.recall >= 0.99
+
+
+@pytest.mark.parametrize("recall", [0.99, 1.0])
+def test_items_that_walks_miss_are_found_exactly(monkeypatch, recall):
+    monkeypatch.setattr(decontaminate, "MAX_REPETITIONS", 1)
+    index = decontaminate.build_index(random_items(5, 40, 200, 4) + random_items(300, 310, 2, 5), 0.8, recall, 5, 7)
+    assert found_share(index, random_copies(index, 5, 6)) == 1.0 and index.exact_items == 202
+
+
 def test_decontamination_query_equals_brute_force(spark):
     con = connect(SF)
     docs, items = (con.execute(f"SELECT * FROM {t}").fetchall() for t in ("documents", "benchmark"))
