@@ -36,6 +36,14 @@ from pyspark.sql import functions as F
 from rasterloom.llm.encoding import pieces
 
 WORD = re.compile(r"\w+")
+#: Scripts written without spaces between words: Thai and Lao, Burmese, Khmer, Tai, kana and Bopomofo, Han.
+_UNSPACED = (
+    "\u0e00-\u0eff\u1000-\u109f\ua9e0-\ua9ff\uaa60-\uaa7f\u1780-\u17ff\u1950-\u19df\u1a20-\u1aaf\u3005-\u3007\u3021-\u3029\u3031-\u303c"
+    "\u3041-\u312f\u31a0-\u31bf\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f\U0001aff0-\U0001b16f\U00020000-\U0003ffff"
+)
+UNSPACED = re.compile(f"[{_UNSPACED}]")
+#: Their characters are words of their own.
+WORD_OR_CHARACTER = re.compile(rf"[^\W{_UNSPACED}]+|(?=\w)[{_UNSPACED}]")
 #: Items searched for in one pass over the documents; more go in several passes.
 BLOCK_ITEMS = 20_000
 STEPS, SAMPLES, MAX_REPETITIONS = 10, 4, 64
@@ -53,14 +61,18 @@ BAG = 1021
 BETWEEN = -1
 
 
+def split_words(text: str) -> list[str]:
+    return (WORD if text.isascii() or not UNSPACED.search(text) else WORD_OR_CHARACTER).findall(text)
+
+
 def words_of(text: str | None) -> list[str]:
-    return WORD.findall(text.lower()) if text else []
+    return split_words(text.lower()) if text else []
 
 
 def word_ids(text: str | None, vocabulary: dict[str, int]) -> np.ndarray:
     """The text's words as numbers of the vocabulary, 0 for others."""
     get = vocabulary.get
-    found = [np.array([get(w, 0) for w in WORD.findall(p)], np.int64) for p in pieces((text or "").lower())]
+    found = [np.array([get(w, 0) for w in split_words(p)], np.int64) for p in pieces((text or "").lower())]
     return found[0] if len(found) == 1 else np.concatenate(found)
 
 
@@ -432,8 +444,8 @@ def find_leaks(
     item with at most ``(1 - similarity) * words`` word edits, one row per
     document row and item, at the least distance.
 
-    Words are runs of letters, digits and underscores, lower-cased. Whole texts
-    are searched at every word. Null, empty and wordless texts contain nothing;
+    Words are runs of letters, digits and underscores, lower-cased; in scripts
+    without spaces every character is a word. Whole texts are searched at every word. Null, empty and wordless texts contain nothing;
     items under ``min_words`` words are no evidence and match nothing; items
     that repeat are reported each by its item_id, null included. Rows that
     repeat are reported each on its own. Empty tables give no rows; other

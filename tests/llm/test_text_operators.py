@@ -329,6 +329,21 @@ def test_items_that_walks_miss_are_found_exactly(monkeypatch, recall):
     assert found_share(index, random_copies(index, 5, 6)) == 1.0 and index.exact_items == 202
 
 
+@pytest.mark.parametrize("item", ["敏捷的棕色狐狸跳过了懒狗，然后在河边休息。", "すばやい茶色のキツネがのろまな犬を飛び越える", "สุนัขจิ้งจอกสีน้ำตาลกระโดดข้ามสุนัขขี้เกียจ"])
+def test_decontamination_finds_items_in_scripts_without_spaces(item):
+    index = decontaminate.build_index([(1, item)], 0.8, 0.99, 5, 7)
+    texts = [f"前文{item}後文 and more", f"x {item[3:]} y", "前文後文 and more"]
+    docs = [decontaminate.word_ids(t, index.vocabulary) for t in texts]
+    assert [len(leaks) for leaks in decontaminate.search(index, index.bags(), index.masks(), docs)] == [1, 1, 0]
+    assert decontaminate.words_of("Ab_1 漢字kana・カー ok") == ["ab_1", "漢", "字", "kana", "カ", "ー", "ok"]
+
+
+def test_items_below_five_words_match_exactly_where_they_are_asked_for():
+    index = decontaminate.build_index([(1, "hello wide world"), (2, "狐狸")], 0.8, 0.99, 1, 7)
+    docs = [decontaminate.word_ids(t, index.vocabulary) for t in ["say Hello, wide world!", "hello world", "棕狐狸"]]
+    assert [[leak[0] for leak in leaks] for leaks in decontaminate.search(index, index.bags(), index.masks(), docs)] == [[1], [], [2]]
+
+
 def test_decontamination_query_equals_brute_force(spark):
     con = connect(SF)
     docs, items = (con.execute(f"SELECT * FROM {t}").fetchall() for t in ("documents", "benchmark"))
