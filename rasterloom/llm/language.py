@@ -5,9 +5,10 @@ text. A text is parsed greedily into the longest phrases that occur in that
 sample; the fewer phrases it needs per letter, normalised by the logarithm of
 the sample's size, the smaller the cross entropy. The least entropy wins.
 
-The automaton's transitions are laid out as a table in which a missing
-transition leads back over the root and marks a phrase end, so that thousands
-of stretches of text advance one letter at a time in numpy.
+The automaton's transitions are laid out as a table over the letters of its own
+language, in which a missing transition leads back over the root and marks a
+phrase end, so that thousands of stretches of text advance one letter at a time
+in numpy. Languages of many letters keep sorted transitions instead of a table.
 """
 
 from __future__ import annotations
@@ -27,10 +28,10 @@ from rasterloom.llm.encoding import pieces
 UNKNOWN = "und"
 #: Bounds of the training sample: letters for each language, documents for each language and characters of each.
 SAMPLE_CHARS, SAMPLE_DOCS, SAMPLE_DOC_CHARS = 24_000, 64, 1_000
-#: The languages with the most labelled documents are learned, so many at most.
-MAX_LANGUAGES = 64
-#: Letters told apart; rarer ones share a code that no sample contains.
-MAX_LETTERS = 60
+#: With more than 16 languages their samples share the letters of 16, but each keeps at least so many.
+LEAST_CHARS = 4_000
+#: Entries of the tables of all languages together; those of more than their share of it keep sorted transitions.
+TABLE_ENTRIES = 48_000_000
 #: A text is parsed in stretches of this length, so that long ones spread over the vector.
 STRETCH = 256
 #: Letters parsed at once.
@@ -86,18 +87,59 @@ def parse_table(codes: list[int], alphabet: int) -> np.ndarray:
     return table.astype(np.int32).reshape(-1)
 
 
+@dataclass
+class Transitions:
+    """An automaton over the letters of its own language; letters that its sample lacks end a phrase in every state."""
+
+    local: np.ndarray  # code of the model -> code of the language, the last for letters that the sample lacks
+    alphabet: int
+    table: np.ndarray | None  # as of parse_table
+    keys: np.ndarray | None  # or sorted state * alphabet + letter of the transitions there are,
+    to: np.ndarray | None  # their entries,
+    root: np.ndarray | None  # and those of missing ones by letter
+
+    def step(self, state: np.ndarray, letter: np.ndarray) -> np.ndarray:
+        at = state + self.local.take(letter)
+        if self.table is not None:
+            return self.table.take(at)
+        where = np.minimum(np.searchsorted(self.keys, at), len(self.keys) - 1)
+        return np.where(self.keys.take(where) == at, self.to.take(where), self.root.take(at % self.alphabet))
+
+
+def transitions(codes: list[int], alphabet: int, entries: int) -> Transitions:
+    """Over the model's ``alphabet``; codes from there on separate documents."""
+    own = sorted({c for c in codes if c < alphabet})
+    local = np.full(alphabet, len(own), np.intp)
+    local[own] = np.arange(len(own))
+    width = len(own) + 1
+    known = local.tolist()
+    coded = [known[c] if c < alphabet else width for c in codes]
+    if 2 * len(codes) * width <= entries:  # an automaton has fewer than twice as many states as letters
+        return Transitions(local, width, parse_table(coded, width), None, None, None)
+    states = suffix_automaton(coded)
+    root = np.full(width, _END, np.int64)
+    for c, t in states[0].items():
+        if c < width:
+            root[c] = _END + t * width
+    edges = sorted((s * width + c, t * width) for s, moves in enumerate(states) for c, t in moves.items() if c < width)
+    keys, to = np.array(edges or [(-1, 0)], np.int64).T
+    return Transitions(local, width, None, np.ascontiguousarray(keys), np.ascontiguousarray(to), root)
+
+
 @dataclass
 class LanguageModel:
     languages: list[str]
     letters: str
-    tables: list[np.ndarray]
+    tables: list[Transitions]
     log_sizes: np.ndarray
 
     def lookup(self) -> np.ndarray:
-        """Code of every character of the basic plane: 0 no letter, 1.. the letters, the last for other letters."""
+        """Code of every character of the basic plane, or beyond as far as letters go: 0 no letter, 1.. the letters, the last for letters of no sample."""
         other = len(self.letters) + 1
-        codes = np.array([other if chr(c).isalpha() else 0 for c in range(1 << 16)], dtype=np.uint8)
-        codes[[ord(c) for c in self.letters]] = np.arange(1, other)
+        points = [ord(c) for c in self.letters]
+        size = max([1 << 16, *(p + 1 for p in points)])
+        codes = np.array([other if chr(c).isalpha() else 0 for c in range(size)], dtype=np.uint8 if other < 256 else np.int32)
+        codes[points] = np.arange(1, other)
         return codes
 
 
@@ -111,14 +153,14 @@ def to_codes(text: str, lookup: np.ndarray, other: int) -> np.ndarray:
 
 def _piece_codes(text: str, lookup: np.ndarray, other: int) -> np.ndarray:
     points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4")
-    codes = lookup[np.minimum(points, 0xFFFF)]
-    beyond = np.flatnonzero(points > 0xFFFF)
+    codes = lookup[np.minimum(points, len(lookup) - 1)]
+    beyond = np.flatnonzero(points >= len(lookup))
     if len(beyond):
         codes[beyond] = [other if chr(p).isalpha() else 0 for p in points[beyond]]
     return codes
 
 
-def count_phrases(codes: list[np.ndarray], tables: list[np.ndarray], stretch: int = STRETCH) -> np.ndarray:
+def count_phrases(codes: list[np.ndarray], tables: list[np.ndarray | Transitions], stretch: int = STRETCH) -> np.ndarray:
     """[language, text] phrases of the greedy parse, each stretch's last one included."""
     sizes = np.array([len(c) for c in codes])
     out = np.zeros((len(tables), len(codes)), np.int64)
@@ -139,8 +181,7 @@ def count_phrases(codes: list[np.ndarray], tables: list[np.ndarray], stretch: in
         letter = flat[begin[:n] + step]
         for table, at, found in zip(tables, state, ends, strict=True):
             s = at[:n]
-            s += letter
-            moved = table.take(s)
+            moved = table.step(s, letter) if isinstance(table, Transitions) else table.take(s + letter)
             found[:n] += moved >> 30
             np.bitwise_and(moved, _END - 1, out=s)
     for k, found in enumerate(ends):
@@ -149,28 +190,22 @@ def count_phrases(codes: list[np.ndarray], tables: list[np.ndarray], stretch: in
 
 
 def train(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id") -> LanguageModel:
-    """Fit on a bounded sample: of each of the ``MAX_LANGUAGES`` languages with the
-    most rows, the ``SAMPLE_DOCS`` rows that come first by hash of ``key``.
+    """Fit on a bounded sample: of each language the ``SAMPLE_DOCS`` rows that come
+    first by hash of ``key``. All labelled languages and all letters of their samples are learned.
 
     Rows whose text or language is null take no part.
     """
     rows = labelled.where(F.col(text).isNotNull() & F.col(lang).isNotNull()).where(F.length(F.trim(text)) > 0)
-    top = rows.groupBy(lang).count().orderBy(F.desc("count"), lang).limit(MAX_LANGUAGES).collect()
-    names = sorted(r[0] for r in top)
-    budget = SAMPLE_CHARS if len(names) <= 16 else SAMPLE_CHARS * 16 // len(names)
+    names = sorted(r[0] for r in rows.select(lang).distinct().collect())
+    budget = max(LEAST_CHARS, SAMPLE_CHARS * 16 // max(16, len(names)))
     by_hash = Window.partitionBy(lang).orderBy(F.xxhash64(F.col(key)), F.col(key))
-    slim = rows.where(F.col(lang).isin(names)).select(
+    slim = rows.select(
         F.col(lang).alias("lang"), F.substring(text, 1, SAMPLE_DOC_CHARS).alias("text"), F.col(key).alias("key"), F.row_number().over(by_hash).alias("n")
     )
     picked: dict[str, list[str]] = {n: [] for n in names}
     for r in slim.where(F.col("n") <= SAMPLE_DOCS).orderBy("lang", "n").collect():
         picked[r.lang].append(r.text)
-    counts: dict[str, int] = {}
-    for texts in picked.values():
-        for c in "".join(texts).lower():
-            if c.isalpha() and ord(c) <= 0xFFFF:
-                counts[c] = counts.get(c, 0) + 1
-    letters = "".join(sorted(sorted(counts, key=lambda c: (-counts[c], c))[:MAX_LETTERS]))
+    letters = "".join(sorted({c for texts in picked.values() for t in texts for c in t.lower() if c.isalpha()}))
     model = LanguageModel(names, letters, [], np.empty(0))
     lookup, other, sizes = model.lookup(), len(letters) + 1, []
     for name in names:
@@ -179,7 +214,7 @@ def train(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str
             if len(codes) >= budget:
                 break
             codes += to_codes(t, lookup, other)[: budget - len(codes)].tolist() + [other + 1]
-        model.tables.append(parse_table(codes, other + 1))
+        model.tables.append(transitions(codes, other + 1, TABLE_ENTRIES // max(16, len(names))))
         sizes.append(max(2, len(codes)))
     model.log_sizes = np.log2(np.array(sizes, float))
     return model
@@ -191,7 +226,7 @@ def predict_column(spark, model: LanguageModel, text: Column) -> Column:
     ``und`` with score 0 if the text is null or has no letter, or nothing was
     learned. Equal entropies go to the language first by name.
     """
-    shared = spark.sparkContext.broadcast(cloudpickle.dumps(model))  # bounded by SAMPLE_CHARS and MAX_LANGUAGES
+    shared = spark.sparkContext.broadcast(cloudpickle.dumps(model))  # bounded by the sample of each language
 
     @F.arrow_udf("lang_pred string, score double")
     def of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:

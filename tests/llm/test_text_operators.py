@@ -401,6 +401,32 @@ def test_language_query_is_right_on_held_out_documents(spark):
     assert all(0 <= r.score <= 1 for r in rows)
 
 
+@pytest.mark.parametrize("entries", [language.TABLE_ENTRIES, 0])
+def test_all_languages_and_letters_are_learned(spark, monkeypatch, entries):
+    monkeypatch.setattr(language, "TABLE_ENTRIES", entries)
+    rng = random.Random(3)
+    rows, want = [], {}
+    for n in range(70):  # each has 20 letters of its own, the last ones beyond the basic plane
+        letters = [chr(c) for c in range(0x4E00 + 20 * n, 0x4E00 + 20 * n + 20)] if n < 65 else [chr(0x20000 + 20 * n + i) for i in range(20)]
+        for d in range(6):
+            want[len(rows)] = f"l{n:02}"
+            rows.append((len(rows), " ".join("".join(rng.choices(letters, k=4)) for _ in range(20)), f"l{n:02}"))
+    got = language.identify(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()
+    learned = {want[d] for d in want if zlib.crc32(str(d).encode()) % 4 != 2}
+    assert len(learned) == 70 and {r.doc_id: r.lang_pred for r in got} == want
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.text("abcd", min_size=1, max_size=60), st.lists(st.text("abcd", min_size=1, max_size=80), min_size=1, max_size=6))
+def test_sorted_transitions_equal_the_table(sample, texts):
+    codes = [ord(c) - 96 for c in sample]
+    texts = [np.array([ord(c) - 96 for c in t], np.uint8) for t in texts]
+    both = [language.transitions(codes, 6, entries) for entries in (10**6, 0)]
+    assert both[0].table is not None and both[1].table is None
+    got = language.count_phrases(texts, [language.parse_table(codes, 6), *both]).tolist()
+    assert got[0] == got[1] == got[2]
+
+
 def test_language_of_odd_rows(spark, odd, empty):
     rows = language.identify(odd).collect()
     assert len(rows) == len(ODD)
