@@ -4,17 +4,23 @@ Texts and items are sequences of words. The CGK embedding walks over a
 sequence: at step t it emits the word under the cursor and then moves on or
 stays, by a random bit of (t, word). Sequences at a small edit distance get
 embeddings at a small Hamming distance, so LSH by sampled embedding positions
-finds them. Each repetition draws its walk, its sampled positions and, for each
-item, an offset at which the item's walk starts; the walk of a document starts
-at every word. A candidate places the item's whole window in the document and
-is verified by Myers' bit-parallel edit distance.
-
-Of three random offsets an item takes the one whose word is rarest among the
-items. Sampled positions are compared in turn and a window's walk goes on only while
-some item still agrees, so most windows cost one table lookup per repetition. Before
-the edit distance is computed, a candidate must hold enough of the item's words
-in any order, without which it cannot be near.
-The number of repetitions comes from the target recall, measured for each length of
+finds them. An item's walk covers the whole item, two steps a word on average;
+the sampled steps are drawn uniformly from all of it. In a document a walk
+starts at every word, as long as the longest item needs, so every item-sized
+window is embedded. Several sets of steps are sampled from each walk, and
+several walks are drawn.
+
+Walks that meet at a word go on as one, as their moves depend on step and word
+alone. All walks of a text are therefore advanced together and those that met
+are kept once; after t steps about one in sqrt(pi t) is left. The words at the
+sampled steps are compared in turn, against items of about one length at a time,
+and only walks that still agree with some item are looked up further. No walk
+starts where the text has too few words of such items for a near copy to begin.
+
+A match aligns the item with the document and is verified there by Myers'
+bit-parallel edit distance. Before that, the place must hold enough of the
+item's words in any order, without which it cannot be near.
+The number of walks comes from the target recall, measured for each length of
 item on copies with the largest allowed number of random word edits. Lengths that
 other such copies show short of the target, and items too long to be tried, are
 found exactly: of edits + 1 pieces of an item one is in any near copy unchanged.
@@ -44,17 +50,20 @@ _UNSPACED = (
 UNSPACED = re.compile(f"[{_UNSPACED}]")
 #: Their characters are words of their own.
 WORD_OR_CHARACTER = re.compile(rf"[^\W{_UNSPACED}]+|(?=\w)[{_UNSPACED}]")
-#: Items searched for in one pass over the documents; more go in several passes.
-BLOCK_ITEMS = 20_000
-STEPS, SAMPLES, MAX_REPETITIONS = 10, 4, 64
-#: Edited items of each length class that stop the repetitions, and as many others that measure the recall.
+#: Words of the items searched for in one pass over the documents, if more than one item; more go in several passes.
+BLOCK_WORDS = 1 << 20
+#: Sampled steps of a set, how many of them must fall into an item, sets of a walk, walks at most.
+SAMPLES, LEAST_SAMPLES, SETS, MAX_WALKS = 3, 2, 12, 8
+#: Words of a piece that are compared.
+PIECE_WORDS = 10
+#: Edited items of each length class that stop the walks, and as many others that measure the recall.
 TRIALS = 400
 #: Longer items are not tried but found exactly.
 TRIED_WORDS = 256
-#: Repetitions end when the length classes short of the recall hold no more than this share of the items; those are found exactly.
+#: Walks are added until the length classes short of the recall hold no more than this share of the items; those are found exactly.
 STRAGGLERS = 0.1
 #: Words of documents handled at once.
-GROUP_WORDS = 1 << 19
+GROUP_WORDS = 1 << 18
 #: Words are told apart modulo this in an item's bag; clashes only let more candidates through.
 BAG = 1021
 #: Stands between documents and equals no item's word.
@@ -102,14 +111,25 @@ def window_distance(item: list[int], masks: dict[int, int], window: list[int]) -
 
 
 @dataclass
-class Repetition:
-    """One walk: ``moves[t, word]``, the sampled steps, and each item's keys."""
+class Samples:
+    """Words compared in turn, and the items' keys of them."""
 
-    moves: np.ndarray
-    sampled: np.ndarray
-    first: np.ndarray  # is this word the first sample of some item?
-    prefixes: list[np.ndarray] = field(default_factory=list)  # sorted keys of the items that reach sample j
-    complete: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = field(default_factory=list)  # keys, items, offsets of those whose last sample is j
+    band: int  # number of the band of item lengths
+    steps: np.ndarray
+    first: np.ndarray  # words that some item has at the first step
+    prefixes: list[np.ndarray]  # sorted keys of the items that reach step j and go on
+    complete: list[tuple[np.ndarray, np.ndarray, np.ndarray]]  # keys, items, place in the item at the first step, of those whose last step is j
+
+
+@dataclass
+class Walk:
+    """``bits[t // 64, word]`` holds the moves of 64 steps; the last column, that of BETWEEN, never moves."""
+
+    bits: np.ndarray
+    sets: list[Samples]
+
+    def moves(self, t: int) -> np.ndarray:
+        return (self.bits[t >> 6] >> np.uint64(t & 63) & np.uint64(1)).astype(np.int64)
 
 
 @dataclass
@@ -118,10 +138,24 @@ class ItemIndex:
     items: list[list[int]]
     vocabulary: dict[str, int]
     edits: list[int]
-    repetitions: list[Repetition]
-    recall: float = 1.0  # measured, of the worst length class among items that are not found exactly
+    walks: list[Walk]
+    pieces: Samples | None = None  # of the items that are found exactly
+    recalls: dict[int, float] = field(default_factory=dict)  # measured, by length class, of the items that walks find
     exact_items: int = 0
 
+    def bands(self) -> list[Band]:
+        """Of the items that are tried, by number of the band."""
+        lengths = [len(i) for i in self.items]
+        tops = band_tops(max((n for n in lengths if n <= TRIED_WORDS), default=1))
+        bands = [Band([], np.zeros(len(self.vocabulary) + 2, bool)) for _ in tops]
+        for item, n, edits in zip(self.items, lengths, self.edits, strict=True):
+            if n <= TRIED_WORDS:
+                band = bands[int(np.searchsorted(tops, n))]
+                band.words[item] = True
+                if (n, edits) not in band.sizes:
+                    band.sizes.append((n, edits))
+        return bands
+
     def bags(self) -> np.ndarray:
         """[item, word % BAG]: whether the item holds such a word."""
         out = np.zeros((len(self.items), BAG), bool)
@@ -145,70 +179,70 @@ def _mix(key, word):
     return (key * 1_000_003 + word + 1) & ((1 << 40) - 1)
 
 
-def _repetition(rng: np.random.Generator, items: list[list[int]], vocabulary: int, counts: np.ndarray) -> Repetition:
-    moves = rng.integers(0, 2, size=(STEPS, vocabulary + 1), dtype=np.int8)
-    # The word itself, then one step in two or three, then the rest of the walk.
-    sampled = np.concatenate([[0, rng.integers(2, 4)], np.sort(rng.choice(np.arange(4, STEPS), SAMPLES - 2, replace=False))])
-    where = rng.random((len(items), 3))
-    first = np.zeros(vocabulary + 1, bool)
-    reached: list[list[int]] = [[] for _ in sampled]
-    ended: list[list[tuple[int, int, int]]] = [[] for _ in sampled]
-    for n, item in enumerate(items):
-        # Near the item's end a walk is cut short; half of a short item is room enough, so its first words can be skipped.
-        room = min(STEPS, max(3, len(item) // 2))
-        offsets = (where[n] * (max(0, len(item) - room) + 1)).astype(int).tolist()
-        start = cursor = min(offsets, key=lambda o: counts[item[o]])
-        key, last = 0, -1
-        for t in range(STEPS):
-            if cursor >= len(item):
-                break
-            if t == sampled[last + 1]:
-                key, last = _mix(key, item[cursor]), last + 1
-                reached[last].append(key)
-                if last == len(sampled) - 1:
-                    break
-            cursor += int(moves[t, item[cursor]])
-        first[item[start]] = True
-        ended[last].append((key, n, start))
-    return _tables(Repetition(moves, sampled, first), reached, ended)
-
-
-def _tables(rep: Repetition, reached: list[list[int]], ended: list[list[tuple[int, int, int]]]) -> Repetition:
-    for keys, rows in zip(reached, ended, strict=True):
-        rep.prefixes.append(np.unique(np.array(keys, np.int64)))
-        rows = sorted(rows)
-        rep.complete.append(tuple(np.array([r[c] for r in rows], np.int64) for c in range(3)))
-    return rep
-
-
-def _exact_repetition(items: list[list[int]], edits: list[int], chosen: np.ndarray, vocabulary: int) -> Repetition:
-    """Pieces of the chosen items as walks that move on at every step.
-
-    Of ``edits + 1`` pieces one has no edit; of a piece longer than STEPS the beginning is compared.
-    """
-    first = np.zeros(vocabulary + 1, bool)
-    reached: list[list[int]] = [[] for _ in range(STEPS)]
-    ended: list[list[tuple[int, int, int]]] = [[] for _ in range(STEPS)]
+def band_tops(words: int) -> list[int]:
+    """The longest item of each band, up to one that holds items of so many words; each is about a third longer than the one before."""
+    tops = [1]
+    while tops[-1] < words:
+        tops.append(max(tops[-1] + 1, tops[-1] * 4 // 3))
+    return tops
+
+
+def _walk(rng: np.random.Generator, items: list[list[int]], chosen: np.ndarray, vocabulary: int) -> Walk:
+    """A walk with SETS sets of sampled steps for each band of the chosen items."""
+    lengths = np.array([len(i) for i in items])
+    tops = band_tops(int(lengths[chosen].max()))
+    bands = np.searchsorted(tops, lengths)
+    bits = rng.integers(0, 1 << 64, size=(-(-2 * tops[-1] // 64), vocabulary + 2), dtype=np.uint64)
+    bits[:, -1] = 0
+    walk = Walk(bits, [])
+    for band in np.unique(bands[chosen]).tolist():
+        members = np.flatnonzero(chosen & (bands == band))
+        ends = np.cumsum(lengths[members] + 1) - 1
+        begins = ends - lengths[members]
+        words = np.array([w for n in members for w in (*items[n], BETWEEN)], np.int64)
+        cursor, cursors = begins.copy(), []
+        for t in range(2 * tops[band]):
+            cursors.append(cursor)
+            cursor = cursor + walk.moves(t)[words[cursor]]
+        for _ in range(SETS):
+            steps = np.sort(rng.choice(2 * tops[band], min(SAMPLES, 2 * tops[band]), replace=False))
+            found = np.array([words[cursors[t]] for t in steps])
+            enough = (found >= 0).sum(axis=0) >= min(LEAST_SAMPLES, tops[band])
+            walk.sets.append(_samples(band, steps, list(found[:, enough]), members[enough], (cursors[steps[0]] - begins)[enough]))
+    return walk
+
+
+def _samples(band: int, steps: np.ndarray, found: list[np.ndarray], members: np.ndarray, offsets: np.ndarray) -> Samples:
+    """``found``: the members' words at each step, BETWEEN where the item has ended."""
+    key, prefixes, complete = np.zeros(len(members), np.int64), [], []
+    for j, here in enumerate(found):
+        inside = here >= 0
+        key = np.where(inside, _mix(key, here), key)
+        more = found[j + 1] >= 0 if j + 1 < len(found) else np.zeros(len(members), bool)
+        last = np.flatnonzero(inside & ~more)
+        last = last[np.argsort(key[last], kind="stable")]
+        prefixes.append(np.unique(key[more]))
+        complete.append((key[last], members[last], offsets[last]))
+    return Samples(band, steps, np.unique(found[0][found[0] >= 0]), prefixes, complete)
+
+
+def _pieces(items: list[list[int]], edits: list[int], chosen: np.ndarray) -> Samples:
+    """Of ``edits + 1`` pieces of an item one has no edit; of one longer than PIECE_WORDS the beginning is compared."""
+    members, starts, held = [], [], []
     for n in np.flatnonzero(chosen).tolist():
         item, parts = items[n], edits[n] + 1
         for i in range(parts):
-            start, key = len(item) * i // parts, 0
-            piece = item[start : len(item) * (i + 1) // parts][:STEPS]
-            for j, w in enumerate(piece):
-                key = _mix(key, w)
-                reached[j].append(key)
-            first[piece[0]] = True
-            ended[len(piece) - 1].append((key, n, start))
-    return _tables(Repetition(np.ones((STEPS, vocabulary + 1), np.int8), np.arange(STEPS), first), reached, ended)
+            members.append(n)
+            starts.append(len(item) * i // parts)
+            piece = item[starts[-1] : len(item) * (i + 1) // parts][:PIECE_WORDS]
+            held.append(piece + [BETWEEN] * (PIECE_WORDS - len(piece)))
+    return _samples(0, np.arange(PIECE_WORDS), list(np.array(held, np.int64).T), np.array(members), np.array(starts))
 
 
-def _without(rep: Repetition, items: list[list[int]], dropped: np.ndarray) -> Repetition:
-    """The repetition with no walks of the dropped items; keys on the way to them may stay."""
-    complete = [tuple(c[~dropped[who]] for c in (keys, who, start)) for keys, who, start in rep.complete]
-    first = np.zeros_like(rep.first)
-    for _, who, start in complete:
-        first[[items[n][at] for n, at in zip(who.tolist(), start.tolist(), strict=True)]] = True
-    return Repetition(rep.moves, rep.sampled, first, rep.prefixes, complete)
+def _without(samples: Samples, dropped: np.ndarray) -> Samples:
+    """Without the dropped items; keys on the way to them may stay."""
+    complete = [tuple(c[~dropped[who]] for c in (keys, who, start)) for keys, who, start in samples.complete]
+    return Samples(samples.band, samples.steps, samples.first, samples.prefixes, complete)
 
 
 def _among(keys: np.ndarray, ordered: np.ndarray) -> np.ndarray:
@@ -219,36 +253,132 @@ def _among(keys: np.ndarray, ordered: np.ndarray) -> np.ndarray:
     return ordered[at] == keys
 
 
-def candidates(words: np.ndarray, rep: Repetition) -> tuple[np.ndarray, np.ndarray]:
-    """(items, word at which the item's window would begin) for one repetition.
+def _agreeing(samples: Samples, starts: np.ndarray, cursor: np.ndarray, here: np.ndarray, later) -> list[tuple[np.ndarray, np.ndarray]]:
+    """(items, word at which each would begin) for walks that agree at all steps.
 
-    ``words`` holds 0 for words of no item, BETWEEN between documents, and ends with STEPS of those.
+    ``starts`` name the walks, ``cursor`` and ``here`` are their places and words at the first step;
+    ``later(j, starts)`` gives their words at step j.
     """
-    at = np.flatnonzero(rep.first[words])
-    cursor, key = at.copy(), np.zeros(len(at), np.int64)
-    items, begins, j = [], [], 0
-    for t in range(int(rep.sampled[-1]) + 1):
+    key, out = np.zeros(len(starts), np.int64), []
+    for j in range(len(samples.steps)):
+        if len(starts) == 0:
+            break
+        if j:
+            here = later(j, starts)
+        key = _mix(key, here)
+        keys, who, offset = samples.complete[j]
+        if len(keys):
+            lo, hi = np.searchsorted(keys, key, "left"), np.searchsorted(keys, key, "right")
+            hits = np.flatnonzero((hi > lo) & (here >= 0))
+            counts = (hi - lo)[hits]
+            rows = np.repeat(lo[hits], counts) + np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+            out.append((who[rows], np.repeat(cursor[hits], counts) - offset[rows]))
+        # The rest must agree with an item that goes on.
+        keep = np.flatnonzero(_among(key, samples.prefixes[j]) & (here >= 0))
+        starts, cursor, key = starts[keep], cursor[keep], key[keep]
+    return out
+
+
+@dataclass
+class Band:
+    """Items of about one length: (length, edits) of each, and which words they have."""
+
+    sizes: list[tuple[int, int]]
+    words: np.ndarray
+
+    def openings(self, words: np.ndarray) -> np.ndarray:
+        """Whether a near copy of one of the items could begin at the word or up to three words from it.
+
+        A copy holds all the item's words but ``edits``, in at most ``length + edits`` words.
+        """
+        n = len(words)
+        known = np.concatenate([[0], np.cumsum(self.words[words], dtype=np.int32)])
+        found = np.zeros(n, bool)
+        for size, slack in self.sizes:
+            span = min(n, size + slack)
+            found[: n - span + 1] |= known[span:] - known[: n + 1 - span] >= size - slack
+            found[n - span + 1 :] |= known[n] - known[n - span + 1 : n] >= size - slack
+        near = found.copy()
+        for d in (1, 2, 3):
+            near[d:] |= found[:-d]
+            near[:-d] |= found[d:]
+        return near & (words >= 0)
+
+
+def counted(opens: list[np.ndarray]) -> list[np.ndarray]:
+    """How many openings there are before each word."""
+    return [np.concatenate([[0], np.cumsum(o, dtype=np.int32)]) for o in opens]
+
+
+def walk_candidates(words: np.ndarray, walk: Walk, opens: list[np.ndarray], counts: list[np.ndarray]) -> np.ndarray:
+    """[item, word at which it would begin] of the walks that agree with an item at the steps of some set.
+
+    ``words`` holds 0 for words of no item, BETWEEN after each document; ``opens`` says by band where walks start, ``counts`` how many do before.
+    """
+    last = {}
+    for samples in walk.sets:
+        last[samples.band] = max(last.get(samples.band, 0), int(samples.steps[-1]))
+    needed = {int(t) for s in walk.sets for t in s.steps}
+    begun, going, at = False, {}, {}
+    starts = cursor = np.empty(0, np.int64)
+    size = len(walk.bits[0])
+    for t in range(max(needed, default=-1) + 1):
+        still = frozenset(band for band in last if last[band] >= t)
+        if still != going:  # walks of the bands that are done are dropped
+            going = still
+            if not begun:
+                starts = cursor = np.flatnonzero(np.logical_or.reduce([opens[band] for band in going]))
+                begun = True
+            else:
+                held = np.append(starts[1:], len(words))
+                kept = np.logical_or.reduce([counts[band][held] > counts[band][starts] for band in going])
+                starts, cursor = starts[kept], cursor[kept]
         here = words[cursor]
-        if t == rep.sampled[j]:
-            key = _mix(key, here)
-            keys, who, offset = rep.complete[j]
-            if len(keys):
-                lo, hi = np.searchsorted(keys, key, "left"), np.searchsorted(keys, key, "right")
-                for k in np.flatnonzero(hi > lo):
-                    items.append(who[lo[k] : hi[k]])
-                    begins.append(at[k] - offset[lo[k] : hi[k]])
-            j += 1
-            if j == len(rep.sampled):
-                break
-            # Those whose last sample this was are done; the rest must agree with an item that goes on.
-            keep = np.flatnonzero(_among(key, rep.prefixes[j - 1]) & (here >= 0))
-            at, cursor, key, here = at[keep], cursor[keep], key[keep], here[keep]
-            if len(at) == 0:
-                break
-        cursor = cursor + rep.moves[t, here]
-    if not items:
-        return np.empty(0, np.int64), np.empty(0, np.int64)
-    return np.concatenate(items), np.concatenate(begins)
+        if t in needed:
+            at[t] = (starts, cursor, here)
+        cursor = cursor + walk.moves(t)[here]
+        if t < 8 or t % 4 == 0:  # one of those that met
+            apart = np.concatenate([[True], cursor[1:] != cursor[:-1]]) if len(cursor) else np.empty(0, bool)
+            starts, cursor = starts[apart], cursor[apart]
+    out, first = [], np.zeros(size, bool)
+    for samples in walk.sets:
+        began, place, here = at[int(samples.steps[0])]
+        first[samples.first] = True
+        left = np.flatnonzero(first[here])
+        first[samples.first] = False
+        held, opened = np.append(began[1:], len(words))[left], counts[samples.band]
+        left = left[opened[held] > opened[began[left]]]
+
+        def later(j: int, of: np.ndarray, steps=samples.steps) -> np.ndarray:
+            then, _, held = at[int(steps[j])]
+            return held[np.searchsorted(then, of, "right") - 1]
+
+        out += _agreeing(samples, began[left], place[left], here[left], later)
+    return _pairs(out)
+
+
+def piece_candidates(words: np.ndarray, pieces: Samples, vocabulary: int) -> np.ndarray:
+    first = np.zeros(vocabulary + 2, bool)
+    first[pieces.first] = True
+    starts = np.flatnonzero(first[words])
+    return _pairs(_agreeing(pieces, starts, starts, words[starts], lambda j, of: words[np.minimum(of + j, len(words) - 1)]))
+
+
+def _pairs(found: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    if not found:
+        return np.empty((0, 2), np.int64)
+    return np.unique(np.stack([np.concatenate(c) for c in zip(*found, strict=True)], axis=1), axis=0)
+
+
+def candidates(words: np.ndarray, index: ItemIndex, bands: list[Band]) -> np.ndarray:
+    pairs = []
+    if index.walks:
+        opens = [band.openings(words) for band in bands]
+        counts = counted(opens)
+        pairs = [walk_candidates(words, walk, opens, counts) for walk in index.walks]
+    if index.pieces is not None:
+        pairs.append(piece_candidates(words, index.pieces, len(index.vocabulary)))
+    return np.unique(np.concatenate(pairs), axis=0) if pairs else np.empty((0, 2), np.int64)
 
 
 def _edited(rng: np.random.Generator, item: list[int], edits: int) -> list[int]:
@@ -264,13 +394,13 @@ def _edited(rng: np.random.Generator, item: list[int], edits: int) -> list[int]:
     return out
 
 
-def build_index(rows: list[tuple[int | None, str | None]], similarity: float, recall: float, min_words: int, seed: int) -> ItemIndex:
-    """Index of the items of at least ``min_words`` words."""
+def build_index(rows: list[tuple[int | None, str | None]], similarity: float, recall: float, seed: int) -> ItemIndex:
+    """Index of the items that have a word."""
     vocabulary: dict[str, int] = {}
     ids, items = [], []
     for item_id, text in rows:
         words = words_of(text)
-        if len(words) >= max(1, min_words):
+        if words:
             ids.append(item_id)
             items.append([vocabulary.setdefault(w, len(vocabulary) + 1) for w in words])
     index = ItemIndex(ids, items, vocabulary, [allowed_edits(len(i), similarity) for i in items], [])
@@ -281,8 +411,8 @@ def build_index(rows: list[tuple[int | None, str | None]], similarity: float, re
         exact = _add_walks(index, recall, np.random.default_rng(seed))
     index.exact_items = int(exact.sum())
     if index.exact_items:
-        walks = [] if exact.all() else [_without(rep, items, exact) for rep in index.repetitions]
-        index.repetitions = [*walks, _exact_repetition(items, index.edits, exact, len(vocabulary))]
+        index.walks = [] if exact.all() else [Walk(w.bits, [_without(s, exact) for s in w.sets]) for w in index.walks]
+        index.pieces = _pieces(items, index.edits, exact)
     return index
 
 
@@ -303,13 +433,15 @@ class _Trials:
             begin.append(len(words))
             words += _edited(rng, index.items[n], index.edits[n])
             end.append(len(words))
-            words += [BETWEEN] * STEPS
+            words.append(BETWEEN)
         self.words, self.begin, self.end = np.array(words, np.int64), np.array(begin), np.array(end)
+        self.opens = [band.openings(self.words) for band in index.bands()]
+        self.counts = counted(self.opens)
         self.found = np.zeros(len(self.item), bool)
 
-    def search(self, rep: Repetition) -> np.ndarray:
+    def search(self, walk: Walk) -> np.ndarray:
         """The share found so far, by class; a copy is found if all of it is in the window that would be verified."""
-        who, where = candidates(self.words, rep)
+        who, where = walk_candidates(self.words, walk, self.opens, self.counts).T
         slack = self.edits[who] + 1
         trial = np.maximum(np.searchsorted(self.begin, where + slack, "right") - 1, 0)
         whole = (where - slack <= self.begin[trial]) & (self.end[trial] <= where + self.lengths[who] + slack)
@@ -318,65 +450,64 @@ class _Trials:
 
 
 def _add_walks(index: ItemIndex, recall: float, rng: np.random.Generator) -> np.ndarray:
-    """Adds repetitions until the length classes but a few stragglers have the recall; true for the items that are left without it."""
+    """Adds walks until the length classes but a few stragglers have the recall; true for the items that are left without it."""
     exact = np.array([len(i) > TRIED_WORDS for i in index.items])
     classes = np.array([length_class(len(i)) for i in index.items])
-    members = [np.flatnonzero(classes == c) for c in np.unique(classes[~exact])]
-    members = [m[~exact[m]] for m in members]
+    names = np.unique(classes[~exact])
+    members = [np.flatnonzero((classes == c) & ~exact) for c in names]
     if not members:
         return exact
-    counts = np.bincount([w for i in index.items for w in i], minlength=len(index.vocabulary) + 1)
+    tried = ~exact
     sizes = np.array([len(m) for m in members])
     stopping, measuring = _Trials(rng, index, members), _Trials(rng, index, members)
-    while len(index.repetitions) < MAX_REPETITIONS:
-        rep = _repetition(rng, index.items, len(index.vocabulary), counts)
-        index.repetitions.append(rep)
-        reached, measured = stopping.search(rep), measuring.search(rep)
+    while len(index.walks) < MAX_WALKS:
+        walk = _walk(rng, index.items, tried, len(index.vocabulary))
+        index.walks.append(walk)
+        reached, measured = stopping.search(walk), measuring.search(walk)
         # Half the misses that are allowed, or chance would leave many classes just short of the target.
         short = 1 - reached > (1 - recall) / 2 + 1e-9
         if sizes[short].sum() <= STRAGGLERS * sizes.sum():
             break
-    for m, share in zip(members, measured, strict=True):
+    for name, m, share in zip(names.tolist(), members, measured, strict=True):
         if share < recall:
             exact[m] = True
-    index.recall = float(min((r for r in measured if r >= recall), default=1.0))
+        else:
+            index.recalls[name] = float(share)
     return exact
 
 
 def holds_enough(index: ItemIndex, bags: np.ndarray, words: np.ndarray, pairs: np.ndarray, chunk: int = 1 << 14) -> np.ndarray:
     """Whether the window of each (item, place) holds as many words of the item as ``words - edits``."""
     lengths, edits = np.array([len(i) for i in index.items]), np.array(index.edits)
+    known = np.concatenate([[0], np.cumsum(words > 0)])
+    who, at = pairs.T
+    low, high = np.clip(at - edits[who] - 1, 0, len(words)), np.clip(at + lengths[who] + edits[who] + 1, 0, len(words))
+    likely = np.flatnonzero(known[high] - known[low] >= lengths[who] - edits[who])
     keep = np.zeros(len(pairs), bool)
-    for lo in range(0, len(pairs), chunk):
-        who, at = pairs[lo : lo + chunk].T
+    for lo in range(0, len(likely), chunk):
+        rows = likely[lo : lo + chunk]
+        who, at = pairs[rows].T
         slack, size = edits[who] + 1, lengths[who]
         places = (at - slack)[:, None] + np.arange(int((size + 2 * slack).max()))
         inside = (places < (at + size + slack)[:, None]) & (places >= 0) & (places < len(words))
         held = words[np.where(inside, places, 0)]
         found = bags[who[:, None], held % BAG] & (held > 0) & inside
-        keep[lo : lo + chunk] = found.sum(axis=1) >= size - edits[who]
+        keep[rows] = found.sum(axis=1) >= size - edits[who]
     return keep
 
 
-def search(index: ItemIndex, bags: np.ndarray, masks: list[dict[int, int]], docs: list[np.ndarray]) -> list[list[tuple[int | None, int, int, int]]]:
+def search(index: ItemIndex, bags: np.ndarray, masks: list[dict[int, int]], bands: list[Band], docs: list[np.ndarray]) -> list[list[tuple[int | None, int, int, int]]]:
     """Per document (its word numbers): (item id, item's words, edits, first word) of each item found, at its least distance."""
     out: list[list[tuple]] = [[] for _ in docs]
     if not index.items:
         return out
-    gap = np.full(STEPS, BETWEEN, np.int64)
+    gap = np.full(1, BETWEEN, np.int64)
     sizes = np.array([len(d) for d in docs], np.int64)
-    end = np.cumsum(sizes + STEPS) - STEPS
+    end = np.cumsum(sizes + 1) - 1
     begin = end - sizes
     words = np.concatenate([part for d in docs for part in (d, gap)]) if docs else gap[:0]
-    pairs = []
-    for rep in index.repetitions:
-        who, where = candidates(words, rep)
-        if len(who):
-            pairs.append(np.stack([who, where], axis=1))
-    if not pairs:
-        return out
     best: dict[tuple[int, int], tuple[int, int]] = {}
-    distinct = np.unique(np.concatenate(pairs), axis=0)
+    distinct = candidates(words, index, bands)
     for n, at in distinct[holds_enough(index, bags, words, distinct)].tolist():
         item, edits = index.items[n], index.edits[n]
         slack = edits + 1
@@ -387,7 +518,10 @@ def search(index: ItemIndex, bags: np.ndarray, masks: list[dict[int, int]], docs
             held = best.get((d, n))
             if hi <= lo or held is not None and held[0] == 0:
                 continue
-            distance, stop = window_distance(item, masks[n], words[lo:hi].tolist())
+            window = words[lo:hi].tolist()
+            if len(masks[n].keys() & set(window)) < len(masks[n]) - edits:  # an edit takes away one of the item's different words at most
+                continue
+            distance, stop = window_distance(item, masks[n], window)
             if distance <= edits and (held is None or distance < held[0]):
                 best[d, n] = (distance, max(0, lo + stop - len(item) - int(begin[d])))
     for (d, n), (distance, first) in sorted(best.items()):
@@ -400,12 +534,12 @@ _LEAK_TYPE = pa.list_(pa.struct([("item_id", pa.int64()), ("item_words", pa.int3
 
 
 def leaks_column(spark, index: ItemIndex, text: Column) -> Column:
-    shared = spark.sparkContext.broadcast(cloudpickle.dumps(index))  # of BLOCK_ITEMS items at most
+    shared = spark.sparkContext.broadcast(cloudpickle.dumps(index))  # of BLOCK_WORDS words or one item at most
 
     @F.arrow_udf(LEAKS)
     def of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         index = cloudpickle.loads(shared.value)
-        bags, masks = index.bags(), index.masks()
+        bags, masks, bands = index.bags(), index.masks(), index.bands()
         for texts in batches:
             found: list[list[tuple]] = []
             held: list[np.ndarray] = []
@@ -414,58 +548,61 @@ def leaks_column(spark, index: ItemIndex, text: Column) -> Column:
                 held.append(word_ids(t.as_py(), index.vocabulary))
                 size += len(held[-1])
                 if size >= GROUP_WORDS:
-                    found += search(index, bags, masks, held)
+                    found += search(index, bags, masks, bands, held)
                     held, size = [], 0
-            found += search(index, bags, masks, held)
+            found += search(index, bags, masks, bands, held)
             names = ("item_id", "item_words", "edits", "first_word")
             yield pa.array([[dict(zip(names, leak, strict=True)) for leak in leaks] for leaks in found], _LEAK_TYPE)
 
     return of(text)
 
 
-def item_blocks(benchmark: DataFrame, size: int = BLOCK_ITEMS) -> Iterator[list[tuple[int | None, str | None]]]:
-    """Items in blocks, streamed partition by partition; at least one block, maybe empty."""
+def item_blocks(benchmark: DataFrame, most: int | None = None) -> Iterator[list[tuple[int | None, str | None]]]:
+    """Items in blocks of ``most`` words, streamed partition by partition; a longer item is a block of its own. At least one block, maybe empty."""
+    most = most or BLOCK_WORDS
     held: list[tuple] = []
+    size, yielded = 0, False
     slim = benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string")).where(F.col("text").isNotNull())
-    yielded = False
     for row in slim.toLocalIterator():
-        held.append(tuple(row))
-        if len(held) == size:
+        words = len(words_of(row[1]))
+        if held and size + words > most:
             yield held
-            held, yielded = [], True
+            held, size, yielded = [], 0, True
+        held.append(tuple(row))
+        size += words
     if held or not yielded:
         yield held
 
 
-def find_leaks(
-    docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8, recall: float = 0.99, min_words: int = 5, seed: int = 7
-) -> DataFrame:
+def find_leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8, recall: float = 0.99, seed: int = 7) -> DataFrame:
     """``doc_id, item_id, item_words, edits, first_word``: the documents that contain an
     item with at most ``(1 - similarity) * words`` word edits, one row per
     document row and item, at the least distance.
 
     Words are runs of letters, digits and underscores, lower-cased; in scripts
     without spaces every character is a word. Whole texts are searched at every word. Null, empty and wordless texts contain nothing;
-    items under ``min_words`` words are no evidence and match nothing; items
-    that repeat are reported each by its item_id, null included. Rows that
+    items without a word match nothing, those of one to four words match exact
+    copies; items that repeat are reported each by its item_id, null included. Rows that
     repeat are reported each on its own. Empty tables give no rows; other
     columns are not read.
     """
     out = None
     for block in item_blocks(benchmark):
-        index = build_index(block, similarity, recall, min_words, seed)
+        index = build_index(block, similarity, recall, seed)
         leaks = leaks_column(docs.sparkSession, index, F.col("text").cast("string"))
         rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.explode(leaks).alias("leak")).select("doc_id", "leak.*")
         out = rows if out is None else out.unionByName(rows)
     return out
 
 
-def drop_contaminated(
-    docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8, recall: float = 0.99, min_words: int = 5, seed: int = 7
-) -> DataFrame:
-    """The rows of ``docs`` that contain no item; columns stay as they are."""
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8, recall: float = 0.99, seed: int = 7) -> DataFrame:
+    """The rows of ``docs`` that contain no item, by the rules of ``find_leaks``; columns stay as they are.
+
+    Null, empty and wordless texts stay, as does every row if there is no item
+    with a word. Rows that repeat stay or go together; empty tables give no rows.
+    """
     for block in item_blocks(benchmark):
-        index = build_index(block, similarity, recall, min_words, seed)
+        index = build_index(block, similarity, recall, seed)
         leaks = leaks_column(docs.sparkSession, index, F.col("text").cast("string"))
-        docs = docs.withColumn("__rl_leaks", leaks).where(F.size("__rl_leaks") == 0).drop("__rl_leaks")
+        docs = docs.where(F.size(leaks) == 0)
     return docs

@@ -292,7 +292,7 @@ def found_share(index, copies):
     rng = np.random.default_rng(5)
     around = rng.integers(1, len(index.vocabulary) + 1, (len(copies), 2, 20))
     docs = [np.array([*a[0], *words, *a[1]], np.int64) for a, (_, words) in zip(around, copies, strict=True)]
-    found = decontaminate.search(index, index.bags(), index.masks(), docs)
+    found = decontaminate.search(index, index.bags(), index.masks(), index.bands(), docs)
     return sum(index.item_ids[n] in {leak[0] for leak in leaks} for (n, _), leaks in zip(copies, found, strict=True)) / len(copies)
 
 
@@ -303,51 +303,70 @@ def random_items(shortest, longest, n, seed):
 
 @pytest.mark.parametrize("size", range(5, 12))
 def test_decontamination_finds_items_with_an_edited_first_word(size):
-    index = decontaminate.build_index(random_items(size, size, 100, size), 0.8, 0.99, 5, 7)
+    index = decontaminate.build_index(random_items(size, size, 100, size), 0.8, 0.99, 7)
     replaced = [(n, [0, *item[1:]]) for n, item in enumerate(index.items)]
     deleted = [(n, item[1:]) for n, item in enumerate(index.items)]
     assert found_share(index, replaced + deleted) >= 0.95
 
 
+@pytest.mark.parametrize("size", [*range(1, 12), 14, 19, 25, 33, 47, 64, 90, 128, 200, 256])
+def test_every_length_is_found_at_the_recall_by_walks(size):
+    """Copies with the most edits allowed, against the recall measured when the index is built."""
+    index = decontaminate.build_index(random_items(size, size, 60, size), 0.8, 0.9, 7)
+    assert index.exact_items == 0 and min(index.recalls.values()) >= 0.9
+    assert found_share(index, random_copies(index, 5, size)) >= 0.9
+
+
+def test_walks_cover_whole_items():
+    items = [list(range(1, 41))]
+    walk = decontaminate._walk(np.random.default_rng(0), items, np.array([True]), 40)
+    cursors, cursor = [], 0
+    for t in range(max(int(s.steps[-1]) for s in walk.sets) + 1):
+        cursors.append(cursor)
+        cursor += int(walk.moves(t)[items[0][cursor]]) if cursor < 40 else 0
+    seen = sorted({cursors[t] for s in walk.sets for t in s.steps})
+    assert seen[0] < 8 and seen[-1] > 32  # steps are sampled from all of the item
+
+
 def random_copies(index, each, seed):
     rng = np.random.default_rng(seed)
     return [(n, decontaminate._edited(rng, item, index.edits[n])) for n, item in enumerate(index.items) for _ in range(each)]
 
 
 def test_every_length_of_item_reaches_the_recall():
-    index = decontaminate.build_index(random_items(5, 40, 700, 3), 0.8, 0.99, 5, 7)
+    index = decontaminate.build_index(random_items(5, 40, 700, 3), 0.8, 0.99, 7)
     copies = random_copies(index, 10, 9)
     for edits in sorted(set(index.edits)):
         assert found_share(index, [c for c in copies if index.edits[c[0]] == edits]) >= 0.985
-    assert index.recall >= 0.99
+    assert min(index.recalls.values()) >= 0.99
 
 
 @pytest.mark.parametrize("recall", [0.99, 1.0])
 def test_items_that_walks_miss_are_found_exactly(monkeypatch, recall):
-    monkeypatch.setattr(decontaminate, "MAX_REPETITIONS", 1)
-    index = decontaminate.build_index(random_items(5, 40, 200, 4) + random_items(300, 310, 2, 5), 0.8, recall, 5, 7)
+    monkeypatch.setattr(decontaminate, "MAX_WALKS", 1)
+    index = decontaminate.build_index(random_items(5, 40, 200, 4) + random_items(300, 310, 2, 5), 0.8, recall, 7)
     assert found_share(index, random_copies(index, 5, 6)) == 1.0 and index.exact_items == 202
 
 
 @pytest.mark.parametrize("item", ["敏捷的棕色狐狸跳过了懒狗，然后在河边休息。", "すばやい茶色のキツネがのろまな犬を飛び越える", "สุนัขจิ้งจอกสีน้ำตาลกระโดดข้ามสุนัขขี้เกียจ"])
 def test_decontamination_finds_items_in_scripts_without_spaces(item):
-    index = decontaminate.build_index([(1, item)], 0.8, 0.99, 5, 7)
+    index = decontaminate.build_index([(1, item)], 0.8, 0.99, 7)
     texts = [f"前文{item}後文 and more", f"x {item[3:]} y", "前文後文 and more"]
     docs = [decontaminate.word_ids(t, index.vocabulary) for t in texts]
-    assert [len(leaks) for leaks in decontaminate.search(index, index.bags(), index.masks(), docs)] == [1, 1, 0]
+    assert [len(leaks) for leaks in decontaminate.search(index, index.bags(), index.masks(), index.bands(), docs)] == [1, 1, 0]
     assert decontaminate.words_of("Ab_1 漢字kana・カー ok") == ["ab_1", "漢", "字", "kana", "カ", "ー", "ok"]
 
 
-def test_items_below_five_words_match_exactly_where_they_are_asked_for():
-    index = decontaminate.build_index([(1, "hello wide world"), (2, "狐狸")], 0.8, 0.99, 1, 7)
+def test_items_below_five_words_match_exact_copies():
+    index = decontaminate.build_index([(1, "hello wide world"), (2, "狐狸")], 0.8, 0.99, 7)
     docs = [decontaminate.word_ids(t, index.vocabulary) for t in ["say Hello, wide world!", "hello world", "棕狐狸"]]
-    assert [[leak[0] for leak in leaks] for leaks in decontaminate.search(index, index.bags(), index.masks(), docs)] == [[1], [], [2]]
+    assert [[leak[0] for leak in leaks] for leaks in decontaminate.search(index, index.bags(), index.masks(), index.bands(), docs)] == [[1], [], [2]]
 
 
 def test_decontamination_query_equals_brute_force(spark):
     con = connect(SF)
     docs, items = (con.execute(f"SELECT * FROM {t}").fetchall() for t in ("documents", "benchmark"))
-    index = decontaminate.build_index([(i, t) for i, t in items], 0.8, 0.99, 5, 7)
+    index = decontaminate.build_index([(i, t) for i, t in items], 0.8, 0.99, 7)
     masks = index.masks()
     want = set()
     for row in docs:
@@ -363,10 +382,11 @@ def test_decontamination_of_odd_rows(spark, odd, empty):
     items = [(1, "the quick brown fox the quick brown"), (1, "the quick brown fox the quick brown"), (None, "fox the quick brown fox the"), (2, None), (3, ""), (4, "hello world"), (5, "zebra one two three four five six")]
     bench = spark.createDataFrame(items, "item_id long, text string").withColumn("doc_id", F.lit(1))
     rows = decontaminate.find_leaks(odd, bench).collect()
-    assert sorted((r.doc_id, r.item_id or 0) for r in rows) == [(1, 0), (1, 1), (1, 1)]
+    # "hello world" has fewer than five words and is found verbatim.
+    assert sorted((r.doc_id, r.item_id or 0) for r in rows) == [(1, 0), (1, 1), (1, 1), (3, 4), (3, 4)]
     assert decontaminate.find_leaks(empty, bench).count() == 0 and decontaminate.find_leaks(odd, bench.limit(0)).count() == 0
     kept = decontaminate.drop_contaminated(odd, bench)
-    assert kept.columns == odd.columns and kept.count() == len(ODD) - 1
+    assert kept.columns == odd.columns and kept.count() == len(ODD) - 3
 
 
 def brute_parse(text, sample):
@@ -444,12 +464,12 @@ def test_long_texts_in_pieces_are_the_same(monkeypatch, size):
 
     text = "the quick  brown\nfox's <|endoftext|> jümps  over \n\n the lazy dog " * 5 + "x" * 90
     items = [(1, "the quick brown fox s endoftext jümps over the lazy dog the")]
-    index = decontaminate.build_index(items, 0.8, 0.99, 5, 7)
+    index = decontaminate.build_index(items, 0.8, 0.99, 7)
     lookup = np.array([2 if chr(c).isalpha() else 0 for c in range(1 << 16)], dtype=np.uint8)
 
     def all_of():
         words = decontaminate.word_ids(text, index.vocabulary)
-        return (OWN.encode([text])[0], near_dedup.simhash(text), language.to_codes(text, lookup, 2).tolist(), words.tolist(), decontaminate.search(index, index.bags(), index.masks(), [words]))
+        return (OWN.encode([text])[0], near_dedup.simhash(text), language.to_codes(text, lookup, 2).tolist(), words.tolist(), decontaminate.search(index, index.bags(), index.masks(), index.bands(), [words]))
 
     whole = all_of()
     monkeypatch.setattr(encoding, "PIECE_CHARS", size)
