@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -47,8 +49,24 @@ def shared_dir(spark: SparkSession) -> str:
     return base.rstrip("/")
 
 
+#: Paths handed out inside each open ``scratch``.
+_OPEN: list[list[str]] = []
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """A new path in the shared folder. What is left there goes when the application ends."""
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    if _OPEN:
+        _OPEN[-1].append(path)
+    where, store = _stored(spark, path)
+    store.deleteOnExit(where)
+    return path
+
+
+def _stored(spark: SparkSession, path: str):
+    context = spark.sparkContext
+    where = context._jvm.org.apache.hadoop.fs.Path(path)
+    return where, where.getFileSystem(context._jsc.hadoopConfiguration())
 
 
 def written(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
@@ -65,9 +83,32 @@ def discard(table: DataFrame) -> None:
     """Delete the files of a ``written`` table that nothing reads any more."""
     path = getattr(table, "_written_to", None)
     if path:
-        context = table.sparkSession.sparkContext
-        where = context._jvm.org.apache.hadoop.fs.Path(path)
-        where.getFileSystem(context._jsc.hadoopConfiguration()).delete(where, True)
+        delete(table.sparkSession, path)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    where, store = _stored(spark, path)
+    store.delete(where, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """Everything put into the shared folder inside is deleted at the end, but the tables given to ``keep``."""
+    held: list[str] = []
+    _OPEN.append(held)
+
+    def keep(table: DataFrame) -> DataFrame:
+        held.remove(table._written_to)
+        if len(_OPEN) > 1:
+            _OPEN[-2].append(table._written_to)
+        return table
+
+    try:
+        yield keep
+    finally:
+        _OPEN.pop()
+        for path in held:
+            delete(spark, path)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -34,14 +34,22 @@ def create(uri: str) -> Iterator[BinaryIO]:
 
         store, inner = fs.FileSystem.from_uri(uri)
         part = f"{inner}.{uuid.uuid4().hex}.part"
-        with store.open_output_stream(part) as out:
-            yield out
+        try:
+            with store.open_output_stream(part) as out:
+                yield out
+        except BaseException:
+            store.delete_file(part)
+            raise
         store.move(part, inner)
         return
     os.makedirs(os.path.dirname(path), exist_ok=True)
     part = f"{path}.{uuid.uuid4().hex}.part"
-    with open(part, "wb") as out:
-        yield out
+    try:
+        with open(part, "wb") as out:
+            yield out
+    except BaseException:
+        os.remove(part)
+        raise
     os.replace(part, path)
 
 
