@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rasterloom.session import shared_path, written
+from rasterloom.session import discard, shared_path, written
 from rasterloom.sources import storage
 
 #: The skippable frame that holds the dictionary.
@@ -164,9 +164,7 @@ def write_archives(pages: DataFrame, path: str | None = None, min_payload: int =
     latest = rows.groupBy(*key).agg(F.max(F.struct("page_id", "row")).alias("of"))
     slim = rows.select(*key, "page_id", "row", "url", "size")
     revisits = slim.join(latest, key).where(F.col("row") != F.col("of.row"))
-    # The first rows by hash, at most SAMPLE_RECORDS of SAMPLE_BYTES: for the dictionary only.
-    sampled = rows.orderBy(F.xxhash64("digest"), "row").select("page_id", "row", "url", F.substring("payload", 1, SAMPLE_BYTES).alias("payload"))
-    dictionary = train_dictionary([response_record(r.page_id, r.row, r.url, bytes(r.payload)) for r in sampled.limit(SAMPLE_RECORDS).collect()])
+    dictionary = train_dictionary([response_record(*r) for r in _sampled(rows)])
     shared = spark.sparkContext.broadcast(dictionary)
 
     def archive(batches: Iterator[pa.RecordBatch], record) -> Iterator[pa.RecordBatch]:
@@ -196,7 +194,29 @@ def write_archives(pages: DataFrame, path: str | None = None, min_payload: int =
     made = responses.select("page_id", "row", "url", "payload").mapInArrow(write_responses, "path string, records long")
     again = revisits.select("page_id", "row", "url", "digest", "size", "of.page_id", "of.row").toDF("page_id", "row", "url", "digest", "size", "of_page", "of_row")
     # One row per archive.
-    return sorted(r.path for r in made.unionByName(again.mapInArrow(write_revisits, "path string, records long")).collect())
+    paths = sorted(r.path for r in made.unionByName(again.mapInArrow(write_revisits, "path string, records long")).collect())
+    discard(rows)
+    return paths
+
+
+def _sampled(rows: DataFrame) -> list[tuple]:
+    """The SAMPLE_RECORDS rows that come first by a hash, of each SAMPLE_BYTES of payload.
+
+    Keys are chosen first, below a bound under which about twice as many rows
+    are expected, so partitions send a number of keys that does not grow with
+    the table; payloads are cut on the executors and fetched for the chosen rows alone.
+    """
+    count = rows.count()
+    if count == 0:
+        return []
+    place = F.pmod(F.xxhash64("digest", "row"), F.lit(1 << 53))
+    bound = (1 << 53) if count <= 4 * SAMPLE_RECORDS else (1 << 53) // count * 2 * SAMPLE_RECORDS
+    keys = rows.select("row", place.alias("place")).where(F.col("place") < bound)
+    chosen = [r.row for r in sorted(keys.collect(), key=lambda r: (r.place, r.row))[:SAMPLE_RECORDS]]
+    cut = rows.where(F.col("row").isin(chosen)).select("page_id", "row", "url", F.substring("payload", 1, SAMPLE_BYTES).alias("payload"))
+    return [(r.page_id, r.row, r.url, bytes(r.payload)) for r in sorted(cut.collect(), key=lambda r: r.row)]
+
+
 
 
 def _rows(batch: pa.RecordBatch) -> Iterator[tuple]:

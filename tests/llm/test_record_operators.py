@@ -251,3 +251,17 @@ def test_pipeline_of_odd_tables(spark, tmp_path):
     spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").withColumn("n_chars", F.lit(1)).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([(1, None)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     assert {r.doc_id for r in corpus_pipeline.run(spark, str(tmp_path)).collect()} == {2, 3}
+
+
+def test_dictionary_records_are_chosen_by_key(spark, monkeypatch):
+    """No plan that sorts or limits rows carries a payload."""
+    plans = []
+    collect = type(spark.range(1)).collect
+    monkeypatch.setattr(type(spark.range(1)), "collect", lambda df: plans.append(df._jdf.queryExecution().toString()) or collect(df))
+    rows = table(spark, SF, "pages").select("page_id", F.monotonically_increasing_id().alias("row"), "url", F.col("html").cast("binary").alias("payload"))
+    rows = rows.withColumn("digest", F.sha1("payload"))
+    monkeypatch.setattr(warc, "SAMPLE_RECORDS", 20)
+    found = warc._sampled(rows)
+    assert len(found) == 20 and all(len(r[3]) <= warc.SAMPLE_BYTES for r in found)
+    assert plans and not any("TakeOrdered" in p or "GlobalLimit" in p for p in plans)
+    assert warc._sampled(rows.limit(0)) == []
