@@ -26,8 +26,8 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @REGISTRY.query("op2_token_files")
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    files = token_files.write_token_files(table(spark, sf_dir, "documents"), WORD_BPE, end_id=1)
-    return token_files.read_digests(spark, files)
+    folder = token_files.write_token_files(table(spark, sf_dir, "documents"), WORD_BPE, end_id=1)
+    return token_files.read_digests(spark, folder)
 
 
 #: The conversation that tests the escapes.

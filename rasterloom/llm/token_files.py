@@ -15,14 +15,18 @@ A file holds blocks. Little-endian throughout::
     a block with 0 documents ends the file
 
 The rank table is a file of its own, ``ranks.bin``: the ids as u32 by rank.
+
+``manifest.json`` is written last and makes the folder readable on its own: it
+lists the files in doc-id order with their documents, ids and bytes. Files that
+it does not list are left over from failed tasks and are not read.
 """
 
 from __future__ import annotations
 
+import json
 import struct
 import uuid
 from collections.abc import Iterator
-from dataclasses import dataclass
 from typing import BinaryIO
 
 import numpy as np
@@ -32,10 +36,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rasterloom.llm.encoding import crc_of, encode_batches, worker_encoder
-from rasterloom.session import shared_path, written
+from rasterloom.session import discard, shared_path, written
 from rasterloom.sources import storage
 
 MAGIC = b"RLTK0001"
+MANIFEST, RANKS = "manifest.json", "ranks.bin"
 _HEAD = "<IIQ"
 #: Ids in a block, unless one document has more.
 BLOCK_IDS = 1 << 19
@@ -102,26 +107,20 @@ def _exactly(src: BinaryIO, n: int) -> bytes:
     return got
 
 
-@dataclass(frozen=True)
-class TokenFiles:
-    """Where the files are; ``parts`` lists (path, ids before it) in doc-id order."""
-
-    ranks_path: str
-    parts: list[tuple[str, int]]
-
-
-def write_token_files(docs: DataFrame, tokenizer_path: str, end_id: int | None = 1, path: str | None = None) -> TokenFiles:
-    """Encode every whole text and write files in ascending doc-id order.
+def write_token_files(docs: DataFrame, tokenizer_path: str, end_id: int | None = 1, path: str | None = None) -> str:
+    """Encode every whole text and write files in ascending doc-id order; the folder they are in.
 
     1. Encode once; ids go to a table in the shared folder, and after a task's
        documents a row for each id that it met, with its count.
     2. Sum the counts over all documents (one row per id of the vocabulary
        reaches the driver) and rank by count, then id.
     3. Deal the table out by doc-id range, sort, and write one file a task.
+    4. List the files that the job has committed in the manifest (one row per
+       file reaches the driver).
 
     Null texts count as empty, null doc ids come first, rows that repeat are
-    kept each on its own in any order between equals. An empty table gives no
-    parts. Other columns are not read.
+    kept each on its own in any order between equals. An empty table gives a
+    manifest without files. Other columns are not read.
     """
     spark = docs.sparkSession
     path = path or shared_path(spark, "token-files")
@@ -147,8 +146,7 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, end_id: int | None =
     tokens = rows.where("id is null").select("doc_id", "tie", "ids")
     counted = rows.where("id is not null").groupBy("id").agg(F.sum("n").alias("n")).collect()
     ranked = np.array([r.id for r in sorted(counted, key=lambda r: (-r.n, r.id))], dtype="<u4")
-    ranks_path = f"{path}/ranks.bin"
-    with storage.create(ranks_path) as out:
+    with storage.create(f"{path}/{RANKS}") as out:
         out.write(ranked.tobytes())
     rank_of = np.zeros(int(ranked.max()) + 1 if len(ranked) else 1, np.uint32)
     rank_of[ranked] = np.arange(len(ranked), dtype=np.uint32)
@@ -160,31 +158,33 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, end_id: int | None =
         first = next(rows, None)
         if first is None:
             return
-        uri, total = f"{path}/part-{part:06d}-{uuid.uuid4().hex}.rltk", 0
-        with storage.create(uri) as out:
+        name, total, docs = f"part-{part:06d}-{uuid.uuid4().hex}.rltk", 0, 0
+        with storage.create(f"{path}/{name}") as out:
             out.write(MAGIC)
             doc_ids, held, size = [first[0]], [rank[_ids(first[1].as_py())]], 0
             total = size = len(held[0])
             for doc_id, planes in rows:
                 if size >= BLOCK_IDS:
                     write_block(out, doc_ids, held)
+                    docs += len(doc_ids)
                     doc_ids, held, size = [], [], 0
                 ranks = rank[_ids(planes.as_py())]
                 doc_ids.append(doc_id)
                 held.append(ranks)
                 size, total = size + len(ranks), total + len(ranks)
             write_block(out, doc_ids, held)
+            docs += len(doc_ids)
             out.write(struct.pack(_HEAD, 0, 0, 0))
-        yield pa.RecordBatch.from_arrays([pa.array([part]), pa.array([uri]), pa.array([total])], names=["part", "path", "n"])
+            stored = out.tell()
+        yield pa.RecordBatch.from_arrays([pa.array([x]) for x in (part, name, docs, total, stored)], names=["part", "file", "documents", "ids", "bytes"])
 
     ordered = tokens.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie").select("doc_id", "ids")
-    # One row per file.
-    made = sorted(ordered.mapInArrow(write, "part long, path string, n long").collect(), key=lambda r: r.part)
-    before, parts = 0, []
-    for r in made:
-        parts.append((r.path, before))
-        before += r.n
-    return TokenFiles(ranks_path, parts)
+    made = ordered.mapInArrow(write, "part long, file string, documents long, ids long, bytes long").collect()
+    listed = [{k: r[k] for k in ("file", "documents", "ids", "bytes")} for r in sorted(made, key=lambda r: r.part)]
+    with storage.create(f"{path}/{MANIFEST}") as out:
+        out.write(json.dumps({"format": MAGIC.decode(), "ranks": RANKS, "files": listed}, indent=1).encode())
+    discard(rows)
+    return path
 
 
 _TOKENS = pa.schema([("doc_id", pa.int64()), ("tie", pa.int64()), ("ids", pa.binary()), ("id", pa.int64()), ("n", pa.int64())])
@@ -211,37 +211,49 @@ def _ids(planes: bytes) -> np.ndarray:
     return both[0] | both[1].astype(np.uint16) << np.uint16(8)
 
 
-def read_token_files(spark, files: TokenFiles) -> DataFrame:
-    """``doc_id, start, n_tokens, ids`` (little-endian u32) per document, from the files alone."""
-    return _read(spark, files, "ids binary", lambda ids: ids.tobytes(), pa.binary())
+def read_token_files(spark, path: str) -> DataFrame:
+    """``doc_id, start, n_tokens, ids`` (little-endian u32) per document, from the folder alone."""
+    return _read(spark, path, "ids binary", lambda ids: ids.tobytes(), pa.binary())
 
 
-def read_digests(spark, files: TokenFiles) -> DataFrame:
-    """``doc_id, start, n_tokens, ids_crc32`` per document, from the files alone."""
-    return _read(spark, files, "ids_crc32 long", crc_of, pa.int64())
+def read_digests(spark, path: str) -> DataFrame:
+    """``doc_id, start, n_tokens, ids_crc32`` per document, from the folder alone."""
+    return _read(spark, path, "ids_crc32 long", crc_of, pa.int64())
 
 
-def _read(spark, files: TokenFiles, column: str, of, kind: pa.DataType) -> DataFrame:
-    ranks_path = files.ranks_path
-    name = column.split()[0]
+def read_manifest(path: str) -> dict:
+    with storage.reopen(f"{path}/{MANIFEST}") as src:
+        return json.loads(src.read())
+
+
+def _read(spark, path: str, column: str, of, kind: pa.DataType) -> DataFrame:
+    manifest = read_manifest(path)
+    ranks_path, name = f"{path}/{manifest['ranks']}", column.split()[0]
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         id_of = None
         for batch in batches:
-            for uri, start in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for uri, start, listed in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if id_of is None:
                     with storage.reopen(ranks_path) as src:
                         id_of = np.frombuffer(src.read(), dtype="<u4")
+                found = 0
                 with storage.reopen(uri) as src:
                     for doc_ids, counts, ranks, _ in read_blocks(src):
                         ids, ends = id_of[ranks], np.cumsum(counts)
                         digests = [of(ids[e - n : e]) for e, n in zip(ends, counts, strict=True)]
                         yield pa.RecordBatch.from_arrays(
-                            [pa.array(doc_ids, pa.int64()), pa.array(start + ends - counts), pa.array(counts), pa.array(digests, kind)],
+                            [pa.array(doc_ids, pa.int64()), pa.array(start + found + ends - counts), pa.array(counts), pa.array(digests, kind)],
                             names=["doc_id", "start", "n_tokens", name],
                         )
-                        start += int(counts.sum())
-
-    listing = spark.createDataFrame(files.parts, "path string, start long")
-    dealt = listing.repartition(max(1, len(files.parts)), "path")
+                        found += int(counts.sum())
+                if found != listed:
+                    raise ValueError(f"{uri} does not hold the ids that the manifest lists")
+
+    before, files = 0, []
+    for f in manifest["files"]:
+        files.append((f"{path}/{f['file']}", before, f["ids"]))
+        before += f["ids"]
+    listing = spark.createDataFrame(files, "path string, start long, ids long")
+    dealt = listing.repartition(max(1, len(files)), "path")
     return dealt.mapInArrow(read, f"doc_id long, start long, n_tokens long, {column}")

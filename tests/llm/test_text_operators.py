@@ -2,7 +2,10 @@
 
 import hashlib
 import io
+import json
+import os
 import random
+import shutil
 import zlib
 
 import numpy as np
@@ -141,20 +144,40 @@ def test_token_files_of_odd_rows(spark, odd, empty):
     texts = {(r[0], ids_of(r[1]).tobytes()) for r in ODD}
     assert {(r.doc_id, bytes(r.ids)) for r in rows} == texts
     none = token_files.write_token_files(empty, WORD_BPE, 1)
-    assert none.parts == [] and token_files.read_digests(spark, none).count() == 0
+    assert token_files.read_manifest(none)["files"] == [] and token_files.read_digests(spark, none).count() == 0
 
 
 def test_frequent_ids_take_fewer_bytes(spark):
     frame = spark.createDataFrame([(i, "the " * 50 + f"word{i}") for i in range(50)], "doc_id long, text string")
     files = token_files.write_token_files(frame, WORD_BPE, 1)
     stored = ids = 0
-    for path, _ in files.parts:
-        with open(path.removeprefix("file://"), "rb") as src:
+    for listed in token_files.read_manifest(files)["files"]:
+        path = f"{files}/{listed['file']}".removeprefix("file://")
+        assert os.path.getsize(path) == listed["bytes"]
+        with open(path, "rb") as src:
             for _, counts, _, size in token_files.read_blocks(src):
                 stored, ids = stored + size, ids + counts.sum()
     assert stored < 1.5 * ids
 
 
+def test_a_folder_of_token_files_is_read_alone(spark, odd, tmp_path):
+    """Moved elsewhere, with a file of a failed task in it; a listed file that holds other ids is an error."""
+    made = token_files.write_token_files(odd, WORD_BPE, 1).removeprefix("file://")
+    moved = f"{tmp_path}/moved"
+    shutil.move(made, moved)
+    with open(f"{moved}/part-000000-left.rltk", "wb") as out:
+        out.write(b"half")
+    rows = token_files.read_token_files(spark, moved).collect()
+    assert len(rows) == len(ODD)
+    listed = token_files.read_manifest(moved)
+    assert sum(f["documents"] for f in listed["files"]) == len(ODD)
+    listed["files"][0]["ids"] += 1
+    with open(f"{moved}/manifest.json", "w") as out:
+        json.dump(listed, out)
+    with pytest.raises(Exception, match="manifest"):
+        token_files.read_token_files(spark, moved).collect()
+
+
 def test_a_cut_token_file_is_an_error():
     out = io.BytesIO(token_files.MAGIC + b"\1")
     with pytest.raises(EOFError):
