@@ -8,7 +8,10 @@ the sample's size, the smaller the cross entropy. The least entropy wins.
 The automaton's transitions are laid out as a table over the letters of its own
 language, in which a missing transition leads back over the root and marks a
 phrase end, so that thousands of stretches of text advance one letter at a time
-in numpy. Languages of many letters keep sorted transitions instead of a table.
+in numpy. Stretches are parsed side by side as if a phrase began with each; then
+the parse of each one is carried on into the next until both begin a phrase at
+the same letter, from where they agree. The result is the parse of the whole
+text. Languages of many letters keep sorted transitions instead of a table.
 """
 
 from __future__ import annotations
@@ -32,7 +35,7 @@ SAMPLE_CHARS, SAMPLE_DOCS, SAMPLE_DOC_CHARS = 24_000, 64, 1_000
 LEAST_CHARS = 4_000
 #: Entries of the tables of all languages together; those of more than their share of it keep sorted transitions.
 TABLE_ENTRIES = 48_000_000
-#: A text is parsed in stretches of this length, so that long ones spread over the vector.
+#: Length of the stretches that are parsed side by side; it changes the work, never the parse.
 STRETCH = 256
 #: Letters parsed at once.
 GROUP = 1 << 22
@@ -71,25 +74,33 @@ def suffix_automaton(codes: list[int]) -> list[dict[int, int]]:
 def parse_table(codes: list[int], alphabet: int) -> np.ndarray:
     """Entry [state * alphabet + letter]: the next state times alphabet, plus _END where a phrase ends before the letter.
 
-    Codes from ``alphabet`` on separate documents and have no column.
+    Codes from ``alphabet`` on separate documents and have no column. The last
+    state is that after a letter which the sample lacks: a phrase of its own,
+    so the next letter begins another.
     """
     states = suffix_automaton(codes)
-    root = np.full(alphabet, _END, np.int64)
-    for c, s in states[0].items():
-        if c < alphabet:
-            root[c] = _END + s * alphabet
-    table = np.tile(root, (len(states), 1))
+    root = _root_moves(states, alphabet)
+    table = np.tile(root, (len(states) + 1, 1))
+    table[0] &= _END - 1  # at the text's start a letter ends no phrase
     for s, moves in enumerate(states):
         for c, t in moves.items():
             if c < alphabet:
                 table[s, c] = t * alphabet
-    # At the root itself a known letter starts a phrase and ends none.
     return table.astype(np.int32).reshape(-1)
 
 
+def _root_moves(states: list[dict[int, int]], alphabet: int) -> np.ndarray:
+    """By letter, the entry of a transition that is missing: a phrase ends, and the letter begins one."""
+    root = np.full(alphabet, _END + len(states) * alphabet, np.int64)
+    for c, s in states[0].items():
+        if c < alphabet:
+            root[c] = _END + s * alphabet
+    return root
+
+
 @dataclass
 class Transitions:
-    """An automaton over the letters of its own language; letters that its sample lacks end a phrase in every state."""
+    """An automaton over the letters of its own language; a letter that its sample lacks is a phrase of its own."""
 
     local: np.ndarray  # code of the model -> code of the language, the last for letters that the sample lacks
     alphabet: int
@@ -117,12 +128,11 @@ def transitions(codes: list[int], alphabet: int, entries: int) -> Transitions:
     if 2 * len(codes) * width <= entries:  # an automaton has fewer than twice as many states as letters
         return Transitions(local, width, parse_table(coded, width), None, None, None)
     states = suffix_automaton(coded)
-    root = np.full(width, _END, np.int64)
-    for c, t in states[0].items():
-        if c < width:
-            root[c] = _END + t * width
-    edges = sorted((s * width + c, t * width) for s, moves in enumerate(states) for c, t in moves.items() if c < width)
-    keys, to = np.array(edges or [(-1, 0)], np.int64).T
+    root = _root_moves(states, width)
+    edges = [(s * width + c, t * width) for s, moves in enumerate(states) for c, t in moves.items() if c < width]
+    # At the text's start a letter ends no phrase.
+    edges += [(c, int(root[c]) & (_END - 1)) for c in range(width) if c not in states[0]]
+    keys, to = np.array(sorted(edges), np.int64).T
     return Transitions(local, width, None, np.ascontiguousarray(keys), np.ascontiguousarray(to), root)
 
 
@@ -160,8 +170,9 @@ def _piece_codes(text: str, lookup: np.ndarray, other: int) -> np.ndarray:
     return codes
 
 
-def count_phrases(codes: list[np.ndarray], tables: list[np.ndarray | Transitions], stretch: int = STRETCH) -> np.ndarray:
-    """[language, text] phrases of the greedy parse, each stretch's last one included."""
+def count_phrases(codes: list[np.ndarray], tables: list[np.ndarray | Transitions], stretch: int | None = None) -> np.ndarray:
+    """[language, text] phrases of the greedy parse of each whole text."""
+    stretch = stretch or STRETCH
     sizes = np.array([len(c) for c in codes])
     out = np.zeros((len(tables), len(codes)), np.int64)
     if sizes.sum() == 0:
@@ -173,31 +184,77 @@ def count_phrases(codes: list[np.ndarray], tables: list[np.ndarray | Transitions
     begin = np.repeat(np.cumsum(sizes) - sizes, parts) + nth * stretch
     length = np.minimum(stretch, np.repeat(sizes, parts) - nth * stretch)
     order = np.argsort(-length, kind="stable")
-    owner, begin, length = owner[order], begin[order], length[order]
+    owner, nth, begin, length = owner[order], nth[order], begin[order], length[order]
     active = len(length) - np.searchsorted(length[::-1], np.arange(length[0]), side="right")
-    state = [np.zeros(len(owner), np.intp) for _ in tables]
-    ends = [np.ones(len(owner), np.int32) for _ in tables]
-    for step, n in enumerate(active):
-        letter = flat[begin[:n] + step]
-        for table, at, found in zip(tables, state, ends, strict=True):
-            s = at[:n]
-            moved = table.step(s, letter) if isinstance(table, Transitions) else table.take(s + letter)
-            found[:n] += moved >> 30
-            np.bitwise_and(moved, _END - 1, out=s)
-    for k, found in enumerate(ends):
-        out[k] = np.bincount(owner, weights=found, minlength=len(codes)).astype(np.int64)
+    # Where the stretch that goes on from this one stands, or -1.
+    place = np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
+    after = np.where(nth + 1 < parts[owner], place[np.minimum(order + 1, len(order) - 1)], -1)
+    for k, table in enumerate(tables):
+        state = np.zeros(len(owner), np.int64)
+        ends = np.zeros((length[0], len(owner)), np.int8)  # [step, stretch]: a phrase ends before the letter
+        for step, n in enumerate(active):
+            moved = _moved(table, state[:n], flat[begin[:n] + step])
+            ends[step, :n] = moved >> 30
+            np.bitwise_and(moved, _END - 1, out=state[:n])
+        _carry_on(table, flat, begin, length, after, state, ends)
+        found = ends.sum(axis=0, dtype=np.int64)
+        # The last phrase of a text is ended by its end.
+        out[k] = np.bincount(owner, weights=found, minlength=len(codes)).astype(np.int64) + (sizes > 0)
     return out
 
 
+def _moved(table: np.ndarray | Transitions, state: np.ndarray, letter: np.ndarray) -> np.ndarray:
+    return table.step(state, letter) if isinstance(table, Transitions) else table.take(state + letter)
+
+
+def _carry_on(table, flat: np.ndarray, begin: np.ndarray, length: np.ndarray, after: np.ndarray, state: np.ndarray, ends: np.ndarray) -> None:
+    """Corrects ``ends`` and the last states of stretches to the parse that comes from the stretch before.
+
+    A stretch whose last state has changed is carried on once more.
+    """
+    changed = np.flatnonzero(after >= 0)
+    while len(changed):
+        into, at = after[changed], state[changed]
+        step, again = 0, []
+        while len(into):
+            moved = _moved(table, at, flat[begin[into] + step])
+            ended = (moved >> 30).astype(np.int8)
+            same = (ended == 1) & (ends[step, into] == 1)  # both begin a phrase here
+            ends[step, into] = ended
+            at = moved & (_END - 1)
+            step += 1
+            over = ~same & (length[into] == step)  # the stretch is over and they never agreed
+            state[into[over]] = at[over]
+            again.append(into[over])
+            going = ~same & ~over
+            into, at = into[going], at[going]
+        changed = np.concatenate(again)
+        changed = changed[after[changed] >= 0]
+
+
 def train(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id") -> LanguageModel:
     """Fit on a bounded sample: of each language the ``SAMPLE_DOCS`` rows that come
     first by hash of ``key``. All labelled languages and all letters of their samples are learned.
 
     Rows whose text or language is null take no part.
     """
+    picked = sample(labelled, text, lang, key)
+    letters = "".join(sorted({c for texts in picked.values() for t in texts for c in t.lower() if c.isalpha()}))
+    model = LanguageModel(sorted(picked), letters, [], np.empty(0))
+    lookup, sizes = model.lookup(), []
+    for name in model.languages:
+        codes = sample_codes(picked[name], lookup, len(letters) + 1, len(picked))
+        model.tables.append(transitions(codes, len(letters) + 2, TABLE_ENTRIES // max(16, len(picked))))
+        sizes.append(max(2, len(codes)))
+    model.log_sizes = np.log2(np.array(sizes, float))
+    return model
+
+
+def sample(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id") -> dict[str, list[str]]:
+    """By language, the beginnings of the documents to learn from."""
     rows = labelled.where(F.col(text).isNotNull() & F.col(lang).isNotNull()).where(F.length(F.trim(text)) > 0)
     names = sorted(r[0] for r in rows.select(lang).distinct().collect())
-    budget = max(LEAST_CHARS, SAMPLE_CHARS * 16 // max(16, len(names)))
     by_hash = Window.partitionBy(lang).orderBy(F.xxhash64(F.col(key)), F.col(key))
     slim = rows.select(
         F.col(lang).alias("lang"), F.substring(text, 1, SAMPLE_DOC_CHARS).alias("text"), F.col(key).alias("key"), F.row_number().over(by_hash).alias("n")
@@ -205,19 +262,18 @@ def train(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str
     picked: dict[str, list[str]] = {n: [] for n in names}
     for r in slim.where(F.col("n") <= SAMPLE_DOCS).orderBy("lang", "n").collect():
         picked[r.lang].append(r.text)
-    letters = "".join(sorted({c for texts in picked.values() for t in texts for c in t.lower() if c.isalpha()}))
-    model = LanguageModel(names, letters, [], np.empty(0))
-    lookup, other, sizes = model.lookup(), len(letters) + 1, []
-    for name in names:
-        codes: list[int] = []
-        for t in picked[name]:
-            if len(codes) >= budget:
-                break
-            codes += to_codes(t, lookup, other)[: budget - len(codes)].tolist() + [other + 1]
-        model.tables.append(transitions(codes, other + 1, TABLE_ENTRIES // max(16, len(names))))
-        sizes.append(max(2, len(codes)))
-    model.log_sizes = np.log2(np.array(sizes, float))
-    return model
+    return picked
+
+
+def sample_codes(texts: list[str], lookup: np.ndarray, other: int, languages: int) -> list[int]:
+    """A language's sample; ``other + 1`` stands after each document."""
+    budget = max(LEAST_CHARS, SAMPLE_CHARS * 16 // max(16, languages))
+    codes: list[int] = []
+    for t in texts:
+        if len(codes) >= budget:
+            break
+        codes += to_codes(t, lookup, other)[: budget - len(codes)].tolist() + [other + 1]
+    return codes
 
 
 def predict_column(spark, model: LanguageModel, text: Column) -> Column:
@@ -290,7 +346,13 @@ def identify(docs: DataFrame, model: LanguageModel | None = None) -> DataFrame:
 
 
 def keep_known(docs: DataFrame, model: LanguageModel | None = None) -> DataFrame:
-    """The rows of ``docs`` in a learned language; those told ``und`` go. Columns stay as they are."""
+    """The rows of ``docs`` in a learned language, with ``lang`` set to the predicted one; those told ``und`` go.
+
+    Null, empty and letterless texts go, and all rows if nothing could be
+    learned. Other columns stay as they are, whatever their names; a table
+    without ``lang`` gets it, a table with it keeps its place. Rows that repeat
+    stay or go together, an empty table gives no rows.
+    """
     model = model or fit_documents(docs)
     out = predict_column(docs.sparkSession, model, F.col("text").cast("string"))
-    return docs.withColumn("__rl_lang", out["lang_pred"]).where(F.col("__rl_lang") != UNKNOWN).drop("__rl_lang")
+    return docs.withColumn("lang", out["lang_pred"].alias("lang")).where(F.col("lang") != UNKNOWN)

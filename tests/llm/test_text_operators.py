@@ -423,15 +423,35 @@ def brute_parse(text, sample):
     return n
 
 
-@settings(max_examples=100, deadline=None)
-@given(st.text("abcd", min_size=1, max_size=60), st.lists(st.text("abcd", max_size=80), min_size=1, max_size=6))
-def test_phrase_counts_equal_brute_force(sample, texts):
-    letters = {c: i + 1 for i, c in enumerate("abcd")}
+@settings(max_examples=200, deadline=None)
+@given(st.text("abcd", min_size=1, max_size=60), st.lists(st.text("abcde", max_size=80), min_size=1, max_size=6), st.sampled_from([1, 2, 3, 7, 256]))
+def test_phrase_counts_equal_brute_force(sample, texts, stretch):
+    """Over whole texts, with letters that the sample lacks, whatever the stretch."""
+    letters = {c: i + 1 for i, c in enumerate("abcde")}
     table = language.parse_table([letters[c] for c in sample], 6)
-    known = [t for t in texts if set(t) <= set(sample)]
-    codes = [np.array([letters[c] for c in t], dtype=np.uint8) for t in known]
-    got = language.count_phrases(codes, [table])[0] if codes else []
-    assert list(got) == [brute_parse(t, sample) for t in known]
+    codes = [np.array([letters[c] for c in t], dtype=np.uint8) for t in texts]
+    assert language.count_phrases(codes, [table], stretch)[0].tolist() == [brute_parse(t, sample) for t in texts]
+
+
+def test_language_query_equals_the_brute_parse(spark):
+    """Predictions and scores of whole documents, longest ones included, against a parse by substring search."""
+    docs = table(spark, SF, "documents")
+    model = language.fit_documents(docs)
+    rows = {r.doc_id: r for r in registry.op9_language(spark, SF).collect()}
+    texts = sorted(((r.doc_id, r.text or "") for r in docs.collect()), key=lambda r: -len(r[1]))
+    lookup, other = model.lookup(), len(model.letters) + 1
+    picked = language.sample(docs.where(~language.held_out(F.col("doc_id"))))
+    samples = ["".join(map(chr, language.sample_codes(picked[name], lookup, other, len(picked)))) for name in model.languages]
+    for doc_id, text in texts[:1] + texts[1::40]:
+        codes = language.to_codes(text, lookup, other)
+        coded = "".join(map(chr, codes))
+        if not codes.any():
+            assert rows[doc_id].lang_pred == "und"
+            continue
+        entropy = [brute_parse(coded, s) * np.log2(max(2, len(s))) / len(codes) for s in samples]
+        best = int(np.argmin(entropy))
+        assert rows[doc_id].lang_pred == model.languages[best]
+        assert abs(rows[doc_id].score - (1 - entropy[best] / min(e for i, e in enumerate(entropy) if i != best))) < 1e-9
 
 
 def test_language_query_is_right_on_held_out_documents(spark):
@@ -460,7 +480,7 @@ def test_all_languages_and_letters_are_learned(spark, monkeypatch, entries):
 
 
 @settings(max_examples=60, deadline=None)
-@given(st.text("abcd", min_size=1, max_size=60), st.lists(st.text("abcd", min_size=1, max_size=80), min_size=1, max_size=6))
+@given(st.text("abcd", min_size=1, max_size=60), st.lists(st.text("abcde", min_size=1, max_size=80), min_size=1, max_size=6))
 def test_sorted_transitions_equal_the_table(sample, texts):
     codes = [ord(c) - 96 for c in sample]
     texts = [np.array([ord(c) - 96 for c in t], np.uint8) for t in texts]
@@ -479,6 +499,8 @@ def test_language_of_odd_rows(spark, odd, empty):
     assert {(r.lang_pred, r.score) for r in nothing} == {("und", 0.0)}
     kept = language.keep_known(odd)
     assert kept.columns == odd.columns and kept.count() == 6
+    assert {r.lang for r in kept.collect()} <= {"en", "fr"}
+    assert language.keep_known(empty).count() == 0 and language.keep_known(odd.drop("lang"), language.fit_documents(odd)).count() == 6
 
 
 @pytest.mark.parametrize("size", [1, 7, 50])
