@@ -213,30 +213,42 @@ def components(docs: DataFrame, max_bits: int = 4, width: int = 4, seed: int = 4
 def deduplicate(docs: DataFrame, max_bits: int = 4, width: int = 4, seed: int = 42) -> DataFrame:
     """The rows of ``docs`` that stay: of each component the one with the smallest
     doc_id (nulls last, then the smallest fingerprint); of rows that repeat
-    both, one. All columns are kept as they are. Texts are not shuffled.
+    both, one. All columns are kept as they are, whatever their names. Texts are not shuffled.
+
+    Null, empty and blank texts have fingerprint zero and are one component
+    with whatever links to it. An empty table gives no rows.
     """
-    fp, row = "__rl_fp", "__rl_row"
+    fp, row = unused_name(docs, "fp"), unused_name(docs, "row")
     # The row numbers are those of the written table, so they stay what they are.
     hashed = docs.withColumn(fp, fingerprint_column(F.col("text").cast("string"), width, seed))
     marked = written(hashed.withColumn(row, F.monotonically_increasing_id()), "fingerprinted")
-    fps = marked.select("doc_id", F.col(fp).alias("fp"), F.col(row).alias("row"))
+    fps = marked.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(fp).alias("fp"), F.col(row).alias("row"))
     order = F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "fp", "row")
     first = fps.groupBy("fp").agg(F.min(order).alias("best"))
     with_root = first.join(_roots(fps, max_bits), "fp", "left")
     best = with_root.groupBy(F.coalesce("root", "fp").alias("root")).agg(F.min("best").alias("best"))
-    return marked.where(_kept_rows(best.select("best.row"))(F.col(row))).drop(fp, row)
+    return marked.where(_kept_rows(fps.select("row"), best.select("best.row"))(F.col(row))).drop(fp, row)
+
+
+def unused_name(table: DataFrame, name: str) -> str:
+    """``name`` with as many underscores before it as no column of the table has."""
+    taken = {c.lower() for c in table.columns}
+    while name in taken:
+        name = f"_{name}"
+    return name
 
 
 #: A row number is its partition's number shifted by this, and its place there.
 _PLACE_BITS = 33
 
 
-def _kept_rows(rows: DataFrame):
-    """A predicate on row numbers: whether ``rows`` has the number.
+def _kept_rows(every: DataFrame, rows: DataFrame):
+    """A predicate on the row numbers ``every``: whether ``rows`` has the number.
 
     The numbers kept of a partition are a bitmap in the shared folder, which the
     tasks that read that partition's rows open. Only row numbers are shuffled,
-    never the rows, and no bitmap is larger than its partition has rows.
+    never the rows, and no bitmap is larger than its partition has rows. Each
+    partition that has rows gets a bitmap, if only an empty one, and a missing one is an error.
     """
     folder = shared_path(rows.sparkSession, "kept-rows")
 
@@ -257,7 +269,10 @@ def _kept_rows(rows: DataFrame):
             yield _write_bitmap(folder, part, held)
 
     part = F.shiftright("row", _PLACE_BITS)
-    dealt = rows.repartition(part).sortWithinPartitions("row").mapInArrow(write, "part long, kept long")
+    # One mark a partition, a place that no row has, so that all partitions come up.
+    marks = every.select(F.shiftright("row", _PLACE_BITS).alias("part")).distinct()
+    marks = marks.select((F.shiftleft("part", _PLACE_BITS) + F.lit(_NO_PLACE)).alias("row"))
+    dealt = rows.unionByName(marks).repartition(part).sortWithinPartitions("row").mapInArrow(write, "part long, kept long")
     dealt.agg(F.sum("kept")).collect()
 
     @F.arrow_udf("boolean")
@@ -279,9 +294,13 @@ def _kept_rows(rows: DataFrame):
     return kept
 
 
+_NO_PLACE = (1 << _PLACE_BITS) - 1
+
+
 def _write_bitmap(folder: str, part: int, places: list[np.ndarray]) -> pa.RecordBatch:
     places = np.concatenate(places)
-    bits = np.zeros(int(places.max()) + 1, bool)
+    places = places[places != _NO_PLACE]
+    bits = np.zeros(int(places.max()) + 1 if len(places) else 0, bool)
     bits[places] = True
     with storage.create(f"{folder}/{part}.bits") as out:
         out.write(np.packbits(bits).tobytes())
@@ -289,9 +308,5 @@ def _write_bitmap(folder: str, part: int, places: list[np.ndarray]) -> pa.Record
 
 
 def _read_bitmap(folder: str, part: int) -> np.ndarray:
-    """No file: none of the partition's rows is kept."""
-    uri = f"{folder}/{part}.bits"
-    if not storage.exists(uri):
-        return np.zeros(0, bool)
-    with storage.reopen(uri) as src:
+    with storage.reopen(f"{folder}/{part}.bits") as src:
         return np.unpackbits(np.frombuffer(src.read(), np.uint8)).astype(bool)

@@ -20,6 +20,8 @@ from pyspark.sql import types as T
 
 from rasterloom.llm.encoding import encode_batches, worker_encoder
 
+#: Ids in a batch of pieces.
+BATCH_IDS = 1 << 18
 SCHEMA = T.StructType(
     [
         T.StructField("doc_id", T.LongType()),
@@ -62,7 +64,8 @@ def pack(docs: DataFrame, tokenizer_path: str, max_length: int = 2048, end_id: i
     Null and empty texts give the end id alone (no piece if ``end_id`` is
     None). Rows that repeat, also with the same doc_id, are packed each on its
     own. A null doc_id stays null. An empty table gives no rows. Other columns
-    are not read. A long document streams out piece by piece.
+    are not read. Pieces leave a task in batches of about BATCH_IDS
+    ids, so a long document does not make a large batch; its text and ids are held whole.
     """
     if max_length < 1 or max_length & (max_length - 1):
         raise ValueError("max_length must be a power of two")
@@ -70,22 +73,30 @@ def pack(docs: DataFrame, tokenizer_path: str, max_length: int = 2048, end_id: i
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = worker_encoder(tokenizer_path, end_id)
         number = TaskContext.get().partitionId() << 33
+        rows: list[tuple] = []
+        held = 0
         for doc_ids, encoded in encode_batches(batches, encoder):
-            rows: list[tuple] = []
             for doc_id, ids in zip(doc_ids, encoded, strict=True):
                 total, start = len(ids) // 4, 0
                 for length in piece_lengths(total, max_length):
                     piece = ids[4 * start : 4 * (start + length)]
                     rows.append((doc_id, start, length, piece, total, number, 0, length.bit_length() - 1))
-                    start, number = start + length, number + 1
-            if rows:
-                columns = [pa.array(c, type=f.type) for c, f in zip(zip(*rows, strict=True), _ARROW, strict=True)]
-                yield pa.RecordBatch.from_arrays(columns, schema=_ARROW)
+                    start, number, held = start + length, number + 1, held + length
+                    if held >= BATCH_IDS:
+                        yield _pieces(rows)
+                        rows, held = [], 0
+        if rows:
+            yield _pieces(rows)
 
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return slim.mapInArrow(cut, SCHEMA)
 
 
+def _pieces(rows: list[tuple]) -> pa.RecordBatch:
+    columns = [pa.array(c, type=f.type) for c, f in zip(zip(*rows, strict=True), _ARROW, strict=True)]
+    return pa.RecordBatch.from_arrays(columns, schema=_ARROW)
+
+
 def write_buckets(sequences: DataFrame, path: str) -> None:
     """Sequences as Parquet, one folder per length, for length-bucketed batches."""
     sequences.write.partitionBy("bucket").option("compression", "zstd").parquet(path)

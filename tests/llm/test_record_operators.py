@@ -3,7 +3,9 @@
 import base64
 import hashlib
 import io
+import os
 import random
+import zlib
 
 import numpy as np
 import pytest
@@ -11,10 +13,11 @@ import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 import corpus_pipeline
-from rasterloom.llm import decontaminate, near_dedup, registry, topk, url_cascade, warc
-from rasterloom.session import table
+from rasterloom.llm import decontaminate, language, near_dedup, registry, topk, url_cascade, warc
+from rasterloom.session import shared_path, table
 from tests.conftest import SF
 from tests.oracle import connect, same
 
@@ -229,28 +232,66 @@ def test_near_dedup_of_odd_rows(spark):
     assert near_dedup.components(df.limit(0)).count() == 0 and near_dedup.deduplicate(df.limit(0)).count() == 0
 
 
+def test_a_missing_bitmap_is_an_error(spark, monkeypatch):
+    df = spark.createDataFrame(ODD, "doc_id long, text string, fp int").repartition(3)
+    folders = []
+    monkeypatch.setattr(near_dedup, "shared_path", lambda s, name: folders.append(shared_path(s, name)) or folders[-1])
+    kept = near_dedup.deduplicate(df)
+    (folder,) = [f.removeprefix("file://") for f in folders if "kept-rows" in f]
+    assert kept.count() == 4 and len(os.listdir(folder)) == 3
+    os.remove(f"{folder}/{sorted(os.listdir(folder))[0]}")
+    with pytest.raises(Exception):
+        kept.count()
+
+
 def test_pipeline_stages(spark):
     docs = table(spark, SF, "documents")
     columns = docs.columns
     names = [n for n, _ in corpus_pipeline.STAGES]
     assert names == ["language_id", "near_dedup", "decontaminate", "packing"]
     known = corpus_pipeline.language_id(spark, docs, SF)
-    assert known.columns == columns and known.count() == docs.count()
+    told = {r.doc_id: r.lang_pred for r in language.identify(docs).collect()}
+    assert known.columns == columns and {r.doc_id: r.lang for r in known.collect()} == {d: p for d, p in told.items() if p != "und"}
     single = corpus_pipeline.near_duplicates(spark, known, SF)
     groups = near_dedup.components(known)
     assert sorted(r.doc_id for r in single.collect()) == sorted(r.component_id for r in groups.select("component_id").distinct().collect())
     clean = corpus_pipeline.benchmark_leaks(spark, single, SF)
     leaks = {r.doc_id for r in decontaminate.find_leaks(single, table(spark, SF, "benchmark")).collect()}
     assert clean.columns == columns and {r.doc_id for r in clean.collect()} == {r.doc_id for r in single.collect()} - leaks
+    texts = {r.doc_id: r.text for r in clean.collect()}
+    got: dict[int, bytes] = {}
+    for r in corpus_pipeline.run(spark, SF).orderBy("doc_id", "start").collect():
+        assert r.length * 4 == len(r.ids) and zlib.crc32(bytes(r.ids)) == r.ids_crc32
+        got[r.doc_id] = got.get(r.doc_id, b"") + bytes(r.ids)
+    library = Tokenizer.from_file(registry.WORD_BPE)
+    assert got == {d: np.array([*library.encode(t, add_special_tokens=False).ids, 1], "<u4").tobytes() for d, t in texts.items()}
+
+
+CLASHES = "doc_id long, text string, lang string, source string, n_chars int, fp long, row string, _row int, __rl_lang string, leaks int, ids binary"
+
+
+@pytest.mark.parametrize("filled", [True, False])
+def test_pipeline_of_odd_tables(spark, tmp_path, filled):
+    """Nulls, repeats, a long text, columns with names that the stages use; and empty tables."""
+    rows = [(None, None, None, None), (1, "", "en", "s"), (2, "hello there my friend of old", "en", "s"), (2, "hello there my friend of old", "en", "s"), (3, "x" * 100_000, None, None), (4, "say a leaked item here now", "en", "s")]
+    rows = [(*r, 1, 7, "r", 8, "zz", 9, b"i") for r in rows] if filled else []
+    spark.createDataFrame(rows, CLASHES).write.parquet(f"{tmp_path}/documents.parquet")
+    items = [(1, None), (2, "leaked item")] if filled else []
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    out = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert {r.doc_id for r in out} == ({2, 3} if filled else set())
+    docs = table(spark, str(tmp_path), "documents")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        after = stage(spark, docs, str(tmp_path))
+        assert after.columns == docs.columns
+        assert {(r.fp, r.row, r._row, r["__rl_lang"], r.leaks, bytes(r.ids)) for r in after.collect()} == ({(7, "r", 8, "zz", 9, b"i")} if filled else set())
+
+
+def test_the_pipeline_leaves_only_its_result(spark):
+    folder = shared_path(spark, "x").rsplit("/", 1)[0].removeprefix("file://")
+    before = set(os.listdir(folder))
     out = corpus_pipeline.run(spark, SF)
-    assert {r.doc_id for r in out.select("doc_id").collect()} == {r.doc_id for r in clean.collect()}
-
-
-def test_pipeline_of_odd_tables(spark, tmp_path):
-    rows = [(None, None, None, None), (1, "", "en", "s"), (2, "hello there my friend of old", "en", "s"), (2, "hello there my friend of old", "en", "s"), (3, "x" * 100_000, None, None)]
-    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").withColumn("n_chars", F.lit(1)).write.parquet(f"{tmp_path}/documents.parquet")
-    spark.createDataFrame([(1, None)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
-    assert {r.doc_id for r in corpus_pipeline.run(spark, str(tmp_path)).collect()} == {2, 3}
+    assert out.count() > 0 and {n.rsplit("-", 1)[0] for n in set(os.listdir(folder)) - before} == {"stage-packing"}
 
 
 def test_dictionary_records_are_chosen_by_key(spark, monkeypatch):
