@@ -1,22 +1,27 @@
 """Chat formatting from event logs, in DataFrame functions only.
 
-A log row is (conv_id, seq, turn, kind, role, text). Logs are folded per
-conversation and turn in the order of seq: ``message`` starts a message,
-``delta`` appends to it, ``edit`` replaces its text, ``regenerate`` clears it
-(and gives the new beginning). The final messages are rendered in order:
+A log row is (conv_id, seq, turn, nth, kind, role, text). Logs are folded per
+conversation in the order of seq. An event is about the message in the slot
+(turn, nth): ``message`` starts one there (a later one in the same slot takes
+its place), ``delta`` appends to it, ``edit`` replaces its text. ``regenerate``
+takes the conversation back to its slot: whatever was logged before for that
+slot and all later ones is gone, and its text begins the slot's message anew.
+The final messages are rendered in the order of their slots:
 
     <s>[SYS] text [/SYS][INST] text [/INST][OUT] text </s>
 
 for system, user and assistant, and ``[ROLE name] text [/ROLE]`` for any other
 role. In texts every backslash is doubled and every control string gets a
 backslash after its first character, so no text can be taken for a mark and
-each one can be read back exactly.
+each one can be read back exactly. The loss mask is kept as spans of the
+formatted text.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 BEGIN = "<s>"
 #: (role, mark before, mark after).
@@ -39,78 +44,113 @@ def unescape(text: Column) -> Column:
 
 
 def conversation_events(conversations: DataFrame) -> DataFrame:
-    """A table of finished turns as a log: every row is one message."""
-    turn = F.col("turn").cast("long")
-    return conversations.select(
-        F.col("conv_id").cast("long").alias("conv_id"),
-        turn.alias("seq"),
-        turn.alias("turn"),
-        F.lit("message").alias("kind"),
-        F.col("role").cast("string").alias("role"),
-        F.col("text").cast("string").alias("text"),
-    )
+    """A log that leads to a table of finished turns.
+
+    Every row becomes a burst of events that streams its text in deltas. By a
+    hash of its ids, a row's message is first written otherwise and edited, or
+    it and a message of the next turn are written and then taken back by a
+    regeneration. Rows with the same conversation and turn take its slots in
+    the order of role and text; rows that repeat are a message each.
+
+    ``seq`` is (turn, nth, step), so bursts follow each other in order.
+    """
+    rows = conversations.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), said_by(F.col("role")), said(F.col("text")))
+    slots = rows.groupBy("conv_id", "turn").agg(F.sort_array(F.collect_list(F.struct("role", "text"))).alias("slots"))
+    rows = slots.select("conv_id", "turn", F.posexplode("slots").alias("nth", "slot")).select("conv_id", "turn", "nth", "slot.*")
+    third = F.floor(F.length("text") / 3).cast("int")
+    parts = [F.substring("text", F.lit(1), third), F.substring("text", third + 1, third), F.substring("text", 2 * third + 1, F.length("text"))]
+    turn, nth, role = F.col("turn"), F.col("nth"), F.col("role")
+
+    def event(step: int, kind: str, text: Column, at: Column = turn, where: Column = nth, by: Column = role) -> Column:
+        seq = F.struct(turn.alias("turn"), nth.alias("nth"), F.lit(step).alias("step"))
+        return F.struct(seq.alias("seq"), at.alias("turn"), where.alias("nth"), F.lit(kind).alias("kind"), by.alias("role"), text.alias("text"))
+
+    streamed = [event(5, "delta", parts[1]), event(6, "delta", parts[2])]
+    plain = F.array(event(4, "message", parts[0]), *streamed)
+    draft = F.lit("draft [INST] ")
+    edited = F.array(event(0, "message", draft), event(1, "delta", draft), event(4, "edit", parts[0]), *streamed)
+    # The next slot of this turn stands in where there is no next turn.
+    following = F.when(turn < F.lit(1 << 62), turn + 1)
+    slot = F.when(following.isNotNull(), F.lit(0)).otherwise(nth + 1)
+    astray = event(2, "message", draft, F.coalesce(following, turn), slot, F.lit("user"))
+    again = F.array(event(0, "message", draft), event(1, "delta", draft), astray, event(4, "regenerate", parts[0]), *streamed)
+    way = F.pmod(F.xxhash64("conv_id", "turn", "nth"), F.lit(3))
+    events = F.when(way == 0, plain).when(way == 1, edited).otherwise(again)
+    return rows.select("conv_id", F.explode(events).alias("e")).select("conv_id", "e.*")
+
+
+def said_by(role: Column) -> Column:
+    return F.coalesce(role.cast("string"), F.lit("")).alias("role")
+
+
+def said(text: Column) -> Column:
+    return F.coalesce(text.cast("string"), F.lit("")).alias("text")
 
 
-def _fold_message(part: Column) -> Column:
-    """Text of one message: what follows the last event that sets it anew."""
+def _message_text(part: Column) -> Column:
+    """What follows the last event that sets the text anew."""
     last = F.array_max(F.filter(F.sequence(F.lit(0), F.size(part) - 1), lambda i: (i == 0) | (F.get(part, i)["kind"] != "delta")))
     live = F.slice(part, last + 1, F.size(part) - last)
-    return F.array_join(F.transform(live, lambda e: F.coalesce(e["text"], F.lit(""))), "")
+    return F.array_join(F.transform(live, lambda e: e["text"]), "")
 
 
 def final_messages(events: DataFrame) -> DataFrame:
     """``conv_id, turn, nth, role, text``: the messages left when a log is folded.
 
-    Events of a turn with equal seq are folded in the order of kind, role and
-    text. Rows that repeat are events each on its own. Deltas before any message
-    start one. A null or unknown kind counts as ``message``, a null text as
-    empty, a null role as ''. Rows with a null conv_id or turn form groups of
-    their own, first in order.
+    Events of a slot with equal seq are folded in the order of kind, role and
+    text. Rows that repeat are events each on its own. A null or unknown kind
+    counts as ``message``, a null text as empty, a null role as ''. A slot's
+    role is that of its last ``message``, else of its first event; a delta or
+    edit of an empty slot starts a message. Null slots come first; rows with a
+    null conv_id form a conversation of their own. ``seq`` may be of any type
+    that has an order, a null seq comes first.
+
+    Slots are folded each on its own. The regenerations before a slot meet it as
+    one number, the latest seq that takes the conversation back to it or to an earlier one.
     """
     known = F.col("kind").isin("delta", "edit", "regenerate")
-    entry = F.struct(
-        "seq",
-        F.when(known, F.col("kind")).otherwise("message").alias("kind"),
-        F.coalesce("role", F.lit("")).alias("role"),
-        F.coalesce("text", F.lit("")).alias("text"),
-    )
-    logs = events.groupBy("conv_id", "turn").agg(F.sort_array(F.collect_list(entry)).alias("log"))
-    starts = F.filter(F.sequence(F.lit(0), F.size("log") - 1), lambda i: (i == 0) | (F.get(F.col("log"), i)["kind"] == "message"))
-    logs = logs.withColumn("starts", starts)
-
-    def message(start: Column, nth: Column) -> Column:
-        stop = F.coalesce(F.get(F.col("starts"), nth + 1), F.size("log"))
-        part = F.slice("log", start + 1, stop - start)
-        return F.struct(nth.alias("nth"), F.get(F.col("log"), start)["role"].alias("role"), _fold_message(part).alias("text"))
-
-    messages = logs.select("conv_id", "turn", F.explode(F.transform("starts", message)).alias("m"))
-    return messages.select("conv_id", "turn", "m.nth", "m.role", "m.text")
+    kind = F.when(known, F.col("kind")).otherwise("message").alias("kind")
+    entry = F.struct("seq", kind, said_by(F.col("role")), said(F.col("text")))
+    back = F.max(F.when(F.col("kind") == "regenerate", F.struct("seq"))).alias("back")
+    slots = events.groupBy("conv_id", "turn", "nth").agg(F.sort_array(F.collect_list(entry)).alias("log"), back)
+    before = Window.partitionBy("conv_id").orderBy("turn", "nth").rowsBetween(Window.unboundedPreceding, 0)
+    slots = slots.withColumn("back", F.max("back").over(before))
+    alive = F.filter("log", lambda e: F.col("back").isNull() | (F.struct(e["seq"].alias("seq")) >= F.col("back")))
+    slots = slots.withColumn("log", alive).where(F.size("log") > 0)
+    starts = F.filter("log", lambda e: e["kind"] == "message")
+    role = F.coalesce(F.get(starts, F.size(starts) - 1)["role"], F.get("log", F.lit(0))["role"])
+    return slots.select("conv_id", "turn", "nth", role.alias("role"), _message_text(F.col("log")).alias("text"))
 
 
 def render(messages: DataFrame) -> DataFrame:
-    """``conv_id, n_turns, segments, formatted`` per conversation.
+    """``conv_id, n_turns, formatted, loss`` per conversation.
 
-    ``segments`` is array<struct<text, loss>>: the formatted text in order, cut
-    where the loss mask changes; only assistant texts are under the mask.
+    ``loss`` is array<struct<start, length>>: the spans of ``formatted`` under
+    the loss mask, the assistant texts, in bytes of its UTF-8 form.
 
     A conversation's text is one value, so its rows meet in one task at last;
-    they are folded and rendered before that, turn by turn.
+    they are folded and rendered before that, slot by slot. Null roles and texts
+    count as empty, null slots come first, rows that repeat are rendered each,
+    those of one slot in the order of their rendered text. An empty table gives no rows.
     """
-    before, after = F.concat(F.lit("[ROLE "), F.regexp_replace(escape(F.col("role")), r"\]", r"\\]"), F.lit("] ")), F.lit(OTHER_END)
-    for role, head, tail in MARKS:
-        before = F.when(F.col("role") == role, head).otherwise(before)
-        after = F.when(F.col("role") == role, tail).otherwise(after)
-    piece = F.struct("turn", "nth", before.alias("head"), escape(F.col("text")).alias("body"), after.alias("tail"), (F.col("role") == LOSS_ROLE).alias("loss"))
-    rows = messages.select("conv_id", piece.alias("piece")).groupBy("conv_id").agg(F.sort_array(F.collect_list("piece")).alias("pieces"))
-
-    def segment(text: Column, loss: Column) -> Column:
-        return F.struct(text.alias("text"), loss.alias("loss"))
-
-    no = F.lit(False)
-    cut = F.flatten(F.transform("pieces", lambda p: F.array(segment(p["head"], no), segment(p["body"], p["loss"]), segment(p["tail"], no))))
-    segments = F.concat(F.array(segment(F.lit(BEGIN), no)), cut)
-    rows = rows.select("conv_id", F.size("pieces").cast("long").alias("n_turns"), segments.alias("segments"))
-    return rows.withColumn("formatted", F.array_join(F.col("segments.text"), ""))
+    role = F.col("role")
+    before, after = F.concat(F.lit("[ROLE "), F.regexp_replace(escape(role), r"\]", r"\\]"), F.lit("] ")), F.lit(OTHER_END)
+    for name, head, tail in MARKS:
+        before = F.when(role == name, head).otherwise(before)
+        after = F.when(role == name, tail).otherwise(after)
+    body = escape(F.col("text"))
+    known = messages.select("conv_id", "turn", "nth", said_by(role), said(F.col("text")))
+    known = known.select(
+        "conv_id", "turn", "nth", F.concat(before, body, after).alias("text"), F.octet_length(before).alias("head"), F.octet_length(body).alias("length"), (role == LOSS_ROLE).alias("loss")
+    )
+    earlier = Window.partitionBy("conv_id").orderBy("turn", "nth", "text").rowsBetween(Window.unboundedPreceding, -1)
+    begin = F.coalesce(F.sum(F.octet_length("text")).over(earlier), F.lit(0)) + len(BEGIN)
+    known = known.withColumn("start", (begin + F.col("head")).cast("int"))
+    piece = F.struct("turn", "nth", "text", "start", "length", "loss").alias("piece")
+    rows = known.select("conv_id", piece).groupBy("conv_id").agg(F.sort_array(F.collect_list("piece")).alias("pieces"))
+    spans = F.transform(F.filter("pieces", lambda p: p["loss"]), lambda p: F.struct(p["start"].alias("start"), p["length"].alias("length")))
+    formatted = F.concat(F.lit(BEGIN), F.array_join("pieces.text", ""))
+    return rows.select("conv_id", F.size("pieces").cast("long").alias("n_turns"), formatted.alias("formatted"), spans.alias("loss"))
 
 
 def parse(formatted: Column) -> Column:
@@ -130,10 +170,17 @@ def parse(formatted: Column) -> Column:
     return F.transform(F.regexp_extract_all(formatted, F.lit(_BLOCK), F.lit(0)), turn)
 
 
+def loss_text(formatted: Column, loss: Column) -> Column:
+    """The text under the loss mask, cut out of the formatted text and unescaped."""
+    # The bytes are bound once; a cut copies no more than its span.
+    cut = F.transform(F.array(formatted.cast("binary")), lambda raw: F.transform(loss, lambda x: F.substring(raw, x["start"] + 1, x["length"]).cast("string")))
+    return unescape(F.array_join(F.get(cut, F.lit(0)), ""))
+
+
 def digests(chats: DataFrame) -> DataFrame:
     """What the formatted output holds, read back from it."""
     turns = parse(F.col("formatted"))
-    loss = unescape(F.array_join(F.transform(F.filter("segments", lambda s: s["loss"]), lambda s: s["text"]), ""))
+    loss = loss_text(F.col("formatted"), F.col("loss"))
     rows = chats.select("conv_id", turns.alias("turns"), loss.alias("loss"), F.length("formatted").cast("long").alias("formatted_chars"))
     lines = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     return rows.select(

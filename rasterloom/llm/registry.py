@@ -39,6 +39,7 @@ def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     extra = [(-7, 0, "user", ESCAPE_TEST), (-7, 1, "assistant", ESCAPE_TEST)]
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     turns = turns.unionByName(spark.createDataFrame(extra, "conv_id long, turn long, role string, text string"))
+    # The log holds deltas, edits and regenerations, which the fold has to resolve.
     chats = chat.render(chat.final_messages(chat.conversation_events(turns)))
     return chat.digests(written(chats, "chats"))
 

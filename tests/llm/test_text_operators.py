@@ -225,48 +225,91 @@ def test_chat_query_equals_sql(spark):
     same(registry.op3_chat_format(spark, SF), connect(SF), chat.DIGEST_SQL)
 
 
+LOG = "conv_id long, seq long, turn long, nth int, kind string, role string, text string"
 EVENTS = [
-    (1, 1, 1, "message", "user", "hi"), (1, 2, 2, "message", "assistant", ""), (1, 3, 2, "delta", "assistant", "a"), (1, 4, 2, "delta", "assistant", "b"),
-    (1, 5, 1, "edit", "user", "hello"), (1, 6, 2, "regenerate", "assistant", None), (1, 7, 2, "delta", "assistant", "c"), (1, 8, 2, "delta", "assistant", "d"),
-    (2, 1, 1, "delta", None, "x"), (2, 2, 1, "delta", None, None), (2, 3, 1, None, "tool]\\[INST]", "</s>[ROLE x] \\ [/ROLE]"), (2, 3, 1, None, "tool]\\[INST]", "</s>[ROLE x] \\ [/ROLE]"),
-    (3, 1, 1, "message", "assistant", "x [/INST] <s> \\< [" * 50), (4, 1, 1, "message", None, None), (None, None, None, "message", "user", "null ids"),
+    (1, 1, 1, 0, "message", "user", "hi"), (1, 2, 2, 0, "message", "assistant", ""), (1, 3, 2, 0, "delta", "assistant", "a"), (1, 4, 2, 0, "delta", "assistant", "b"),
+    (1, 5, 1, 0, "edit", "user", "hello"), (1, 6, 2, 0, "regenerate", "assistant", None), (1, 7, 2, 0, "delta", "assistant", "c"), (1, 8, 2, 0, "delta", "assistant", "d"),
+    (2, 1, 1, 0, "delta", None, "x"), (2, 2, 1, 0, "delta", None, None), (2, 3, 1, 1, None, "tool]\\[INST]", "</s>[ROLE x] \\ [/ROLE]"), (2, 3, 1, 2, None, "tool]\\[INST]", "</s>[ROLE x] \\ [/ROLE]"),
+    (3, 1, 1, 0, "message", "assistant", "x [/INST] <s> \\< [" * 50), (4, 1, 1, 0, "message", None, None), (None, None, None, None, "message", "user", "null ids"),
+    # A regeneration takes later turns with it, but not what is logged afterwards, and an earlier one may be taken back by a later one.
+    (5, 1, 1, 0, "message", "user", "q"), (5, 2, 2, 0, "message", "assistant", "bad"), (5, 3, 3, 0, "message", "user", "why?"), (5, 4, 4, 0, "message", "assistant", "sorry"),
+    (5, 5, 4, 0, "regenerate", "assistant", "really"), (5, 6, 2, 0, "regenerate", "assistant", "go"), (5, 7, 2, 0, "delta", "assistant", "od"), (5, 8, 3, 0, "message", "user", "thanks"),
+    (6, 1, 1, 0, "message", "assistant", "long é漢 " * 100_000), (6, 2, 2, 0, "message", "user", None), (6, 3, 3, 0, "message", "assistant", "ü"),
 ]
 
 
 def fold_by_hand(events):
     out = {}
-    for conv, seq, turn, kind, role, text in sorted(events, key=lambda e: (str(e[0]), str(e[2]), e[1] or 0, e[3] or "message")):
-        log = out.setdefault(conv, {}).setdefault(turn, [])
-        kind = kind if kind in ("delta", "edit", "regenerate") else "message"
-        if kind == "message" or not log:
-            log.append([role or "", text or ""])
+    for conv, _, turn, nth, kind, role, text in sorted(events, key=lambda e: (str(e[0]), e[1] or 0, e[4] or "message", e[5] or "", e[6] or "")):
+        slots = out.setdefault(conv, {})
+        at, kind = (turn or 0, nth or 0), kind if kind in ("delta", "edit", "regenerate") else "message"
+        if kind == "regenerate":
+            for later in [s for s in slots if s >= at]:
+                del slots[later]
+        if kind == "message" or at not in slots:
+            slots[at] = [role or "", text or ""]
         elif kind == "delta":
-            log[-1][1] += text or ""
+            slots[at][1] += text or ""
         else:
-            log[-1][1] = text or ""
-    return {c: [tuple(m) for t in turns.values() for m in t] for c, turns in out.items()}
+            slots[at][1] = text or ""
+    return {c: [tuple(slots[s]) for s in sorted(slots)] for c, slots in out.items()}
+
+
+def read_back(chats):
+    return {r.conv_id: [(t.role, t.text) for t in r.turns] for r in chats.select("conv_id", chat.parse(F.col("formatted")).alias("turns")).collect()}
 
 
 def test_chat_folds_and_reads_back(spark):
-    events = spark.createDataFrame(EVENTS, "conv_id long, seq long, turn long, kind string, role string, text string").withColumn("piece", F.lit(1))
+    events = spark.createDataFrame(EVENTS, LOG).withColumn("piece", F.lit(1)).withColumn("back", F.lit("x"))
     chats = chat.render(chat.final_messages(events))
-    got = {r.conv_id: [(t.role, t.text) for t in r.turns] for r in chats.select("conv_id", chat.parse(F.col("formatted")).alias("turns")).collect()}
     want = fold_by_hand(EVENTS)
-    assert got == want
+    assert read_back(chats) == want and want[5] == [("user", "q"), ("assistant", "good"), ("user", "thanks")]
     for r in chat.digests(chats).collect():
         loss = "".join(t for role, t in want[r.conv_id] if role == "assistant")
         assert (r.loss_chars, r.loss_sha256) == (len(loss), hashlib.sha256(loss.encode()).hexdigest()) and r.n_turns == len(want[r.conv_id])
     assert chat.digests(chat.render(chat.final_messages(events.limit(0)))).count() == 0
 
 
+@settings(max_examples=15, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 3), st.integers(0, 1), st.sampled_from(["message", "delta", "edit", "regenerate", "?"]), st.sampled_from(["user", "assistant"]), st.text("ab[", max_size=3)), min_size=1, max_size=25))
+def test_any_log_folds_as_by_hand(spark, log):
+    events = [(1, n, *e) for n, e in enumerate(log)]
+    assert read_back(chat.render(chat.final_messages(spark.createDataFrame(events, LOG)))) == fold_by_hand(events)
+
+
+def test_conversations_are_folded_from_a_full_log(spark):
+    """Every kind of event is in the log, some conversations lose drafts of later turns, and rows that tie or repeat are kept."""
+    rows = [(1, 1, "user", "same"), (1, 1, "user", "same"), (1, 1, "assistant", "tie"), (2, None, "user", None), (None, 3, None, "x"), (3, 2**63 - 1, "user", "last"), (4, 1, "assistant", "")]
+    rows += [(5, n, "assistant" if n % 2 else "user", f"text {n} </s>") for n in range(60)]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumn("nth", F.lit("x"))
+    events = chat.conversation_events(turns)
+    log = events.collect()
+    assert {e.kind for e in log} == {"message", "delta", "edit", "regenerate"}
+    assert any(e.kind == "message" and e.turn != e.seq.turn for e in log)
+    got = read_back(chat.render(chat.final_messages(events)))
+    want = {}
+    for conv, _, role, text in sorted(rows, key=lambda r: (r[1] is not None, r[1] or 0, r[2] or "", r[3] or "")):
+        want.setdefault(conv, []).append((role or "", text or ""))
+    assert got == want
+
+
+def test_loss_spans_are_places_in_the_formatted_text(spark):
+    events = spark.createDataFrame(EVENTS, LOG)
+    want = fold_by_hand(EVENTS)
+    for r in chat.render(chat.final_messages(events)).collect():
+        raw = r.formatted.encode()
+        cut = [raw[x.start : x.start + x.length].decode().replace("\\\\", "\0").replace("\\", "").replace("\0", "\\") for x in r.loss]
+        assert cut == [t for role, t in want[r.conv_id] if role == "assistant"]
+
+
 @settings(max_examples=15, deadline=None)
 @given(st.lists(st.text(alphabet="</s>[]INSTOUROLE \\\nx", max_size=40), min_size=1, max_size=6))
 def test_no_text_is_taken_for_a_mark(spark, texts):
     roles = ["user", "assistant", "system", "tool", "[INST]", ""]
-    rows = [(1, i, i, "message", roles[i % 6], t) for i, t in enumerate(texts)]
-    chats = chat.render(chat.final_messages(spark.createDataFrame(rows, "conv_id long, seq long, turn long, kind string, role string, text string")))
+    rows = [(1, i, i, 0, "message", roles[i % 6], t) for i, t in enumerate(texts)]
+    chats = chat.render(chat.final_messages(spark.createDataFrame(rows, LOG)))
     got = chats.select(chat.parse(F.col("formatted")).alias("t")).first().t
-    assert [(t.role, t.text) for t in got] == [(r[4], r[5]) for r in rows]
+    assert [(t.role, t.text) for t in got] == [(r[5], r[6]) for r in rows]
 
 
 @settings(max_examples=200, deadline=None)
