@@ -6,10 +6,12 @@ that level 2 lets through, and so on until a level has no false positive. For
 any host of the corpus the first level that rejects it tells, without error,
 whether it is listed; judging a URL needs no join.
 
-A level's bits are set by an aggregation over its keys; only the finished bit
-words come to the driver. Their size follows from the number of keys; where it
-would pass its bound, the keys and rows are judged in parts by a hash of the
-host, each part with a cascade of its own.
+A level is a blocked Bloom filter: a key sets and tests a few bits of one 64-bit
+word. Its words are aggregated from the keys into one array, written as a table of
+one row and read by a scalar subquery, so they neither pass through Python nor
+stand in the plan. Their size follows from the number of keys; where it would
+pass its bound, keys and rows are dealt out once by a hash of the host, and each
+part has a cascade of its own.
 """
 
 from __future__ import annotations
@@ -20,12 +22,14 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rasterloom.session import shared_path, written
+from rasterloom.session import delete, shared_path, written
 
 #: Largest filter that is sent to the executors, over all levels.
-MAX_BYTES = 64 << 20
-#: False positives of a level.
-RATE = 1 / 256
+MAX_BYTES = 16 << 20
+#: Keys of a 64-bit word on average, and bits of a key. With 4 and 4 about one foreign key in 150 passes.
+KEYS_A_WORD, BITS = 4, 4
+#: Of foreign keys that pass a level, for sizes only; taken on the safe side.
+RATE = 1 / 64
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -57,27 +61,30 @@ class Rule:
 
 @dataclass
 class Level:
-    """``words`` of 64 bits, tested at ``hashes`` places."""
+    """``n_words`` words of 64 bits, the only cell of ``table``."""
 
-    words: list[int]
-    hashes: int
+    table: DataFrame
+    n_words: int
     seed: int
 
-    def _places(self, key: Column) -> list[Column]:
-        size = len(self.words) * 64
-        low = F.lit((1 << 40) - 1)
-        one, two = F.xxhash64(key, F.lit(self.seed)).bitwiseAND(low), F.xxhash64(F.lit(self.seed), key).bitwiseAND(low)
-        return [(one + two * k) % size for k in range(self.hashes)]
-
     def passes(self, key: Column) -> Column:
-        # Split and cast are folded into one array literal when the plan is optimised.
-        words = F.split(F.lit(",".join(map(str, self.words))), ",").cast("array<bigint>")
-        found = None
-        for place in self._places(key):
-            word = F.get(words, F.shiftright(place, 6).cast("int"))
-            hit = F.getbit(word, place.bitwiseAND(F.lit(63)).cast("int")) == 1
-            found = hit if found is None else found & hit
-        return found
+        mask = _mask(key, self.seed)
+        return F.get(self.table.scalar(), _word(key, self.n_words, self.seed)).bitwiseAND(mask) == mask
+
+
+def _word(key: Column, n_words: int, seed: int) -> Column:
+    return F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(n_words)).cast("int")
+
+
+def _mask(key: Column, seed: int) -> Column:
+    """BITS bits of the key's word; some may fall together."""
+    places = F.xxhash64(F.lit(seed), key)
+    found = None
+    for k in range(BITS):
+        place = F.shiftrightunsigned(places, 6 * k).bitwiseAND(F.lit(63)).cast("int")
+        bit = F.call_function("shiftleft", F.lit(1).cast("long"), place)
+        found = bit if found is None else found.bitwiseOR(bit)
+    return found
 
 
 @dataclass
@@ -92,33 +99,42 @@ class Cascade:
         return listed
 
     def size(self) -> int:
-        return sum(8 * len(x.words) for x in self.levels)
+        return sum(8 * x.n_words for x in self.levels)
 
 
 def _level(keys: DataFrame, count: int, seed: int, room: int) -> Level:
-    hashes = max(1, round(-math.log2(RATE)))
-    n_words = max(1, math.ceil(count * hashes / math.log(2) / 64))
+    n_words = max(1, math.ceil(count / KEYS_A_WORD))
     if 8 * n_words > room:
         raise ValueError("the cascade outgrows its bound; judge() splits larger lists")
-    level = Level([0] * n_words, hashes, seed)
-    places = keys.select(F.explode(F.array(*level._places(F.col("key")))).alias("place"))
-    word = F.shiftright("place", 6).cast("int").alias("word")
-    bits = F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("place").bitwiseAND(F.lit(63)).cast("int"))).alias("bits")
-    for row in places.select(word, "place").groupBy("word").agg(bits).collect():  # at most MAX_BYTES / 8 rows
-        level.words[row.word] = row.bits
-    return level
+    set_by = keys.select(_word(F.col("key"), n_words, seed).cast("long").alias("at"), _mask(F.col("key"), seed).alias("bits"))
+    every = keys.sparkSession.range(n_words).select(F.col("id").alias("at"), F.lit(0).cast("long").alias("bits"))
+    words = set_by.unionByName(every).groupBy("at").agg(F.bit_or("bits").alias("bits"))
+    # One cell of at most MAX_BYTES.
+    row = words.agg(F.sort_array(F.collect_list(F.struct("at", "bits"))).alias("words")).select(F.col("words.bits").alias("words"))
+    return Level(written(row, "url-level"), n_words, seed)
+
 
+def distinct_keys(hosts: DataFrame, listed: Column | DataFrame) -> DataFrame:
+    """``key, listed``: each ``host`` once, as a written table; null hosts are in no list.
 
-def distinct_keys(universe: DataFrame) -> DataFrame:
-    """Each ``key`` once with its ``listed``, as a written table; null keys are in no list."""
-    return written(universe.where(F.col("key").isNotNull()).groupBy("key").agg(F.max("listed").alias("listed")), "url-keys")
+    ``listed`` is a predicate over ``host`` or a table with a column ``host``,
+    which meets the distinct hosts once, here.
+    """
+    keys = hosts.select("host").where(F.col("host").isNotNull()).distinct()
+    if isinstance(listed, Column):
+        keys = keys.select(F.col("host").alias("key"), F.coalesce(listed, F.lit(False)).alias("listed"))
+    else:
+        names = listed.select(F.col("host").cast("string").alias("name")).distinct()
+        keys = keys.join(names, F.col("host") == F.col("name"), "left").select(F.col("host").alias("key"), F.col("name").isNotNull().alias("listed"))
+    return written(keys, "url-keys")
 
 
-def build_cascade(keys: DataFrame, max_bytes: int = MAX_BYTES) -> Cascade:
+def build_cascade(keys: DataFrame, max_bytes: int | None = None) -> Cascade:
     """From ``key`` and ``listed``, each key once.
 
     Without listed keys the cascade has no level and lists nothing.
     """
+    max_bytes = max_bytes or MAX_BYTES
     cascade = Cascade()
     members = keys.where("listed").select("key")
     others = keys.where("not listed").select("key")
@@ -133,10 +149,9 @@ def build_cascade(keys: DataFrame, max_bytes: int = MAX_BYTES) -> Cascade:
 
 def parts_needed(listed: int, unlisted: int, max_bytes: int) -> int:
     """In how many parts by hash the keys must be judged for each part's cascade to keep its bound, with a fifth to spare."""
-    bits = round(-math.log2(RATE)) / math.log(2)
     # Each further level holds the false positives of the one before.
     keys = (listed + unlisted * RATE) / (1 - RATE)
-    return max(1, math.ceil(keys * bits / 8 / (0.8 * max_bytes)))
+    return max(1, math.ceil(keys * 8 / KEYS_A_WORD / (0.8 * max_bytes)))
 
 
 def rule_column(host: Column, path: Column, rules: list[Rule]) -> Column:
@@ -149,31 +164,40 @@ def rule_column(host: Column, path: Column, rules: list[Rule]) -> Column:
     return found
 
 
-def judge(pages: DataFrame, listed: Column, rules: list[Rule], max_bytes: int = MAX_BYTES) -> DataFrame:
+def judge(pages: DataFrame, listed: Column | DataFrame, rules: list[Rule], max_bytes: int | None = None) -> DataFrame:
     """``page_id, host, path, rule, verdict`` per row.
 
-    ``listed`` is a predicate over ``host`` that defines the block list on the
-    corpus's hosts. The longest fitting rule decides; else the cascade: block
-    if the host is listed, allow if not. Null URLs and those without ``://``
-    have empty host and path and are judged like any other. Rows that repeat
-    are judged each on its own, an empty table gives no rows, other columns are
-    not read.
+    ``listed`` defines the block list on the corpus's hosts: a predicate over
+    ``host``, null for no, or a table with a column ``host`` of lower-case host
+    names, where nulls and repeats do not matter. The longest fitting rule
+    decides; else the cascade: block if the host is listed, allow if not. Null
+    URLs and those without ``://`` have empty host and path and are judged like
+    any other. URLs of any length are read whole. Rows that repeat are judged
+    each on its own, an empty table gives no rows, other columns are not read.
     """
+    max_bytes = max_bytes or MAX_BYTES
     url = F.col("url").cast("string")
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), host_of(url).alias("host"), path_of(url).alias("path"))
-    keys = distinct_keys(rows.select(F.col("host").alias("key"), listed.alias("listed")))
+    keys = distinct_keys(rows, listed)
     counts = {r.listed: r["count"] for r in keys.groupBy("listed").count().collect()}  # two rows
     parts = parts_needed(counts.get(True, 0), counts.get(False, 0), max_bytes)
     if parts == 1:
         return _judged(rows, build_cascade(keys, max_bytes), rules)
-    path = shared_path(pages.sparkSession, "judged")
-    for part in range(parts):
-
-        def mine(name: str, part: int = part) -> Column:
-            return F.pmod(F.xxhash64(F.lit("part"), F.col(name)), F.lit(parts)) == part
-
-        _judged(rows.where(mine("host")), build_cascade(keys.where(mine("key")), max_bytes), rules).write.mode("append").parquet(path)
-    return pages.sparkSession.read.parquet(path)
+    spark, path = pages.sparkSession, shared_path(pages.sparkSession, "judged")
+
+    def dealt(table: DataFrame, name: str, column: str) -> str:
+        to = shared_path(spark, name)
+        part = F.pmod(F.xxhash64(F.lit("part"), F.col(column)), F.lit(parts))
+        table.withColumn("part", part).write.partitionBy("part").parquet(to)
+        return to
+
+    rows_at, keys_at = dealt(rows, "url-rows", "host"), dealt(keys, "url-parts", "key")
+    for part in spark.read.parquet(keys_at).select("part").distinct().collect():  # parts that have a key
+        mine = [spark.read.schema(t.schema).parquet(f"{at}/part={part.part}") for t, at in ((rows, rows_at), (keys, keys_at))]
+        _judged(mine[0], build_cascade(mine[1], max_bytes), rules).write.mode("append").parquet(path)
+    for left in (rows_at, keys_at):
+        delete(spark, left)
+    return spark.read.parquet(path)
 
 
 def _judged(rows: DataFrame, cascade: Cascade, rules: list[Rule]) -> DataFrame:

@@ -88,15 +88,49 @@ def test_urls_of_odd_rows(spark):
 
 
 def test_cascade_is_exact(spark, monkeypatch):
-    monkeypatch.setattr(url_cascade, "RATE", 1 / 4)  # many false positives, so several levels
+    monkeypatch.setattr(url_cascade, "KEYS_A_WORD", 20)  # many false positives, so several levels
     keys = spark.range(5000).select(F.concat(F.lit("host"), "id").alias("key"), (F.col("id") % 7 < 2).alias("listed"))
-    cascade = url_cascade.build_cascade(url_cascade.distinct_keys(keys.unionByName(keys.limit(9))))
+    cascade = url_cascade.build_cascade(keys)
     assert len(cascade.levels) > 2
     assert keys.where(cascade.contains(F.col("key")) != F.col("listed")).count() == 0
     with pytest.raises(ValueError):
         url_cascade.build_cascade(keys, max_bytes=64)
 
 
+def test_one_foreign_key_in_a_hundred_passes_a_level(spark):
+    keys = spark.range(20000).select(F.concat(F.lit("host"), "id").alias("key"), (F.col("id") < 4000).alias("listed"))
+    (first, *_) = url_cascade.build_cascade(keys).levels
+    passed = keys.where("not listed").where(first.passes(F.col("key"))).count()
+    assert passed < 16000 / 100 and first.n_words == 1000
+
+
+def test_no_filter_stands_in_the_plan(spark):
+    """A plan for 20,000 listed hosts is no longer than one for a few, and the filter is read once a level."""
+    sizes = []
+    for n in (10, 20_000):
+        pages = spark.range(2 * n).select(F.col("id").alias("page_id"), F.concat(F.lit("http://h"), "id", F.lit(".net/p")).alias("url"))
+        listed = spark.range(n).select(F.concat(F.lit("h"), "id", F.lit(".net")).alias("host"))
+        judged = url_cascade.judge(pages, listed, registry.RULES)
+        sizes.append(len(judged._jdf.queryExecution().toString()))
+        assert judged.where("verdict = 'block'").count() == n
+    assert sizes[1] < 3 * sizes[0]
+
+
+def test_block_lists_may_be_tables(spark):
+    df = spark.createDataFrame(URLS, "page_id long, url string, host string")
+    listed = spark.createDataFrame([("xcom",), ("xcom",), (None,), ("nowhere",), ("",)], "host string")
+    as_table = url_cascade.judge(df, listed, registry.RULES).collect()
+    as_predicate = url_cascade.judge(df, F.col("host").isin("xcom", "nowhere", ""), registry.RULES).collect()
+    assert sorted(map(str, as_table)) == sorted(map(str, as_predicate)) and any(r.verdict == "block" for r in as_table)
+    assert {r.verdict for r in url_cascade.judge(df, listed.limit(0), []).collect()} == {"allow"}
+
+
+def test_long_urls_are_read_whole(spark):
+    long = "http://Long.ORG/" + "a/" * 500_000 + "end?q"
+    (row,) = url_cascade.judge(spark.createDataFrame([(1, long)], "page_id long, url string"), F.lit(False), registry.RULES).collect()
+    assert (row.host, row.path) == ("long.org", long[15:-2]) and row.rule == "org/"
+
+
 def test_long_lists_are_judged_in_parts(spark):
     pages = spark.range(3000).select(F.col("id").alias("page_id"), F.concat(F.lit("http://h"), F.col("id") % 1500, F.lit(".net/p")).alias("url"))
     listed = F.substring(F.md5(F.col("host").cast("binary")), 1, 1).isin("0", "1", "2", "3")
