@@ -101,13 +101,13 @@ def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 TOP_K_SQL = """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::double)::bigint) AS vector FROM embeddings
+  SELECT vec_id, row_number() OVER () AS n, list_transform(embedding, lambda x: floor(1024 * x::double)::bigint) AS vector FROM embeddings
   WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), s AS (
-  SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(list_zip(q.vector, c.vector), lambda p: p[1] * p[2]))::bigint AS score
+  SELECT q.vec_id AS query_id, q.n, c.vec_id, list_sum(list_transform(list_zip(q.vector, c.vector), lambda p: p[1] * p[2]))::bigint AS score
   FROM v q JOIN v c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id
 ), r AS (
-  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s
+  SELECT *, row_number() OVER (PARTITION BY n ORDER BY score DESC, vec_id) AS rank FROM s
 )
 SELECT query_id, rank::integer AS rank, vec_id, score FROM r WHERE rank <= 10
 """

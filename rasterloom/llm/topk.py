@@ -1,40 +1,47 @@
-"""Exact top-k by inner product: threshold bounds over sorted lists, no random access.
-
-Every component of the candidates is a list sorted by value, read from the top
-for queries whose component is positive and from the bottom for negative ones.
-After reading to a depth, a candidate's score lies between two bounds: a
-component that was read counts as it is, one that was not counts as at most
-(for the upper bound) the last value read, or at least (for the lower one) the
-list's other end. Reading stops when few candidates have an upper bound that
-reaches the k-th best lower bound; only theirs are resolved into final scores.
-
-A task holds a block of candidates and keeps, for every query, the best k of
-all blocks it has read; later blocks are bounded by their k-th score. "Read and
-clipped at the last value" is an elementwise maximum, so the bounds of all
-queries against a block are matrix products.
+"""Exact top-k by inner product: no-random-access aggregation over sorted lists.
+
+The candidates are dealt into blocks. A block holds, for every component, its
+list: the rows' numbers and values from the largest value to the smallest. For a
+query each list is read from its best end, all to the same depth: from the top
+where the query's component is positive, from the bottom where it is negative.
+
+A candidate's score then lies between two bounds: components read count as
+they are; one not read counts as at most the last value read in its list (the
+upper bound) or at least the value at the list's far end (the lower bound).
+Candidates whose upper bound falls below the k-th best lower bound are out. When
+no more than k are left, no outsider can qualify, and the lists are read on only
+until the missing components of those that are left have come up, which resolves
+their scores. Nothing is ever looked up by row.
+
+Lists and queries are written once. The work is a grid of query blocks and runs
+of candidate blocks in one job; a task keeps, for every query, the best k of the
+blocks it has read, whose k-th score bounds the next ones.
 """
 
 from __future__ import annotations
 
+import struct
+import uuid
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from rasterloom.session import shared_path
+from rasterloom.session import delete, shared_path, written
+from rasterloom.sources import storage
 
-#: Queries sent to the executors at once; the rest follow in further passes.
-BLOCK_QUERIES = 1024
-#: Candidates whose lists are sorted together.
-BLOCK_ROWS = 8192
-#: Share of each list read before the bounds are looked at; the last is the whole list.
-DEPTHS = (0.15, 0.35, 1.0)
-#: Reading also stops when the candidates left are at most this share of the block.
-FEW = 0.10
+#: Components of a block of candidates and of a block of queries, and rows of it at most.
+BLOCK_VALUES, BLOCK_ROWS, BLOCK_QUERIES = 1 << 19, 8192, 1024
+#: Candidate blocks that a task reads for a query block at most.
+RUN_BLOCKS = 64
+#: Share of each list read at first; then the depth is doubled.
+FIRST_DEPTH = 1 / 8
+#: Queries that are read side by side.
+SIDE_BY_SIDE = 128
 
 
 class Best:
@@ -44,165 +51,260 @@ class Best:
         self.k = k
         self.scores: list[np.ndarray] = [np.empty(0, np.int64)] * queries
         self.ids: list[np.ndarray] = [np.empty(0, np.int64)] * queries
-        self.least = np.full(queries, -np.inf)
+        self.least: list[float] = [-np.inf] * queries
 
     def add(self, q: int, scores: np.ndarray, ids: np.ndarray) -> None:
         scores, ids = np.concatenate([self.scores[q], scores]), np.concatenate([self.ids[q], ids])
         order = np.lexsort((ids, -scores))[: self.k]
         self.scores[q], self.ids[q] = scores[order], ids[order]
         if len(order) == self.k:
-            self.least[q] = self.scores[q][-1]
+            self.least[q] = float(self.scores[q][-1])
 
 
-def search_block(queries: np.ndarray, query_ids: np.ndarray, rows: np.ndarray, row_ids: np.ndarray, best: Best) -> float:
-    """Add a block's rows to ``best``; the share of (query, row) scores that were resolved.
+@dataclass
+class Lists:
+    """A block: ``order[j]`` are row numbers and ``values[j]`` their component j, from the largest down."""
 
-    Integer-valued float64 matrices whose inner products are exact.
-    """
-    n = len(rows)
-    positive, negative = np.maximum(queries, 0), np.minimum(queries, 0)
-    ordered = np.sort(rows, axis=0)
-    open_, resolved = np.arange(len(queries)), 0
-    own = query_ids[:, None] == row_ids[None, :] if len(np.intersect1d(query_ids, row_ids)) else None
-    for depth in DEPTHS:
-        read = min(n, max(best.k + 1, int(np.ceil(n * depth))))
-        top, bottom = ordered[n - read], ordered[read - 1]
-        plus, minus = positive[open_], negative[open_]
-        upper = plus @ np.maximum(rows, top).T + minus @ np.minimum(rows, bottom).T
-        if own is not None:
-            upper[own[open_]] = -np.inf
-        bar, lower = best.least[open_], upper  # a list read to its end leaves nothing open
-        if read < n:
-            lower = plus @ np.where(rows >= top, rows, ordered[0]).T + minus @ np.where(rows <= bottom, rows, ordered[-1]).T
-            if own is not None:
-                lower[own[open_]] = -np.inf
-        if n > best.k:
-            bar = np.maximum(bar, np.partition(lower, n - best.k, axis=1)[:, n - best.k])
-        reach = upper >= bar[:, None]
-        counts = reach.sum(axis=1)
-        done = np.flatnonzero((counts <= max(best.k, FEW * n)) | (read == n))
-        for at in done:
-            q = open_[at]
-            left = np.flatnonzero(reach[at] & np.isfinite(upper[at]))
-            if len(left):
-                best.add(q, (rows[left] @ queries[q]).astype(np.int64), row_ids[left])
-                resolved += len(left)
-        open_ = np.delete(open_, done)
-        if len(open_) == 0:
-            break
-    return resolved / max(1, len(queries) * n)
+    ids: np.ndarray
+    order: np.ndarray
+    values: np.ndarray
 
+    def largest(self) -> int:
+        return max((abs(int(v)) for v in (self.values.min(), self.values.max())), default=0) if self.values.size else 0
 
-def _exact_kind(largest: float, width: int) -> type:
-    """float64 while every inner product fits its 53 bits, else Python integers."""
-    return np.float64 if largest * largest * max(1, width) < 2**53 else object
 
+def sorted_lists(ids: np.ndarray, rows: np.ndarray) -> Lists:
+    order = np.argsort(-rows, axis=0, kind="stable").T
+    values = np.take_along_axis(rows.T, order, axis=1)
+    return Lists(ids, np.ascontiguousarray(order), values)
 
-def _search(queries: dict[int, tuple[np.ndarray, np.ndarray]], k: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``queries``: by vector length, (ids, matrix of int64)."""
-    best = {width: Best(len(ids), k) for width, (ids, _) in queries.items()}
-    held: dict[int, list] = {width: [] for width in queries}
 
-    def flush(width: int) -> None:
-        ids = np.concatenate([i for i, _ in held[width]])
-        rows = np.concatenate([m for _, m in held[width]])
-        held[width] = []
-        query_ids, matrix = queries[width]
-        largest = max((int(np.abs(m).max()) if m.size else 0 for m in (rows, matrix)))
-        if _exact_kind(largest, width) is np.float64:
-            search_block(matrix.astype(np.float64), query_ids, rows.astype(np.float64), ids, best[width])
-            return
-        for q, vector in enumerate(matrix):  # components too large for exact bounds in 53 bits
-            scores = rows.astype(object) @ vector.astype(object)
-            other = ids != query_ids[q]
-            best[width].add(q, scores[other].astype(np.int64), ids[other])
+def search_lists(lists: Lists, queries: np.ndarray, query_ids: np.ndarray, best: Best, first: int = 0) -> np.ndarray:
+    """Adds a block's rows to the best of the queries, which are numbers ``first``.. of ``best``; the list entries read for each.
 
+    The queries of a call are read side by side, as they share the lists.
+    Values are integers in float64 whose sums are exact.
+    """
+    n, k = len(lists.ids), best.k
+    rising, falling = np.minimum(queries, 0), np.maximum(queries, 0)  # weights of lists read from the bottom, from the top
+    far = falling @ lists.values[:, -1] + rising @ lists.values[:, 0]
+    entries = np.zeros(len(queries), np.int64)
+    # Components known, by row; and whether a row has come up in a list read from the top, from the bottom.
+    known = np.zeros((n, len(queries)))
+    top, bottom = np.zeros((n, lists.order.shape[0])), np.zeros((n, lists.order.shape[0]))
+    going, depth = np.arange(len(queries)), 0
+    while len(going):
+        to = min(n, max(k + 1, int(n * FIRST_DEPTH)) if depth == 0 else 2 * depth)
+        for j, (rows, values) in enumerate(zip(lists.order, lists.values, strict=True)):
+            for weights, seen, part in ((falling, top, slice(depth, to)), (rising, bottom, slice(n - to, n - depth))):
+                if weights[going, j].any():
+                    known[rows[part]] += values[part, None] * weights[going, j]
+                seen[rows[part], j] = 1
+        depth = to
+        entries[going] = depth * np.count_nonzero(queries[going], axis=1)
+        left, lower = _bounds(lists, falling[going], rising[going], far[going], known, top, bottom, depth)
+        own = lists.ids[:, None] == query_ids[None, going]
+        left[own] = lower[own] = -np.inf
+        bar = np.array([best.least[first + q] for q in going])
+        if n >= k:
+            bar = np.maximum(bar, np.partition(lower, n - k, axis=0)[n - k])
+        left = (left >= bar) & ~own
+        done = (left.sum(axis=0) <= k) | (depth == n)
+        for at in np.flatnonzero(done):
+            q, rows = going[at], np.flatnonzero(left[:, at])
+            scores = known[rows, at]
+            if depth < n and len(rows):
+                entries[q] += _read_on(lists, queries[q], depth, rows, scores, np.where(queries[q] > 0, top[rows], bottom[rows]) == 0)
+            best.add(first + int(q), scores.astype(np.int64), lists.ids[rows])
+        if depth == n:
+            break
+        if done.any():
+            going, known = going[~done], np.ascontiguousarray(known[:, ~done])
+    return entries
+
+
+def _bounds(lists: Lists, falling: np.ndarray, rising: np.ndarray, far: np.ndarray, known: np.ndarray, top: np.ndarray, bottom: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """[row, query] upper and lower bounds: a component that has not come up is at most the last value read, at least the far end's."""
+    n = len(known)
+    if depth == n:
+        return known.copy(), known.copy()
+    last_top, last_bottom = lists.values[:, depth - 1], lists.values[:, n - depth]
+    most = falling @ last_top + rising @ last_bottom
+    upper = known + most - (top @ (falling * last_top).T + bottom @ (rising * last_bottom).T)
+    lower = known + far - (top @ (falling * lists.values[:, -1]).T + bottom @ (rising * lists.values[:, 0]).T)
+    return upper, lower
+
+
+def _read_on(lists: Lists, query: np.ndarray, depth: int, found: np.ndarray, scores: np.ndarray, missing: np.ndarray) -> int:
+    """Reads each list on until all rows found have come up in it; adds their products to ``scores``. The entries read."""
+    entries, n = 0, len(lists.ids)
+    place = np.full(n, -1)
+    for j in np.flatnonzero((query != 0) & missing.any(axis=0)):
+        rows, values = lists.order[j], lists.values[j]
+        if query[j] < 0:
+            rows, values = rows[::-1], values[::-1]
+        place[found] = np.where(missing[:, j], np.arange(len(found)), -1)
+        hits = depth + np.flatnonzero(place[rows[depth:]] >= 0)
+        scores[place[rows[hits]]] += query[j] * values[hits]
+        entries += int(hits[-1]) + 1 - depth
+    return entries
+
+
+def _exact_in_floats(largest: int, width: int) -> bool:
+    """Whether every inner product and the sums on the way to it fit the 53 bits of float64."""
+    return 2 * largest * max(1, width) < 2**53
+
+
+def _add_large(lists: Lists, query: np.ndarray, query_id: int, best: Best, q: int) -> None:
+    """Sums products of any size from the whole lists; a score outside 64 bits is an error."""
+    scores = np.zeros(len(lists.ids), object)
+    for j, factor in enumerate(query.tolist()):
+        scores[lists.order[j]] += factor * lists.values[j].astype(object)
+    other = lists.ids != query_id
+    best.add(q, scores[other].astype(np.int64), lists.ids[other])
+
+
+# Files of blocks: counts, the size of a value, then ids and arrays.
+_HEAD = "<QQB"
+
+
+def _write_lists(folder: str, ids: np.ndarray, rows: np.ndarray) -> str:
+    lists = sorted_lists(ids, rows)
+    small = np.int32 if lists.largest() < 2**31 else np.int64
+    uri = f"{folder}/lists-{uuid.uuid4().hex}"
+    with storage.create(uri) as out:
+        out.write(struct.pack(_HEAD, *rows.shape, np.dtype(small).itemsize))
+        for array in (ids.astype("<i8"), lists.order.astype("<u2"), lists.values.astype(small)):
+            out.write(np.ascontiguousarray(array).tobytes())
+    return uri
+
+
+def _read_lists(uri: str) -> Lists:
+    with storage.reopen(uri) as src:
+        n, width, size = struct.unpack(_HEAD, src.read(struct.calcsize(_HEAD)))
+        ids = np.frombuffer(src.read(8 * n), "<i8")
+        order = np.frombuffer(src.read(2 * n * width), "<u2").reshape(width, n).astype(np.intp)
+        values = np.frombuffer(src.read(size * n * width), f"<i{size}").reshape(width, n).astype(np.int64)
+    return Lists(ids, order, values)
+
+
+def _write_queries(folder: str, ids: np.ndarray, rows: np.ndarray) -> str:
+    uri = f"{folder}/queries-{uuid.uuid4().hex}"
+    with storage.create(uri) as out:
+        out.write(struct.pack(_HEAD, *rows.shape, 8) + ids.astype("<i8").tobytes() + np.ascontiguousarray(rows, "<i8").tobytes())
+    return uri
+
+
+def _read_queries(uri: str) -> tuple[np.ndarray, np.ndarray]:
+    with storage.reopen(uri) as src:
+        n, width, _ = struct.unpack(_HEAD, src.read(struct.calcsize(_HEAD)))
+        return np.frombuffer(src.read(8 * n), "<i8"), np.frombuffer(src.read(8 * n * width), "<i8").reshape(n, width)
+
+
+def _blocks(vectors: DataFrame, folder: str, most: int, write) -> DataFrame:
+    """``path, width, rows`` of block files of vectors of one length each, as a written table: what the job has committed."""
+
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
+
+        def flush(width: int) -> pa.RecordBatch:
+            ids, rows = (np.concatenate(c) for c in zip(*held.pop(width), strict=True))
+            return pa.RecordBatch.from_arrays([pa.array([x]) for x in (write(folder, ids, rows), width, len(ids))], names=["path", "width", "rows"])
+
+        for batch in batches:
+            ids, found = batch.column(0).to_numpy(), batch.column(1)
+            lengths = pa.compute.list_value_length(found).to_numpy()
+            for width in np.unique(lengths).tolist():
+                at = np.flatnonzero(lengths == width)
+                rows = found.take(pa.array(at)).flatten().to_numpy().reshape(len(at), width)
+                room = max(1, min(most, BLOCK_VALUES // max(1, width)))
+                done = 0
+                while done < len(at):
+                    free = room - sum(len(i) for i, _ in held.get(width, ()))
+                    held.setdefault(width, []).append((ids[at[done : done + free]], rows[done : done + free]))
+                    done += free
+                    if sum(len(i) for i, _ in held[width]) >= room:
+                        yield flush(width)
+        for width in list(held):
+            yield flush(width)
+
+    return written(vectors.select("vec_id", "vector").mapInArrow(make, "path string, width long, rows long"), "blocks")
+
+
+def _search(k: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        ids, vectors = batch.column(0).to_numpy(), batch.column(1)
-        lengths = pa.compute.list_value_length(vectors).to_numpy()
-        for width in set(lengths.tolist()) & set(queries):
-            at = np.flatnonzero(lengths == width)
-            rows = vectors.take(pa.array(at)).flatten().to_numpy().reshape(len(at), width)
-            for i in range(0, len(at), BLOCK_ROWS):
-                held[width].append((ids[at[i : i + BLOCK_ROWS]], rows[i : i + BLOCK_ROWS]))
-                if sum(len(x) for x, _ in held[width]) >= BLOCK_ROWS:
-                    flush(width)
-    for width in queries:
-        if held[width]:
-            flush(width)
-        query_ids = queries[width][0]
-        for q, (scores, ids) in enumerate(zip(best[width].scores, best[width].ids, strict=True)):
-            if len(ids):
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(ids), query_ids[q])), pa.array(ids), pa.array(scores)], names=["query_id", "vec_id", "score"])
-
-
-def _compact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held = list(batches)
-    if held:
-        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
-
-
-def query_blocks(queries: DataFrame, size: int = BLOCK_QUERIES) -> Iterator[dict[int, tuple[np.ndarray, np.ndarray]]]:
-    """Blocks of queries, streamed partition by partition."""
-    held: list = []
-
-    def block() -> dict[int, tuple[np.ndarray, np.ndarray]]:
-        by: dict[int, list] = {}
-        for r in held:
-            by.setdefault(len(r.vector), []).append(r)
-        return {w: (np.array([r.vec_id for r in rows]), np.array([r.vector for r in rows], np.int64).reshape(len(rows), w)) for w, rows in by.items()}
-
-    for row in queries.toLocalIterator():
-        held.append(row)
-        if len(held) == size:
-            yield block()
-            held = []
-    if held:
-        yield block()
+        for uri, paths in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            ids, queries = _read_queries(uri)
+            best = Best(len(ids), k)
+            largest = int(np.abs(queries).max()) if queries.size else 0
+            exact = queries.astype(np.float64)
+            for path in sorted(paths):
+                lists = _read_lists(path)
+                if _exact_in_floats(largest * lists.largest(), queries.shape[1]):
+                    lists = Lists(lists.ids, lists.order, lists.values.astype(np.float64))
+                    for first in range(0, len(ids), SIDE_BY_SIDE):
+                        some = slice(first, first + SIDE_BY_SIDE)
+                        search_lists(lists, exact[some], ids[some], best, first)
+                else:
+                    for q, vector in enumerate(queries):
+                        _add_large(lists, vector, ids[q], best, q)
+            for q, (scores, found) in enumerate(zip(best.scores, best.ids, strict=True)):
+                if len(found):
+                    columns = [pa.array([uri] * len(found)), pa.array(np.full(len(found), q)), pa.array(np.full(len(found), ids[q])), pa.array(found), pa.array(scores)]
+                    yield pa.RecordBatch.from_arrays(columns, names=["block", "q", "query_id", "vec_id", "score"])
 
 
 def integer_vectors(table: DataFrame, scale: int = 1024) -> DataFrame:
     """``vec_id, vector``: floor(scale * x) of each component as double, x as long.
 
     Vectors that are null or hold a null or non-finite component, and rows with
-    a null vec_id, take no part.
+    a null vec_id, take no part. A component outside 64 bits after scaling is an error.
     """
     vector = F.col("embedding").cast("array<double>")
     finite = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
     rows = table.where(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull()).where(finite)
-    return rows.select(F.col("vec_id").cast("long").alias("vec_id"), F.transform(vector, lambda x: F.floor(x * F.lit(float(scale)))).alias("vector"))
+
+    def scaled(x):
+        at = F.floor(x * F.lit(float(scale)))
+        return F.when(F.abs(x * F.lit(float(scale))) < F.lit(float(2**63)), at).otherwise(F.raise_error(F.lit("a component is outside 64 bits")))
+
+    return rows.select(F.col("vec_id").cast("long").alias("vec_id"), F.transform(vector, scaled).alias("vector"))
 
 
 def top_k(candidates: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
-    """``query_id, rank, vec_id, score``: the k best candidates of each query.
+    """``query_id, rank, vec_id, score``: the k best candidates of each query row.
 
     Both are tables of ``vec_id, vector`` (array of long). A query's own vec_id
     is no candidate. Scores that tie go to the smaller vec_id; candidates that
-    repeat are ranked each on its own; a query id that repeats is searched once,
-    with its smallest vector. A query only meets vectors of its own length. A
-    query without any candidate has no row; empty tables give none. A score outside
-    64 bits is an error.
-
-    Queries go out in blocks of ``BLOCK_QUERIES``, each a pass over the
-    candidates; a pass sends k rows per query and task to the final ranking.
+    repeat are ranked each on its own; query rows that share an id, with equal
+    or different vectors, are each searched and ranked on their own. A query only
+    meets vectors of its own length. A query without any candidate has no row;
+    empty tables give none. A score outside 64 bits is an error.
+
+    Candidates are sorted into lists once and queries written once; each query
+    block meets each run of candidate blocks in one task, which sends k rows per
+    query to the final ranking.
     """
     spark = candidates.sparkSession
-    queries = queries.groupBy("vec_id").agg(F.min("vector").alias("vector"))
-    found, path = None, None
-    for block in query_blocks(queries):
-        if found is not None:  # more than one pass: each is written, so that plans stay short
-            path = path or shared_path(spark, "top-k")
-            found.write.mode("append").parquet(path)
-        shared = spark.sparkContext.broadcast(cloudpickle.dumps(block))
-
-        def search(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            return _compact(_search(cloudpickle.loads(shared.value), k, batches))
-
-        found = candidates.select("vec_id", "vector").mapInArrow(search, "query_id long, vec_id long, score long")
-    if found is None:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    if path:
-        found.write.mode("append").parquet(path)
-        found = spark.read.parquet(path)
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    folder = shared_path(spark, "top-k")
+    lists = _blocks(candidates, folder, BLOCK_ROWS, _write_lists)
+    count = queries.count()
+    if count > 0:
+        queries = queries.repartition(-(-count // BLOCK_QUERIES))
+    asked = _blocks(queries, folder, BLOCK_QUERIES, _write_queries)
+    n_lists, n_asked = lists.count(), asked.count()
+    parallel = 2 * spark.sparkContext.defaultParallelism
+    runs = max(1, -(-n_lists // RUN_BLOCKS), min(n_lists, -(-parallel // max(1, n_asked))))
+    # Block files, not rows, are paired: each query block with each run of candidate blocks.
+    dealt = lists.select("width", F.col("path").alias("lists"), (F.row_number().over(Window.partitionBy("width").orderBy("path")) % runs).alias("run"))
+    every = asked.select("width", F.col("path").alias("queries"), F.explode(F.sequence(F.lit(0), F.lit(runs - 1))).alias("run"))
+    units = every.join(dealt, ["width", "run"]).groupBy("queries", "run").agg(F.collect_list("lists").alias("lists"))
+    units = units.select("queries", "lists").repartition(max(1, min(10_000, n_asked * runs)))
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _search(k, batches)
+
+    found = written(units.mapInArrow(search, "block string, q long, query_id long, vec_id long, score long"), "top-k-found")
+    delete(spark, folder)
+    order = Window.partitionBy("block", "q").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -141,33 +141,47 @@ def test_long_lists_are_judged_in_parts(spark):
 
 def brute_top(vectors, queries, k):
     out = []
-    for q in sorted(queries):
-        scores = sorted((-sum(a * b for a, b in zip(queries[q], v, strict=True)), i) for i, v in vectors if i != q and len(v) == len(queries[q]))
+    for q, vector in queries:
+        scores = sorted((-sum(a * b for a, b in zip(vector, v, strict=True)), i) for i, v in vectors if i != q and len(v) == len(vector))
         out += [(q, n + 1, i, -s) for n, (s, i) in enumerate(scores[:k])]
-    return out
+    return sorted(out)
 
 
 @pytest.mark.parametrize("rows,width,largest,k", [(700, 5, 50, 10), (300, 3, 1, 7), (40, 2, 10**9, 3), (5, 4, 9, 10)])
 def test_top_k_equals_brute_force(spark, monkeypatch, rows, width, largest, k):
+    """Ties, vectors of other lengths, and query rows that share an id with equal and different vectors."""
     monkeypatch.setattr(topk, "BLOCK_ROWS", 64)
     monkeypatch.setattr(topk, "BLOCK_QUERIES", 3)
     rng = random.Random(rows)
     vectors = [(i, [rng.randrange(-largest, largest + 1) for _ in range(width)]) for i in range(rows)]
-    vectors += [(rows + 1, vectors[0][1]), (rows + 2, [1])]  # a tie and a vector of another length
+    vectors += [(rows + 1, vectors[0][1]), (rows + 2, [1]), (0, vectors[0][1]), (0, vectors[3][1]), (7007, []), (14014, []), (21, [0] * width)]
     df = spark.createDataFrame(vectors, "vec_id long, vector array<bigint>")
-    queries = {i: v for i, v in vectors if i % 7 == 0}
-    got = [(r.query_id, r["rank"], r.vec_id, r.score) for r in topk.top_k(df, df.where("vec_id % 7 = 0"), k).orderBy("query_id", "rank").collect()]
-    assert got == brute_top(vectors, queries, k)
+    queries = [(i, v) for i, v in vectors if i % 7 == 0]
+    got = [(r.query_id, r["rank"], r.vec_id, r.score) for r in topk.top_k(df, df.where("vec_id % 7 = 0"), k).collect()]
+    assert sorted(got) == brute_top(vectors, queries, k)
 
 
-def test_reading_stops_early_on_clustered_vectors():
+def test_top_k_sql_with_repeated_query_ids(spark, tmp_path, duck):
+    import duckdb
+
+    rng = np.random.default_rng(1)
+    rows = [(int(i), [float(x) for x in rng.normal(size=8)]) for i in [*range(300), 100, 100, 200]]
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>").write.parquet(f"{tmp_path}/embeddings.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM read_parquet('{tmp_path}/embeddings.parquet/*.parquet')")
+    found = registry.op7_top_k(spark, str(tmp_path))
+    assert found.where("query_id = 100").count() == 30
+    same(found, con, registry.oracle_sql()["op7_top_k"])
+
+
+def test_reading_stops_early_where_few_rows_stand_out():
+    """Rows of very different lengths: the longest come first in all lists."""
     rng = np.random.default_rng(0)
-    centres = rng.normal(size=(20, 16)) * 300
-    rows = np.floor(centres[rng.integers(0, 20, 4000)] + rng.normal(size=(4000, 16)) * 20)
-    best = topk.Best(5, 10)
-    ids = np.arange(4000)
-    share = topk.search_block(rows[:5], ids[:5], rows, ids, best)
-    assert share < 0.5
+    norms = 50 * rng.pareto(1.0, size=(4000, 1)) + 1
+    rows = np.floor(norms * rng.uniform(0.9, 1.1, size=(4000, 16)) * rng.choice([-1, 1], size=16))
+    best, ids = topk.Best(5, 10), np.arange(4000)
+    read = topk.search_lists(topk.sorted_lists(ids, rows), rows[:5], ids[:5], best)
+    assert (read < 0.3 * rows.size).all()
     for q in range(5):
         scores = rows @ rows[q]
         scores[q] = -np.inf
@@ -175,6 +189,27 @@ def test_reading_stops_early_on_clustered_vectors():
         assert [(int(-s), int(i)) for s, i in want] == list(zip(best.scores[q].tolist(), best.ids[q].tolist(), strict=True))
 
 
+def test_only_entries_that_count_as_read_matter():
+    """Entries beyond those that were counted may hold any smaller values: nothing is looked up by row."""
+    rng = np.random.default_rng(4)
+    rows = np.floor(rng.normal(size=(2000, 1)) * 1000)
+    ids = np.arange(2000)
+    lists = topk.sorted_lists(ids, rows)
+    best, again = topk.Best(1, 10), topk.Best(1, 10)
+    (entries,) = topk.search_lists(lists, np.array([[3.0]]), np.array([-1]), best)
+    assert entries <= 250
+    spoiled = topk.Lists(ids, lists.order, lists.values.copy())
+    spoiled.values[0, entries:-1] = spoiled.values[0, -1]
+    topk.search_lists(spoiled, np.array([[3.0]]), np.array([-1]), again)
+    assert again.ids[0].tolist() == best.ids[0].tolist() and again.scores[0].tolist() == best.scores[0].tolist()
+
+
+def test_a_component_outside_64_bits_is_an_error(spark):
+    df = spark.createDataFrame([(0, [1e300])], "vec_id long, embedding array<double>")
+    with pytest.raises(Exception, match="64 bits"):
+        topk.integer_vectors(df).collect()
+
+
 def test_vectors_of_odd_rows(spark):
     rows = [(0, [0.5, -0.25]), (1, None), (2, [None, 1.0]), (3, [float("nan"), 1.0]), (4, [float("inf"), 1.0]), (None, [1.0, 1.0]), (5, [0.1, 0.2]), (5, [0.1, 0.2]), (6, [])]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumn("score", F.lit(1))
