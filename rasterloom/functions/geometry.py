@@ -78,3 +78,67 @@ def web_mercator(lon: Column, lat: Column) -> tuple[Column, Column]:
 def from_web_mercator(x: Column, y: Column) -> tuple[Column, Column]:
     radius = 6_378_137.0
     return F.degrees(x / radius), F.degrees(2 * F.atan(F.exp(y / radius)) - F.lit(1.5707963267948966))
+
+
+# WGS84 ellipsoid, UTM scale and offsets.
+_A, _FLATTENING, _SCALE, _FALSE_EAST, _FALSE_NORTH = 6_378_137.0, 1 / 298.257223563, 0.9996, 500_000.0, 10_000_000.0
+
+
+def _krueger() -> tuple[float, list[float], list[float], list[float]]:
+    """Rectifying radius and the series of the transverse Mercator projection: forward, inverse, conformal to geodetic latitude."""
+    n = _FLATTENING / (2 - _FLATTENING)
+    radius = _A / (1 + n) * (1 + n**2 / 4 + n**4 / 64)
+    alpha = [n / 2 - 2 * n**2 / 3 + 5 * n**3 / 16, 13 * n**2 / 48 - 3 * n**3 / 5, 61 * n**3 / 240]
+    beta = [n / 2 - 2 * n**2 / 3 + 37 * n**3 / 96, n**2 / 48 + n**3 / 15, 17 * n**3 / 480]
+    delta = [2 * n - 2 * n**2 / 3 - 2 * n**3, 7 * n**2 / 3 - 8 * n**3 / 5, 56 * n**3 / 15]
+    return radius, alpha, beta, delta
+
+
+def _meridian(zone: Column) -> Column:
+    return F.radians(zone * 6 - 183)
+
+
+def utm(zone: Column, south: Column, lon: Column, lat: Column) -> tuple[Column, Column]:
+    """Easting and northing in metres of a zone (1 to 60), by Krueger's series to the third order."""
+    radius, alpha, _, _ = _krueger()
+    n = _FLATTENING / (2 - _FLATTENING)
+    c = 2 * n**0.5 / (1 + n)
+    phi, lam = F.radians(lat), F.radians(lon) - _meridian(zone)
+    t = F.sinh(F.atanh(F.sin(phi)) - F.lit(c) * F.atanh(F.lit(c) * F.sin(phi)))
+    xi, eta = F.atan2(t, F.cos(lam)), F.atanh(F.sin(lam) / F.sqrt(1 + t * t))
+    north, east = xi, eta
+    for k, a in enumerate(alpha, 1):
+        north = north + F.lit(a) * F.sin(2 * k * xi) * F.cosh(2 * k * eta)
+        east = east + F.lit(a) * F.cos(2 * k * xi) * F.sinh(2 * k * eta)
+    return F.lit(_FALSE_EAST) + east * (_SCALE * radius), F.when(south, _FALSE_NORTH).otherwise(0.0) + north * (_SCALE * radius)
+
+
+def from_utm(zone: Column, south: Column, x: Column, y: Column) -> tuple[Column, Column]:
+    """Longitude and latitude of a place in a zone."""
+    radius, _, beta, delta = _krueger()
+    xi = (y - F.when(south, _FALSE_NORTH).otherwise(0.0)) / (_SCALE * radius)
+    eta = (x - _FALSE_EAST) / (_SCALE * radius)
+    xi1, eta1 = xi, eta
+    for k, b in enumerate(beta, 1):
+        xi1 = xi1 - F.lit(b) * F.sin(2 * k * xi) * F.cosh(2 * k * eta)
+        eta1 = eta1 - F.lit(b) * F.cos(2 * k * xi) * F.sinh(2 * k * eta)
+    chi = F.asin(F.sin(xi1) / F.cosh(eta1))
+    phi = chi
+    for k, d in enumerate(delta, 1):
+        phi = phi + F.lit(d) * F.sin(2 * k * chi)
+    return F.degrees(_meridian(zone) + F.atan2(F.sinh(eta1), F.cos(xi1))), F.degrees(phi)
+
+
+def _is_utm(srid: Column) -> Column:
+    return srid.between(32601, 32660) | srid.between(32701, 32760)
+
+
+def has_wgs84(srid: Column) -> Column:
+    """Whether ``to_wgs84`` knows the CRS: geographic, Web Mercator, UTM."""
+    return (srid == 4326) | (srid == 3857) | _is_utm(srid)
+
+
+def to_wgs84(srid: Column, x: Column, y: Column) -> tuple[Column, Column]:
+    """Longitude and latitude; null for a CRS that is not known."""
+    mercator, grid = from_web_mercator(x, y), from_utm(srid % 100, srid >= 32700, x, y)
+    return tuple(F.when(srid == 4326, v).when(srid == 3857, m).when(_is_utm(srid), g) for v, m, g in zip((x, y), mercator, grid, strict=True))

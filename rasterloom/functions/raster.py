@@ -36,6 +36,24 @@ def crs_units(srid: Column) -> Column:
     return unit
 
 
+# WKT of the CRS that footprints know.
+_WGS84 = 'GEOGCS["WGS 84",DATUM["WGS_1984",SPHEROID["WGS 84",6378137,298.257223563]],PRIMEM["Greenwich",0],UNIT["degree",0.0174532925199433],AUTHORITY["EPSG","4326"]]'
+_METRE = 'UNIT["metre",1],AXIS["Easting",EAST],AXIS["Northing",NORTH]'
+
+
+def crs_wkt(srid: Column) -> Column:
+    """WKT of WGS84, Web Mercator and the UTM zones; '' for any other."""
+    mercator = f'PROJCS["WGS 84 / Pseudo-Mercator",{_WGS84},PROJECTION["Mercator_1SP"],PARAMETER["central_meridian",0],PARAMETER["scale_factor",1],{_METRE},AUTHORITY["EPSG","3857"]]'
+    zone, south = srid % 100, srid >= 32700
+    grid = F.concat(
+        F.lit('PROJCS["WGS 84 / UTM zone '), zone.cast("string"), F.when(south, "S").otherwise("N"), F.lit(f'",{_WGS84},PROJECTION["Transverse_Mercator"],PARAMETER["latitude_of_origin",0],PARAMETER["central_meridian",'),
+        (zone * 6 - 183).cast("string"), F.lit('],PARAMETER["scale_factor",0.9996],PARAMETER["false_easting",500000],PARAMETER["false_northing",'), F.when(south, "10000000").otherwise("0"),
+        F.lit(f'],{_METRE},AUTHORITY["EPSG","'), srid.cast("string"), F.lit('"]]'),
+    )
+    in_zone = srid.between(32601, 32660) | srid.between(32701, 32760)
+    return F.when(srid == 4326, _WGS84).when(srid == 3857, mercator).when(in_zone, grid).otherwise("")
+
+
 def alpha(value: Column, least: Column, most: Column) -> Column:
     """Alpha is kept as it is; a constant one is opaque."""
     return F.when(least == most, 255).otherwise(value.cast("int"))

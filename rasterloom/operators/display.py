@@ -76,3 +76,17 @@ def skip_reason(
         ("too_flat_channels", float(np.mean([np.std(b[g]) if g.any() else 0.0 for b, g in zip(data, good, strict=True)])) * scale < min_band_std),
     ]
     return next((name for name, hit in checks if hit), "")
+
+
+def content(bands: np.ndarray, valid: np.ndarray, min_content: float, max_black: float = 0.40, max_white: float = 0.40) -> dict:
+    """Valid, non-zero, content, black and white shares of the first three bands; the rules of ``pixels.content_stats`` on one array."""
+    data, good = bands[:3], valid[:3]
+    if data.size == 0:
+        return {"valid_fraction": 0.0, "nonzero_fraction": 0.0, "content_fraction": 0.0, "black_fraction": 1.0, "white_fraction": 0.0, "mostly_empty": True}
+    safe = np.where(good, np.nan_to_num(data.astype(float), nan=0.0, posinf=0.0, neginf=0.0), 0.0)
+    full = float(np.iinfo(data.dtype).max) if data.dtype.kind in "ui" else 1.0 if safe.max() <= 1.5 else 255.0
+    margin = 2.0 * full / 255.0 if full <= 255 else 2.0
+    ok, black, white = (good & np.isfinite(data.astype(float))).all(axis=0), (np.abs(safe) <= margin).all(axis=0), (safe >= full - margin).all(axis=0)
+    shares = {"valid_fraction": ok, "nonzero_fraction": ~black, "content_fraction": ok & ~black & ~white, "black_fraction": black, "white_fraction": white}
+    out = {name: float(share.mean()) for name, share in shares.items()}
+    return out | {"mostly_empty": bool(out["content_fraction"] < min_content or out["black_fraction"] > max_black or out["white_fraction"] > max_white)}

@@ -13,6 +13,13 @@ TEXT = ("dominant", "confidence", "top_class", "second_class")
 NUMBERS = ("confidence_score", "top_score", "second_score", "margin")
 
 
+#: A tile's semantic payload, as far as label rows read it.
+SEMANTIC = (
+    "struct<bucket:string,dominant:string,confidence:string,confidence_score:double,top_class:string,top_score:double,second_class:string,second_score:double,margin:double,"
+    "top_detailed_class:string,detail_agrees:boolean,reasons:array<string>>"
+)
+
+
 def is_review(label: Column) -> Column:
     """Review, or no target class."""
     return ~F.coalesce(label.isin(*CLASSES), F.lit(False))

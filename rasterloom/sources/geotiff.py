@@ -1,120 +1,44 @@
-"""GeoTIFF files without native libraries: classic, uncompressed, one strip per band.
-
-The reader takes any classic TIFF header; pixels only where they are
-uncompressed strips with bands stored apart, which is what the writer makes.
-"""
+"""GeoTIFF files as tables: metadata at three depths, windows, band records, files from tiles."""
 
 from __future__ import annotations
 
 import struct
 import uuid
-from collections.abc import Iterator
+import zlib
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from rasterloom.sources import storage
+from rasterloom.functions import geometry, raster
+from rasterloom.sources import storage, tiff
 
-# Tag numbers and field types of the TIFF 6.0 and GeoTIFF formats.
-WIDTH, HEIGHT, BITS, COMPRESSION, PHOTOMETRIC, STRIP_OFFSETS, SAMPLES, ROWS_PER_STRIP, STRIP_COUNTS, PLANAR, SAMPLE_FORMAT = 256, 257, 258, 259, 262, 273, 277, 278, 279, 284, 339
-TRANSFORM_TAG, GEO_KEYS, NODATA = 34264, 34735, 42113
-SIZES = {1: ("B", 1), 2: ("s", 1), 3: ("H", 2), 4: ("I", 4), 5: ("II", 8), 6: ("b", 1), 8: ("h", 2), 9: ("i", 4), 11: ("f", 4), 12: ("d", 8)}
-KINDS = {1: "u", 2: "i", 3: "f"}
-GEOGRAPHIC_KEY, PROJECTED_KEY = 2048, 3072
+#: What a file that cannot be read raises.
+UNREADABLE = (OSError, ValueError, KeyError, TypeError, IndexError, OverflowError, struct.error, zlib.error)
+# Names that tools give the sample types.
+TYPE_NAMES = {"uint8": "Byte", "int8": "Int8", "uint16": "UInt16", "int16": "Int16", "uint32": "UInt32", "int32": "Int32", "uint64": "UInt64", "int64": "Int64", "float32": "Float32", "float64": "Float64"}
+DRIVER, DRIVER_NAME = "GTiff", "GeoTIFF"
+#: Mask flags: all valid, an alpha or mask band of the whole file, a no-data value.
+ALL_VALID, PER_DATASET, BY_NODATA = 1, 2, 8
 
 
-def write_tiff(array: np.ndarray, transform: list[float], srid: int, nodata: float | None = None) -> bytes:
+def write_tiff(array: np.ndarray, transform: list[float] | None, srid: int | None, nodata: float | None = None, layout: tiff.Layout = tiff.Layout(), **more) -> bytes:
     """Bytes of a file with the bands of ``array`` (bands, height, width) and the six affine numbers (x0, dx, rx, y0, ry, dy)."""
-    array = np.ascontiguousarray(array)
-    bands, height, width = array.shape
-    kind = {"u": 1, "i": 2, "f": 3}[array.dtype.kind]
-    x0, dx, rx, y0, ry, dy = transform
-    matrix = [dx, rx, 0.0, x0, ry, dy, 0.0, y0, 0.0, 0.0, 0.0, 0.0, 0.0, 0.0, 0.0, 1.0]
-    geographic = 4000 <= srid < 5000
-    keys = [1, 1, 0, 2, 1024, 0, 1, 2 if geographic else 1, GEOGRAPHIC_KEY if geographic else PROJECTED_KEY, 0, 1, srid]
-    size = height * width * array.dtype.itemsize
-    tags: list[tuple[int, int, list]] = [
-        (WIDTH, 4, [width]), (HEIGHT, 4, [height]), (BITS, 3, [array.dtype.itemsize * 8] * bands), (COMPRESSION, 3, [1]), (PHOTOMETRIC, 3, [1]),
-        (STRIP_OFFSETS, 4, [0] * bands), (SAMPLES, 3, [bands]), (ROWS_PER_STRIP, 4, [height]), (STRIP_COUNTS, 4, [size] * bands), (PLANAR, 3, [2]),
-        (SAMPLE_FORMAT, 3, [kind] * bands), (TRANSFORM_TAG, 12, matrix), (GEO_KEYS, 3, keys),
-    ]
-    if nodata is not None:
-        tags.append((NODATA, 2, [f"{nodata:.17g}".encode() + b"\0"]))
-    spare = 8 + 2 + 12 * len(tags) + 4
-
-    def packed(type_: int, values: list) -> bytes:
-        return values[0] if type_ == 2 else struct.pack("<" + SIZES[type_][0] * len(values), *values)
-
-    extra = sum(len(b) + len(b) % 2 for b in (packed(t, v) for _, t, v in tags) if len(b) > 4)
-    data_at = spare + extra
-    tags[5] = (STRIP_OFFSETS, 4, [data_at + size * b for b in range(bands)])
-    head, tail, at = struct.pack("<2sHIH", b"II", 42, 8, len(tags)), b"", spare
-    for tag, type_, values in tags:
-        raw = packed(type_, values)
-        count = len(raw) if type_ == 2 else len(values)
-        if len(raw) <= 4:
-            head += struct.pack("<HHI", tag, type_, count) + raw.ljust(4, b"\0")
-        else:
-            head += struct.pack("<HHII", tag, type_, count, at + len(tail))
-            tail += raw + b"\0" * (len(raw) % 2)
-    return head + struct.pack("<I", 0) + tail + array.astype(array.dtype.newbyteorder("<")).tobytes()
-
-
-def read_tags(raw: bytes) -> dict[int, tuple]:
-    """The first directory of a classic TIFF of either byte order."""
-    order = {b"II": "<", b"MM": ">"}[raw[:2]]
-    if struct.unpack_from(order + "H", raw, 2)[0] != 42:
-        raise ValueError("not a classic TIFF")
-    (at,) = struct.unpack_from(order + "I", raw, 4)
-    (n,) = struct.unpack_from(order + "H", raw, at)
-    tags = {}
-    for k in range(n):
-        tag, type_, count = struct.unpack_from(order + "HHI", raw, at + 2 + 12 * k)
-        if type_ not in SIZES:
-            continue
-        code, size = SIZES[type_]
-        where = at + 10 + 12 * k
-        if size * count > 4:
-            (where,) = struct.unpack_from(order + "I", raw, where)
-        tags[tag] = (raw[where : where + count],) if type_ == 2 else struct.unpack_from(order + code * count, raw, where)
-    return tags
-
-
-def header(raw: bytes) -> dict:
+    return tiff.encode(array, transform, srid, nodata, layout, **more)
+
+
+def header(src) -> dict:
     """Size, bands, type, transform, SRID and no-data value; transform and SRID are null where the file has none."""
-    tags = read_tags(raw)
-    bits, kind = tags.get(BITS, (1,))[0], KINDS[tags.get(SAMPLE_FORMAT, (1,))[0]]
-    keys, srid = tags.get(GEO_KEYS, ()), None
-    for k in range(4, len(keys) - 3, 4):
-        if keys[k] in (GEOGRAPHIC_KEY, PROJECTED_KEY):
-            srid = keys[k + 3]
-    m = tags.get(TRANSFORM_TAG)
-    nodata = tags.get(NODATA)
-    return {
-        "width": tags[WIDTH][0], "height": tags[HEIGHT][0], "count": tags.get(SAMPLES, (1,))[0], "dtype": np.dtype(f"{kind}{bits // 8}").name,
-        "transform": [m[3], m[0], m[1], m[7], m[4], m[5]] if m else None, "srid": srid, "nodata": float(nodata[0].rstrip(b"\0")) if nodata else None,
-    }
+    return header_of(tiff.parse(src))
 
 
-def read_window(src, raw_header: bytes, x: int, y: int, w: int, h: int, bands: list[int]) -> np.ndarray:
-    """Rows of the window only: memory grows with the window, not the file."""
-    tags, info = read_tags(raw_header), header(raw_header)
-    if tags.get(COMPRESSION, (1,))[0] != 1 or tags.get(PLANAR, (1,))[0] != 2 and info["count"] > 1:
-        raise ValueError("only uncompressed files with bands apart can be read here")
-    if x < 0 or y < 0 or w <= 0 or h <= 0 or x + w > info["width"] or y + h > info["height"]:
-        raise ValueError("window outside the raster")
-    kind = np.dtype(info["dtype"]).newbyteorder({b"II": "<", b"MM": ">"}[raw_header[:2]])
-    out = np.empty((len(bands), h, w), dtype=info["dtype"])
-    for n, band in enumerate(bands):
-        start = tags[STRIP_OFFSETS][band - 1]
-        for row in range(h):
-            src.seek(start + ((y + row) * info["width"] + x) * kind.itemsize)
-            out[n, row] = np.frombuffer(src.read(w * kind.itemsize), dtype=kind)
-    return out
+def header_of(found: tiff.Tiff) -> dict:
+    return {"width": found.width, "height": found.height, "count": found.count, "dtype": found.dtype().name, "transform": found.transform(), "srid": found.srid(), "nodata": found.nodata()}
 
 
-def write_tiles(tiles: DataFrame, path: str, height: int, width: int, srid: int, dtype: str = "float64") -> DataFrame:
+def write_tiles(tiles: DataFrame, path: str, height: int, width: int, srid: int, dtype: str = "float64", layout: tiff.Layout = tiff.Layout()) -> DataFrame:
     """``tile_id, path`` of one file per tile (tile_id, bands, transform), as written to the shared folder."""
     spark = tiles.sparkSession
 
@@ -125,7 +49,7 @@ def write_tiles(tiles: DataFrame, path: str, height: int, width: int, srid: int,
                 array = np.array(row["bands"], dtype=dtype).reshape(-1, height, width)
                 uri = f"{path}/files/{row['tile_id']}-{uuid.uuid4().hex}.tif"
                 with storage.create(uri) as out:
-                    out.write(write_tiff(array, row["transform"], srid))
+                    out.write(write_tiff(array, row["transform"], srid, layout=layout))
                 ids.append(row["tile_id"])
                 uris.append(uri)
             yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(uris)], names=["tile_id", "path"])
@@ -134,21 +58,22 @@ def write_tiles(tiles: DataFrame, path: str, height: int, width: int, srid: int,
     return spark.read.parquet(f"{path}/index")
 
 
-def read_headers(files: DataFrame, head_bytes: int = 1 << 16) -> DataFrame:
-    """Header rows of ``files`` (tile_id, path); a file that cannot be read gives an ``error`` and nulls."""
+def _per_file(files: DataFrame, schema: str, arrow: pa.Schema, rows_of: Callable[[object, tiff.Tiff], list[dict]]) -> DataFrame:
+    """``rows_of`` (open file, directories) for each of ``files`` (tile_id, path); a file that cannot be read gives one row with its ``error``."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
+            out = []
             for row in batch.to_pylist():
                 try:
                     with storage.reopen(row["path"]) as src:
-                        rows.append({"tile_id": row["tile_id"], **header(src.read(head_bytes)), "error": None})
-                except (OSError, ValueError, KeyError, struct.error) as failed:
-                    rows.append({"tile_id": row["tile_id"], "error": f"{type(failed).__name__}: {failed}"})
-            yield pa.RecordBatch.from_pylist(rows, schema=_HEADERS)
+                        found = [{**row, **r, "error": None} for r in rows_of(src, tiff.parse(src))]
+                except UNREADABLE as failed:
+                    found = [{**row, "error": f"{type(failed).__name__}: {failed}"}]
+                out += found
+            yield pa.RecordBatch.from_pylist(out, schema=arrow)
 
-    return files.select("tile_id", "path").mapInArrow(read, "tile_id string, width int, height int, count int, dtype string, transform array<double>, srid int, nodata double, error string")
+    return files.select("tile_id", "path").mapInArrow(read, schema)
 
 
 _HEADERS = pa.schema(
@@ -156,53 +81,197 @@ _HEADERS = pa.schema(
 )
 
 
-def read_windows(windows: DataFrame, head_bytes: int = 1 << 16) -> DataFrame:
-    """``tile_id, x, y, shape, values`` of windows (tile_id, path, x, y, w, h, bands)."""
+def read_headers(files: DataFrame) -> DataFrame:
+    """Header rows of ``files`` (tile_id, path); a file that cannot be read gives an ``error`` and nulls."""
+    schema = "tile_id string, width int, height int, count int, dtype string, transform array<double>, srid int, nodata double, error string"
+    return _per_file(files, schema, _HEADERS, lambda src, found: [header_of(found)])
+
+
+_MAP = pa.map_(pa.string(), pa.string())
+_GCP = pa.struct([("id", pa.string()), *((c, pa.float64()) for c in ("pixel", "line", "x", "y", "z"))])
+_BAND = pa.struct(
+    [("band", pa.int32()), ("dtype", pa.string()), ("block_size", pa.list_(pa.int32())), ("nodata", pa.float64()), ("description", pa.string()), ("unit", pa.string()), ("scale", pa.float64()), ("offset", pa.float64())]
+    + [("color_interpretation", pa.string()), ("overview_count", pa.int32()), ("mask_flags", pa.int32()), ("minmax", pa.list_(pa.float64())), ("metadata_domains", pa.map_(pa.string(), _MAP))]
+)
+_CORE = pa.schema(
+    [("tile_id", pa.string()), ("path", pa.string()), ("driver", pa.string()), ("driver_long_name", pa.string()), ("width", pa.int32()), ("height", pa.int32()), ("count", pa.int32()), ("srid", pa.int32())]
+    + [("transform", pa.list_(pa.float64())), ("dtype", pa.string()), ("dtypes", pa.list_(pa.string())), ("nodata", pa.list_(pa.float64())), ("block_shapes", pa.list_(pa.list_(pa.int32()))), ("overview_counts", pa.list_(pa.int32()))]
+    + [("dataset_tags", _MAP), ("image_structure", _MAP), ("subdatasets", _MAP), ("error", pa.string())]
+)
+_CORE_SQL = (
+    "tile_id string, path string, driver string, driver_long_name string, width int, height int, count int, srid int, transform array<double>, dtype string, dtypes array<string>, nodata array<double>, "
+    "block_shapes array<array<int>>, overview_counts array<int>, dataset_tags map<string,string>, image_structure map<string,string>, subdatasets map<string,string>, error string"
+)
+_EXTENDED = pa.schema([*_CORE, ("metadata_domains", pa.map_(pa.string(), _MAP)), ("bands", pa.list_(_BAND)), ("gcps", pa.list_(_GCP)), ("rpc", pa.list_(pa.float64())), ("geolocation", _MAP)])
+_EXTENDED_SQL = _CORE_SQL + (
+    ", metadata_domains map<string,map<string,string>>, bands array<struct<band:int,dtype:string,block_size:array<int>,nodata:double,description:string,unit:string,scale:double,offset:double,color_interpretation:string,"
+    "overview_count:int,mask_flags:int,minmax:array<double>,metadata_domains:map<string,map<string,string>>>>, gcps array<struct<id:string,pixel:double,line:double,x:double,y:double,z:double>>, rpc array<double>, geolocation map<string,string>"
+)
+
+
+def _domains(found: tiff.Tiff, sample: int | None) -> dict[str, dict[str, str]]:
+    """Metadata items without a role, by domain ('default' if they name none), of a band or of the file."""
+    out: dict[str, dict[str, str]] = {"default": {}}
+    for item in found.items():
+        if "role" not in item and item.get("sample") == (None if sample is None else str(sample)):
+            out.setdefault(item.get("domain") or "default", {})[item.get("name", "")] = item["value"]
+    return out
+
+
+def _core(src, found: tiff.Tiff) -> dict:
+    kind, n = TYPE_NAMES[found.dtype().name], found.count
+    tags = _domains(found, None)["default"]
+    for tag, name in ((tiff.DESCRIPTION, "TIFFTAG_IMAGEDESCRIPTION"), (tiff.SOFTWARE, "TIFFTAG_SOFTWARE"), (tiff.DATETIME, "TIFFTAG_DATETIME")):
+        if found.text(tag):
+            tags[name] = found.text(tag)
+    if found.transform():
+        tags["AREA_OR_POINT"] = "Point" if found.geo_keys().get(tiff.RASTER_TYPE_KEY) == tiff.POINT else "Area"
+    structure = {"INTERLEAVE": "BAND" if found.apart or n == 1 else "PIXEL"}
+    if found.compression() != "NONE":
+        structure["COMPRESSION"] = found.compression()
+    return {
+        "driver": DRIVER, "driver_long_name": DRIVER_NAME, "width": found.width, "height": found.height, "count": n, "srid": found.srid(), "transform": found.transform(), "dtype": kind, "dtypes": [kind] * n,
+        "nodata": [found.nodata()] * n, "block_shapes": [list(found.block)] * n, "overview_counts": [found.overviews()] * n, "dataset_tags": list(tags.items()), "image_structure": list(structure.items()), "subdatasets": [],
+    }
+
+
+def _extended(src, found: tiff.Tiff) -> dict:
+    roles = {(i.get("sample"), i.get("role")): i["value"] for i in found.items() if "role" in i}
+    flags = BY_NODATA if found.nodata() is not None else PER_DATASET if found.masked() else ALL_VALID
+    info, bands = header_of(found), []
+    for n, color in enumerate(found.colors()):
+
+        def role(name: str, n: int = n) -> str | None:
+            return roles.get((str(n), name))
+
+        bands.append(
+            {
+                "band": n + 1, "dtype": TYPE_NAMES[info["dtype"]], "block_size": list(found.block), "nodata": info["nodata"], "description": role("description") or "", "unit": role("unittype") or "",
+                "scale": float(role("scale")) if role("scale") else None, "offset": float(role("offset")) if role("offset") else None, "color_interpretation": color, "overview_count": found.overviews(),
+                "mask_flags": flags, "minmax": _extremes(src, found, n + 1), "metadata_domains": [(k, list(v.items())) for k, v in _domains(found, n).items()],
+            }
+        )
+    domains = _domains(found, None)
+    return {
+        **_core(src, found), "metadata_domains": [(k, list(v.items())) for k, v in domains.items()], "bands": bands, "gcps": found.control_points(),
+        "rpc": list(found.tags.get(tiff.RPC, ())), "geolocation": list(domains.get("GEOLOCATION", {}).items()),
+    }
+
+
+def read_metadata(files: DataFrame, mode: str = "core") -> DataFrame:
+    """Metadata of ``files`` (tile_id, path), a row each; a file that cannot be read gives its ``error``.
+
+    ``core``: format, size, CRS, transform, types, no-data values, blocks,
+    overviews, tags and the footprint in WGS84. ``extended`` (or ``ext``) adds
+    metadata domains, a record per band with its extremes, control points,
+    rational coefficients and geolocation; pixels are read in strips of rows.
+    ``full`` nests the same as ``dataset`` and ``bands``.
+    """
+    if mode not in ("core", "extended", "ext", "full"):
+        raise ValueError(f"unsupported mode: {mode}")
+    if mode == "core":
+        rows = _per_file(files, _CORE_SQL, _CORE, lambda src, found: [_core(src, found)])
+    else:
+        rows = _per_file(files, _EXTENDED_SQL, _EXTENDED, lambda src, found: [_extended(src, found)])
+    rows = with_footprint(rows.withColumn("crs_wkt", raster.crs_wkt(F.col("srid"))))
+    if mode != "full":
+        return rows
+    dataset = F.struct(
+        F.col("path").alias("description"), F.struct(F.col("driver").alias("short_name"), F.col("driver_long_name").alias("long_name")).alias("driver"), F.struct("width", "height", "count").alias("size"),
+        F.col("crs_wkt").alias("projection_wkt"), "transform", "metadata_domains", "subdatasets", "image_structure", "rpc", "geolocation", "gcps",
+    )
+    return rows.select("tile_id", "path", dataset.alias("dataset"), "bands", "error")
+
+
+def with_footprint(rows: DataFrame) -> DataFrame:
+    """Adds ``footprint_status, footprint_wgs84, minx_wgs84, miny_wgs84, maxx_wgs84, maxy_wgs84`` from transform, size and SRID.
+
+    The status is ``ok``, ``no georeference`` or ``unknown CRS``; without ``ok`` the footprint is ''.
+    """
+    known = geometry.has_wgs84(F.col("srid"))
+    status = F.when(F.col("transform").isNull() | F.col("srid").isNull(), "no georeference").when(~known, "unknown CRS").otherwise("ok")
+    at = [F.get("transform", F.lit(i)) for i in range(6)]
+    corners = []
+    for px, py in ((0, 0), (1, 0), (1, 1), (0, 1)):
+        x, y = geometry.to_geo(at, F.col("width") * px, F.col("height") * py)
+        corners.append(geometry.to_wgs84(F.col("srid"), x, y))
+    ring = F.concat_ws(",", *(F.format_string("%.8f %.8f", lon, lat) for lon, lat in (*corners, corners[0])))
+    rows = rows.withColumn("footprint_status", F.when(F.col("error").isNull(), status))
+    good = F.col("footprint_status") == "ok"
+    bounds = {
+        f"{name}_wgs84": F.when(good, pick(*(c[axis] for c in corners))) for name, pick, axis in (("minx", F.least, 0), ("miny", F.least, 1), ("maxx", F.greatest, 0), ("maxy", F.greatest, 1))
+    }
+    return rows.withColumns({"footprint_wgs84": F.when(good, F.concat(F.lit("SRID=4326;POLYGON(("), ring, F.lit("))"))).otherwise(""), **bounds})
+
+
+def read_windows(windows: DataFrame, fill: float | None = None) -> DataFrame:
+    """``tile_id, x, y, shape, dtype, values, masked, error`` of windows (tile_id, path, x, y, w, h, bands).
+
+    ``masked`` counts the pixels that hold the no-data value or no number;
+    ``fill`` takes their place if it is given. ``bands`` may be null for all. A
+    window that cannot be read gives its ``error``.
+    """
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
             for r in batch.to_pylist():
-                with storage.reopen(r["path"]) as src:
-                    array = read_window(src, src.read(head_bytes), r["x"], r["y"], r["w"], r["h"], r["bands"])
-                rows.append({"tile_id": r["tile_id"], "x": r["x"], "y": r["y"], "shape": list(array.shape), "values": array.reshape(-1).astype(float).tolist()})
+                row = {"tile_id": r["tile_id"], "x": r["x"], "y": r["y"]}
+                try:
+                    with storage.reopen(r["path"]) as src:
+                        found = tiff.parse(src)
+                        array = tiff.read_window(src, found, r["x"], r["y"], r["w"], r["h"], r["bands"])
+                    mask = invalid(array, found.nodata())
+                    values = array.astype(float)
+                    if fill is not None:
+                        values[mask] = fill
+                    row |= {"shape": list(array.shape), "dtype": array.dtype.name, "values": values.reshape(-1).tolist(), "masked": int(mask.sum())}
+                except UNREADABLE as failed:
+                    row |= {"error": f"{type(failed).__name__}: {failed}"}
+                rows.append(row)
             yield pa.RecordBatch.from_pylist(rows, schema=_WINDOWS)
 
-    return windows.select("tile_id", "path", "x", "y", "w", "h", "bands").mapInArrow(read, "tile_id string, x int, y int, shape array<int>, values array<double>")
+    return windows.select("tile_id", "path", "x", "y", "w", "h", "bands").mapInArrow(read, "tile_id string, x int, y int, shape array<int>, dtype string, values array<double>, masked long, error string")
 
 
-_WINDOWS = pa.schema([("tile_id", pa.string()), ("x", pa.int32()), ("y", pa.int32()), ("shape", pa.list_(pa.int32())), ("values", pa.list_(pa.float64()))])
+_WINDOWS = pa.schema(
+    [("tile_id", pa.string()), ("x", pa.int32()), ("y", pa.int32()), ("shape", pa.list_(pa.int32())), ("dtype", pa.string()), ("values", pa.list_(pa.float64())), ("masked", pa.int64()), ("error", pa.string())]
+)
 
 
-def read_band_records(files: DataFrame, head_bytes: int = 1 << 16, rows_at_once: int = 256) -> DataFrame:
-    """A record per band of ``files`` (tile_id, path): type, block size, no-data value and extremes of the
-    other pixels. Pixels are read in strips of rows, so memory does not grow with the file."""
+def invalid(array: np.ndarray, nodata: float | None) -> np.ndarray:
+    """Where there is no number or the no-data value."""
+    mask = ~np.isfinite(array) if array.dtype.kind == "f" else np.zeros(array.shape, bool)
+    return mask | (array == nodata) if nodata is not None and not np.isnan(nodata) else mask
 
-    def extremes(src, raw: bytes, info: dict, band: int) -> tuple[float | None, float | None]:
-        low = high = None
-        for y in range(0, info["height"], rows_at_once):
-            part = read_window(src, raw, 0, y, info["width"], min(rows_at_once, info["height"] - y), [band]).astype(float)
-            values = part[np.isfinite(part) & (part != info["nodata"] if info["nodata"] is not None else True)]
-            if values.size:
-                low = float(values.min()) if low is None else min(low, float(values.min()))
-                high = float(values.max()) if high is None else max(high, float(values.max()))
-        return low, high
 
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = []
-            for row in batch.to_pylist():
-                with storage.reopen(row["path"]) as src:
-                    raw = src.read(head_bytes)
-                    info, tags = header(raw), read_tags(raw)
-                    for band in range(1, info["count"] + 1):
-                        low, high = extremes(src, raw, info, band)
-                        rows.append({"tile_id": row["tile_id"], "band": band, "dtype": info["dtype"], "block_width": info["width"], "block_height": tags[ROWS_PER_STRIP][0], "nodata": info["nodata"], "minimum": low, "maximum": high})
-            yield pa.RecordBatch.from_pylist(rows, schema=_BAND_RECORDS)
+def _extremes(src, found: tiff.Tiff, band: int, rows_at_once: int = 256) -> list[float] | None:
+    """Least and greatest valid value of a band, read in strips of rows; null if there is none."""
+    low = high = None
+    for y in range(0, found.height, rows_at_once):
+        part = tiff.read_window(src, found, 0, y, found.width, min(rows_at_once, found.height - y), [band])
+        values = part[~invalid(part, found.nodata())]
+        if values.size:
+            least, most = float(values.min()), float(values.max())
+            low, high = (least, most) if low is None else (min(low, least), max(high, most))
+    return None if low is None else [low, high]
+
+
+def read_band_records(files: DataFrame) -> DataFrame:
+    """A record per band of ``files`` (tile_id, path): type, block size, no-data value and extremes of the other
+    pixels; a file that cannot be read gives one row with its ``error``."""
+
+    def records(src, found: tiff.Tiff) -> list[dict]:
+        info, out = header_of(found), []
+        for band in range(1, info["count"] + 1):
+            low, high = _extremes(src, found, band) or (None, None)
+            out.append({"band": band, "dtype": info["dtype"], "block_width": found.block[0], "block_height": found.block[1], "nodata": info["nodata"], "minimum": low, "maximum": high})
+        return out
 
-    return files.select("tile_id", "path").mapInArrow(read, "tile_id string, band int, dtype string, block_width int, block_height int, nodata double, minimum double, maximum double")
+    schema = "tile_id string, band int, dtype string, block_width int, block_height int, nodata double, minimum double, maximum double, error string"
+    return _per_file(files, schema, _BAND_RECORDS, records)
 
 
 _BAND_RECORDS = pa.schema(
-    [("tile_id", pa.string()), ("band", pa.int32()), ("dtype", pa.string()), ("block_width", pa.int32()), ("block_height", pa.int32()), ("nodata", pa.float64()), ("minimum", pa.float64()), ("maximum", pa.float64())]
+    [("tile_id", pa.string()), ("band", pa.int32()), ("dtype", pa.string()), ("block_width", pa.int32()), ("block_height", pa.int32()), ("nodata", pa.float64()), ("minimum", pa.float64()), ("maximum", pa.float64()), ("error", pa.string())]
 )

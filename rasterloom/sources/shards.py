@@ -5,10 +5,12 @@ from __future__ import annotations
 import hashlib
 import io
 import json
+import os
 import shutil
 import tarfile
 import uuid
 from collections.abc import Iterator
+from urllib.parse import urlparse
 
 import numpy as np
 import pyarrow as pa
@@ -35,11 +37,13 @@ def decode_npy(raw: bytes) -> np.ndarray:
 
 
 def has_room(path: str, incoming: int) -> bool:
-    """Whether a local disk keeps its reserve; other stores are not asked."""
+    """Whether the disk that ``path`` is on keeps its reserve; other stores are not asked."""
     if "://" in path and not path.startswith("file:"):
         return True
-    free = shutil.disk_usage("/").free
-    return free - int(incoming * DISK_FACTOR) >= min(DISK_RESERVE, free // 2)
+    where = os.path.abspath(urlparse(path).path if "://" in path else path.removeprefix("file:"))
+    while not os.path.exists(where):
+        where = os.path.dirname(where)
+    return shutil.disk_usage(where).free - int(incoming * DISK_FACTOR) >= DISK_RESERVE
 
 
 def _add(tar: tarfile.TarFile, name: str, payload: bytes) -> None:
@@ -81,6 +85,41 @@ def write_shards(tiles: DataFrame, path: str, height: int, width: int, variant:
     return dealt.mapInArrow(write, "shard long, path string, samples long")
 
 
+def write_tile_shards(tiles: DataFrame, path: str, shard_size: int = SHARD_SAMPLES) -> DataFrame:
+    """``tile_id, path`` of the shard each tile is in.
+
+    ``tiles`` has tile_id, shard, route ('' or the folder of a bucket), row_i,
+    col_i, ``layers`` (array of structs with suffix and payload) and ``record``
+    (JSON). The record gets its storage section here, where the shard's path is known.
+    """
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = (r for b in batches for r in b.to_pylist())
+        row = next(rows, None)
+        while row is not None:
+            place, ids = (row["route"], row["shard"]), []
+            folder = f"{path}/{row['route']}" if row["route"] else path
+            uri = f"{folder}/S{row['shard']:06d}-{uuid.uuid4().hex}.tar"
+            with storage.create(uri) as out, tarfile.open(fileobj=out, mode="w|") as tar:
+                while row is not None and (row["route"], row["shard"]) == place and len(ids) < shard_size:
+                    if not has_room(path, sum(len(x["payload"]) for x in row["layers"])):
+                        raise OSError(f"no room left for {uri}")
+                    names = [f"{row['tile_id']}.{x['suffix']}.npy" for x in row["layers"]]
+                    for name, layer in zip(names, row["layers"], strict=True):
+                        _add(tar, name, layer["payload"])
+                    record, json_name = json.loads(row["record"]), f"{row['tile_id']}.json"
+                    at = {"shard_uri": uri, "tile_uri": f"{uri}!/{row['tile_id']}", "tile_json_uri": f"{uri}!/{json_name}"}
+                    more = {"shard_path": uri.rsplit("/", 1)[-1], "tile_members": names, "tile_member_uris": [f"{uri}!/{n}" for n in names], "tile_json_member": json_name}
+                    _add(tar, json_name, json.dumps(record | at | {"tile_members": names, "storage": {**at, **more}}, sort_keys=True).encode())
+                    ids.append(row["tile_id"])
+                    row = next(rows, None)
+            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array([uri] * len(ids))], names=["tile_id", "path"])
+
+    slim = tiles.select("tile_id", "shard", "route", "row_i", "col_i", F.transform("layers", lambda x: F.struct(x["suffix"].alias("suffix"), x["payload"].alias("payload"))).alias("layers"), "record")
+    dealt = slim.repartition("route", "shard").sortWithinPartitions("route", "shard", "row_i", "col_i")
+    return dealt.mapInArrow(write, "tile_id string, path string")
+
+
 def iter_records(src) -> Iterator[tuple[dict, dict[str, bytes]]]:
     """(record, members) of each tile of an open tar; a listed member that is missing is an error."""
     held: dict[str, bytes] = {}

@@ -60,7 +60,7 @@ def reopen(uri: str) -> Iterator[BinaryIO]:
         from pyarrow import fs
 
         store, inner = fs.FileSystem.from_uri(uri)
-        with store.open_input_stream(inner) as src:
+        with store.open_input_file(inner) as src:
             yield src
         return
     with open(path, "rb") as src:

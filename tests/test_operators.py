@@ -190,20 +190,6 @@ def test_coverage_of_degenerate_boxes(spark):
     assert df.select(geometry.coverage(box, box)).first()[0] == 0
 
 
-@settings(max_examples=30, deadline=None)
-@given(st.integers(1, 4), st.integers(1, 9), st.integers(1, 9), st.sampled_from(["uint8", "uint16", "float32", "float64", "int16"]), st.sampled_from([4326, 32614]))
-def test_geotiff_round_trip(bands, height, width, dtype, srid):
-    array = (np.arange(bands * height * width) % 100).astype(dtype).reshape(bands, height, width)
-    raw = geotiff.write_tiff(array, [10.0, 0.5, 0.0, 20.0, 0.0, -0.5], srid, nodata=-1)
-    head = geotiff.header(raw)
-    assert (head["width"], head["height"], head["count"], head["dtype"], head["srid"], head["nodata"]) == (width, height, bands, dtype, srid, -1.0)
-    assert head["transform"] == [10.0, 0.5, 0.0, 20.0, 0.0, -0.5]
-    got = geotiff.read_window(io.BytesIO(raw), raw, 0, 0, width, height, list(range(1, bands + 1)))
-    assert (got == array).all()
-    with pytest.raises(ValueError):
-        geotiff.read_window(io.BytesIO(raw), raw, 0, 0, width + 1, height, [1])
-
-
 def test_unreadable_rasters_are_rows_with_an_error(spark, tmp_path):
     (tmp_path / "bad.tif").write_bytes(b"not a tiff")
     files = spark.createDataFrame([("a", str(tmp_path / "bad.tif")), ("b", str(tmp_path / "none.tif"))], "tile_id string, path string")
