@@ -185,3 +185,35 @@ def display_range(pixels: DataFrame, windows: int, low: float = 2.0, high: float
     chosen = pixels.where((F.col("ty") % step == 0) & (F.col("tx") % step == 0) & (nth < windows))
     v = finite(F.col("value"))
     return chosen.groupBy("band").agg(F.count(v).alias("n"), F.round(F.percentile(v, low / 100), 6).alias("lo"), F.round(F.percentile(v, high / 100), 6).alias("hi"))
+
+
+def downsample(pixels: DataFrame, factor: int, method: str = "average") -> DataFrame:
+    """``tile, band, oy, ox, value`` of blocks of ``factor`` by ``factor`` pixels.
+
+    ``average`` is the mean of a block's finite values, of cut ones at the edge
+    too; ``nearest`` the pixel whose centre lies nearest to the block's centre,
+    past it where two are, and the last one of a block that is cut before it.
+    """
+    if factor < 1 or method not in ("average", "nearest"):
+        raise ValueError("factor of 1 or more; average or nearest")
+    rows = pixels.withColumns({"oy": F.expr(f"py div {factor}"), "ox": F.expr(f"px div {factor}")})
+    if method == "average":
+        return rows.groupBy("tile", "band", "oy", "ox").agg(F.avg(finite(F.col("value"))).alias("value"))
+    size = pixels.groupBy("tile").agg(F.max("py").alias("last_y"), F.max("px").alias("last_x")) if factor > 1 else None
+    if size is None:
+        return rows.select("tile", "band", "oy", "ox", "value")
+    middle = factor // 2
+    rows = rows.join(size, "tile")
+    here = (F.col("py") == F.least(F.col("oy") * factor + middle, F.col("last_y"))) & (F.col("px") == F.least(F.col("ox") * factor + middle, F.col("last_x")))
+    return rows.where(here).select("tile", "band", "oy", "ox", "value")
+
+
+def masked_counts(pixels: DataFrame, masked: Column) -> DataFrame:
+    """``tile, band, masked_pixel_count, fully_masked``."""
+    return pixels.groupBy("tile", "band").agg(F.count_if(masked).alias("masked_pixel_count"), F.bool_and(masked).alias("fully_masked"))
+
+
+def max_distance(rows: DataFrame, group: str, distance: str) -> DataFrame:
+    """``max_distance`` and the number ``n`` of finite distances of each group."""
+    d = finite(F.col(distance))
+    return rows.groupBy(group).agg(F.max(d).alias("max_distance"), F.count(d).alias("n"))

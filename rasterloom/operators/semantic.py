@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from rasterloom.functions.scoring import clamp01
+
 REVIEW = "review"
 # Target classes in the order that breaks ties.
 CLASSES = ("structures", "roads", "vehicle_tracks", "trees", "grass", "dirt", "crops", "debris")
@@ -37,8 +39,27 @@ MEDIUM_SCORE, MEDIUM_MARGIN = 0.38, 0.035
 DETAIL_SCORE, DETAIL_MARGIN = 0.26, 0.04
 
 
-def threshold_table(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(THRESHOLDS, "class string, min_score double, min_margin double, max_second double")
+#: Rows of a table that is sent to every executor whole.
+BROADCAST_ROWS = 10_000
+
+
+def small(rows: DataFrame, most: int | None = None) -> DataFrame:
+    """``rows`` marked for a broadcast if they are few, looked at up to the bound; else left to the planner."""
+    most = most or BROADCAST_ROWS
+    return F.broadcast(rows) if rows.limit(most + 1).count() <= most else rows
+
+
+def threshold_table(spark: SparkSession, rules: dict[str, dict[str, float]] | None = None) -> DataFrame:
+    """``class, min_score, min_margin, max_second``; from a config's rules, where what a rule lacks is 0, or the built-in ones."""
+    rows = THRESHOLDS if rules is None else [(c, *(float(r.get(k, 0.0)) for k in ("min_score", "min_margin", "max_second_score"))) for c, r in rules.items()]
+    return spark.createDataFrame(rows, "class string, min_score double, min_margin double, max_second double")
+
+
+def class_score(scores: Column, top_class: Column, top_score: Column, name: str) -> Column:
+    """A class's score: from the map of scores, else the top score if it is the top class, else 0; between 0 and 1."""
+    top = F.when(top_class == name, F.coalesce(top_score, F.lit(0.0)))
+    has = F.coalesce(F.map_contains_key(scores, F.lit(name)), F.lit(False))
+    return clamp01(F.coalesce(F.when(has, F.coalesce(F.try_element_at(scores, F.lit(name)), F.lit(0.0))).otherwise(top), F.lit(0.0)))
 
 
 def detailed_table(spark: SparkSession) -> DataFrame:
@@ -61,13 +82,19 @@ def l2_normalize(vector: Column) -> Column:
 def prompt_logits(images: DataFrame, prompts: DataFrame, scale: float = 100.0) -> DataFrame:
     """``image_id, prompt_id, class, logit``: scaled cosine of every image with every prompt.
 
-    The prompts are a bank of fixed size (prompt_id, class, vector) that goes to
-    every executor; images (image_id, vector) are not shuffled.
+    The prompts (prompt_id, class, vector) go to every executor in blocks of
+    about BROADCAST_ROWS; images (image_id, vector) are not shuffled.
     """
     a = images.select("image_id", l2_normalize(F.col("vector")).alias("v"))
     b = prompts.select("prompt_id", "class", l2_normalize(F.col("vector")).alias("p"))
     dot = F.aggregate(F.zip_with("v", "p", lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
-    return a.crossJoin(F.broadcast(b)).select("image_id", "prompt_id", "class", (dot * scale).alias("logit"))
+    blocks = max(1, -(-prompts.count() // BROADCAST_ROWS))
+    out = None
+    for n in range(blocks):
+        part = b if blocks == 1 else b.where(F.pmod(F.xxhash64("prompt_id", "class"), F.lit(blocks)) == n)
+        rows = a.crossJoin(F.broadcast(part)).select("image_id", "prompt_id", "class", (dot * scale).alias("logit"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
 
 
 def class_logits(logits: DataFrame, top: int = 2) -> DataFrame:
@@ -87,7 +114,7 @@ def softmax(logits: DataFrame) -> DataFrame:
 def collapse(scores: DataFrame, detailed_to_class: DataFrame, how: str = "max") -> DataFrame:
     """``image_id, class, p`` from ``image_id, detailed, p``: the greatest (or the sum of) detailed
     scores of each class, renormalised; unknown detailed classes count as review."""
-    joined = scores.join(F.broadcast(detailed_to_class), "detailed", "left").withColumn("class", F.coalesce("class", F.lit(REVIEW)))
+    joined = scores.join(small(detailed_to_class), "detailed", "left").withColumn("class", F.coalesce("class", F.lit(REVIEW)))
     combined = joined.groupBy("image_id", "class").agg((F.max("p") if how == "max" else F.sum("p")).alias("s"))
     total = F.sum("s").over(Window.partitionBy("image_id"))
     return combined.select("image_id", "class", F.when(total > 0, F.col("s") / total).otherwise(0.0).alias("p"))
@@ -118,7 +145,7 @@ def triage(tops: DataFrame, details: DataFrame, thresholds: DataFrame) -> DataFr
     the details carry the class of their top entry.
     """
     d = details.select("image_id", F.col("top_class").alias("top_detail"), F.col("top_score").alias("detail_score"), F.col("margin").alias("detail_margin"))
-    rows = tops.join(d, "image_id", "left").join(F.broadcast(thresholds), tops["top_class"] == thresholds["class"], "left")
+    rows = tops.join(d, "image_id", "left").join(small(thresholds), tops["top_class"] == thresholds["class"], "left")
     weak = F.col("top_score") < MIN_TOP_SCORE
     tied = (F.col("top_score") < LOW_EVIDENCE) & (F.col("margin") < TIE_MARGIN)
     agrees = F.coalesce(F.col("top_detail") == F.col("top_class"), F.lit(False))
@@ -140,6 +167,26 @@ def triage(tops: DataFrame, details: DataFrame, thresholds: DataFrame) -> DataFr
     )
 
 
+def decide(scores: DataFrame, detailed: DataFrame, thresholds: DataFrame) -> DataFrame:
+    """``triage`` of raw scores: only target classes count, reasons carry their numbers, and an image
+    with no target class goes to review with ``no_real_class``.
+
+    ``scores`` has image_id, class, p; ``detailed`` the same of detailed scores, named by their class.
+    """
+    real = scores.where(F.col("class").isin(*CLASSES))
+    rows = triage(top_two(real), top_two(detailed), thresholds)
+    number = {"true_edge_low_evidence": F.format_string(f"true_edge_low_evidence:%.4f<{MIN_TOP_SCORE:.4f}", "top_score")}
+    number["true_edge_weak_tie"] = F.format_string(f"true_edge_weak_tie:score=%.4f<{LOW_EVIDENCE:.4f},margin=%.4f<{TIE_MARGIN:.4f}", "top_score", "margin")
+    reason = F.col("reason")
+    for name, text in number.items():
+        reason = F.when(F.col("reason") == name, text).otherwise(reason)
+    rows = rows.withColumns({"reasons": F.array(reason), "dominant": F.col("top_class")}).drop("reason")
+    none = scores.select("image_id").distinct().join(real.select("image_id").distinct(), "image_id", "left_anti")
+    blank = {"top_class": F.lit(REVIEW), "top_score": F.lit(0.0), "second_class": F.lit("none"), "second_score": F.lit(0.0), "margin": F.lit(0.0), "accepted": F.lit(False), "bucket": F.lit(REVIEW), "dominant": F.lit(REVIEW)}
+    blank |= {"confidence": F.lit("review"), "confidence_score": F.lit(0.0), "detail_agrees": F.lit(False), "reasons": F.array(F.lit("no_real_class: no evidence"))}
+    return rows.unionByName(none.withColumns(blank))
+
+
 def prefer_structures(scores: DataFrame, near: tuple[str, ...] = ("roads", "tracks", "dirt", "shadow", "mixed"), margin: float = 0.08, least: float = 0.22) -> DataFrame:
     """Where structures come within ``margin`` of a top class that is often confused with
     them, the two change places by 0.001; then scores are renormalised."""

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rasterloom.operators import masks
 from rasterloom.operators import pixels as px
 from rasterloom.plans.fixtures import PIXELS_SQL, pixels
 from rasterloom.plans.registry import Registry
@@ -74,8 +75,7 @@ def q_fill_mask(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("q_masked_count", _SCALED + " SELECT tile, band, count(*) - count(value) AS masked_pixel_count, count(value) = 0 AS fully_masked FROM s GROUP BY 1, 2")
 def q_masked_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    masked = F.col("value").isNull()
-    return _scaled(spark, sf_dir).groupBy("tile", "band").agg(F.count_if(masked).alias("masked_pixel_count"), F.bool_and(masked).alias("fully_masked"))
+    return px.masked_counts(_scaled(spark, sf_dir), F.col("value").isNull())
 
 
 @query("q_band_split", _P + " SELECT tile, 'T' || tile || '.RGB.b' || lpad(band::varchar, 2, '0') || '.npy' AS member, count(*) AS n, round(sum(value), 6) AS total FROM pixels GROUP BY 1, band")
@@ -134,69 +134,85 @@ def q_distance_rgb(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("q_max_distance", "SELECT l_suppkey AS shard, max(l_discount) AS max_distance, count(l_discount) AS n FROM lineitem GROUP BY 1")
 def q_max_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = px.finite(F.col("l_discount"))
-    return table(spark, sf_dir, "lineitem").groupBy(F.col("l_suppkey").alias("shard")).agg(F.max(d).alias("max_distance"), F.count(d).alias("n"))
+    rows = table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("shard"), F.col("l_discount").alias("distance"))
+    return px.max_distance(rows, "shard", "distance")
 
 
 @query("q_downsample_nearest", _P + " SELECT tile, band, py // 2 AS oy, px // 2 AS ox, value FROM pixels WHERE py % 2 = 1 AND px % 2 = 1")
 def q_downsample_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Factor two: the pixel whose centre lies nearest to (and past) the block's centre."""
-    rows = pixels(spark, sf_dir).where("py % 2 = 1 AND px % 2 = 1")
-    return rows.selectExpr("tile", "band", "py div 2 AS oy", "px div 2 AS ox", "value")
+    return px.downsample(pixels(spark, sf_dir), 2, "nearest")
 
 
 @query("q_downsample_average", _P + " SELECT tile, band, py // 2 AS oy, px // 2 AS ox, round(avg(value), 6) AS value FROM pixels GROUP BY 1, 2, 3, 4")
 def q_downsample_average(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pixels(spark, sf_dir).groupBy("tile", "band", F.expr("py div 2").alias("oy"), F.expr("px div 2").alias("ox")).agg(F.round(F.avg("value"), 6).alias("value"))
+    return px.downsample(pixels(spark, sf_dir), 2, "average").withColumn("value", F.round("value", 6))
 
 
-_MASK = _P + ", m AS (SELECT tile, py, px, floor(abs(value) * 20)::bigint AS object FROM pixels WHERE band = 1)"
+#: The objects of every band, each band as a tile of its own.
+_MASK = _P + ", m AS (SELECT tile * 4 + band - 1 AS tile, py, px, floor(abs(value) * 20)::bigint AS object FROM pixels)"
 
 
 def _mask(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pixels(spark, sf_dir).where("band = 1").select("tile", "py", "px", F.floor(F.abs("value") * 20).alias("object"))
+    return pixels(spark, sf_dir).select((F.col("tile") * 4 + F.col("band") - 1).alias("tile"), "py", "px", F.floor(F.abs("value") * 20).alias("object"))
 
 
 @query("q_mask_summary", _MASK + """, o AS (SELECT tile, object, count(*) AS n FROM m WHERE object > 0 GROUP BY 1, 2), a AS (SELECT tile, count(*) AS total FROM m GROUP BY 1)
   SELECT tile, count(object) AS objects, round(coalesce(sum(n), 0) / any_value(total), 6) AS foreground_fraction, coalesce(max(n), 0) AS largest FROM a LEFT JOIN o USING (tile) GROUP BY 1""")
 def q_mask_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    each = _mask(spark, sf_dir).groupBy("tile", "object").agg(F.count("*").alias("n"))
-    real = F.when(F.col("object") > 0, F.col("n"))
-    zero = F.lit(0).cast("long")
-    return each.groupBy("tile").agg(F.count(real).alias("objects"), F.round(F.coalesce(F.sum(real), zero) / F.sum("n"), 6).alias("foreground_fraction"), F.coalesce(F.max(real), zero).alias("largest"))
+    return masks.mask_summary(_mask(spark, sf_dir)).select("tile", "objects", F.round("foreground_fraction", 6).alias("foreground_fraction"), "largest")
 
 
 @query("q_mask_bbox", _MASK + " SELECT tile, object, greatest(min(px) - 1, 0) AS x0, greatest(min(py) - 1, 0) AS y0, least(max(px) + 1, 3) AS x1, least(max(py) + 1, 3) AS y1, count(*) AS area FROM m WHERE object > 0 GROUP BY 1, 2 HAVING count(*) / 16 >= 0.1")
 def q_mask_bbox(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Boxes of objects of at least a tenth of the tile, padded by one pixel and clipped."""
-    low, high = F.lit(0).cast("long"), F.lit(3).cast("long")
-    boxes = _mask(spark, sf_dir).where("object > 0").groupBy("tile", "object").agg(
-        F.greatest(F.min("px") - 1, low).alias("x0"), F.greatest(F.min("py") - 1, low).alias("y0"),
-        F.least(F.max("px") + 1, high).alias("x1"), F.least(F.max("py") + 1, high).alias("y1"), F.count("*").alias("area"),
-    )
-    return boxes.where(F.col("area") / 16 >= 0.1)
+    return masks.object_boxes(_mask(spark, sf_dir), 1, 4, 4, 0.1)
 
 
-@query("q_class_mask", _MASK + " SELECT tile, py, px, CASE WHEN object = 0 THEN 'background' WHEN (tile * 7 + object) % 10 < 3 THEN 'other' ELSE ['roads', 'trees', 'grass'][(object % 3 + 1)::integer] END AS class FROM m")
+@query("q_object_crops", _MASK + """, b AS (SELECT tile, object, greatest(min(px) - 1, 0) AS x0, greatest(min(py) - 1, 0) AS y0, least(max(px) + 1, 3) AS x1, least(max(py) + 1, 3) AS y1 FROM m WHERE object > 0 GROUP BY 1, 2)
+  SELECT b.tile, b.object, m.py - y0 AS y, m.px - x0 AS x, CASE WHEN m.object = b.object THEN m.object::double ELSE 128 END AS value FROM b JOIN m ON m.tile = b.tile AND m.px BETWEEN x0 AND x1 AND m.py BETWEEN y0 AND y1""")
+def q_object_crops(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every object cut out of its tile; here the object numbers are the picture."""
+    mask = _mask(spark, sf_dir)
+    picture = mask.select("tile", F.lit(1).alias("band"), "py", "px", F.col("object").cast("double").alias("value"))
+    return masks.object_crops(picture, mask, 4, 4, "masked", 1).drop("band")
+
+
+def _objects(mask: DataFrame) -> DataFrame:
+    rows = mask.where("object > 0").select("tile", "object").distinct()
+    name = F.get(F.array(F.lit("roads"), F.lit("trees"), F.lit("grass")), (F.col("object") % 3).cast("int"))
+    return rows.select("tile", "object", name.alias("class"), ((F.col("tile") * 7 + F.col("object")) % 10 / 10).alias("score"))
+
+
+_PAINTED = "SELECT tile, py, px, CASE WHEN object = 0 THEN 'background' WHEN (tile * 7 + object) % 10 < 3 THEN 'other' ELSE ['roads', 'trees', 'grass'][(object % 3 + 1)::integer] END AS class FROM m"
+
+
+@query("q_class_mask", _MASK + " " + _PAINTED)
 def q_class_mask(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each object's class painted on its pixels; ``other`` below the score floor."""
     mask = _mask(spark, sf_dir)
-    objects = mask.where("object > 0").select("tile", "object").distinct().select(
-        "tile", "object", F.get(F.array(F.lit("roads"), F.lit("trees"), F.lit("grass")), (F.col("object") % 3).cast("int")).alias("class"), ((F.col("tile") * 7 + F.col("object")) % 10 / 10).alias("score")
-    )
-    painted = mask.join(objects, ["tile", "object"], "left")
-    return painted.select("tile", "py", "px", F.when(F.col("class").isNull(), "background").when(F.col("score") < 0.3, "other").otherwise(F.col("class")).alias("class"))
+    return masks.paint_classes(mask, _objects(mask), 0.3)
+
+
+COLORS = {"roads": (200, 100, 50), "trees": (0, 128, 0), "grass": (120, 220, 80)}
+
+
+@query("q_class_overlay", _MASK + f", c AS ({_PAINTED}), k AS (SELECT tile, py, px, unnest([1, 2, 3]) AS band, class FROM c)" + """
+  SELECT tile, band, py, px, floor(CASE WHEN class = 'background' THEN 100 ELSE 55 + 0.45::double * CASE class WHEN 'roads' THEN [200, 100, 50][band] WHEN 'trees' THEN [0, 128, 0][band] WHEN 'grass' THEN [120, 220, 80][band] ELSE 0 END END)::integer AS value FROM k""")
+def q_class_overlay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class colors over an even grey picture."""
+    mask = _mask(spark, sf_dir)
+    painted = masks.paint_classes(mask, _objects(mask), 0.3)
+    colored = painted.select("tile", "py", "px", masks.class_color(F.col("class"), COLORS).alias("color"), (F.col("class") != "background").alias("foreground"))
+    grey = mask.select("tile", F.explode(F.array(F.lit(1), F.lit(2), F.lit(3))).alias("band"), "py", "px", F.lit(100.0).alias("value"))
+    return masks.overlay(grey, colored)
 
 
-@query("q_weighted_landcover", _MASK + """, o AS (SELECT tile, object % 3 AS c, count(*) / 16 AS f, ((tile * 7 + object) % 10) / 10.0::double AS s FROM m WHERE object > 0 GROUP BY tile, object),
+@query("q_weighted_landcover", _MASK + """, o AS (SELECT tile, object, object % 3 AS c, count(*) / 16 AS f, ((tile * 7 + object) % 10) / 10.0::double AS s FROM m WHERE object > 0 GROUP BY tile, object),
   k AS (SELECT tile, c, sum(f * s) AS w, sum(f) AS assigned FROM o GROUP BY 1, 2)
   SELECT tile, c AS class, round(assigned, 6) AS assigned_area_fraction, round(CASE WHEN sum(w) OVER (PARTITION BY tile) > 0 THEN w / sum(w) OVER (PARTITION BY tile) ELSE 0 END, 6) AS score FROM k""")
 def q_weighted_landcover(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Area-weighted class scores of a tile's objects, renormalised."""
-    from pyspark.sql.window import Window
-
-    objects = _mask(spark, sf_dir).where("object > 0").groupBy("tile", "object").agg((F.count("*") / 16).alias("f"))
-    score = (F.col("tile") * 7 + F.col("object")) % 10 / 10
-    by_class = objects.groupBy("tile", (F.col("object") % 3).alias("class")).agg(F.sum(F.col("f") * score).alias("w"), F.sum("f").alias("assigned"))
-    total = F.sum("w").over(Window.partitionBy("tile"))
-    return by_class.select("tile", "class", F.round("assigned", 6).alias("assigned_area_fraction"), F.round(F.when(total > 0, F.col("w") / total).otherwise(0.0), 6).alias("score"))
+    """Area-weighted class scores of a tile's objects, renormalised; here an object scores in one class."""
+    scores = _mask(spark, sf_dir).where("object > 0").groupBy("tile", "object").agg((F.count("*") / 16).alias("fraction"))
+    scores = scores.select("tile", "object", "fraction", (F.col("object") % 3).alias("class"), ((F.col("tile") * 7 + F.col("object")) % 10 / 10).alias("score"))
+    return masks.weighted_landcover(scores).select("tile", "class", F.round("assigned_area_fraction", 6).alias("assigned_area_fraction"), F.round("score", 6).alias("score"))

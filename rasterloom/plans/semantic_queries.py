@@ -40,7 +40,9 @@ def _collapsed(how: str, source: str = "dp") -> str:
 
 _TWO = f""", rk AS (SELECT image_id, class, p, row_number() OVER (PARTITION BY image_id ORDER BY p DESC, {_ORDER}, class) AS n FROM co),
   tt AS (SELECT image_id, max(CASE WHEN n = 1 THEN class END) AS top_class, max(CASE WHEN n = 1 THEN p END) AS top_score, coalesce(max(CASE WHEN n = 2 THEN class END), 'none') AS second_class, coalesce(max(CASE WHEN n = 2 THEN p END), 0) AS second_score FROM rk GROUP BY 1)"""
-_THRESHOLDS = "(VALUES " + ", ".join(str(t) for t in semantic.THRESHOLDS) + ") AS th(class, min_score, min_margin, max_second)"
+# Spelled out here, so that a wrong value in the operators is told.
+_THRESHOLDS = """(VALUES ('structures', 0.50, 0.08, 0.38), ('roads', 0.42, 0.06, 0.40), ('vehicle_tracks', 0.42, 0.06, 0.38), ('trees', 0.60, 0.07, 0.40),
+  ('grass', 0.45, 0.05, 0.42), ('dirt', 0.45, 0.05, 0.42), ('crops', 0.60, 0.06, 0.40), ('debris', 0.60, 0.04, 0.42)) AS th(class, min_score, min_margin, max_second)"""
 
 
 def _images(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -200,3 +202,23 @@ def q_label_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_sidecar_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept, review = labels.sidecars(written(_label_rows(spark, sf_dir), "label-rows"))
     return kept.select("tile_id", F.lit("labels").alias("sidecar"), "bucket").unionByName(review.select("tile_id", F.lit("review").alias("sidecar"), "bucket"))
+
+
+@query("q_triage_reasons", _TRIAGE + """ SELECT image_id, bucket, CASE WHEN reason = 'true_edge_low_evidence' THEN format('true_edge_low_evidence:{:.4f}<0.2600', top_score)
+  WHEN reason = 'true_edge_weak_tie' THEN format('true_edge_weak_tie:score={:.4f}<0.3400,margin={:.4f}<0.0200', top_score, margin) ELSE reason END AS reasons FROM z""")
+def q_triage_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw scores to decisions whose reasons carry the numbers."""
+    logits = written(_logits(spark, sf_dir), "logits")
+    detailed = _detailed(logits)
+    scores = semantic.collapse(detailed, semantic.detailed_table(spark))
+    details = detailed.join(F.broadcast(semantic.detailed_table(spark)), "detailed").select("image_id", "class", "p")
+    return semantic.decide(scores, details, semantic.threshold_table(spark)).select("image_id", "bucket", F.array_join("reasons", "|").alias("reasons"))
+
+
+@query("q_class_score", """SELECT p_partkey, CASE WHEN p_partkey % 3 = 0 THEN least(1, p_size / 40) WHEN p_partkey % 3 = 1 THEN 0.75 ELSE 0 END::double AS debris FROM part""")
+def q_class_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From the map where it has the class, else from the top class."""
+    n = F.col("p_partkey") % 3
+    scores = F.when(n == 0, F.create_map(F.lit("debris"), F.col("p_size") / 40)).otherwise(F.create_map(F.lit("roads"), F.lit(0.9)))
+    top = F.when(n == 1, "debris").otherwise("roads")
+    return table(spark, sf_dir, "part").select("p_partkey", semantic.class_score(scores, top, F.lit(0.75), "debris").alias("debris"))
