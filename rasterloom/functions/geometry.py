@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -98,35 +100,57 @@ def _meridian(zone: Column) -> Column:
     return F.radians(zone * 6 - 183)
 
 
+def _with(value: Column, then: Callable[[Column], Column]) -> Column:
+    """``then`` of a value that is computed once, however often it is used; keeps generated code small."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
 def utm(zone: Column, south: Column, lon: Column, lat: Column) -> tuple[Column, Column]:
     """Easting and northing in metres of a zone (1 to 60), by Krueger's series to the third order."""
     radius, alpha, _, _ = _krueger()
     n = _FLATTENING / (2 - _FLATTENING)
     c = 2 * n**0.5 / (1 + n)
-    phi, lam = F.radians(lat), F.radians(lon) - _meridian(zone)
-    t = F.sinh(F.atanh(F.sin(phi)) - F.lit(c) * F.atanh(F.lit(c) * F.sin(phi)))
-    xi, eta = F.atan2(t, F.cos(lam)), F.atanh(F.sin(lam) / F.sqrt(1 + t * t))
-    north, east = xi, eta
-    for k, a in enumerate(alpha, 1):
-        north = north + F.lit(a) * F.sin(2 * k * xi) * F.cosh(2 * k * eta)
-        east = east + F.lit(a) * F.cos(2 * k * xi) * F.sinh(2 * k * eta)
-    return F.lit(_FALSE_EAST) + east * (_SCALE * radius), F.when(south, _FALSE_NORTH).otherwise(0.0) + north * (_SCALE * radius)
+
+    def sphere(v: Column) -> Column:
+        t = F.sinh(F.atanh(F.sin(v["phi"])) - F.lit(c) * F.atanh(F.lit(c) * F.sin(v["phi"])))
+        return _with(t, lambda t: F.struct(F.atan2(t, F.cos(v["lam"])).alias("xi"), F.atanh(F.sin(v["lam"]) / F.sqrt(1 + t * t)).alias("eta")))
+
+    def plane(v: Column) -> Column:
+        north, east = v["xi"], v["eta"]
+        for k, a in enumerate(alpha, 1):
+            north = north + F.lit(a) * F.sin(2 * k * v["xi"]) * F.cosh(2 * k * v["eta"])
+            east = east + F.lit(a) * F.cos(2 * k * v["xi"]) * F.sinh(2 * k * v["eta"])
+        return F.struct(east.alias("east"), north.alias("north"))
+
+    place = F.struct(F.radians(lat).alias("phi"), (F.radians(lon) - _meridian(zone)).alias("lam"))
+    found = _with(_with(place, sphere), plane)
+    return F.lit(_FALSE_EAST) + found["east"] * (_SCALE * radius), F.when(south, _FALSE_NORTH).otherwise(0.0) + found["north"] * (_SCALE * radius)
 
 
 def from_utm(zone: Column, south: Column, x: Column, y: Column) -> tuple[Column, Column]:
     """Longitude and latitude of a place in a zone."""
     radius, _, beta, delta = _krueger()
-    xi = (y - F.when(south, _FALSE_NORTH).otherwise(0.0)) / (_SCALE * radius)
-    eta = (x - _FALSE_EAST) / (_SCALE * radius)
-    xi1, eta1 = xi, eta
-    for k, b in enumerate(beta, 1):
-        xi1 = xi1 - F.lit(b) * F.sin(2 * k * xi) * F.cosh(2 * k * eta)
-        eta1 = eta1 - F.lit(b) * F.cos(2 * k * xi) * F.sinh(2 * k * eta)
-    chi = F.asin(F.sin(xi1) / F.cosh(eta1))
-    phi = chi
-    for k, d in enumerate(delta, 1):
-        phi = phi + F.lit(d) * F.sin(2 * k * chi)
-    return F.degrees(_meridian(zone) + F.atan2(F.sinh(eta1), F.cos(xi1))), F.degrees(phi)
+
+    def sphere(v: Column) -> Column:
+        xi, eta = v["xi"], v["eta"]
+        for k, b in enumerate(beta, 1):
+            xi = xi - F.lit(b) * F.sin(2 * k * v["xi"]) * F.cosh(2 * k * v["eta"])
+            eta = eta - F.lit(b) * F.cos(2 * k * v["xi"]) * F.sinh(2 * k * v["eta"])
+        return F.struct(xi.alias("xi"), eta.alias("eta"))
+
+    def conformal(v: Column) -> Column:
+        return F.struct(F.atan2(F.sinh(v["eta"]), F.cos(v["xi"])).alias("lam"), F.asin(F.sin(v["xi"]) / F.cosh(v["eta"])).alias("chi"))
+
+    def geodetic(v: Column) -> Column:
+        phi = v["chi"]
+        for k, d in enumerate(delta, 1):
+            phi = phi + F.lit(d) * F.sin(2 * k * v["chi"])
+        return F.struct(v["lam"].alias("lam"), phi.alias("phi"))
+
+    north = y - F.when(south, _FALSE_NORTH).otherwise(0.0)
+    place = F.struct((north / (_SCALE * radius)).alias("xi"), ((x - _FALSE_EAST) / (_SCALE * radius)).alias("eta"))
+    found = _with(_with(_with(place, sphere), conformal), geodetic)
+    return F.degrees(_meridian(zone) + found["lam"]), F.degrees(found["phi"])
 
 
 def _is_utm(srid: Column) -> Column:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from rasterloom.functions import geometry
-from rasterloom.functions.text import VARIANT_PRIORITY
+from rasterloom.functions.text import VARIANT_PRIORITY, short_hash
 from rasterloom.operators.spatial import BOX
 
 EIGHT_BIT = ("byte", "uint8", "int8")
@@ -131,3 +131,32 @@ def bundle_summary(members: DataFrame) -> DataFrame:
             F.min("minx").alias("minx"), F.min("miny").alias("miny"), F.max("maxx").alias("maxx"), F.max("maxy").alias("maxy"),
         )
     )
+
+
+# The columns of the branches table.
+BRANCHES = ["metamosaic_id", "bundle_id", "date", "canonical_mosaic_id", "n_mosaics", "min_canonical_similarity", "members", *BOX]
+
+
+def branches(members: DataFrame, found: DataFrame) -> DataFrame:
+    """A row per bundle of ``greedy_bundles``, ordered by group and bundle: its canonical raster, which is
+    the best of its members, their number and sorted ids, the least coverage by it, their common date and box.
+
+    ``members`` is what the bundles were found in, ``group_id`` the metamosaic.
+    """
+    rows = found.select(F.col("group_id").alias("g"), F.col("mosaic_id").alias("m"), "bundle_no").join(members.withColumn("g", F.col("group_id").cast("string")).withColumn("m", F.col("mosaic_id")), ["g", "m"])
+    key = ["g", "bundle_no"]
+    best = rows.groupBy(*key).agg(F.max(F.struct(canonical_score().alias("s"), *(F.col(c).alias(f"c_{c}") for c in BOX))).alias("c"))
+    rows = rows.join(best, key)
+    cover = geometry.coverage(tuple(F.col(f"c.c_{c}") for c in BOX), tuple(F.col(c) for c in BOX))
+    dates = F.array_sort(F.collect_set(F.when(F.col("event_date") != "", F.col("event_date"))))
+    ends = (F.min("minx").alias("minx"), F.min("miny").alias("miny"), F.max("maxx").alias("maxx"), F.max("maxy").alias("maxy"))
+    out = rows.groupBy(*key, F.col("c.s.mosaic_id").alias("canonical_mosaic_id")).agg(
+        F.count("*").alias("n_mosaics"), F.min(cover).alias("min_canonical_similarity"), F.array_join(F.array_sort(F.collect_list("m")), ";").alias("members"),
+        F.when(F.size(dates) == 1, F.get(dates, F.lit(0))).otherwise("nodate").alias("date"), *ends,
+    )
+    out = out.withColumnRenamed("g", "metamosaic_id").withColumn("bundle_id", bundle_id(F.col("metamosaic_id"), F.col("canonical_mosaic_id")))
+    return out.select(*BRANCHES).orderBy("metamosaic_id", "bundle_id")
+
+
+def bundle_id(group: Column, canonical_mosaic_id: Column) -> Column:
+    return F.concat(F.lit("B"), short_hash(F.concat_ws("|", group, canonical_mosaic_id), 8))

@@ -119,3 +119,18 @@ def dotted(df: DataFrame) -> DataFrame:
                 yield F.col(path).alias(path.replace("`", "").replace(".", "__"))
 
     return df.select(*walk(df.schema, ""))
+
+
+# Default columns of the raster table and of the catalogue.
+MOSAIC_COLUMNS = ["mosaic_id", "uri", "uri_etag", "byte_size", "crs", "srid", "pixel_width", "pixel_height", "band_count", "dtype", "nodata", "footprint", "acquired_at", "created_at"]
+CATALOG_COLUMNS = ["uri", "mosaic_id", "pixel_width", "pixel_height", "band_count", "dtype", "crs"]
+
+
+def requested(rows: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """The columns asked for, in that order (MOSAIC_COLUMNS if none are named); null where the table has none. Others are not read."""
+    return rows.select(*(F.col(c) if c in rows.columns else F.lit(None).cast("string").alias(c) for c in columns or MOSAIC_COLUMNS))
+
+
+def stamped(rows: DataFrame) -> DataFrame:
+    """``created_at`` of this run in UTC, to the second."""
+    return rows.withColumn("created_at", F.date_format(F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss'Z'"))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rasterloom.functions import geometry
-from rasterloom.operators import bundles, spatial
+from rasterloom.operators import bundles, location, spatial
 from rasterloom.operators.components import connected_components
 from rasterloom.plans.fixtures import view, with_views
 from rasterloom.plans.registry import Registry
@@ -125,7 +125,7 @@ def q_canonical_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("q_canonical_clusters")
 def q_canonical_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bundles.greedy_bundles(_members(spark, sf_dir), threshold=0.5)
+    return bundles.greedy_bundles(_members(spark, sf_dir))
 
 
 @query("q_bundle_summary", _GROUPED + f""", ranked AS (SELECT *, {_RANK} AS n FROM members), c AS (SELECT * FROM ranked WHERE n = 1)
@@ -153,3 +153,19 @@ def q_missing_canonical_anti(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = view(spark, sf_dir, "mosaics")
     wanted = rows.select("mosaic_id", (F.col("mosaic_key") * 2).alias("k"))
     return wanted.join(rows.select(F.col("mosaic_key").alias("k")), "k", "left_anti").select("mosaic_id")
+
+
+@query("q_group_locations", _GROUPED + """ SELECT group_key, count(*) AS n_mosaics, string_agg(mosaic_id, ';' ORDER BY mosaic_id) AS members, round((min(minx) + max(maxx)) / 2, 6) AS location_lon, round((min(miny) + max(maxy)) / 2, 6) AS location_lat,
+  'bbox_center_unresolved' AS location_source, 'Site' || (group_key % 50) AS hint_location_name, 'Site' || (group_key % 50) AS display_name FROM members GROUP BY 1""")
+def q_group_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The full group summary; all of a group lie in one folder here."""
+    path = F.concat(F.lit("/drive/2025_01_02_Site"), (F.col("group_key") % 50).cast("string"), F.lit("/"), "mosaic_id")
+    rows = location.group_summary(grouped(spark, sf_dir).withColumn("path", path), "group_key")
+    return rows.select("group_key", "n_mosaics", "members", F.round("location_lon", 6).alias("location_lon"), F.round("location_lat", 6).alias("location_lat"), "location_source", "hint_location_name", "display_name")
+
+
+@query("q_branches")
+def q_branches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row per greedy bundle at the default coverage."""
+    members = written(_members(spark, sf_dir), "members")
+    return bundles.branches(members, written(bundles.greedy_bundles(members), "bundles"))

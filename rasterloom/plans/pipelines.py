@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rasterloom.functions import text
-from rasterloom.operators import bundles, spatial, tiling
+from rasterloom.operators import bundles, location, spatial, tiling
 from rasterloom.operators.components import connected_components
 from rasterloom.session import written
 
@@ -36,10 +36,11 @@ class Grouping:
     summary: DataFrame
     bundles: DataFrame
     manifest: DataFrame
+    branches: DataFrame
 
 
-def group_rasters(manifest: DataFrame, metadata: DataFrame, threshold: float = bundles.DEFAULT_COVERAGE, stem: str = "auto", cell: float = 2.5) -> Grouping:
-    """Overlap groups and canonical bundles.
+def group_rasters(manifest: DataFrame, metadata: DataFrame, threshold: float = bundles.DEFAULT_COVERAGE, stem: str = "auto", cell: float = 2.5, resolver: location.LocationResolver | None = None) -> Grouping:
+    """Overlap groups and canonical bundles, the groups' summary with where they lie, a branch per bundle.
 
     ``metadata`` has mosaic_id, a box, width, height, bands, dtype. Rasters
     without metadata stay in the manifest with blank assignments.
@@ -49,24 +50,23 @@ def group_rasters(manifest: DataFrame, metadata: DataFrame, threshold: float = b
     pairs = written(spatial.overlap_pairs(rows, "mosaic_id", cell), "pairs")
     roots = connected_components(pairs, "a", "b").select(F.col("node").alias("mosaic_id"), "root")
     members = rows.join(roots, "mosaic_id", "left").withColumn("root", F.coalesce("root", "mosaic_id"))
-    joined = F.array_join(F.sort_array(F.collect_list("mosaic_id")), "|")
-    hint = text.location_hint(F.col("path"))
-    named = members.withColumn("hint", hint["name"])
-    groups = named.groupBy("root").agg(joined.alias("joined"), F.count("*").alias("n_mosaics"), F.mode("hint", True).alias("hint"), *(f(c).alias(c) for f, c in zip((F.min, F.min, F.max, F.max), spatial.BOX, strict=True)))
-    name = F.lit(stem) if stem.lower() not in ("locale", "unknown", "auto") else F.when(F.col("hint") != "", F.col("hint")).otherwise("unknown")
-    groups = groups.withColumn("metamosaic_alias", text.short_hash(F.col("joined")))
-    groups = written(groups.withColumn("metamosaic_id", F.concat(F.lit("MM_"), F.upper(text.slug(name)), F.lit("_"), "metamosaic_alias")), "groups")
+    groups = location.group_summary(members, "root", resolver).withColumn("metamosaic_alias", text.short_hash(F.replace("members", F.lit(";"), F.lit("|"))))
+    named = F.col("hint_location_name")
+    name = F.lit(stem) if stem.lower() not in ("locale", "unknown", "auto") else F.when(named != "", named).otherwise("unknown")
+    groups = groups.withColumn("metamosaic_id", F.concat(F.lit("MM_"), F.upper(text.slug(name)), F.lit("_"), "metamosaic_alias"))
+    groups = written(groups, "groups")
     members = members.join(groups.select("root", "metamosaic_id", "metamosaic_alias"), "root").withColumn("group_id", F.col("metamosaic_id"))
     members = written(members, "members")
     found = written(bundles.greedy_bundles(members, threshold), "bundles")
     ids = found.select("group_id", "bundle_no", "canonical_mosaic_id").distinct()
-    ids = ids.withColumn("bundle_id", F.concat(F.lit("B"), text.short_hash(F.concat_ws("|", "group_id", "canonical_mosaic_id"), 8)))
+    ids = ids.withColumn("bundle_id", bundles.bundle_id(F.col("group_id"), F.col("canonical_mosaic_id")))
     found = found.join(ids, ["group_id", "bundle_no", "canonical_mosaic_id"])
     assigned = members.select("mosaic_id", "metamosaic_id", "metamosaic_alias").join(found.select("mosaic_id", "bundle_id", "canonical_mosaic_id"), "mosaic_id")
     enriched = manifest.join(assigned, "mosaic_id", "left")
     enriched = enriched.withColumns({c: F.coalesce(c, F.lit("")) for c in ("metamosaic_id", "metamosaic_alias", "bundle_id", "canonical_mosaic_id")})
     crossing = pairs.join(members.select(F.col("mosaic_id").alias("a"), "metamosaic_id"), "a").select(F.col("a").alias("mosaic_a"), F.col("b").alias("mosaic_b"), "metamosaic_id")
-    return Grouping(members, crossing, groups, found, enriched)
+    summary = groups.drop("root").orderBy("metamosaic_id")
+    return Grouping(members, crossing, summary, found, enriched, bundles.branches(members, found))
 
 
 def plan_tiles(grouping: Grouping, tile: int = 512, stride: int = 512) -> DataFrame:

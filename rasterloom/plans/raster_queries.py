@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,7 +11,7 @@ from rasterloom.plans.fixtures import PIXELS_SQL, pixels, view, with_views
 from rasterloom.plans.registry import Registry
 from rasterloom.plans.shard_queries import _tiles
 from rasterloom.session import shared_path, table
-from rasterloom.sources import export, shards
+from rasterloom.sources import export, geotiff, shards, tiff
 
 REGISTRY = Registry()
 query = REGISTRY.query
@@ -97,27 +96,26 @@ def q_identical_members(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("shape", "dtype", "n", F.regexp_extract("first_member", r"^T(\d+)", 1).cast("long").alias("least"))
 
 
-@query("q_stitch", _P + " SELECT 'M' || tile // 4 AS mosaic_id, (max(tile // 2 % 2) * 4 + 4)::integer AS height, (max(tile % 2) * 4 + 4)::integer AS width, count(DISTINCT tile) AS tiles, round(sum(value), 6) AS total FROM pixels WHERE band = 1 GROUP BY tile // 4")
-def q_stitch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Four tiles in a row make a raster of two by two."""
-    band = F.transform(F.sort_array(F.collect_list(F.struct("py", "px", "value"))), lambda e: e["value"])
-    rows = pixels(spark, sf_dir).where("band = 1").groupBy("tile").agg(band.alias("values"))
-    rows = rows.selectExpr("concat('M', cast(tile div 4 as string)) as mosaic_id", "cast(tile % 2 * 4 as int) as x", "cast((tile div 2) % 2 * 4 as int) as y", "4 as w", "4 as h", "values")
-    stitched = resample.stitch(rows)
-
-    @F.arrow_udf("double")
-    def total(raw):
-        import pyarrow as pa
+def _two_by_two(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four tiles in a row make a raster of two by two, in all bands."""
+    return _tiles(spark, sf_dir).selectExpr("concat('M', cast(tile div 4 as string)) as mosaic_id", "cast(tile % 2 * 4 as int) as x", "cast((tile div 2) % 2 * 4 as int) as y", "4 as w", "4 as h", "bands")
 
-        return pa.array([float(np.nansum(np.frombuffer(b.as_py(), "<f8"))) for b in raw])
 
-    return stitched.select("mosaic_id", "height", "width", "tiles", F.round(total("pixels"), 6).alias("total"))
+@query("q_stitch", _P + " SELECT 'M' || tile // 4 AS mosaic_id, max(tile // 2 % 2) * 4 + 4 AS height, max(tile % 2) * 4 + 4 AS width, 4 AS bands, count(DISTINCT tile) AS tiles, round(sum(value), 6) AS total FROM pixels GROUP BY tile // 4")
+def q_stitch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tiles to whole rasters in GeoTIFF files, strip by strip, and read back."""
+    path = shared_path(spark, "stitched")
+    made = resample.write_stitched(resample.stitch(_two_by_two(spark, sf_dir), 3), path, [0.0, 1.0, 0.0, 0.0, 0.0, -1.0], 4326)
+    files = made.select(F.col("mosaic_id").alias("tile_id"), "path", F.lit(0).alias("x"), F.lit(0).alias("y"), F.col("width").alias("w"), F.col("height").alias("h"), F.lit(None).cast("array<int>").alias("bands"))
+    total = F.aggregate(F.filter("values", lambda v: ~F.isnan(v)), F.lit(0.0), lambda s, v: s + v)
+    rows = geotiff.read_windows(files).select(F.col("tile_id").alias("mosaic_id"), F.round(total, 6).alias("total"))
+    return made.join(rows, "mosaic_id").select("mosaic_id", F.col("height").cast("long").alias("height"), F.col("width").cast("long").alias("width"), "bands", "tiles", "total")
 
 
-@query("q_path_lookup", with_views("manifest") + ", wanted AS (SELECT concat('/drive/2025_', lpad(cast(1 + l_partkey % 12 as string), 2, '0')) AS head, l_partkey FROM lineitem WHERE l_linenumber = 1) SELECT DISTINCT m.path, m.mosaic_key FROM manifest m JOIN wanted ON m.mosaic_key = l_partkey AND starts_with(m.path, head)")
+@query("q_path_lookup", with_views("manifest") + ", wanted AS (SELECT concat('/drive/2025_', lpad(cast(1 + l_partkey % 12 as string), 2, '0')) AS head, l_partkey FROM lineitem) SELECT DISTINCT m.path, m.mosaic_key FROM manifest m JOIN wanted ON m.mosaic_key = l_partkey AND starts_with(m.path, head)")
 def q_path_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Requested paths to their catalogue records, by equality on the path."""
-    wanted = table(spark, sf_dir, "lineitem").where("l_linenumber = 1").select(F.col("l_partkey").alias("mosaic_key"))
+    wanted = table(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("mosaic_key"))
     records = view(spark, sf_dir, "manifest").select("path", "mosaic_key")
     requested = records.join(wanted, "mosaic_key", "left_semi").select("path")
     return records.join(requested.distinct(), "path")
@@ -152,9 +150,92 @@ def q_unary_label(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("q_band_records", _P + " SELECT 'T' || lpad(tile::varchar, 6, '0') AS tile_id, band::integer AS band, 'float64' AS dtype, 4 AS block_width, 4 AS block_height, round(min(value), 9) AS minimum, round(max(value), 9) AS maximum FROM pixels GROUP BY 1, 2")
 def q_band_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Extended metadata: a record per band of every file, with its extremes."""
-    from rasterloom.sources import geotiff
-
     grid = F.array(*(F.lit(v) for v in (0.0, 1.0, 0.0, 0.0, 0.0, -1.0)))
     files = geotiff.write_tiles(_tiles(spark, sf_dir).select("tile_id", "bands", grid.alias("transform")), shared_path(spark, "tiffs"), 4, 4, 4326)
     rows = geotiff.read_band_records(files)
     return rows.select("tile_id", "band", "dtype", "block_width", "block_height", F.round("minimum", 9).alias("minimum"), F.round("maximum", 9).alias("maximum"))
+
+
+#: Tiled, compressed, bands together, big, the directory last: unlike our own plain files in all.
+_OTHER = tiff.Layout(tile=16, together=True, compress="DEFLATE", big=True, at_end=True)
+
+
+def _files(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One file per tile in a UTM zone, laid out as ``_OTHER``."""
+    east, north = F.lit(500_000.0) + F.col("tile") * 10, F.lit(4_000_000.0)
+    grid = F.array(east, F.lit(10.0), F.lit(0.0), north, F.lit(0.0), F.lit(-10.0))
+    return geotiff.write_tiles(_tiles(spark, sf_dir).select("tile_id", "bands", grid.alias("transform")), shared_path(spark, name), 4, 4, 32614, layout=_OTHER)
+
+
+_ID = "'T' || lpad(tile::varchar, 6, '0') AS tile_id"
+
+
+@query("q_metadata_core", _P + f""" SELECT {_ID}, 'GTiff' AS driver, 4 AS width, 4 AS height, 4 AS bands, 32614 AS srid, 'Float64' AS dtype, '16x16' AS block, 'DEFLATE/PIXEL' AS structure, 'ok' AS footprint_status, 500000.0 + tile * 10 AS west,
+  tile % 20000 < 40000 AS north_of_36, '' AS error FROM pixels GROUP BY tile""")
+def q_metadata_core(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Core headers of files in another layout; the zone's own meridian is 99 degrees west."""
+    rows = geotiff.read_metadata(_files(spark, sf_dir, "core"))
+    structure = F.concat_ws("/", F.col("image_structure")["COMPRESSION"], F.col("image_structure")["INTERLEAVE"])
+    return rows.select(
+        "tile_id", "driver", "width", "height", F.col("count").alias("bands"), "srid", "dtype", F.concat_ws("x", F.get("block_shapes", F.lit(0)).cast("array<string>")).alias("block"), structure.alias("structure"),
+        "footprint_status", F.get("transform", F.lit(0)).alias("west"), F.col("miny_wgs84").between(36.1, 36.2).alias("north_of_36"), F.coalesce("error", F.lit("")).alias("error"),
+    )
+
+
+@query("q_metadata_extended", _P + f" SELECT {_ID}, band::integer AS band, 'Float64' AS dtype, CASE WHEN band = 1 THEN 'Gray' ELSE 'Undefined' END AS color, 1 AS mask_flags, round(min(value), 9) AS least, round(max(value), 9) AS most FROM pixels GROUP BY tile, band")
+def q_metadata_extended(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A record per band, from the extended row."""
+    rows = geotiff.read_metadata(_files(spark, sf_dir, "extended"), "extended").select("tile_id", F.explode("bands").alias("b"))
+    return rows.select("tile_id", "b.band", "b.dtype", F.col("b.color_interpretation").alias("color"), "b.mask_flags", F.round(F.col("b.minmax")[0], 9).alias("least"), F.round(F.col("b.minmax")[1], 9).alias("most"))
+
+
+@query("q_metadata_full", _P + f" SELECT {_ID}, 4 AS width, 4 AS n_bands, 'GeoTIFF' AS driver, 0 AS n_gcps, 'Area' AS area_or_point FROM pixels GROUP BY tile")
+def q_metadata_full(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = geotiff.read_metadata(_files(spark, sf_dir, "full"), "full")
+    d = F.col("dataset")
+    kind = F.when(F.size(d["transform"]) == 6, "Area")
+    return rows.select("tile_id", d["size"]["width"].alias("width"), F.size("bands").alias("n_bands"), d["driver"]["long_name"].alias("driver"), F.size(d["gcps"]).alias("n_gcps"), kind.alias("area_or_point"))
+
+
+@query("q_window_read", _P + f" SELECT {_ID}, 'float64' AS dtype, round(sum(value), 6) AS total, count(*) AS n FROM pixels WHERE band IN (2, 4) AND py >= 1 AND py < 3 AND px >= 1 GROUP BY tile")
+def q_window_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A window of two bands out of tiled, compressed files."""
+    window = [F.lit(v).alias(n) for n, v in (("x", 1), ("y", 1), ("w", 3), ("h", 2))]
+    rows = geotiff.read_windows(_files(spark, sf_dir, "windows").select("tile_id", "path", *window, F.array(F.lit(2), F.lit(4)).alias("bands")))
+    return rows.select("tile_id", "dtype", F.round(F.aggregate("values", F.lit(0.0), lambda s, v: s + v), 6).alias("total"), F.size("values").cast("long").alias("n"))
+
+
+@query("q_reproject_utm", with_views("mosaics") + " SELECT mosaic_key, round(minx, 6) AS lon, round(greatest(-80, least(84, miny)), 6) AS lat FROM mosaics")
+def q_reproject_utm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Places to their UTM zone and back."""
+    from rasterloom.functions import geometry
+
+    rows = view(spark, sf_dir, "mosaics").select("mosaic_key", "minx", F.greatest(F.lit(-80.0), F.least(F.lit(84.0), F.col("miny"))).alias("lat"))
+    zone, south = (F.floor((F.col("minx") + 180) / 6) + 1).cast("int"), F.col("lat") < 0
+    east, north = geometry.utm(zone, south, F.col("minx"), F.col("lat"))
+    srid = F.when(south, 32700).otherwise(32600) + zone
+    lon, lat = geometry.to_wgs84(srid, east, north)
+    return rows.select("mosaic_key", F.round(lon, 6).alias("lon"), F.round(lat, 6).alias("lat"))
+
+
+_T = _P + """, r AS (SELECT tile // 4 AS k, max(tile % 2) * 4 + 4 AS width, max(tile // 2 % 2) * 4 + 4 AS height FROM pixels GROUP BY 1),
+  y AS (SELECT *, unnest(range(0, height, 3)) AS y FROM r), w AS (SELECT *, unnest(range(0, width, 3)) AS x FROM y)"""
+
+
+@query("q_tessellate", _T + """ SELECT format('T{}r{:04d}c{:04d}', k, y // 3, x // 3) AS tile_id, 'M' || k AS bundle_id, (y // 3)::integer AS row_i, (x // 3)::integer AS col_i, x AS x_off, y AS y_off, least(3, width - x) AS w, least(3, height - y) AS h,
+  'EPSG:32614' AS crs, 4 AS bands, 'float64' AS dtype, 'tiles' AS bucket, (k * 100 + x)::double AS minx, (-y)::double AS maxy, 'metre' AS pixel_size_units FROM w""")
+def q_tessellate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole tiling job on stitched rasters: partial windows at the edges, shards and the tile manifest."""
+    from rasterloom.operators import tessellate, tiling
+
+    path = shared_path(spark, "tessellate")
+    number = F.regexp_extract("mosaic_id", r"(\d+)$", 1).cast("double")
+    grid = F.array(number * 100, F.lit(1.0), F.lit(0.0), F.lit(0.0), F.lit(0.0), F.lit(-1.0))
+    made = resample.write_stitched(resample.stitch(_two_by_two(spark, sf_dir), 8).withColumn("transform", grid), f"{path}/rasters", None, 32614)
+    box = [(number * 100).alias("minx"), -F.col("height").cast("double").alias("miny"), (number * 100 + F.col("width")).alias("maxx"), F.lit(0.0).alias("maxy")]
+    members = made.select("mosaic_id", F.lit("").alias("bundle_id"), F.col("mosaic_id").alias("canonical_mosaic_id"), F.lit("RGB").alias("variant_id"), "path", "width", "height", F.col("path").alias("source_uri"), *box)
+    members = members.toDF("mosaic_id", "bundle_id", "canonical_mosaic_id", "variant_id", "path", "width", "height", "source_uri", "minx", "miny", "maxx", "maxy")
+    plan = tiling.tile_plan(members.select("mosaic_id", "bundle_id", "width", "height"), 3, 3, drop_partial=False)
+    done = tessellate.tessellate(plan, members, f"{path}/tiles", 3, skip_empty=False)
+    rows = done.manifest.select("tile_id", "bundle_id", "row_i", "col_i", "x_off", "y_off", "w", "h", "crs", "bands", "dtype", "bucket", F.round("minx", 6).alias("minx"), F.round("maxy", 6).alias("maxy"), "pixel_size_units")
+    return rows

@@ -9,7 +9,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rasterloom.functions import geometry, raster
@@ -191,17 +191,21 @@ def with_footprint(rows: DataFrame) -> DataFrame:
     known = geometry.has_wgs84(F.col("srid"))
     status = F.when(F.col("transform").isNull() | F.col("srid").isNull(), "no georeference").when(~known, "unknown CRS").otherwise("ok")
     at = [F.get("transform", F.lit(i)) for i in range(6)]
-    corners = []
-    for px, py in ((0, 0), (1, 0), (1, 1), (0, 1)):
-        x, y = geometry.to_geo(at, F.col("width") * px, F.col("height") * py)
-        corners.append(geometry.to_wgs84(F.col("srid"), x, y))
-    ring = F.concat_ws(",", *(F.format_string("%.8f %.8f", lon, lat) for lon, lat in (*corners, corners[0])))
+    ends = F.array(*(F.struct(F.lit(px).alias("px"), F.lit(py).alias("py")) for px, py in ((0, 0), (1, 0), (1, 1), (0, 1))))
+
+    def corner(end: Column) -> Column:
+        x, y = geometry.to_geo(at, F.col("width") * end["px"], F.col("height") * end["py"])
+        lon, lat = geometry.to_wgs84(F.col("srid"), x, y)
+        return F.struct(lon.alias("lon"), lat.alias("lat"))
+
     rows = rows.withColumn("footprint_status", F.when(F.col("error").isNull(), status))
     good = F.col("footprint_status") == "ok"
-    bounds = {
-        f"{name}_wgs84": F.when(good, pick(*(c[axis] for c in corners))) for name, pick, axis in (("minx", F.least, 0), ("miny", F.least, 1), ("maxx", F.greatest, 0), ("maxy", F.greatest, 1))
-    }
-    return rows.withColumns({"footprint_wgs84": F.when(good, F.concat(F.lit("SRID=4326;POLYGON(("), ring, F.lit("))"))).otherwise(""), **bounds})
+    # One array, so that the projection is computed once for each corner.
+    found = F.when(good, F.transform(ends, corner))
+    text = F.array_join(F.transform(F.concat("__corners", F.slice("__corners", 1, 1)), lambda c: F.format_string("%.8f %.8f", c["lon"], c["lat"])), ",")
+    bounds = {f"{name}_wgs84": pick(F.col(f"__corners.{axis}")) for name, pick, axis in (("minx", F.array_min, "lon"), ("miny", F.array_min, "lat"), ("maxx", F.array_max, "lon"), ("maxy", F.array_max, "lat"))}
+    footprint = F.when(good, F.concat(F.lit("SRID=4326;POLYGON(("), text, F.lit("))"))).otherwise("")
+    return rows.withColumn("__corners", found).withColumns({"footprint_wgs84": footprint, **bounds}).drop("__corners")
 
 
 def read_windows(windows: DataFrame, fill: float | None = None) -> DataFrame:

@@ -8,6 +8,7 @@ Anything else is a ``ValueError`` that says what is not supported.
 
 from __future__ import annotations
 
+import io
 import struct
 import zlib
 from dataclasses import dataclass
@@ -375,7 +376,32 @@ def encode(array: np.ndarray, transform: list[float] | None, srid: int | None, n
     return _assemble(sorted(tags), blocks, layout)
 
 
-def _assemble(tags: list[tuple[int, int, list]], blocks: list[bytes], layout: Layout) -> bytes:
+def strip_head(shape: tuple[int, int, int], kind: np.dtype, strip_rows: int, transform: list[float] | None, srid: int | None) -> bytes:
+    """What stands before the pixels of an uncompressed file whose strips follow in order, each with all bands one after the other."""
+    bands, height, width = shape
+    starts = range(0, height, strip_rows)
+    line = width * kind.itemsize
+    sizes = [min(strip_rows, height - top) * line for top in starts for _ in range(bands)]
+    layout = Layout(big=sum(sizes) >= (1 << 32) - (1 << 20))
+    whole = encode(np.zeros((bands, 1, 1), kind), transform, srid)  # its tags, with the sizes of this file
+    found = parse(io.BytesIO(whole)).tags
+    word = 16 if layout.big else 4
+    tags = [(t, k, list(v)) for t, k, v in ((t, _kind_of(t), v) for t, v in found.items()) if t not in (WIDTH, HEIGHT, ROWS_PER_STRIP, STRIP_OFFSETS, STRIP_COUNTS)]
+    tags += [(WIDTH, 4, [width]), (HEIGHT, 4, [height]), (ROWS_PER_STRIP, 4, [strip_rows])]
+    # In the file: strip by strip, in each band by band; in the directory: band by band.
+    by_band = [sizes[s * bands + b] for b in range(bands) for s in range(len(starts))]
+    head = _assemble(sorted([*tags, (STRIP_OFFSETS, word, [0] * len(sizes)), (STRIP_COUNTS, word, by_band)]), [], layout, sizes)
+    places = len(head) + np.concatenate([[0], np.cumsum(sizes)])[:-1]
+    offsets = [int(places[s * bands + b]) for b in range(bands) for s in range(len(starts))]
+    return _assemble(sorted([*tags, (STRIP_OFFSETS, word, offsets), (STRIP_COUNTS, word, by_band)]), [], layout, sizes)
+
+
+def _kind_of(tag: int) -> int:
+    return 12 if tag in (PIXEL_SCALE, TIE_POINTS, TRANSFORM_TAG) else 2 if tag in (METADATA, NODATA) else 3
+
+
+def _assemble(tags: list[tuple[int, int, list]], blocks: list[bytes], layout: Layout, placed: list[int] | None = None) -> bytes:
+    """Head, directory and blocks; with ``placed`` the offsets are those given and the blocks follow elsewhere."""
     entry, offset, inline, first = ("<HHQ", "<Q", 8, 16) if layout.big else ("<HHI", "<I", 4, 8)
     count = "<Q" if layout.big else "<H"
     sizes = np.array([0] + [len(b) for b in blocks], np.int64)
@@ -385,7 +411,7 @@ def _assemble(tags: list[tuple[int, int, list]], blocks: list[bytes], layout: La
         spare = at + struct.calcsize(count) + len(tags) * (struct.calcsize(entry) + inline) + inline
         head, tail = struct.pack(count, len(tags)), b""
         for tag, kind, values in tags:
-            if tag in (TILE_OFFSETS, STRIP_OFFSETS):
+            if tag in (TILE_OFFSETS, STRIP_OFFSETS) and placed is None:
                 values = (data_at + np.cumsum(sizes)[:-1]).tolist()
             raw = values[0] if kind == 2 else struct.pack("<" + SIZES[kind][0] * len(values), *values)
             head += struct.pack(entry, tag, kind, len(raw) if kind == 2 else len(values))
