@@ -190,15 +190,17 @@ def count_phrases(codes: list[np.ndarray], tables: list[np.ndarray | Transitions
     place = np.empty(len(order), np.int64)
     place[order] = np.arange(len(order))
     after = np.where(nth + 1 < parts[owner], place[np.minimum(order + 1, len(order) - 1)], -1)
+    state = [np.zeros(len(owner), np.int64) for _ in tables]
+    ends = [np.zeros((length[0], len(owner)), np.int8) for _ in tables]  # [step, stretch]: a phrase ends before the letter
+    for step, n in enumerate(active):
+        letter = flat[begin[:n] + step]
+        for table, at, found in zip(tables, state, ends, strict=True):
+            moved = _moved(table, at[:n], letter)
+            np.right_shift(moved, 30, out=found[step, :n], casting="unsafe")
+            np.bitwise_and(moved, _END - 1, out=at[:n])
     for k, table in enumerate(tables):
-        state = np.zeros(len(owner), np.int64)
-        ends = np.zeros((length[0], len(owner)), np.int8)  # [step, stretch]: a phrase ends before the letter
-        for step, n in enumerate(active):
-            moved = _moved(table, state[:n], flat[begin[:n] + step])
-            ends[step, :n] = moved >> 30
-            np.bitwise_and(moved, _END - 1, out=state[:n])
-        _carry_on(table, flat, begin, length, after, state, ends)
-        found = ends.sum(axis=0, dtype=np.int64)
+        _carry_on(table, flat, begin, length, after, state[k], ends[k])
+        found = ends[k].sum(axis=0, dtype=np.int64)
         # The last phrase of a text is ended by its end.
         out[k] = np.bincount(owner, weights=found, minlength=len(codes)).astype(np.int64) + (sizes > 0)
     return out
