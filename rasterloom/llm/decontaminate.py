@@ -58,6 +58,8 @@ SAMPLES, LEAST_SAMPLES, SETS, MAX_WALKS = 3, 2, 12, 8
 PIECE_WORDS = 10
 #: Edited items of each length class that stop the walks, and as many others that measure the recall.
 TRIALS = 400
+#: Words of copies that are searched at once.
+TRIAL_WORDS = 1 << 16
 #: Longer items are not tried but found exactly.
 TRIED_WORDS = 256
 #: Walks are added until the length classes short of the recall hold no more than this share of the items; those are found exactly.
@@ -422,30 +424,31 @@ def length_class(words: int) -> int:
 
 
 class _Trials:
-    """Edited copies of items, TRIALS of each class, and which of them some repetition has found."""
+    """Edited copies of items, TRIALS of each class, and which of them some walk has found."""
 
     def __init__(self, rng: np.random.Generator, index: ItemIndex, members: list[np.ndarray]):
         self.edits, self.lengths = np.array(index.edits), np.array([len(i) for i in index.items])
         self.item = np.concatenate([rng.choice(m, TRIALS) for m in members])
-        words: list[int] = []
-        begin, end = [], []
-        for n in self.item.tolist():
+        self.found, self.parts, bands = np.zeros(len(self.item), bool), [], index.bands()
+        words, begin, end, first = [], [], [], 0
+        for n, item in enumerate(self.item.tolist()):
             begin.append(len(words))
-            words += _edited(rng, index.items[n], index.edits[n])
+            words += _edited(rng, index.items[item], index.edits[item])
             end.append(len(words))
             words.append(BETWEEN)
-        self.words, self.begin, self.end = np.array(words, np.int64), np.array(begin), np.array(end)
-        self.opens = [band.openings(self.words) for band in index.bands()]
-        self.counts = counted(self.opens)
-        self.found = np.zeros(len(self.item), bool)
+            if len(words) >= TRIAL_WORDS or n == len(self.item) - 1:
+                held = np.array(words, np.int64)
+                self.parts.append((first, held, np.array(begin), np.array(end), [band.openings(held) for band in bands]))
+                words, begin, end, first = [], [], [], n + 1
 
     def search(self, walk: Walk) -> np.ndarray:
         """The share found so far, by class; a copy is found if all of it is in the window that would be verified."""
-        who, where = walk_candidates(self.words, walk, self.opens, self.counts).T
-        slack = self.edits[who] + 1
-        trial = np.maximum(np.searchsorted(self.begin, where + slack, "right") - 1, 0)
-        whole = (where - slack <= self.begin[trial]) & (self.end[trial] <= where + self.lengths[who] + slack)
-        self.found[trial[whole & (self.item[trial] == who)]] = True
+        for first, words, begin, end, opens in self.parts:
+            who, where = walk_candidates(words, walk, opens, counted(opens)).T
+            slack = self.edits[who] + 1
+            trial = np.maximum(np.searchsorted(begin, where + slack, "right") - 1, 0)
+            whole = (where - slack <= begin[trial]) & (end[trial] <= where + self.lengths[who] + slack)
+            self.found[first + trial[whole & (self.item[first + trial] == who)]] = True
         return self.found.reshape(-1, TRIALS).mean(axis=1)
 
 
