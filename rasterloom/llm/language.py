@@ -278,11 +278,12 @@ def sample_codes(texts: list[str], lookup: np.ndarray, other: int, languages: in
     return codes
 
 
-def predict_column(spark, model: LanguageModel, text: Column) -> Column:
+def predict_column(spark, model: LanguageModel, text: Column, once: bool = False) -> Column:
     """``struct<lang_pred, score>``: the score is how much less the winner's entropy is than the runner-up's.
 
     ``und`` with score 0 if the text is null or has no letter, or nothing was
-    learned. Equal entropies go to the language first by name.
+    learned. Equal entropies go to the language first by name. With ``once`` a
+    filter on the prediction does not parse the texts a second time.
     """
     shared = spark.sparkContext.broadcast(cloudpickle.dumps(model))  # bounded by the sample of each language
 
@@ -305,7 +306,7 @@ def predict_column(spark, model: LanguageModel, text: Column) -> Column:
             _decide(model, held, names, scores)
             yield pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(scores, pa.float64())], names=["lang_pred", "score"])
 
-    return of(text)
+    return (of.asNondeterministic() if once else of)(text)
 
 
 def _decide(model: LanguageModel, codes: list[np.ndarray], names: list[str], scores: list[float]) -> None:
@@ -356,5 +357,5 @@ def keep_known(docs: DataFrame, model: LanguageModel | None = None) -> DataFrame
     stay or go together, an empty table gives no rows.
     """
     model = model or fit_documents(docs)
-    out = predict_column(docs.sparkSession, model, F.col("text").cast("string"))
+    out = predict_column(docs.sparkSession, model, F.col("text").cast("string"), once=True)
     return docs.withColumn("lang", out["lang_pred"].alias("lang")).where(F.col("lang") != UNKNOWN)

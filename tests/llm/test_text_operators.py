@@ -543,6 +543,7 @@ def test_language_of_odd_rows(spark, odd, empty):
     kept = language.keep_known(odd)
     assert kept.columns == odd.columns and kept.count() == 6
     assert {r.lang for r in kept.collect()} <= {"en", "fr"}
+    assert kept._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1  # texts are parsed once
     assert language.keep_known(empty).count() == 0 and language.keep_known(odd.drop("lang"), language.fit_documents(odd)).count() == 6
 
 
