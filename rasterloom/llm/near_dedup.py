@@ -29,6 +29,8 @@ from rasterloom.sources import storage
 
 #: Runs up to this long compare neighbours at every distance at once; longer ones are searched breadth-first.
 SHORT_RUN = 32
+#: Posting lists longer than this are searched by sublists that share a fourth byte.
+SPLIT_RUN = 4096
 #: Shingles whose bits are counted at once.
 CHUNK = 1 << 16
 
@@ -131,13 +133,28 @@ def _long_run(members: np.ndarray, max_bits: int) -> list[tuple[np.ndarray, np.n
     return edges
 
 
-def run_edges(keys: np.ndarray, fps: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Edges inside runs of equal keys."""
+def _by_fourth_byte(key: int, members: np.ndarray, max_bits: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Edges of one posting list, from its sublists of equal bytes at each position that its triple lacks.
+
+    No link is lost: who shares the guaranteed four bytes shares one beyond the triple.
+    """
+    triple = position_sets(8 - max_bits)[key >> 24]
+    edges = []
+    for p in set(range(8)) - set(triple):
+        byte = (members >> (8 * p)) & 255
+        order = np.argsort(byte, kind="stable")
+        edges.append(run_edges(byte[order], members[order], max_bits, split=False))
+    return edges
+
+
+def run_edges(keys: np.ndarray, fps: np.ndarray, max_bits: int, split: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """Edges inside runs of equal keys; with ``split`` the keys are those of posting lists."""
     out: list[tuple[np.ndarray, np.ndarray]] = []
     bounds = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1], [True]]))
     sizes = np.diff(bounds)
     for k in np.flatnonzero(sizes > SHORT_RUN):
-        out += _long_run(fps[bounds[k] : bounds[k + 1]], max_bits)
+        members = fps[bounds[k] : bounds[k + 1]]
+        out += _by_fourth_byte(int(keys[bounds[k]]), members, max_bits) if split and len(members) > SPLIT_RUN else _long_run(members, max_bits)
     short = np.repeat((sizes > 1) & (sizes <= SHORT_RUN), sizes)
     keys, fps = keys[short], fps[short]
     for step in range(1, SHORT_RUN):
@@ -165,17 +182,26 @@ def fingerprint_links(distinct: DataFrame, max_bits: int = 4) -> DataFrame:
     posted = distinct.select(F.explode(F.array(*entries)).alias("key"), "fp")
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held_keys, held = np.empty(0, np.int64), np.empty(0, np.int64)
+        held: list[tuple[np.ndarray, np.ndarray]] = []  # ends with the last run, which may go on in the next batch
+
+        def edges() -> pa.RecordBatch:
+            keys, fps = (np.concatenate(c) for c in zip(*held, strict=True))
+            return pa.RecordBatch.from_arrays([pa.array(x) for x in run_edges(keys, fps, max_bits)], names=["a", "b"])
+
         for batch in batches:
-            keys = np.concatenate([held_keys, batch.column(0).to_numpy()])
-            fps = np.concatenate([held, batch.column(1).to_numpy()])
-            # The last run may go on in the next batch.
-            whole = int(np.searchsorted(keys, keys[-1], side="left")) if len(keys) else 0
-            held_keys, held = keys[whole:], fps[whole:]
-            if whole:
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in run_edges(keys[:whole], fps[:whole], max_bits)], names=["a", "b"])
-        if len(held):
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in run_edges(held_keys, held, max_bits)], names=["a", "b"])
+            keys, fps = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            if len(keys) == 0:
+                continue
+            last = int(np.searchsorted(keys, keys[-1], side="left"))
+            if held and (last > 0 or held[-1][0][-1] != keys[-1]):
+                held.append((keys[:last], fps[:last]))
+                yield edges()
+                held = []
+            elif last > 0:
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in run_edges(keys[:last], fps[:last], max_bits)], names=["a", "b"])
+            held.append((keys[last:], fps[last:]))
+        if held:
+            yield edges()
 
     dealt = posted.repartition("key").sortWithinPartitions("key", "fp")
     return dealt.mapInArrow(scan, "a long, b long")

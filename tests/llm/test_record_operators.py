@@ -17,6 +17,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from rasterloom.llm import decontaminate, language, near_dedup, registry, topk, url_cascade, warc
+from rasterloom.operators.components import connected_components
 from rasterloom.session import shared_path, table
 from tests.conftest import SF
 from tests.oracle import connect, same
@@ -275,6 +276,37 @@ def test_links_connect_what_brute_force_connects(spark, dense):
     assert len({found.get(near_dedup._signed(f), near_dedup._signed(f)) for f in want}) == len(groups)
 
 
+@pytest.mark.parametrize("batch", [7, 1000])
+def test_long_lists_are_split_without_losing_links(spark, monkeypatch, batch):
+    rng = random.Random(11)
+    # One list of all: bytes 0 to 2 agree; a chain of near copies beside unrelated ones and pairs four bits apart in two bytes.
+    fps = {0x123456 | rng.getrandbits(40) << 24 for _ in range(400)}
+    fps |= {f ^ 0x0101 << 24 ^ 0x0101 << 40 for f in list(fps)[:60]} | {0x123456 | (2**k - 1) << 24 for k in range(0, 40, 3)}
+    want = {f: f for f in fps}
+
+    def root(f):
+        while want[f] != f:
+            f = want[f]
+        return f
+
+    for a in fps:
+        for b in fps:
+            if (a ^ b).bit_count() <= 4:
+                want[root(a)] = root(b)
+    df = spark.createDataFrame([(near_dedup._signed(f),) for f in fps], "fp long")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+    monkeypatch.setattr(near_dedup, "SPLIT_RUN", 100)
+    try:
+        found = {r.node: r.root for r in connected_components(near_dedup.fingerprint_links(df), "a", "b").collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    by_root, by_want = {}, {}
+    for f in fps:
+        by_root.setdefault(found.get(near_dedup._signed(f), near_dedup._signed(f)), set()).add(f)
+        by_want.setdefault(root(f), set()).add(f)
+    assert sorted(map(sorted, by_root.values())) == sorted(map(sorted, by_want.values()))
+
+
 def test_near_dedup_query_equals_brute_force(spark, duck):
     docs = duck.execute("SELECT doc_id, text FROM documents").fetchall()
     fp = {d: brute_simhash(t) for d, t in docs}
