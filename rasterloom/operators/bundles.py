@@ -12,10 +12,14 @@ from pyspark.sql.window import Window
 
 from rasterloom.functions import geometry
 from rasterloom.functions.text import VARIANT_PRIORITY, short_hash
-from rasterloom.operators.spatial import BOX
+from rasterloom.operators.labels import numbered
+from rasterloom.operators.spatial import BOX, overlap_pairs
+from rasterloom.session import written
 
 EIGHT_BIT = ("byte", "uint8", "int8")
 DEFAULT_COVERAGE = 0.97
+#: Larger groups are bundled over their links, in rounds; smaller ones are a unit of work each.
+GROUP_ROWS = 10_000
 
 
 def variant_priority(variant: Column) -> Column:
@@ -54,14 +58,60 @@ def compatible_dates(a: Column, b: Column) -> Column:
     return (F.coalesce(a, F.lit("")) == "") | (F.coalesce(b, F.lit("")) == "") | (a == b)
 
 
-def greedy_bundles(members: DataFrame, threshold: float = DEFAULT_COVERAGE) -> DataFrame:
+def greedy_bundles(members: DataFrame, threshold: float = DEFAULT_COVERAGE, cell: float = 2.5, group_rows: int = GROUP_ROWS) -> DataFrame:
     """``group_id, mosaic_id, bundle_no, canonical_mosaic_id, similarity``.
 
     In the order of the canonical score the first free raster anchors a bundle
     and takes every free one with a compatible date and a coverage of at least
-    ``threshold``. The order matters, so a group is one unit of work; groups
-    are connected footprints at a site.
+    ``threshold``. The order matters, so a group of up to ``group_rows`` rasters
+    is one unit of work; larger ones are bundled over their links. ``members``
+    is read more than once, so it should be a written table. Without a positive
+    threshold disjoint rasters attach too, so that every group is one unit.
     """
+    if threshold <= 0:
+        return _by_group(members, threshold)
+    sizes = members.groupBy("group_id").agg(F.count("*").alias("n"))
+    large = written(sizes.where(F.col("n") > group_rows).select("group_id"), "large-groups")
+    if large.isEmpty():
+        return _by_group(members, threshold)
+    apart = _by_links(members.join(large, "group_id", "left_semi"), threshold, cell)
+    return _by_group(members.join(large, "group_id", "left_anti"), threshold).unionByName(apart)
+
+
+def _by_links(members: DataFrame, threshold: float, cell: float) -> DataFrame:
+    """The same bundles from the pairs of rasters that may share one.
+
+    A raster is an anchor unless an anchor before it links to it, and goes to the
+    first one that does. In each round those that nothing before them can take
+    any more are anchors, and what they link to is taken; rounds grow with the
+    longest chain of such dependencies.
+    """
+    rows = members.select(F.col("group_id").cast("string").alias("group_id"), "mosaic_id", *BOX, F.coalesce("event_date", F.lit("")).alias("event_date"), canonical_score().alias("score"))
+    rows = written(rows, "scored")
+    sides = [rows.select(F.col("mosaic_id").alias(s), F.struct("group_id", "event_date", "score", *BOX).alias(f"of_{s}")) for s in "ab"]
+    pairs = overlap_pairs(rows, "mosaic_id", cell).join(sides[0], "a").join(sides[1], "b").where("of_a.group_id = of_b.group_id")
+    similarity = geometry.coverage(*(tuple(F.col(f"of_{s}.{c}") for c in BOX) for s in "ab"))
+    first = F.col("of_a.score") > F.col("of_b.score")
+    links = pairs.where(compatible_dates(F.col("of_a.event_date"), F.col("of_b.event_date"))).withColumn("similarity", similarity).where(F.col("similarity") >= threshold)
+    links = written(links.select(F.when(first, F.col("of_a.score")).otherwise(F.col("of_b.score")).alias("score"), F.when(first, F.col("a")).otherwise(F.col("b")).alias("first"), F.when(first, F.col("b")).otherwise(F.col("a")).alias("later"), "similarity"), "links")
+    taken, left = links.select("later").limit(0), links.select("first", "later")
+    while not left.isEmpty():
+        waiting = left.select(F.col("later").alias("first")).distinct()
+        now = written(left.join(waiting, "first", "left_anti").select("later").distinct(), "taken")
+        left = written(left.join(now, "later", "left_anti").join(now.withColumnRenamed("later", "first"), "first", "left_anti"), "left")
+        taken = written(taken.unionByName(now), "taken")
+    best = links.join(taken.withColumnRenamed("later", "first"), "first", "left_anti").groupBy("later").agg(F.max(F.struct("score", "first", "similarity")).alias("anchor"))
+    anchors = rows.join(taken.withColumnRenamed("later", "mosaic_id"), "mosaic_id", "left_anti").select("group_id", "mosaic_id", "score")
+    anchors = written(numbered(anchors, "group_id", ["score"]), "anchors")  # from the last one up
+    anchors = anchors.join(anchors.groupBy("group_id").agg(F.count("*").alias("n")), "group_id")
+    anchors = anchors.select("group_id", F.col("mosaic_id").alias("canonical_mosaic_id"), (F.col("n") - F.col("nth")).cast("int").alias("bundle_no"))
+    own = anchors.select("group_id", F.col("canonical_mosaic_id").alias("mosaic_id"), "bundle_no", "canonical_mosaic_id", F.lit(1.0).alias("similarity"))
+    attached = best.select(F.col("later").alias("mosaic_id"), F.col("anchor.first").alias("canonical_mosaic_id"), F.col("anchor.similarity").alias("similarity"))
+    return own.unionByName(attached.join(anchors, "canonical_mosaic_id").select(*own.columns))
+
+
+def _by_group(members: DataFrame, threshold: float) -> DataFrame:
+    """Group by group, in the order of the canonical score."""
     order = Window.partitionBy("group_id").orderBy(canonical_score().desc())
     keyed = members.withColumn("group_id", F.col("group_id").cast("string"))
     # The window leaves each group's rows together and in order, so no further shuffle is needed.

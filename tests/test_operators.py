@@ -93,6 +93,9 @@ def test_greedy_bundles_hold_their_invariants(spark):
         a, b = by_id[r.mosaic_id][6], by_id[r.canonical_mosaic_id][6]
         assert not a or not b or a == b
     assert {r.canonical_mosaic_id for r in found if r.group_id == "h"} == {"L"}
+    for rows in (0, 10):  # all groups over their links, or only the larger ones
+        assert sorted(bundles.greedy_bundles(members, 0.9, group_rows=rows).collect()) == sorted(found)
+    assert len(bundles.greedy_bundles(members, 0.0).collect()) == len(by_id)
 
 
 CASES = {
