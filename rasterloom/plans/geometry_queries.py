@@ -123,9 +123,27 @@ def q_canonical_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bundles.canonical_rank(_members(spark, sf_dir))
 
 
-@query("q_canonical_clusters")
+#: Walks each group in the order of the ranks and carries its anchors along as a list.
+_COVER = """greatest(least(r.maxx, a.maxx) - greatest(r.minx, a.minx), 0) * greatest(least(r.maxy, a.maxy) - greatest(r.miny, a.miny), 0)
+      / least((r.maxx - r.minx) * (r.maxy - r.miny), (a.maxx - a.minx) * (a.maxy - a.miny))"""
+_ANCHOR = "{'nth': %s, 'id': r.mosaic_id, 'day': coalesce(r.event_date, ''), 'minx': r.minx, 'miny': r.miny, 'maxx': r.maxx, 'maxy': r.maxy}"
+_CLUSTERS = _GROUPED + f""", ranked AS MATERIALIZED (SELECT *, {_RANK} AS n FROM members), walk AS (
+    SELECT r.group_key, r.n, r.mosaic_id, [{_ANCHOR % "1::bigint"}] AS anchors, 1::bigint AS bundle_no, r.mosaic_id AS canonical_mosaic_id, 1.0::double AS similarity FROM ranked r WHERE n = 1
+    UNION ALL
+    SELECT group_key, n, mosaic_id, CASE WHEN hit IS NULL THEN list_append(anchors, own) ELSE anchors END, coalesce(hit.nth, own.nth), coalesce(hit.id, mosaic_id),
+      coalesce(hit.cover, 1.0::double)
+    FROM (SELECT r.group_key, r.n, r.mosaic_id, w.anchors, {_ANCHOR % "len(w.anchors) + 1"} AS own,
+        list_filter(list_transform(w.anchors, lambda a: {{'nth': a.nth, 'id': a.id, 'same': a.day = '' OR coalesce(r.event_date, '') IN ('', a.day), 'cover': least({_COVER}, 1.0::double)}}),
+          lambda a: a.same AND a.cover >= 0.97)[1] AS hit
+      FROM walk w JOIN ranked r ON r.group_key = w.group_key AND r.n = w.n + 1)
+  )
+  SELECT group_key::varchar AS group_id, mosaic_id, bundle_no::integer AS bundle_no, canonical_mosaic_id, similarity FROM walk"""
+
+
+@query("q_canonical_clusters", _CLUSTERS)
 def q_canonical_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bundles.greedy_bundles(_members(spark, sf_dir))
+    """Greedy bundles at the default coverage, 0.97."""
+    return bundles.greedy_bundles(written(_members(spark, sf_dir), "members"))
 
 
 @query("q_bundle_summary", _GROUPED + f""", ranked AS (SELECT *, {_RANK} AS n FROM members), c AS (SELECT * FROM ranked WHERE n = 1)
