@@ -23,6 +23,11 @@ def intersects(a: tuple[Column, ...], b: tuple[Column, ...]) -> Column:
     return (a[0] <= b[2]) & (b[0] <= a[2]) & (a[1] <= b[3]) & (b[1] <= a[3])
 
 
+def point_in_box(x: Column, y: Column, box: tuple[Column | float, ...]) -> Column:
+    """Whether a point lies in a closed box (minx, miny, maxx, maxy): its sides count."""
+    return x.between(box[0], box[2]) & y.between(box[1], box[3])
+
+
 def intersection_area(a: tuple[Column, ...], b: tuple[Column, ...]) -> Column:
     return area(F.greatest(a[0], b[0]), F.greatest(a[1], b[1]), F.least(a[2], b[2]), F.least(a[3], b[3]))
 

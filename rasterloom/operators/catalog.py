@@ -134,3 +134,8 @@ def requested(rows: DataFrame, columns: list[str] | None = None) -> DataFrame:
 def stamped(rows: DataFrame) -> DataFrame:
     """``created_at`` of this run in UTC, to the second."""
     return rows.withColumn("created_at", F.date_format(F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss'Z'"))
+
+
+def staging_rows(rows: DataFrame) -> DataFrame:
+    """Every column as text, '' where there is nothing, as a staging table takes them."""
+    return rows.select(*(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in rows.columns))

@@ -217,3 +217,8 @@ def max_distance(rows: DataFrame, group: str, distance: str) -> DataFrame:
     """``max_distance`` and the number ``n`` of finite distances of each group."""
     d = finite(F.col(distance))
     return rows.groupBy(group).agg(F.max(d).alias("max_distance"), F.count(d).alias("n"))
+
+
+def split_bands(pixels: DataFrame, key: Column, variant: str) -> DataFrame:
+    """The same pixels with ``member``: the name of the array that holds a tile's band alone, ``KEY.VARIANT.bNN.npy``."""
+    return pixels.withColumn("member", F.format_string("%s.%s.b%02d.npy", key.cast("string"), F.lit(variant), F.col("band").cast("int")))

@@ -44,7 +44,7 @@ def q_bbox_props(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("q_point_in_box", with_views("mosaics", "areas") + " SELECT mosaic_key, (minx + maxx) / 2 BETWEEN -90 AND 90 AND (miny + maxy) / 2 BETWEEN -45 AND 45 AS inside FROM mosaics")
 def q_point_in_box(spark: SparkSession, sf_dir: str) -> DataFrame:
     minx, miny, maxx, maxy = _columns()
-    return view(spark, sf_dir, "mosaics").select("mosaic_key", (((minx + maxx) / 2).between(-90, 90) & ((miny + maxy) / 2).between(-45, 45)).alias("inside"))
+    return view(spark, sf_dir, "mosaics").select("mosaic_key", geometry.point_in_box((minx + maxx) / 2, (miny + maxy) / 2, (-90, -45, 90, 45)).alias("inside"))
 
 
 @query("q_haversine", _M + """, h AS (SELECT mosaic_key, pow(sin(radians(maxy - miny) / 2), 2) + cos(radians(miny)) * cos(radians(maxy)) * pow(sin(radians(maxx - minx) / 2), 2) AS h FROM mosaics)

@@ -80,8 +80,8 @@ def q_masked_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("q_band_split", _P + " SELECT tile, 'T' || tile || '.RGB.b' || lpad(band::varchar, 2, '0') || '.npy' AS member, count(*) AS n, round(sum(value), 6) AS total FROM pixels GROUP BY 1, band")
 def q_band_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = pixels(spark, sf_dir).groupBy("tile", "band").agg(F.count("*").alias("n"), F.round(F.sum("value"), 6).alias("total"))
-    return rows.select("tile", F.format_string("T%d.RGB.b%02d.npy", "tile", "band").alias("member"), "n", "total")
+    rows = px.split_bands(pixels(spark, sf_dir), F.concat(F.lit("T"), F.col("tile")), "RGB")
+    return rows.groupBy("tile", "member").agg(F.count("*").alias("n"), F.round(F.sum("value"), 6).alias("total"))
 
 
 _BOUND = ", b AS (SELECT tile, band, quantile_cont(value, 0.02) AS lo, quantile_cont(value, 0.98) AS hi, min(value) AS least, max(value) AS most FROM s GROUP BY 1, 2)"

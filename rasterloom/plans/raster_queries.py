@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rasterloom.functions import raster, text
-from rasterloom.operators import resample, semantic
+from rasterloom.operators import catalog, resample, semantic
 from rasterloom.plans.fixtures import PIXELS_SQL, pixels, view, with_views
 from rasterloom.plans.registry import Registry
 from rasterloom.plans.shard_queries import _tiles
@@ -65,14 +65,12 @@ def q_final_class(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_staging_row(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Everything as text, '' where there is nothing."""
     rows = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("mosaic_id"), F.col("s_name").alias("uri"), F.col("s_nationkey").alias("srid"), text.acquired_at(F.col("s_name")).alias("acquired_at"))
-    return rows.select(*(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in rows.columns))
+    return catalog.staging_rows(rows)
 
 
 @query("q_scope_filter", with_views("mosaics") + " SELECT variant_id, count(*) AS n FROM mosaics WHERE event_date = '240111' GROUP BY 1")
 def q_scope_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A session scope as the default predicate, then counts per scope."""
-    from rasterloom.operators import catalog
-
     rows = catalog.select_rasters(view(spark, sf_dir, "mosaics"), scope={"event_date": ["240111"]})
     return rows.groupBy("variant_id").agg(F.count("*").alias("n"))
 

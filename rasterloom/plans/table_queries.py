@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from rasterloom.functions import text
 from rasterloom.operators import catalog, labels, tiling
+from rasterloom.plans import experiments
 from rasterloom.plans.fixtures import view, with_views
 from rasterloom.plans.registry import Registry
 from rasterloom.session import table
@@ -234,10 +235,7 @@ def q_first_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_config_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The experiment grid: a product of option lists, invalid settings left out."""
     grid = {"tile_size": [256, 512], "stride": [0, 256, 512], "dtype": ["uint16", "uint8"], "p_low": [5.0, 98.0], "p_high": [95.0], "num_samples": [1024, 2048]}
-    rows = spark.range(1).select()
-    for name, options in grid.items():
-        rows = rows.select("*", F.explode(F.array(*(F.lit(o) for o in options))).alias(name))
-    return rows.where("stride > 0 AND stride <= tile_size AND p_low >= 0 AND p_low < p_high AND p_high <= 100")
+    return experiments.settings(spark, grid).where(experiments.is_valid())
 
 
 @query(
@@ -245,7 +243,6 @@ def q_config_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SELECT o_custkey AS run_id, count(*) AS tiles, round(sum(o_totalprice) / count(*), 6) AS bytes_per_tile, round(count(*) / nullif(sum(o_totalprice) / 1000, 0), 9) AS tiles_per_second FROM orders GROUP BY 1""",
 )
 def q_throughput(spark: SparkSession, sf_dir: str) -> DataFrame:
-    total, count = F.sum("o_totalprice"), F.count("*")
-    return table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("run_id")).agg(
-        count.alias("tiles"), F.round(F.try_divide(total, count), 6).alias("bytes_per_tile"), F.round(F.try_divide(count, total / 1000), 9).alias("tiles_per_second")
-    )
+    runs = table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("run_id")).agg(F.count("*").alias("tiles"), F.sum("o_totalprice").alias("out_bytes"))
+    per_second, per_tile = experiments.rates(F.col("tiles"), F.col("out_bytes") / 1000, F.col("out_bytes"))
+    return runs.select("run_id", "tiles", F.round(per_tile, 6).alias("bytes_per_tile"), F.round(per_second, 9).alias("tiles_per_second"))

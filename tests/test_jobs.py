@@ -194,3 +194,25 @@ def test_stitched_rasters(spark):
     got = np.frombuffer(bytes(r.pixels), "<f8").reshape(2, 3)
     assert np.nan_to_num(got, nan=-1).tolist() == [[1.0, 2.0, -1.0], [-1.0, -1.0, 3.0]]
     assert resample.stitch(df.where(F.lit(False))).count() == 0
+
+
+def test_experiment_grid(spark):
+    from rasterloom.plans import experiments
+
+    seen = []
+
+    def run(run_id, setting):
+        seen.append((run_id, setting))
+        return {"total_written": 4, "out_bytes": 100, "total_seconds": 2.0} if setting["per_band"] else {}
+
+    rows = experiments.run_grid(spark, experiments.TILING_GRID, run).collect()
+    assert len(rows) == 16 and [r.run_id for r in rows] == [n for n, _ in seen] and rows[0].run_id == "exp-001" and rows[-1].run_id == "exp-016"
+    assert {(r.per_band, r.tiles_per_second, r.bytes_per_tile) for r in rows} == {(True, 2.0, 25.0), (False, 0.0, 0.0)}
+    assert all(r.total_seconds >= 0 for r in rows)
+    odd = {"tile_size": [0, 256], "stride": [256, 512], "scale": ["percentile", "minmax"], "p_low": [50.0], "p_high": [10.0]}
+    kept = experiments.settings(spark, odd).where(experiments.is_valid(F.col("scale"))).collect()
+    assert [(r.tile_size, r.stride, r.scale) for r in kept] == [(256, 256, "minmax")]
+    assert experiments.run_grid(spark, {**odd, "scale": ["percentile"]}, run).count() == 0
+    with experiments.Stopwatch(enabled=False) as watch:
+        pass
+    assert watch.seconds is None
