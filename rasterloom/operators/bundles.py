@@ -14,7 +14,7 @@ from rasterloom.functions import geometry
 from rasterloom.functions.text import VARIANT_PRIORITY, short_hash
 from rasterloom.operators.labels import numbered
 from rasterloom.operators.spatial import BOX, overlap_pairs
-from rasterloom.session import written
+from rasterloom.session import discard, written
 
 EIGHT_BIT = ("byte", "uint8", "int8")
 DEFAULT_COVERAGE = 0.97
@@ -98,8 +98,11 @@ def _by_links(members: DataFrame, threshold: float, cell: float) -> DataFrame:
     while not left.isEmpty():
         waiting = left.select(F.col("later").alias("first")).distinct()
         now = written(left.join(waiting, "first", "left_anti").select("later").distinct(), "taken")
-        left = written(left.join(now, "later", "left_anti").join(now.withColumnRenamed("later", "first"), "first", "left_anti"), "left")
-        taken = written(taken.unionByName(now), "taken")
+        rest = written(left.join(now, "later", "left_anti").join(now.withColumnRenamed("later", "first"), "first", "left_anti"), "left")
+        after = written(taken.unionByName(now), "taken")
+        for done in (left, taken, now):
+            discard(done)
+        left, taken = rest, after
     best = links.join(taken.withColumnRenamed("later", "first"), "first", "left_anti").groupBy("later").agg(F.max(F.struct("score", "first", "similarity")).alias("anchor"))
     anchors = rows.join(taken.withColumnRenamed("later", "mosaic_id"), "mosaic_id", "left_anti").select("group_id", "mosaic_id", "score")
     anchors = written(numbered(anchors, "group_id", ["score"]), "anchors")  # from the last one up
