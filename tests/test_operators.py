@@ -181,6 +181,45 @@ def test_constant_and_masked_bands(spark):
     assert stats[2].n == 0 and stats[2].mean is None and stats[4].p50 == 1.5
 
 
+def _one_band(spark, values):
+    return spark.createDataFrame([(1, 1, i // 4, i % 4, v) for i, v in enumerate(values)], "tile long, band int, py int, px int, value double")
+
+
+def _bytes(df, values):
+    return {values[r.py * 4 + r.px]: r.u8 for r in df.collect()}
+
+
+def test_stretch_of_pixels_on_the_edge_of_a_byte(spark):
+    """46.878 * 255 / 102.17 is 117; percentiles that are off by their last bit made it 116."""
+    values = [82.72, 83.96, 91.42, 95.91, 104.48, 106.1, 108.73, 115.02, 120.08, 123.47, 127.95, 129.97, 139.19, 143.45, 177.38, 188.64]
+    assert _bytes(pixels.stretch_u8(_one_band(spark, values)), values)[129.97] == 117
+
+
+def test_bounds_equal_quantiles_to_the_last_bit(spark):
+    import duckdb
+
+    rng = random.Random(5)
+    rows = [(tile, 1, 0, i, None if i and rng.random() < 0.1 else round(rng.uniform(-300, 300), 2)) for tile in range(300) for i in range(rng.randint(1, 60))]
+    df = spark.createDataFrame(rows, "tile long, band int, py int, px int, value double")
+    con = duckdb.connect()
+    con.execute("CREATE TABLE p (tile bigint, value double)")
+    con.executemany("INSERT INTO p VALUES (?, ?)", [(r[0], r[4]) for r in rows])
+    want = con.execute("SELECT tile, quantile_cont(value, 0.02), quantile_cont(value, 0.98), min(value), max(value) FROM p GROUP BY 1 HAVING min(value) < max(value)").fetchall()
+    got = {r.tile: (r.lo, r.hi, r.least, r.most) for r in pixels._bounds(df, 2.0, 98.0).collect()}
+    assert len(got) == 300 and len(want) > 280
+    assert all(got[tile] == tuple(rest) for tile, *rest in want)
+
+
+def test_bounds_of_equal_values_are_that_value(spark):
+    """A fused sum of shares of 110.42 is a bit below it, which would make a constant band look stretched."""
+    rows = [(1, b, 0, i, v) for b, v in ((1, 110.42), (2, -110.42)) for i in range(16)] + [(1, 3, 0, i, None) for i in range(16)]
+    df = spark.createDataFrame(rows, "tile long, band int, py int, px int, value double")
+    got = {r.band: tuple(r)[2:] for r in pixels._bounds(df, 2.0, 98.0).collect()}
+    assert got == {1: (110.42,) * 4, 2: (-110.42,) * 4, 3: (None,) * 4}
+    for made in (pixels.stretch_u8(df), pixels.scale_u8(df)):
+        assert {(r.band, r.u8) for r in made.collect()} == {(1, 255), (2, 0), (3, 0)}
+
+
 def test_softmax_sums_to_one(spark):
     rows = [(i, f"c{j}", float((i * 7 + j * 3) % 11) * 50) for i in range(20) for j in range(5)]
     p = semantic.softmax(spark.createDataFrame(rows, "image_id long, class string, logit double"))
