@@ -240,6 +240,32 @@ def test_utm_there_and_back(spark):
         assert abs(r.e - x) < 0.01 and abs(r.n - y) < 0.01 and abs(r.l - r.lon) < 1e-8 and abs(r.p - r.lat) < 1e-8
 
 
+def test_northing_of_a_parallel(spark):
+    """Far out of the zone too; null where the grid has no place of that easting on the parallel."""
+    places = [(500_000.0 + m, lat) for m in (0.0, -300_000.0, 293_380.0, 1_025_630.0, 4_000_000.0, 7_000_000.0) for lat in (0.0, 36.15, -36.15)]
+    df = spark.createDataFrame([*places, (1_025_630.0, 71.0), (500_000.0, None)], "x double, lat double")
+    south = F.col("lat") < 0
+    df = df.withColumn("north", geometry.utm_northing(south, F.col("x"), F.col("lat")))
+    for r in df.select("*", geometry.from_utm(F.lit(14), south, F.col("x"), F.col("north"))[1].alias("p")).collect():
+        assert r.north is None if r.lat is None else abs(r.p - r.lat) < 1e-6
+    out = spark.createDataFrame([(7_700_000.0, 36.15), (50_500_000.0, 36.15)], "x double, lat double")
+    assert [r[0] for r in out.select(geometry.utm_northing(F.lit(False), F.col("x"), F.col("lat"))).collect()] == [None, None]
+
+
+def test_core_metadata_of_files_far_from_the_meridian(spark, tmp_path):
+    """A row of files at one northing leaves its parallel after 29,337 of them."""
+    import duckdb
+
+    from rasterloom.plans import raster_queries
+    from tests.oracle import same
+
+    rows = [(i, [i / 1e6] * 64) for i in (0, 29_337, 29_338, 51_281, 102_563, 710_000)]
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>").coalesce(1).write.parquet(f"{tmp_path}/embeddings.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM read_parquet('{tmp_path}/embeddings.parquet/*.parquet')")
+    same(raster_queries.q_metadata_core(spark, str(tmp_path)), con, raster_queries.REGISTRY.oracle_sql()["q_metadata_core"])
+
+
 def test_wkt_of_unknown_crs_is_empty(spark):
     df = spark.createDataFrame([(4326,), (3857,), (32756,), (2264,), (None,)], "srid int")
     found = [r[0] for r in df.select(raster.crs_wkt(F.col("srid"))).collect()]
