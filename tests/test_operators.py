@@ -195,6 +195,12 @@ def test_stretch_of_pixels_on_the_edge_of_a_byte(spark):
     assert _bytes(pixels.stretch_u8(_one_band(spark, values)), values)[129.97] == 117
 
 
+def test_scale_of_pixels_on_the_edge_of_a_byte(spark):
+    """Halfway between 76 and 77; the SQL's doubles lie above it."""
+    values = [102.58, 108.49, 131.39, 136.29, 105.5, 122.72, 151.9, 101.02, 158.82, 168.22, 164.15, 90.73, 164.93, 81.43, 78.02, 155.27]
+    assert _bytes(pixels.scale_u8(_one_band(spark, values)), values)[105.5] == 77
+
+
 def test_bounds_equal_quantiles_to_the_last_bit(spark):
     import duckdb
 
