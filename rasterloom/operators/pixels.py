@@ -109,17 +109,17 @@ def content_stats(pixels: DataFrame, min_content: float, max_black: float = 0.40
 
 
 def _between(a: Column, b: Column, t: Column) -> Column:
-    """``a * (1 - t) + b * t`` with the sum rounded once (a fused multiply-add); exactly ``a`` if both ends are equal."""
+    """``a * (1 - t) + b * t`` with the sum rounded once (a fused multiply-add); a bit off ``a`` for some equal ends."""
     a, b = F.coalesce(a.cast("double"), F.lit(0.0)), F.coalesce(b.cast("double"), F.lit(0.0))  # the method takes no nulls
-    fused = F.java_method(F.lit("java.lang.Math"), F.lit("fma"), a, 1 - t, b * t).cast("double")
-    return F.when(a == b, a).otherwise(fused)
+    return F.java_method(F.lit("java.lang.Math"), F.lit("fma"), a, 1 - t, b * t).cast("double")
 
 
 def _bounds(pixels: DataFrame, low: float, high: float) -> DataFrame:
     """``lo, hi, least, most`` per tile and band: percentiles and extremes of the finite values, from counts of each value.
 
     Percentiles are those of DuckDB's ``quantile_cont``. Spark's own may differ in the last bit, which is a whole step
-    for pixels that lie on the edge between two bytes.
+    for pixels that lie on the edge between two bytes. A band that is one value from the lower to the upper percentile
+    has that value as both.
     """
     v = finite(F.col("value"))
     counts = pixels.groupBy("tile", "band", v.alias("v")).agg(F.count(v).alias("n"))
@@ -130,7 +130,8 @@ def _bounds(pixels: DataFrame, low: float, high: float) -> DataFrame:
     at = {"lo": (F.col("n") - 1) * (low / 100), "hi": (F.col("n") - 1) * (high / 100)}
     ends = [F.min(F.when(F.col("upto") > end(x), F.col("v"))).alias(f"{name}_{side}") for name, x in at.items() for side, end in (("a", F.floor), ("b", F.ceil))]
     found = ranked.groupBy("tile", "band").agg(*ends, F.max("n").alias("n"), F.min("v").alias("least"), F.max("v").alias("most"))
-    bounds = [F.when(F.col("n") > 0, _between(F.col(f"{name}_a"), F.col(f"{name}_b"), x - F.floor(x))).alias(name) for name, x in at.items()]
+    level = F.col("lo_a") == F.col("hi_b")
+    bounds = [F.when(level, F.col("lo_a")).when(F.col("n") > 0, _between(F.col(f"{name}_a"), F.col(f"{name}_b"), x - F.floor(x))).alias(name) for name, x in at.items()]
     return found.select("tile", "band", *bounds, "least", "most")
 
 

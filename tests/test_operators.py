@@ -201,6 +201,17 @@ def test_scale_of_pixels_on_the_edge_of_a_byte(spark):
     assert _bytes(pixels.scale_u8(_one_band(spark, values)), values)[105.5] == 77
 
 
+def test_scale_of_a_band_whose_two_lowest_pixels_are_equal(spark):
+    """The SQL's lower percentile is then a bit below 6.04, and 83.9 no longer lies in the middle of 144 and 145 but above."""
+    import duckdb
+
+    values = [6.04, 6.04, 10.0, 20.0, 30.0, 40.0, 50.0, 60.0, 70.0, 80.0, 83.9, 100.0, 110.0, 120.0, 131.68, 148.48]
+    df = _one_band(spark, values)
+    want = duckdb.connect().execute("SELECT quantile_cont(v, 0.02), quantile_cont(v, 0.98) FROM (SELECT unnest(?::double[]) AS v)", [values]).fetchone()
+    assert tuple(pixels._bounds(df, 2.0, 98.0).select("lo", "hi").first()) == want
+    assert _bytes(pixels.scale_u8(df), values)[83.9] == 145
+
+
 def test_bounds_equal_quantiles_to_the_last_bit(spark):
     import duckdb
 
