@@ -11,8 +11,9 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from rasterloom.functions import geometry, scoring, text
-from rasterloom.operators import bundles, catalog, pixels, semantic, spatial, tiling
+from rasterloom.operators import bundles, catalog, components, pixels, semantic, spatial, tiling
 from rasterloom.operators.components import connected_components
+from rasterloom.session import written
 from rasterloom.sources import geotiff, shards
 
 
@@ -45,6 +46,29 @@ def test_components(spark, shape):
     assert got == want
 
 
+def test_component_rounds_write_few_files(spark, monkeypatch):
+    conf = {"spark.sql.shuffle.partitions": "32", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before, counts = {k: spark.conf.get(k) for k in conf}, []
+
+    def counted(df, name):
+        table = written(df, name)
+        counts.append((table.count(), len(table.inputFiles())))
+        return table
+
+    monkeypatch.setattr(components, "written", counted)
+    edges = [(i, i + 1) for i in range(0, 120) if i % 40]
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        got = {r.node: r.root for r in connected_components(spark.createDataFrame(edges, "a long, b long"), "a", "b").collect()}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert got == brute_components(edges)
+    assert len(counts) > 2 and all(files <= spark.sparkContext.defaultParallelism for _, files in counts[1:])
+    assert max(n for n, _ in counts) == counts[0][0]
+
+
 def test_overlap_pairs_equal_brute_force(spark):
     rng = random.Random(5)
     boxes = [(i, x := rng.uniform(-20, 20), y := rng.uniform(-20, 20), x + rng.uniform(0, 6), y + rng.uniform(0, 6)) for i in range(80)]
