@@ -208,9 +208,10 @@ def fingerprint_links(distinct: DataFrame, max_bits: int = 4) -> DataFrame:
 
 
 def _roots(fps: DataFrame, max_bits: int) -> DataFrame:
-    """``fp, root`` of every fingerprint that links to another."""
+    """``fp, root`` of every fingerprint that links to another. ``fps`` is a written table, whose rows cost nothing to count."""
     edges = fingerprint_links(fps.select("fp").distinct(), max_bits)
-    return connected_components(edges, "a", "b").select(F.col("node").alias("fp"), "root")
+    about = fps.count() * len(position_sets(8 - max_bits))  # an edge per member and list
+    return connected_components(edges, "a", "b", about).select(F.col("node").alias("fp"), "root")
 
 
 def components(docs: DataFrame, max_bits: int = 4, width: int = 4, seed: int = 42) -> DataFrame:

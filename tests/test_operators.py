@@ -46,7 +46,8 @@ def test_components(spark, shape):
     assert got == want
 
 
-def test_component_rounds_write_few_files(spark, monkeypatch):
+@pytest.mark.parametrize("about", [None, 117])
+def test_component_rounds_write_few_files(spark, monkeypatch, about):
     conf = {"spark.sql.shuffle.partitions": "32", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
     before, counts = {k: spark.conf.get(k) for k in conf}, []
 
@@ -60,12 +61,12 @@ def test_component_rounds_write_few_files(spark, monkeypatch):
     try:
         for k, v in conf.items():
             spark.conf.set(k, v)
-        got = {r.node: r.root for r in connected_components(spark.createDataFrame(edges, "a long, b long"), "a", "b").collect()}
+        got = {r.node: r.root for r in connected_components(spark.createDataFrame(edges, "a long, b long"), "a", "b", about).collect()}
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
     assert got == brute_components(edges)
-    assert len(counts) > 2 and all(files <= spark.sparkContext.defaultParallelism for _, files in counts[1:])
+    assert len(counts) > 2 and all(files <= spark.sparkContext.defaultParallelism for _, files in counts[about is None :])
     assert max(n for n, _ in counts) == counts[0][0]
 
 
