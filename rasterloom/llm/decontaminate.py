@@ -30,7 +30,7 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -533,7 +533,27 @@ def search(index: ItemIndex, bags: np.ndarray, masks: list[dict[int, int]], band
 
 
 LEAKS = "array<struct<item_id:bigint,item_words:int,edits:int,first_word:int>>"
-_LEAK_TYPE = pa.list_(pa.struct([("item_id", pa.int64()), ("item_words", pa.int32()), ("edits", pa.int32()), ("first_word", pa.int32())]))
+_LEAK = {"item_id": pa.int64(), "item_words": pa.int32(), "edits": pa.int32(), "first_word": pa.int32()}
+_LEAK_TYPE = pa.list_(pa.struct(list(_LEAK.items())))
+
+
+def searcher(index: ItemIndex) -> Callable[[pa.Array], list[list[tuple[int | None, int, int, int]]]]:
+    """A function of texts that gives what ``search`` finds in each."""
+    bags, masks, bands = index.bags(), index.masks(), index.bands()
+
+    def found_in(texts: pa.Array) -> list[list[tuple]]:
+        found: list[list[tuple]] = []
+        held: list[np.ndarray] = []
+        size = 0
+        for t in texts:
+            held.append(word_ids(t.as_py(), index.vocabulary))
+            size += len(held[-1])
+            if size >= GROUP_WORDS:
+                found += search(index, bags, masks, bands, held)
+                held, size = [], 0
+        return found + search(index, bags, masks, bands, held)
+
+    return found_in
 
 
 def leaks_column(spark, index: ItemIndex, text: Column) -> Column:
@@ -541,25 +561,29 @@ def leaks_column(spark, index: ItemIndex, text: Column) -> Column:
 
     @F.arrow_udf(LEAKS)
     def of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        index = cloudpickle.loads(shared.value)
-        bags, masks, bands = index.bags(), index.masks(), index.bands()
+        found_in = searcher(cloudpickle.loads(shared.value))
         for texts in batches:
-            found: list[list[tuple]] = []
-            held: list[np.ndarray] = []
-            size = 0
-            for t in texts:
-                held.append(word_ids(t.as_py(), index.vocabulary))
-                size += len(held[-1])
-                if size >= GROUP_WORDS:
-                    found += search(index, bags, masks, bands, held)
-                    held, size = [], 0
-            found += search(index, bags, masks, bands, held)
-            names = ("item_id", "item_words", "edits", "first_word")
-            yield pa.array([[dict(zip(names, leak, strict=True)) for leak in leaks] for leaks in found], _LEAK_TYPE)
+            yield pa.array([[dict(zip(_LEAK, leak, strict=True)) for leak in leaks] for leaks in found_in(texts)], _LEAK_TYPE)
 
     return of(text)
 
 
+def leak_rows(docs: DataFrame, index: ItemIndex) -> DataFrame:
+    """A row for each document row and item found in it. Not by ``leaks_column``, beside which the executor would hold the rows, texts and all."""
+    shared = docs.sparkSession.sparkContext.broadcast(cloudpickle.dumps(index))
+
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found_in = searcher(cloudpickle.loads(shared.value))
+        for batch in batches:
+            found = found_in(batch.column("text"))
+            rows = pa.array([n for n, leaks in enumerate(found) for _ in leaks], pa.int64())
+            leaks = pa.array([dict(zip(_LEAK, leak, strict=True)) for leaks in found for leak in leaks], _LEAK_TYPE.value_type)
+            yield pa.record_batch([batch.column("doc_id").take(rows), *leaks.flatten()], ["doc_id", *_LEAK])
+
+    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return slim.mapInArrow(of, "doc_id long, item_id long, item_words int, edits int, first_word int")
+
+
 def item_blocks(benchmark: DataFrame, most: int | None = None) -> Iterator[list[tuple[int | None, str | None]]]:
     """Items in blocks of ``most`` words, streamed partition by partition; a longer item is a block of its own. At least one block, maybe empty."""
     most = most or BLOCK_WORDS
@@ -591,9 +615,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8, r
     """
     out = None
     for block in item_blocks(benchmark):
-        index = build_index(block, similarity, recall, seed)
-        leaks = leaks_column(docs.sparkSession, index, F.col("text").cast("string"))
-        rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.explode(leaks).alias("leak")).select("doc_id", "leak.*")
+        rows = leak_rows(docs, build_index(block, similarity, recall, seed))
         out = rows if out is None else out.unionByName(rows)
     return out
 

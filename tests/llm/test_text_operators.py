@@ -455,6 +455,19 @@ def test_decontamination_of_odd_rows(spark, odd, empty):
     assert kept.columns == odd.columns and kept.count() == len(ODD) - 3
 
 
+def test_decontamination_holds_no_documents_beside_the_search(spark, empty):
+    """Beside a column function an executor holds the rows of a batch, texts and all, until it has answered."""
+    docs = spark.createDataFrame([(1, "Hello, wide world!"), (None, "hello hello wide world"), (1, "Hello, wide world!"), (2, None), (3, "")], "doc_id long, text string")
+    bench = spark.createDataFrame([(7, "hello wide world"), (None, "wide world")], "item_id long, text string")
+    found = decontaminate.find_leaks(docs, bench)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "ArrowEvalPython" not in plan
+    assert found.dtypes == [("doc_id", "bigint"), ("item_id", "bigint"), ("item_words", "int"), ("edits", "int"), ("first_word", "int")]
+    rows = [(1, 7, 3, 0, 0), (1, None, 2, 0, 1), (None, 7, 3, 0, 1), (None, None, 2, 0, 2)]
+    assert sorted(map(tuple, found.collect()), key=str) == sorted([*rows[:2], *rows], key=str)
+    assert decontaminate.find_leaks(empty, bench).collect() == []
+
+
 def brute_parse(text, sample):
     """Phrases of the greedy parse in which each is the longest that occurs in the sample; single letters otherwise."""
     at = n = 0
